@@ -40,7 +40,7 @@ def parse_ds(ds: str | _dt.date) -> _dt.date:
 
 def date_from_string(value: Column | str) -> Column:
     """'YYYY-MM-DD…' string column → DATE; malformed → NULL (never an error)."""
-    return F.try_to_date(F.substring(_col(value), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_col(value), 1, 10), "yyyy-MM-dd")
 
 
 def ds_literal(ds: str | _dt.date) -> Column:

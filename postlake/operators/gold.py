@@ -95,8 +95,8 @@ def author_profiles_from_partials(partials: DataFrame) -> DataFrame:
     """Final rollup; equals :func:`gold_author_profiles` on the same rows."""
     return (partials.groupBy("author_name")
             .agg(F.sum("n").alias("total_submissions"),
-                 (F.sum("score_sum") / F.sum("score_n")).alias("avg_score"),
-                 (F.sum("comments_sum") / F.sum("comments_n")).alias("avg_num_comments"),
+                 F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("avg_score"),
+                 F.try_divide(F.sum("comments_sum"), F.sum("comments_n")).alias("avg_num_comments"),
                  F.sum("trending_n").cast("bigint").alias("trending_post_count"),
                  (F.sum("positive_n") / F.sum("n")).alias("positive_sentiment_ratio"),
                  F.countDistinct("game_topic").alias("topic_diversity"),

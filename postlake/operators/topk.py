@@ -18,6 +18,8 @@ Scaling notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,38 +90,52 @@ def _before(r_key: Column, c_key: Column, r_id: Column, c_id: Column) -> Column:
             .otherwise(r_key.isNotNull() & ((r_key > c_key) | ((r_key == c_key) & tie))))
 
 
-def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows ranked in the top ``k`` of their day by score or by comments,
-    with both exact ranks. Same rows and ranks as the window plan.
-
-    1. candidates: top-k per day for each key (partial group limits);
-    2. materialise them (≤ 2k rows per day) and check their size;
-    3. rank = 1 + number of the day's rows ordered before the candidate,
-       counted by a join on ``ds`` (broadcast when within the checked
-       size, else a shuffle join) and a partial aggregate.
+def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int = TOP_DAILY_K,
+                 part_col: str = "ds", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Rows in the top ``k`` of their ``part_col`` group by *any* of ``keys``
+    (each key descending, NULLs last, ties by ``id_col``), with the exact
+    rank under every key. ``keys`` is a list of (order column, rank column).
+
+    1. candidates: top-k per group for each key (partial group limits, so
+       a hot group reaches the shuffle as ≤ k rows per map task);
+    2. materialise them (≤ k·len(keys) rows per group) and count them;
+    3. rank = 1 + number of the group's rows ordered before the candidate,
+       counted by a join on ``part_col`` — broadcast when the measured
+       candidate count is within ``max_broadcast_rows``, else a shuffle join
+       (AQE splits a skewed group) — and a partial aggregate.
+    ``id_col`` must be unique within a group (it is, per day, after dedup).
     """
-    top_s = top_n_per_key(silver, ["ds"], _desc_then_id("score", "content_id"), k)
-    top_c = top_n_per_key(silver, ["ds"], _desc_then_id("num_comments", "content_id"), k)
-    cands = top_s.unionByName(top_c).dropDuplicates(["ds", "content_id"])
+    tops = [top_n_per_key(df, [part_col], _desc_then_id(c, id_col), k) for c, _ in keys]
+    cands = reduce(lambda a, b: a.unionByName(b), tops).dropDuplicates([part_col, id_col])
     cands = cands.checkpoint(eager=True)
     n_cands = cands.count()
 
-    keys = cands.select("ds", F.col("content_id").alias("c_id"),
-                        F.col("score").alias("c_score"), F.col("num_comments").alias("c_nc"))
+    key_cols = [F.col(part_col), F.col(id_col).alias("_c_id")]
+    key_cols += [F.col(c).alias(f"_c_{i}") for i, (c, _) in enumerate(keys)]
+    cand_keys = cands.select(*key_cols)
     if n_cands <= max_broadcast_rows:
-        keys = F.broadcast(keys)
-    rows = silver.select("ds", F.col("content_id").alias("r_id"),
-                         F.col("score").alias("r_score"), F.col("num_comments").alias("r_nc"))
-    joined = rows.join(keys, "ds")
-    b_s = _before(F.col("r_score"), F.col("c_score"), F.col("r_id"), F.col("c_id"))
-    b_c = _before(F.col("r_nc"), F.col("c_nc"), F.col("r_id"), F.col("c_id"))
-    ranks = (joined.groupBy("ds", "c_id")
-             .agg((F.count_if(b_s) + 1).cast("int").alias("rank_score"),
-                  (F.count_if(b_c) + 1).cast("int").alias("rank_comments"))
-             .withColumnRenamed("c_id", "content_id"))
-    out = cands.join(ranks, ["ds", "content_id"])
-    out = out.filter((F.col("rank_score") <= k) | (F.col("rank_comments") <= k))
+        cand_keys = F.broadcast(cand_keys)
+    row_cols = [F.col(part_col), F.col(id_col).alias("_r_id")]
+    row_cols += [F.col(c).alias(f"_r_{i}") for i, (c, _) in enumerate(keys)]
+    joined = df.select(*row_cols).join(cand_keys, part_col)
+    r_id, c_id = F.col("_r_id"), F.col("_c_id")
+    aggs = [(F.count_if(_before(F.col(f"_r_{i}"), F.col(f"_c_{i}"), r_id, c_id)) + 1)
+            .cast("int").alias(rank) for i, (_, rank) in enumerate(keys)]
+    ranks = joined.groupBy(part_col, "_c_id").agg(*aggs).withColumnRenamed("_c_id", id_col)
+    out = cands.join(ranks, [part_col, id_col])
+    keep = reduce(lambda a, b: a | b, [F.col(rank) <= k for _, rank in keys])
+    return out.filter(keep)
+
+
+def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K,
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Daily top-k report by score or by comments, with both exact ranks.
+
+    Same rows and ranks as :func:`gold_top_daily_window`, without sorting a
+    whole day in one task.
+    """
+    out = top_k_either(silver, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")],
+                       k, "ds", max_broadcast_rows)
     return out.select(*columns(GOLD_TOP_DAILY))
 
 

@@ -62,3 +62,155 @@ FROM (SELECT *,
 WHERE rank_score <= 10 OR rank_comments <= 10"""
 
 oracle("gold_top_daily", ["silver"], TOP_DAILY_BODY.format(src="silver"))
+
+
+# --- bronze / silver steps ------------------------------------------------
+from postlake.functions import rules as R  # noqa: E402
+from postlake.oracle import sql as S  # noqa: E402
+
+oracle("bronze_dedup_latest", ["bronze_dedup"], f"SELECT {BRONZE_OUT} FROM bronze_dedup")
+oracle("bronze_dedup_all_days", ["bronze_dedup_all"], f"SELECT {BRONZE_OUT} FROM bronze_dedup_all")
+oracle("qc_filter", ["bronze"], f"SELECT {BRONZE_OUT} FROM bronze")
+oracle("project_fixed", ["raw_submissions_fx"], f"SELECT {S.BRONZE_COLS} FROM raw_submissions_fx")
+oracle("rename_columns", ["silver"], """
+SELECT content_id, content_type, content_subreddit, text_title, text_content, text_url,
+  class_type, ds FROM silver""")
+oracle("candidate_filter", ["enriched"], """
+SELECT ds, submission_id, is_trending, full_text FROM enriched WHERE is_ai_enrichment_candidate""")
+
+
+def _scalar(name: str, exprs: dict[str, str]) -> None:
+    sel = ", ".join(f"{e} AS {k}" for k, e in exprs.items())
+    oracle(name, ["bronze_dedup"], f"""
+SELECT ds, submission_id, {sel}
+FROM (SELECT *, concat_ws(' ', title, selftext) AS full_text FROM bronze_dedup) b""")
+
+
+_scalar("bin_score", {"score": "score", "score_bin": S.bin_score_sql()})
+_scalar("bin_num_comments", {"num_comments": "num_comments", "num_comments_bin": S.bin_num_comments_sql()})
+_scalar("bin_upvote_ratio", {"upvote_ratio": "upvote_ratio", "upvote_ratio_bin": S.bin_upvote_ratio_sql()})
+_scalar("flag_trending", {"is_trending": S.trending_sql()})
+_scalar("categorize_text", {"text_category": S.category_sql()})
+_scalar("map_game_topic", {"raw_subreddit_name": "raw_subreddit_name", "game_topic": S.game_topic_sql()})
+_scalar("flag_game_topic", {"is_game_topic": f"NOT ({S.game_topic_sql()} = {S.q(R.GAME_TOPIC_DEFAULT)})"})
+_scalar("flag_candidate", {"is_ai_enrichment_candidate":
+                           f"({S.trending_sql()} = TRUE OR length(full_text) > {R.CANDIDATE_MIN_TEXT_LENGTH})"})
+_scalar("flag_edited", {"edited": "edited", "is_edited": f"NOT (edited = {S.q(R.EDITED_FALSE_LITERAL)})"})
+_scalar("concat_text", {"full_text": "full_text"})
+_scalar("text_length", {"text_length": "length(full_text)"})
+_scalar("in_list", {"in_game_specific": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[0][1]),
+                    "in_general_gaming": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[1][1])})
+_scalar("ts_from_unix", {"created_utc_unix": "created_utc_unix", "created_ts": S.ts("created_utc_unix")})
+_scalar("iso_from_unix", {"created_iso": S.iso("created_utc_unix")})
+_scalar("date_from_string", {"created_date": "TRY_CAST(substr(raw_created_utc_str, 1, 10) AS DATE)"})
+_scalar("ai_sentiment", {"ai_sentiment": S.sentiment_sql("full_text")})
+_scalar("ai_topics", {"ai_topics": S.topics_sql("full_text")})
+
+_KWS = ", ".join(S.q(k) for _, ks in R.CATEGORY_KEYWORD_RULES for k in ks)
+oracle("match_keyword", ["bronze_dedup"], f"""
+SELECT ds, keyword,
+  count(*) FILTER (WHERE coalesce(contains(lower(title), keyword), FALSE)
+                      OR coalesce(contains(lower(selftext), keyword), FALSE)) AS hits
+FROM bronze_dedup, (SELECT unnest([{_KWS}]) AS keyword) k
+GROUP BY ds, keyword""")
+
+oracle("ai_custom_model", ["enriched"], f"""
+SELECT ds, submission_id, {S.sentiment_sql('full_text')} AS ai_sentiment
+FROM enriched WHERE is_ai_enrichment_candidate""")
+
+# --- aggregates on silver --------------------------------------------------
+
+
+def _daily(name: str, aggs: str) -> None:
+    oracle(name, ["silver"], f"SELECT ds, {aggs} FROM silver GROUP BY ds")
+
+
+_daily("agg_count", "COUNT(*) AS rows")
+_daily("agg_avg", "AVG(score) AS avg_score, AVG(num_comments) AS avg_num_comments")
+_daily("agg_conditional_sum", "CAST(SUM(CASE WHEN is_trending THEN 1 ELSE 0 END) AS BIGINT) AS trending_count")
+_daily("agg_conditional_avg", "AVG(CASE WHEN is_trending THEN 1 ELSE 0 END) AS trending_ratio")
+_daily("agg_ratio", "SUM(CASE WHEN ai_sentiment = 'positive' THEN 1 ELSE 0 END) / COUNT(*) AS positive_ratio")
+_daily("agg_count_distinct", "COUNT(DISTINCT game_topic) AS topics, COUNT(DISTINCT author_name) AS authors")
+_daily("agg_collect_distinct", "coalesce(list_sort(list(DISTINCT ai_topics) FILTER (WHERE ai_topics IS NOT NULL)),"
+                               " []::VARCHAR[]) AS topics")
+_daily("agg_min_max", "MIN(created_at_timestamp) AS first_created, MAX(created_at_timestamp) AS last_created")
+
+ORACLE["author_profiles_incremental"] = ORACLE["gold_author_profiles"]
+
+# --- documented dashboard aggregates --------------------------------------
+oracle("doc_subreddit_activity_daily", ["silver"], """
+SELECT ds, content_subreddit, COUNT(*) AS posts, COUNT(DISTINCT author_name) AS distinct_authors,
+  AVG(score) AS avg_score, AVG(num_comments) AS avg_num_comments
+FROM silver GROUP BY ds, content_subreddit""")
+oracle("doc_subreddit_activity_weekly", ["silver"], """
+SELECT CAST(date_trunc('week', ds) AS DATE) AS week_start, content_subreddit, COUNT(*) AS posts,
+  COUNT(DISTINCT author_name) AS distinct_authors, AVG(score) AS avg_score,
+  AVG(num_comments) AS avg_num_comments
+FROM silver GROUP BY 1, content_subreddit""")
+oracle("doc_category_trends_daily", ["silver"], """
+SELECT ds, text_category, COUNT(*) AS posts, AVG(score) AS avg_score,
+  AVG(CASE WHEN is_trending THEN 1 ELSE 0 END) AS trending_ratio
+FROM silver GROUP BY ds, text_category""")
+oracle("doc_top_authors_daily", ["silver"], """
+SELECT ds, author_name, posts, author_rank FROM (
+  SELECT ds, author_name, posts,
+    CAST(row_number() OVER (PARTITION BY ds ORDER BY posts DESC, author_name) AS BIGINT) AS author_rank
+  FROM (SELECT ds, author_name, COUNT(*) AS posts FROM silver WHERE author_name IS NOT NULL
+        GROUP BY ds, author_name) a) r
+WHERE author_rank <= 10""")
+oracle("doc_trending_summary", ["silver"], """
+SELECT ds, game_topic, COUNT(*) AS trending_posts, MAX(score) AS max_score,
+  first(text_title ORDER BY score DESC, content_id ASC) AS best_title
+FROM silver WHERE is_trending GROUP BY ds, game_topic""")
+oracle("doc_sentiment_summary", ["silver"], """
+SELECT ds, ai_sentiment, posts, posts / SUM(posts) OVER (PARTITION BY ds) AS share_of_day
+FROM (SELECT ds, ai_sentiment, COUNT(*) AS posts FROM silver GROUP BY ds, ai_sentiment) p""")
+
+# --- windows / top-k --------------------------------------------------------
+for _key, _rank in (("score", "rank_score"), ("num_comments", "rank_comments")):
+    oracle(f"rank_by_{_key.replace('num_', '')}", ["silver"], f"""
+SELECT ds, content_id, {_key},
+  CAST(row_number() OVER (PARTITION BY ds ORDER BY {_key} DESC NULLS LAST, content_id) AS BIGINT) AS {_rank}
+FROM silver""")
+
+oracle("rank_or_filter", ["silver"], TOP_DAILY_BODY.format(src="silver"))
+oracle("topk_either", ["bronze"], """
+SELECT ds, submission_id, score, num_comments, CAST(rank_score AS INTEGER) AS rank_score,
+  CAST(rank_comments AS INTEGER) AS rank_comments
+FROM (SELECT *,
+    row_number() OVER (PARTITION BY ds ORDER BY score DESC NULLS LAST, submission_id) AS rank_score,
+    row_number() OVER (PARTITION BY ds ORDER BY num_comments DESC NULLS LAST, submission_id) AS rank_comments
+  FROM bronze) r
+WHERE rank_score <= 10 OR rank_comments <= 10""")
+
+for _name, _key in (("limit_newest_per_subreddit", "created_utc_unix"), ("limit_top_per_subreddit", "score")):
+    oracle(_name, ["raw_v1"], f"""
+SELECT ds, subreddit, submission_id, {_key} FROM (
+  SELECT *, row_number() OVER (PARTITION BY ds, subreddit
+      ORDER BY {_key} DESC NULLS LAST, submission_id) AS rn FROM raw_v1) r
+WHERE rn <= 10""")
+
+# --- landing ---------------------------------------------------------------
+oracle("land_submissions", ["landed_submissions"], "SELECT * FROM landed_submissions")
+oracle("union_sources", ["landed_submissions"], "SELECT * FROM landed_submissions")
+oracle("land_comments", ["landed_comments"], "SELECT * FROM landed_comments")
+oracle("normalize_defaults", ["landed_submissions"], """
+SELECT submission_id, retrieved_utc_unix, author_name, score, num_comments, upvote_ratio, edited,
+  stickied, flair, permalink FROM landed_submissions""")
+oracle("distinct_by_key", ["raw_comments_fx"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
+  FROM raw_comments_fx) d WHERE rn = 1""")
+oracle("limit_comments_per_submission", ["landed_comments"], """
+SELECT ds, submission_id, comment_id, created_utc_unix FROM (
+  SELECT *, row_number() OVER (PARTITION BY ds, submission_id
+      ORDER BY created_utc_unix ASC NULLS LAST, comment_id ASC NULLS LAST) AS rn
+  FROM landed_comments) c WHERE rn <= 3""")
+oracle("flatten_comments", [], S.flatten_sql())
+oracle("reject_bad_rows", [], """
+SELECT outcome, COUNT(*) AS rows FROM (
+  SELECT CASE WHEN doc_id % 53 = 0 THEN 'malformed_json' WHEN doc_id % 59 = 0 THEN 'missing:id'
+              WHEN doc_id % 41 = 0 THEN 'bad_type:score' ELSE 'ok' END AS outcome
+  FROM documents, (SELECT unnest([0, 1, 2]) AS f) fetches
+  WHERE f = 0 OR doc_id % (f + 1) = 0) o
+GROUP BY outcome""")

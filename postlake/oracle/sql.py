@@ -220,6 +220,8 @@ CTES: dict[str, tuple[str, list[str]]] = {
 
 
 def with_ctes(needs: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    if not needs and not extra:
+        return body.strip()
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -234,3 +236,130 @@ def with_ctes(needs: list[str], body: str, extra: list[tuple[str, str]] | None =
     parts = [f"{n} AS ({CTES[n][0]}\n)" for n in order]
     parts += [f"{n} AS ({s}\n)" for n, s in (extra or [])]
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# ---------------------------------------------------------------------------
+# Landing inputs and landed tables.
+
+def submission_records_sql() -> str:
+    created = f"({FX.EPOCH_BASE} + doc_id * {FX.SUBMISSION_STEP})"
+    return f"""
+SELECT
+  {_case_cycle('doc_id % 12', FX.SUBREDDIT_CYCLE, None)} AS subreddit,
+  CAST(doc_id AS VARCHAR) AS id,
+  {_case_cycle('doc_id % 17', FX.TITLE_CYCLE, FX.TITLE_DEFAULT)} AS title,
+  CASE WHEN doc_id % 13 = 12 THEN NULL ELSE text END AS selftext,
+  CASE WHEN doc_id % 11 = 0 THEN NULL ELSE concat('u', CAST(doc_id % 97 AS VARCHAR)) END AS author,
+  CAST(CASE WHEN doc_id % 31 = 0 THEN NULL ELSE (doc_id * 53 + f) % 700 - 20 END AS BIGINT) AS score,
+  CASE WHEN doc_id % 37 = 0 THEN NULL ELSE CAST((doc_id * 41) % 101 AS DOUBLE) / 100 END AS upvote_ratio,
+  CAST(CASE WHEN doc_id % 29 = 0 THEN NULL ELSE (doc_id * 7 + f) % 130 END AS BIGINT) AS num_comments,
+  CAST({created} AS DOUBLE) AS created_utc,
+  CASE doc_id % 5 WHEN 0 THEN '1751155999.0' WHEN 1 THEN NULL ELSE 'False' END AS edited,
+  CASE WHEN doc_id % 23 = 0 THEN TRUE WHEN doc_id % 10 = 1 THEN NULL ELSE FALSE END AS stickied,
+  doc_id % 17 = 0 AS over_18,
+  doc_id % 3 = 0 AS is_self,
+  doc_id % 19 = 0 AS spoiler,
+  CASE WHEN doc_id % 4 = 0 THEN NULL ELSE lang END AS link_flair_text,
+  concat('https://x.example/', CAST(doc_id AS VARCHAR)) AS url,
+  CASE WHEN doc_id % 9 = 0 THEN NULL
+       ELSE concat('/r/', source, '/', CAST(doc_id AS VARCHAR)) END AS permalink,
+  CAST({created} + f * {FX.FETCH_STEP} AS BIGINT) AS retrieved_utc
+FROM documents, (SELECT unnest([0, 1, 2]) AS f) fetches
+WHERE f = 0 OR doc_id % (f + 1) = 0"""
+
+
+def comment_records_sql() -> str:
+    created = f"({FX.EPOCH_BASE} + conv_id * {FX.COMMENT_STEP} + turn * 60)"
+    return f"""
+SELECT
+  CAST(conv_id AS VARCHAR) AS submission_id,
+  concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS id,
+  CASE WHEN turn = 0 THEN concat('t3_', CAST(conv_id AS VARCHAR))
+       ELSE concat('t1_', CAST(conv_id AS VARCHAR), '-', CAST(turn - 1 AS VARCHAR)) END AS parent_id,
+  text AS body,
+  CASE WHEN role = 'system' THEN NULL ELSE role END AS author,
+  CAST(CASE WHEN turn % 5 = 4 THEN NULL ELSE ((conv_id * 11 + turn) % 60 - 5) + f END AS BIGINT) AS score,
+  CAST({created} AS DOUBLE) AS created_utc,
+  role = 'user' AS is_submitter,
+  turn = 0 AS stickied,
+  CASE WHEN conv_id % 4 = 0 THEN NULL ELSE 'False' END AS edited,
+  concat('/c/', CAST(conv_id AS VARCHAR), '/', CAST(turn AS VARCHAR)) AS permalink,
+  CAST({created} + f * {FX.FETCH_STEP} AS BIGINT) AS retrieved_utc
+FROM conversations, (SELECT unnest([0, 1]) AS f) fetches
+WHERE f = 0 OR conv_id % 3 = 0"""
+
+
+def _unix(x: str) -> str:
+    return f"CAST(trunc({x}) AS BIGINT)"
+
+
+def land_submissions_sql(src: str) -> str:
+    return f"""
+SELECT coalesce(author, '[deleted]') AS author_name,
+  {iso(_unix('created_utc'))} AS created_utc,
+  {_unix('created_utc')} AS created_utc_unix,
+  coalesce(edited, 'false') AS edited,
+  link_flair_text AS flair,
+  coalesce(is_self, FALSE) AS is_self,
+  coalesce(num_comments, 0) AS num_comments,
+  coalesce(over_18, FALSE) AS over_18,
+  coalesce(permalink, '') AS permalink,
+  CAST(retrieved_utc AS BIGINT) AS retrieved_utc_unix,
+  coalesce(score, 0) AS score,
+  coalesce(selftext, '') AS selftext,
+  coalesce(spoiler, FALSE) AS spoiler,
+  coalesce(stickied, FALSE) AS stickied,
+  id AS submission_id, subreddit, title,
+  coalesce(upvote_ratio, 0.0) AS upvote_ratio,
+  url,
+  CAST({ts('retrieved_utc')} AS DATE) AS ds,
+  {ts('retrieved_utc')} AS _loaded_at_timestamp_utc
+FROM {src}"""
+
+
+def land_comments_sql(src: str) -> str:
+    return f"""
+SELECT author_name, body, comment_id, created_utc, created_utc_unix, edited, is_submitter,
+  parent_id, permalink, retrieved_utc_unix, score, stickied, submission_id, ds,
+  _loaded_at_timestamp_utc
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
+  FROM (
+    SELECT coalesce(author, '[deleted]') AS author_name, body, id AS comment_id,
+      {iso(_unix('created_utc'))} AS created_utc, {_unix('created_utc')} AS created_utc_unix,
+      coalesce(edited, 'false') AS edited, coalesce(is_submitter, FALSE) AS is_submitter,
+      coalesce(parent_id, '') AS parent_id, coalesce(permalink, '') AS permalink,
+      CAST(retrieved_utc AS BIGINT) AS retrieved_utc_unix, coalesce(score, 0) AS score,
+      coalesce(stickied, FALSE) AS stickied, submission_id,
+      CAST({ts('retrieved_utc')} AS DATE) AS ds, {ts('retrieved_utc')} AS _loaded_at_timestamp_utc
+    FROM {src}) n) d
+WHERE rn = 1"""
+
+
+def flatten_sql() -> str:
+    created = f"({FX.EPOCH_BASE} + doc_id * {FX.SUBMISSION_STEP})"
+    return f"""
+SELECT CAST(doc_id AS VARCHAR) AS submission_id, CAST(pos AS INTEGER) AS position,
+  concat(CAST(doc_id AS VARCHAR), '-', CAST(pos AS VARCHAR)) AS id,
+  CASE WHEN pos = 0 THEN concat('t3_', CAST(doc_id AS VARCHAR))
+       ELSE concat('t1_', CAST(doc_id AS VARCHAR), '-', CAST((pos - 1) // 2 AS VARCHAR)) END AS parent_id,
+  line AS body,
+  concat('u', CAST((doc_id + pos) % 97 AS VARCHAR)) AS author,
+  CAST((doc_id + pos * 7) % 50 - 3 AS BIGINT) AS score,
+  CAST({created} + pos * 60 AS DOUBLE) AS created_utc,
+  pos % 4 = 0 AS is_submitter, FALSE AS stickied, 'False' AS edited,
+  concat('/r/c/', CAST(doc_id AS VARCHAR), '-', CAST(pos AS VARCHAR)) AS permalink,
+  CAST({created} + {FX.FETCH_STEP} AS BIGINT) AS retrieved_utc
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents) x
+WHERE length(trim(line, ' ')) <> 0"""
+
+
+CTES.update({
+    "raw_submissions_all_fx": (raw_submissions_sql("all"), []),
+    "bronze_dedup_all": (bronze_dedup_sql("raw_submissions_all_fx", "all"), ["raw_submissions_all_fx"]),
+    "submission_records": (submission_records_sql(), []),
+    "comment_records": (comment_records_sql(), []),
+    "landed_submissions": (land_submissions_sql("submission_records"), ["submission_records"]),
+    "landed_comments": (land_comments_sql("comment_records"), ["comment_records"]),
+})

@@ -42,3 +42,15 @@ def silver_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_v1_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as it was when only the first fetch had landed."""
     return silver_from_raw(first_fetch(raw_fx(spark, sf_dir)))
+
+
+def bronze_dedup_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows after dedup, before QC (negative / NULL scores still present)."""
+    from postlake.operators.bronze import bronze_project, dedup_latest
+    return bronze_project(dedup_latest(raw_fx(spark, sf_dir)))
+
+
+def enriched_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched bronze rows (all of them, before the candidate filter)."""
+    from postlake.operators.silver import enrich
+    return enrich(bronze_fx(spark, sf_dir))

@@ -41,3 +41,236 @@ register("gold_sentiment_topic")(_on_silver(G.gold_sentiment_topic))
 register("gold_topic_time_series")(_on_silver(G.gold_topic_time_series))
 register("gold_author_profiles")(_on_silver(G.gold_author_profiles))
 register("gold_top_daily")(_on_silver(K.gold_top_daily))
+
+
+# --- bronze / silver steps ------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from postlake.functions import rules as R  # noqa: E402
+from postlake.functions import text_ai as AI  # noqa: E402
+from postlake.functions import timefmt as TF  # noqa: E402
+from postlake.operators.bronze import bronze_project, dedup_latest  # noqa: E402
+from postlake.operators.silver import candidate_filter  # noqa: E402
+from postlake.plans.chain import bronze_dedup_fx, enriched_fx, raw_fx  # noqa: E402
+from postlake.schemas import columns, BRONZE_SUBMISSIONS  # noqa: E402
+
+
+@register("bronze_dedup_latest")
+def _q_dedup(spark, d):
+    return bronze_dedup_fx(spark, d)
+
+
+@register("bronze_dedup_all_days")
+def _q_dedup_all(spark, d):
+    from postlake.sources.fixtures import raw_submissions_fx
+    from postlake.session import apply_runtime_conf
+    apply_runtime_conf(spark)
+    return bronze_project(dedup_latest(raw_submissions_fx(spark, d, scope="all"), scope="all"))
+
+
+@register("qc_filter")
+def _q_qc(spark, d):
+    return bronze_fx(spark, d)
+
+
+@register("project_fixed")
+def _q_project(spark, d):
+    """Ordered, typed bronze projection of every raw row (no dedup)."""
+    return bronze_project(raw_fx(spark, d))
+
+
+@register("rename_columns")
+def _q_rename(spark, d):
+    s = silver_fx(spark, d)
+    return s.select("content_id", "content_type", "content_subreddit", "text_title",
+                    "text_content", "text_url", "class_type", "ds")
+
+
+@register("candidate_filter")
+def _q_cand(spark, d):
+    e = candidate_filter(enriched_fx(spark, d))
+    return e.select("ds", "submission_id", "is_trending", "full_text")
+
+
+def _scalar(name: str, out):
+    """Register a query applying scalar expressions to deduped bronze rows.
+
+    ``out`` builds {column: expression} lazily (Columns need a session)."""
+    def q(spark, d):
+        b = bronze_dedup_fx(spark, d).withColumn("full_text", R.concat_text("title", "selftext"))
+        return b.select("ds", "submission_id", *[expr.alias(k) for k, expr in out().items()])
+    register(name)(q)
+
+
+_scalar("bin_score", lambda: {"score": F.col("score"), "score_bin": R.bin_score("score")})
+_scalar("bin_num_comments", lambda: {"num_comments": F.col("num_comments"),
+                             "num_comments_bin": R.bin_num_comments("num_comments")})
+_scalar("bin_upvote_ratio", lambda: {"upvote_ratio": F.col("upvote_ratio"),
+                             "upvote_ratio_bin": R.bin_upvote_ratio("upvote_ratio")})
+_scalar("flag_trending", lambda: {"is_trending": R.flag_trending("score", "num_comments")})
+_scalar("categorize_text", lambda: {"text_category": R.categorize_text("title", "selftext", "raw_subreddit_name")})
+_scalar("map_game_topic", lambda: {"raw_subreddit_name": F.col("raw_subreddit_name"),
+                           "game_topic": R.map_game_topic("raw_subreddit_name")})
+_scalar("flag_game_topic", lambda: {"is_game_topic": R.flag_game_topic(R.map_game_topic("raw_subreddit_name"))})
+_scalar("flag_candidate", lambda: {"is_ai_enrichment_candidate":
+                           R.flag_candidate(R.flag_trending("score", "num_comments"), "full_text")})
+_scalar("flag_edited", lambda: {"edited": F.col("edited"), "is_edited": R.flag_edited("edited")})
+_scalar("concat_text", lambda: {"full_text": F.col("full_text")})
+_scalar("text_length", lambda: {"text_length": R.text_length("full_text")})
+_scalar("in_list", lambda: {
+    "in_game_specific": R.in_list(F.lower("raw_subreddit_name"), R.CATEGORY_SUBREDDIT_RULES[0][1]),
+    "in_general_gaming": R.in_list(F.lower("raw_subreddit_name"), R.CATEGORY_SUBREDDIT_RULES[1][1]),
+})
+_scalar("ts_from_unix", lambda: {"created_utc_unix": F.col("created_utc_unix"),
+                         "created_ts": TF.ts_from_unix("created_utc_unix")})
+_scalar("iso_from_unix", lambda: {"created_iso": TF.iso_from_unix("created_utc_unix")})
+_scalar("date_from_string", lambda: {"created_date": TF.date_from_string("raw_created_utc_str")})
+_scalar("ai_sentiment", lambda: {"ai_sentiment": AI.ai_sentiment("full_text")})
+_scalar("ai_topics", lambda: {"ai_topics": AI.ai_topics("full_text")})
+
+
+@register("match_keyword")
+def _q_kw(spark, d):
+    """Per day and keyword: submissions whose title or self text contains it."""
+    b = bronze_dedup_fx(spark, d)
+    kws = [k for _, ks in R.CATEGORY_KEYWORD_RULES for k in ks]
+    e = b.select("ds", F.lower("title").alias("t"), F.lower("selftext").alias("s"),
+                 F.explode(F.array(*[F.lit(k) for k in kws])).alias("keyword"))
+    hit = F.coalesce(F.col("t").contains(F.col("keyword")), F.lit(False)) | \
+        F.coalesce(F.col("s").contains(F.col("keyword")), F.lit(False))
+    return e.groupBy("ds", "keyword").agg(F.count_if(hit).alias("hits"))
+
+
+@register("ai_custom_model")
+def _q_custom(spark, d):
+    """User model hook (Arrow-batched pandas UDF) on candidates' full text."""
+    e = candidate_filter(enriched_fx(spark, d)).select("ds", "submission_id", "full_text")
+    out = AI.ai_custom_model(e, "full_text", AI.lexicon_sentiment_model, "ai_sentiment")
+    return out.select("ds", "submission_id", "ai_sentiment")
+
+
+# --- aggregates on silver --------------------------------------------------
+def _daily(name: str, aggs):
+    """Daily aggregate of silver; ``aggs`` builds the aggregate list lazily."""
+    register(name)(lambda spark, d: silver_fx(spark, d).groupBy("ds").agg(*aggs()))
+
+
+_daily("agg_count", lambda: [F.count(F.lit(1)).alias("rows")])
+_daily("agg_avg", lambda: [F.avg("score").alias("avg_score"),
+                           F.avg("num_comments").alias("avg_num_comments")])
+_daily("agg_conditional_sum", lambda: [
+    F.sum(F.when(F.col("is_trending"), 1).otherwise(0)).cast("bigint").alias("trending_count")])
+_daily("agg_conditional_avg", lambda: [
+    F.avg(F.when(F.col("is_trending"), 1).otherwise(0)).alias("trending_ratio")])
+_daily("agg_ratio", lambda: [(F.sum(F.when(F.col("ai_sentiment") == "positive", 1).otherwise(0))
+                              / F.count(F.lit(1))).alias("positive_ratio")])
+_daily("agg_count_distinct", lambda: [F.countDistinct("game_topic").alias("topics"),
+                                      F.countDistinct("author_name").alias("authors")])
+_daily("agg_collect_distinct", lambda: [F.sort_array(F.collect_set("ai_topics")).alias("topics")])
+_daily("agg_min_max", lambda: [F.min("created_at_timestamp").alias("first_created"),
+                               F.max("created_at_timestamp").alias("last_created")])
+
+register("author_profiles_incremental")(
+    lambda spark, d: G.author_profiles_from_partials(G.author_daily_partials(silver_fx(spark, d))))
+
+# --- documented dashboard aggregates --------------------------------------
+for _name in ("doc_subreddit_activity_daily", "doc_subreddit_activity_weekly",
+              "doc_category_trends_daily", "doc_top_authors_daily", "doc_trending_summary",
+              "doc_sentiment_summary"):
+    register(_name)(_on_silver(getattr(G, _name)))
+
+# --- windows / top-k --------------------------------------------------------
+register("rank_by_score")(_on_silver(K.rank_by_score))
+register("rank_by_comments")(_on_silver(K.rank_by_comments))
+register("rank_or_filter")(_on_silver(K.gold_top_daily_window))
+
+
+@register("topk_either")
+def _q_topk_either(spark, d):
+    """Top-10 by score or by comments over bronze rows, both ranks exact."""
+    b = bronze_fx(spark, d)
+    out = K.top_k_either(b, "submission_id", [("score", "rank_score"),
+                                               ("num_comments", "rank_comments")], 10)
+    return out.select("ds", "submission_id", "score", "num_comments", "rank_score", "rank_comments")
+
+
+@register("limit_newest_per_subreddit")
+def _q_newest(spark, d):
+    from postlake.sources.fixtures import first_fetch
+    r = K.limit_newest_per_subreddit(first_fetch(raw_fx(spark, d)), n=10)
+    return r.select("ds", "subreddit", "submission_id", "created_utc_unix")
+
+
+@register("limit_top_per_subreddit")
+def _q_top(spark, d):
+    from postlake.sources.fixtures import first_fetch
+    r = K.limit_top_per_subreddit(first_fetch(raw_fx(spark, d)), n=10)
+    return r.select("ds", "subreddit", "submission_id", "score")
+
+
+# --- landing ---------------------------------------------------------------
+from postlake.sources import fixtures as FXS  # noqa: E402
+from postlake.sources import landing as L  # noqa: E402
+from postlake.session import apply_runtime_conf  # noqa: E402
+
+
+@register("land_submissions")
+def _q_land_sub(spark, d):
+    apply_runtime_conf(spark)
+    return L.land_submissions(FXS.submission_records_fx(spark, d))
+
+
+@register("land_comments")
+def _q_land_com(spark, d):
+    apply_runtime_conf(spark)
+    return L.land_comments(FXS.comment_records_fx(spark, d))
+
+
+@register("normalize_defaults")
+def _q_defaults(spark, d):
+    """Only the defaulted fields of landed submissions."""
+    apply_runtime_conf(spark)
+    r = L.land_submissions(FXS.submission_records_fx(spark, d))
+    return r.select("submission_id", "retrieved_utc_unix", "author_name", "score", "num_comments",
+                    "upvote_ratio", "edited", "stickied", "flair", "permalink")
+
+
+@register("distinct_by_key")
+def _q_distinct(spark, d):
+    apply_runtime_conf(spark)
+    return L.distinct_by_key(FXS.raw_comments_fx(spark, d), "comment_id")
+
+
+@register("limit_comments_per_submission")
+def _q_limit_comments(spark, d):
+    apply_runtime_conf(spark)
+    c = L.land_comments(FXS.comment_records_fx(spark, d))
+    return K.limit_comments_per_submission(c, n=3).select(
+        "ds", "submission_id", "comment_id", "created_utc_unix")
+
+
+@register("flatten_comments")
+def _q_flatten(spark, d):
+    apply_runtime_conf(spark)
+    return L.flatten_comments(FXS.nested_submissions_fx(spark, d))
+
+
+@register("union_sources")
+def _q_union(spark, d):
+    """Landings of each fetch round, concatenated by name."""
+    apply_runtime_conf(spark)
+    recs = FXS.submission_records_fx(spark, d)
+    rounds = [L.land_submissions(recs.filter((F.col("retrieved_utc") - F.col("created_utc")) == i * 3600))
+              for i in range(3)]
+    return L.union_sources(rounds)
+
+
+@register("reject_bad_rows")
+def _q_reject(spark, d):
+    """Outcome counts of lenient JSON parsing: good rows and rejects by reason."""
+    apply_runtime_conf(spark)
+    parsed = L.parse_submission_json(FXS.submission_json_lines_fx(spark, d))
+    good, bad = L.reject_bad_rows(parsed)
+    counts_bad = bad.groupBy(F.col("_reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+    counts_good = good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("ok").alias("outcome"), "rows")
+    return counts_good.unionByName(counts_bad)

@@ -26,6 +26,10 @@ RUNTIME_CONF = {
     # Parquet writes into existing partitioned tables only replace the
     # partitions present in the written data unless a sink says otherwise.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Constraint inference grows combinatorially over the long CASE chains
+    # of the rule labels once plans are unioned / filtered again (heap
+    # exhaustion in the optimizer); the filters we need are written out.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -43,6 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("POSTLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -124,3 +124,120 @@ def raw_comments_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_fetch(raw: DataFrame) -> DataFrame:
     """The raw table as first landed: rows of the first fetch only."""
     return raw.filter(F.col("retrieved_utc_unix") - F.col("created_utc_unix") < FETCH_STEP)
+
+
+# ---------------------------------------------------------------------------
+# Landing inputs: API-shaped records (before normalisation).
+
+def _submission_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return d.withColumn("f", _fetches(3)).filter(
+        (F.col("f") == 0) | (F.col("doc_id") % (F.col("f") + 1) == 0))
+
+
+def submission_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-shaped submission records (SUBMISSION_RECORD), with missing values."""
+    from postlake.sources.landing import SUBMISSION_RECORD
+    d = _submission_docs(spark, sf_dir)
+    doc, f = F.col("doc_id"), F.col("f")
+    created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
+    out = d.select(
+        _cycle(doc % 12, SUBREDDIT_CYCLE).alias("subreddit"),
+        doc.cast("string").alias("id"),
+        _cycle(doc % 17, TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
+        F.when(doc % 13 == 12, F.lit(None)).otherwise(F.col("text")).alias("selftext"),
+        F.when(doc % 11 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("u"), (doc % 97).cast("string"))).alias("author"),
+        F.when(doc % 31 == 0, F.lit(None)).otherwise((doc * 53 + f) % 700 - 20).alias("score"),
+        F.when(doc % 37 == 0, F.lit(None))
+        .otherwise(((doc * 41) % 101).cast("double") / 100).alias("upvote_ratio"),
+        F.when(doc % 29 == 0, F.lit(None)).otherwise((doc * 7 + f) % 130).alias("num_comments"),
+        created.cast("double").alias("created_utc"),
+        _cycle(doc % 5, ["1751155999.0", None], "False").alias("edited"),
+        F.when(doc % 23 == 0, F.lit(True)).when(doc % 10 == 1, F.lit(None))
+        .otherwise(F.lit(False)).alias("stickied"),
+        (doc % 17 == 0).alias("over_18"),
+        (doc % 3 == 0).alias("is_self"),
+        (doc % 19 == 0).alias("spoiler"),
+        F.when(doc % 4 == 0, F.lit(None)).otherwise(F.col("lang")).alias("link_flair_text"),
+        F.concat(F.lit("https://x.example/"), doc.cast("string")).alias("url"),
+        F.when(doc % 9 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("/r/"), F.col("source"), F.lit("/"), doc.cast("string")))
+        .alias("permalink"),
+        (created + f * FETCH_STEP).alias("retrieved_utc"),
+    )
+    return conform(out, SUBMISSION_RECORD)
+
+
+def comment_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-shaped comment records (COMMENT_RECORD) from ``conversations``."""
+    from postlake.sources.landing import COMMENT_RECORD
+    c = read_table(spark, sf_dir, "conversations")
+    c = c.withColumn("f", _fetches(2)).filter((F.col("f") == 0) | (F.col("conv_id") % 3 == 0))
+    conv, turn, f = F.col("conv_id"), F.col("turn"), F.col("f")
+    created = F.lit(EPOCH_BASE) + conv * COMMENT_STEP + turn * 60
+    out = c.select(
+        conv.cast("string").alias("submission_id"),
+        F.concat(conv.cast("string"), F.lit("-"), turn.cast("string")).alias("id"),
+        F.when(turn == 0, F.concat(F.lit("t3_"), conv.cast("string")))
+        .otherwise(F.concat(F.lit("t1_"), conv.cast("string"), F.lit("-"), (turn - 1).cast("string")))
+        .alias("parent_id"),
+        F.col("text").alias("body"),
+        F.when(F.col("role") == "system", F.lit(None)).otherwise(F.col("role")).alias("author"),
+        F.when(turn % 5 == 4, F.lit(None)).otherwise(((conv * 11 + turn) % 60 - 5) + f).alias("score"),
+        created.cast("double").alias("created_utc"),
+        (F.col("role") == "user").alias("is_submitter"),
+        (turn == 0).alias("stickied"),
+        F.when(conv % 4 == 0, F.lit(None)).otherwise(F.lit("False")).alias("edited"),
+        F.concat(F.lit("/c/"), conv.cast("string"), F.lit("/"), turn.cast("string")).alias("permalink"),
+        (created + f * FETCH_STEP).alias("retrieved_utc"),
+    )
+    return conform(out, COMMENT_RECORD)
+
+
+def nested_submissions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions whose ``comments`` is a nested list: one comment per line
+    of the document's text (blank lines are 'more' stubs); comment i
+    replies to comment (i-1)/2, so the lists form trees."""
+    from postlake.sources.landing import NESTED_COMMENT
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    doc = F.col("doc_id")
+    created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
+    sid = doc.cast("string")
+
+    def to_comment(line: Column, i: Column) -> Column:
+        cid = F.concat(sid, F.lit("-"), i.cast("string"))
+        parent = F.when(i == 0, F.concat(F.lit("t3_"), sid)).otherwise(
+            F.concat(F.lit("t1_"), sid, F.lit("-"), F.floor((i - 1) / 2).cast("string")))
+        return F.struct(
+            F.when(F.length(F.trim(line)) == 0, F.lit("more")).otherwise(F.lit("t1")).alias("kind"),
+            cid.alias("id"), parent.alias("parent_id"), line.alias("body"),
+            F.concat(F.lit("u"), ((doc + i) % 97).cast("string")).alias("author"),
+            ((doc + i * 7) % 50 - 3).cast("bigint").alias("score"),
+            (created + i * 60).cast("double").alias("created_utc"),
+            (i % 4 == 0).alias("is_submitter"), F.lit(False).alias("stickied"),
+            F.lit("False").alias("edited"),
+            F.concat(F.lit("/r/c/"), cid).alias("permalink"),
+        ).cast(NESTED_COMMENT)
+
+    return d.select(
+        sid.alias("id"),
+        (created + FETCH_STEP).alias("retrieved_utc"),
+        F.transform(F.split(F.col("text"), "\n"), to_comment).alias("comments"),
+    )
+
+
+def submission_json_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text lines of the submission records, some of them broken:
+    doc_id % 53 == 0 loses its closing brace, % 59 == 0 has no id,
+    % 41 == 0 carries a non-numeric score."""
+    r = submission_records_fx(spark, sf_dir)
+    doc = F.col("id").cast("bigint")
+    overrides = {
+        "id": F.when(doc % 59 == 0, F.lit(None).cast("string")).otherwise(F.col("id")),
+        "score": F.when(doc % 41 == 0, F.lit("n/a")).otherwise(F.col("score").cast("string")),
+    }
+    rec = F.struct(*[overrides.get(c, F.col(c)).alias(c) for c in r.columns])
+    js = F.to_json(rec)
+    js = F.when(doc % 53 == 0, F.regexp_replace(js, "}$", "")).otherwise(js)
+    return r.select(js.alias("value"))
