@@ -214,3 +214,43 @@ SELECT outcome, COUNT(*) AS rows FROM (
   FROM documents, (SELECT unnest([0, 1, 2]) AS f) fetches
   WHERE f = 0 OR doc_id % (f + 1) = 0) o
 GROUP BY outcome""")
+
+
+# --- sinks, scans, publish, changes, backfill ----------------------------
+from postlake.sources import fixtures as FXS  # noqa: E402
+
+_D = [f"DATE '{FXS.BASE_DS}' + {i}" for i in range(FXS.N_DAYS)]
+oracle("scan_partition", ["raw_submissions_fx"], f"SELECT * FROM raw_submissions_fx WHERE ds = {_D[2]}")
+oracle("scan_full", ["raw_submissions_fx"], "SELECT * FROM raw_submissions_fx")
+oracle("sink_overwrite_partitions", ["raw_submissions_fx"], f"""
+SELECT * FROM raw_submissions_fx
+WHERE (ds IN ({_D[0]}, {_D[1]}, {_D[2]}) AND retrieved_utc_unix - created_utc_unix >= {FXS.FETCH_STEP})
+   OR (ds NOT IN ({_D[0]}, {_D[1]}, {_D[2]}) AND retrieved_utc_unix - created_utc_unix < {FXS.FETCH_STEP})""")
+oracle("sink_replace_where", ["silver", "silver_v1"], f"""
+SELECT * FROM silver_v1 WHERE ds NOT IN ({_D[2]}, {_D[3]})
+UNION ALL SELECT * FROM silver WHERE ds = {_D[2]}""")
+ORACLE["sink_full_overwrite"] = ORACLE["gold_author_profiles"]
+ORACLE["publish_audited"] = ORACLE["silver_submissions"]
+ORACLE["backfill"] = ORACLE["gold_topic_trends"]
+ORACLE["backfill_top_daily"] = ORACLE["gold_top_daily"]
+ORACLE["backfill_author_profiles"] = ORACLE["gold_author_profiles"]
+
+_SILVER_VALUES = [c for c in """content_type author_name content_subreddit text_title text_content text_url
+text_category game_topic class_type is_game_topic ai_sentiment ai_topics edited is_trending
+upvote_ratio_bin num_comments_bin score_bin is_self over_18 num_comments score spoiler
+created_at_timestamp _loaded_at_timestamp_utc""".split()]
+_b = ", ".join(f"b.{c}" for c in _SILVER_VALUES)
+_a = ", ".join(f"a.{c}" for c in _SILVER_VALUES)
+_cols = ", ".join(_SILVER_VALUES)
+oracle("partition_changes", ["silver", "silver_v1"], f"""
+SELECT 'insert' AS _change_type, ds, content_id, {_cols} FROM silver a
+  WHERE NOT EXISTS (SELECT 1 FROM silver_v1 b WHERE b.ds = a.ds AND b.content_id = a.content_id)
+UNION ALL
+SELECT 'delete', ds, content_id, {_cols} FROM silver_v1 b
+  WHERE NOT EXISTS (SELECT 1 FROM silver a WHERE b.ds = a.ds AND b.content_id = a.content_id)
+UNION ALL
+SELECT 'update_preimage', b.ds, b.content_id, {_b} FROM silver_v1 b JOIN silver a USING (ds, content_id)
+  WHERE row({_b}) IS DISTINCT FROM row({_a})
+UNION ALL
+SELECT 'update_postimage', a.ds, a.content_id, {_a} FROM silver_v1 b JOIN silver a USING (ds, content_id)
+  WHERE row({_b}) IS DISTINCT FROM row({_a})""")

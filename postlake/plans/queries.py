@@ -274,3 +274,109 @@ def _q_reject(spark, d):
     counts_bad = bad.groupBy(F.col("_reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
     counts_good = good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("ok").alias("outcome"), "rows")
     return counts_good.unionByName(counts_bad)
+
+
+# --- sinks, scans, publish, changes, backfill ----------------------------
+# Each writes into a fresh folder under the shared checkpoint root, then
+# returns the table read back.
+import datetime as _dt  # noqa: E402
+
+from postlake.plans.backfill import run_range  # noqa: E402
+from postlake.plans.chain import silver_v1_fx  # noqa: E402
+from postlake.schemas import (GOLD_AUTHOR_PROFILES, RAW_SUBMISSIONS, SILVER_SUBMISSIONS,  # noqa: E402
+                              TABLES)
+from postlake.session import scratch_path  # noqa: E402
+from postlake.sinks import tables as ST  # noqa: E402
+from postlake.sinks.changes import partition_changes  # noqa: E402
+
+FX_DAYS = [_dt.date.fromisoformat(FXS.BASE_DS) + _dt.timedelta(days=i) for i in range(FXS.N_DAYS)]
+
+
+def _land_raw(spark, d) -> str:
+    path = scratch_path(spark, "raw_submissions")
+    ST.overwrite_partitions(raw_fx(spark, d), path)
+    return path
+
+
+@register("scan_partition")
+def _q_scan_partition(spark, d):
+    path = _land_raw(spark, d)
+    return ST.scan_partition(spark, path, FX_DAYS[2], RAW_SUBMISSIONS)
+
+
+@register("scan_full")
+def _q_scan_full(spark, d):
+    path = _land_raw(spark, d)
+    return ST.scan_full(spark, path, RAW_SUBMISSIONS)
+
+
+@register("sink_overwrite_partitions")
+def _q_sink_dyn(spark, d):
+    """First landing of every day, then a re-landing of the refetched rows
+    of the first three days: only those three partitions are replaced."""
+    path = scratch_path(spark, "raw_submissions")
+    raw = raw_fx(spark, d)
+    ST.overwrite_partitions(FXS.first_fetch(raw), path)
+    refetched = raw.filter((F.col("retrieved_utc_unix") - F.col("created_utc_unix") >= FXS.FETCH_STEP)
+                           & F.col("ds").isin(*FX_DAYS[:3]))
+    ST.overwrite_partitions(refetched, path)
+    return ST.scan_full(spark, path, RAW_SUBMISSIONS)
+
+
+@register("sink_replace_where")
+def _q_sink_replace(spark, d):
+    """Silver as first landed for all days; then day 3 is re-run on the
+    latest data and day 4 is re-run with no rows (it must become empty)."""
+    path = scratch_path(spark, "silver_submissions")
+    ST.replace_partitions(silver_v1_fx(spark, d), path, FX_DAYS)
+    latest = silver_fx(spark, d)
+    ST.replace_partition(latest.filter(F.col("ds") == F.lit(FX_DAYS[2])), path, FX_DAYS[2])
+    ST.replace_partition(latest.filter(F.lit(False)), path, FX_DAYS[3])
+    return ST.scan_full(spark, path, SILVER_SUBMISSIONS)
+
+
+@register("sink_full_overwrite")
+def _q_sink_full(spark, d):
+    path = scratch_path(spark, "gold_author_profiles")
+    ST.full_overwrite(G.gold_author_profiles(silver_v1_fx(spark, d)), path)
+    ST.full_overwrite(G.gold_author_profiles(silver_fx(spark, d)), path)
+    return ST.scan_full(spark, path, GOLD_AUTHOR_PROFILES)
+
+
+@register("publish_audited")
+def _q_publish(spark, d):
+    path = scratch_path(spark, "silver_submissions")
+    ST.publish_audited(silver_fx(spark, d), path, FX_DAYS,
+                       not_null=ST.not_null_columns(SILVER_SUBMISSIONS), key=("ds", "content_id"))
+    return ST.scan_full(spark, path, SILVER_SUBMISSIONS)
+
+
+@register("partition_changes")
+def _q_changes(spark, d):
+    """Change rows of silver between the first landing and the latest one."""
+    return partition_changes(silver_v1_fx(spark, d), silver_fx(spark, d), ["ds", "content_id"])
+
+
+def _backfill(spark, d) -> dict:
+    raw_path = _land_raw(spark, d)
+    out = scratch_path(spark, "lake")
+    return run_range(spark, raw_path, out, FX_DAYS[0], FX_DAYS[-1]).paths
+
+
+@register("backfill")
+def _q_backfill(spark, d):
+    """Whole week in one run; the daily topic trends read back."""
+    paths = _backfill(spark, d)
+    return ST.scan_full(spark, paths["gold_topic_trends"], TABLES["gold_topic_trends"][0])
+
+
+@register("backfill_top_daily")
+def _q_backfill_top(spark, d):
+    paths = _backfill(spark, d)
+    return ST.scan_full(spark, paths["gold_top_daily"], TABLES["gold_top_daily"][0])
+
+
+@register("backfill_author_profiles")
+def _q_backfill_profiles(spark, d):
+    paths = _backfill(spark, d)
+    return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
