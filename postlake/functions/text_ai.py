@@ -61,19 +61,29 @@ POSITIVE_PATTERN = word_pattern(SENTIMENT_POSITIVE_WORDS)
 NEGATIVE_PATTERN = word_pattern(SENTIMENT_NEGATIVE_WORDS)
 
 
-def ai_sentiment(full_text: Column | str) -> Column:
-    """positive / negative / mixed / neutral from lexicon tokens; NULL → NULL."""
-    text = F.col(full_text) if isinstance(full_text, str) else full_text
-    lc = F.lower(text)
-    pos = lc.rlike(POSITIVE_PATTERN)
-    neg = lc.rlike(NEGATIVE_PATTERN)
-    return (F.when(text.isNull(), F.lit(None).cast("string"))
+def _sentiment_label(is_null: Column, pos: Column, neg: Column) -> Column:
+    return (F.when(is_null, F.lit(None).cast("string"))
             .when(pos & neg, F.lit("mixed"))
             .when(pos, F.lit("positive"))
             .when(neg, F.lit("negative"))
             .otherwise(F.lit("neutral")))
 
 
+def _topic_label(is_null: Column, scores: list[Column]) -> Column:
+    best = F.greatest(*scores)
+    expr = F.when(is_null, F.lit(None).cast("string")).when(best == 0, F.lit(AI_TOPIC_DEFAULT))
+    for (label, _), score in zip(AI_TOPIC_KEYWORDS, scores):
+        expr = expr.when(score == best, F.lit(label))
+    return expr.otherwise(F.lit(AI_TOPIC_DEFAULT))
+
+
+def ai_sentiment(full_text: Column | str) -> Column:
+    """positive / negative / mixed / neutral from lexicon tokens; NULL → NULL."""
+    text = F.col(full_text) if isinstance(full_text, str) else full_text
+    lc = F.lower(text)
+    return _sentiment_label(text.isNull(), lc.rlike(POSITIVE_PATTERN), lc.rlike(NEGATIVE_PATTERN))
+
+
 def ai_topic_scores(full_text_lc: Column) -> list[Column]:
     """Per label: number of its keywords contained in the text."""
     scores = []
@@ -89,12 +99,27 @@ def ai_topic_scores(full_text_lc: Column) -> list[Column]:
 def ai_topics(full_text: Column | str) -> Column:
     """Highest keyword score wins; ties → earlier label; all zero → 'Other'."""
     text = F.col(full_text) if isinstance(full_text, str) else full_text
-    scores = ai_topic_scores(F.lower(text))
-    best = F.greatest(*scores)
-    expr = F.when(text.isNull(), F.lit(None).cast("string")).when(best == 0, F.lit(AI_TOPIC_DEFAULT))
-    for (label, _), score in zip(AI_TOPIC_KEYWORDS, scores):
-        expr = expr.when(score == best, F.lit(label))
-    return expr.otherwise(F.lit(AI_TOPIC_DEFAULT))
+    return _topic_label(text.isNull(), ai_topic_scores(F.lower(text)))
+
+
+def with_ai_labels(df: DataFrame, full_text_lc: str, sentiment_col: str = "ai_sentiment",
+                   topics_col: str = "ai_topics") -> DataFrame:
+    """Add both labels from an already lower-cased text column.
+
+    Same values as :func:`ai_sentiment` / :func:`ai_topics`, planned as two
+    projections: the regex hits and the eight label scores are columns of
+    the first, so the label CASE chains of the second read them instead of
+    re-scanning the text once per branch.
+    """
+    lc = F.col(full_text_lc)
+    scored = df.select("*", lc.rlike(POSITIVE_PATTERN).alias("_pos"), lc.rlike(NEGATIVE_PATTERN).alias("_neg"),
+                       *[s.alias(f"_ts{i}") for i, s in enumerate(ai_topic_scores(lc))])
+    scores = [F.col(f"_ts{i}") for i in range(len(AI_TOPIC_KEYWORDS))]
+    labelled = scored.select(
+        "*",
+        _sentiment_label(lc.isNull(), F.col("_pos"), F.col("_neg")).alias(sentiment_col),
+        _topic_label(lc.isNull(), scores).alias(topics_col))
+    return labelled.drop("_pos", "_neg", *[f"_ts{i}" for i in range(len(AI_TOPIC_KEYWORDS))])
 
 
 # ---------------------------------------------------------------------------

@@ -34,9 +34,23 @@ def enrich(bronze: DataFrame) -> DataFrame:
     )
     df = df.withColumn("is_ai_enrichment_candidate",
                        R.flag_candidate("is_trending", "full_text"))
+    df = df.withColumn("_full_lc", R.concat_text("_title_lc", "_self_lc"))
     return df.drop("_title_lc", "_self_lc")
 
 
+def full_text_lc(df: DataFrame) -> DataFrame:
+    """Ensure ``_full_lc``: the lower-cased full text, built from the
+    lower-cased parts (``enrich`` already adds it).
+
+    Every keyword and lexicon word is ASCII, and lower-casing never makes
+    or breaks an ASCII match across the joining space, so this equals
+    ``lower(full_text)`` for all matching while scanning the big text once
+    less."""
+    if "_full_lc" in df.columns:
+        return df
+    return df.withColumn("_full_lc", R.concat_text(F.lower("title"), F.lower("selftext")))
+
+
 def candidate_filter(enriched: DataFrame) -> DataFrame:
     """Keep rows flagged as AI candidates (NULL flag is dropped)."""
     return enriched.filter(F.col("is_ai_enrichment_candidate"))
@@ -48,7 +62,8 @@ def silver_project(candidates: DataFrame) -> DataFrame:
     The AI labels read ``full_text`` (title + ' ' + self text) while the
     output ``text_content`` is the self text alone.
     """
-    out = candidates.select(
+    labelled = AI.with_ai_labels(full_text_lc(candidates), "_full_lc")
+    out = labelled.select(
         F.col("submission_id").alias("content_id"),
         F.col("text_type").alias("content_type"),
         "author_name",
@@ -60,8 +75,8 @@ def silver_project(candidates: DataFrame) -> DataFrame:
         "game_topic",
         F.col("flair").alias("class_type"),
         R.flag_game_topic("game_topic").alias("is_game_topic"),
-        AI.ai_sentiment("full_text").alias("ai_sentiment"),
-        AI.ai_topics("full_text").alias("ai_topics"),
+        "ai_sentiment",
+        "ai_topics",
         R.flag_edited("edited").alias("edited"),
         "is_trending", "upvote_ratio_bin", "num_comments_bin", "score_bin",
         "is_self", "over_18", "num_comments", "score", "spoiler",
