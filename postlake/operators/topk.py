@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.schemas import GOLD_TOP_DAILY, columns
+from postlake.session import materialize
 
 TOP_DAILY_K = 10
 # Broadcast the top-k candidate keys only up to this many rows (measured
@@ -98,7 +99,7 @@ def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int
 
     1. candidates: top-k per group for each key (partial group limits, so
        a hot group reaches the shuffle as ≤ k rows per map task);
-    2. materialise them (≤ k·len(keys) rows per group) and count them;
+    2. materialise them (≤ k·len(keys) rows per group), counted in that write;
     3. rank = 1 + number of the group's rows ordered before the candidate,
        counted by a join on ``part_col`` — broadcast when the measured
        candidate count is within ``max_broadcast_rows``, else a shuffle join
@@ -107,8 +108,7 @@ def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int
     """
     tops = [top_n_per_key(df, [part_col], _desc_then_id(c, id_col), k) for c, _ in keys]
     cands = reduce(lambda a, b: a.unionByName(b), tops).dropDuplicates([part_col, id_col])
-    cands = cands.checkpoint(eager=True)
-    n_cands = cands.count()
+    cands, n_cands = materialize(cands, "topk_candidates")
 
     key_cols = [F.col(part_col), F.col(id_col).alias("_c_id")]
     key_cols += [F.col(c).alias(f"_c_{i}") for i, (c, _) in enumerate(keys)]
@@ -152,7 +152,7 @@ def daily_rank(df: DataFrame, order_col: str, rank_col: str, id_col: str = "cont
 
     The rows are range-partitioned on (ds, key, id) and sorted inside each
     partition; the row's position in its partition is numbered in the same
-    stage, and the numbered rows are checkpointed (so positions are fixed).
+    stage, and the numbered rows are written once (so positions are fixed).
     A per-(partition, day) count table — at most partitions + days − 1 rows,
     broadcast — gives each partition's offset within its day.
     """
@@ -167,7 +167,7 @@ def daily_rank(df: DataFrame, order_col: str, rank_col: str, id_col: str = "cont
                 .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
                 .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
                 .drop("_mid"))
-    numbered = numbered.checkpoint(eager=True)
+    numbered, _ = materialize(numbered, "daily_rank")
 
     stats = numbered.groupBy("_pid", "ds").agg(F.count(F.lit(1)).alias("_n"),
                                               F.min("_pos").alias("_first"))

@@ -79,3 +79,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a new folder under the shared checkpoint root and
+    read it back: lineage is cut, a lost executor cannot change the rows, and
+    the row count comes from an Observation of that same write job.
+
+    Returns (read-back DataFrame, row count).
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    seen = Observation(f"materialize_{name}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])

@@ -172,3 +172,31 @@ def publish_audited(df: DataFrame, path: str, days: Iterable[str | _dt.date],
 
 def not_null_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
+
+
+# ---------------------------------------------------------------------------
+# Catalog registration.
+
+def table_ddl(name: str, schema: T.StructType, partition_cols: tuple[str, ...] = (),
+              location: str | None = None, comment: str | None = None,
+              properties: dict[str, str] | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a declared schema (parquet)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
+                     + ("" if f.nullable else " NOT NULL") for f in schema.fields)
+    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
+    if partition_cols:
+        ddl += f" PARTITIONED BY ({', '.join(partition_cols)})"
+    if location:
+        ddl += f" LOCATION '{location}'"
+    if comment:
+        ddl += " COMMENT '" + comment.replace("'", "\\'") + "'"
+    if properties:
+        ddl += " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
+    return ddl
+
+
+def create_table(spark: SparkSession, name: str, schema: T.StructType,
+                 partition_cols: tuple[str, ...] = (), location: str | None = None,
+                 comment: str | None = None, properties: dict[str, str] | None = None) -> None:
+    """Register a table if it is missing (a no-op when it exists)."""
+    spark.sql(table_ddl(name, schema, partition_cols, location, comment, properties))

@@ -62,3 +62,16 @@ def test_partition_changes(spark):
                           ("update_postimage", "b", 5)], key=repr)
     deleted = partition_changes(after, before, ["ds", "id"]).filter(F.col("_change_type") == "delete")
     assert [r.id for r in deleted.collect()] == ["d"]
+
+
+def test_create_table_registers_path_table(spark, tmp_table):
+    from postlake.schemas import GOLD_TOPIC_TRENDS
+    ST.create_table(spark, "gold_topic_trends_t", GOLD_TOPIC_TRENDS, ("ds",), location=tmp_table,
+                    comment="daily topic trends")
+    ST.create_table(spark, "gold_topic_trends_t", GOLD_TOPIC_TRENDS, ("ds",), location=tmp_table)
+    df = spark.createDataFrame([(D0, "Valorant", 3, 1.0, 2.0, 0.5)], GOLD_TOPIC_TRENDS)
+    ST.replace_partitions(df, tmp_table, [D0])
+    spark.sql("REFRESH TABLE gold_topic_trends_t")
+    spark.sql("ALTER TABLE gold_topic_trends_t RECOVER PARTITIONS")
+    assert spark.table("gold_topic_trends_t").count() == 1
+    spark.sql("DROP TABLE gold_topic_trends_t")
