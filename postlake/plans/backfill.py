@@ -10,6 +10,7 @@ the current layer. A single day is the range [d, d].
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -46,7 +47,7 @@ def table_paths(root: str) -> dict[str, str]:
 
 def run_range(spark: SparkSession, raw_path: str, out_root: str,
               ds_from: str | _dt.date, ds_to: str | _dt.date, scope: str = "day",
-              incremental_profiles: bool = True) -> RunResult:
+              incremental_profiles: bool = True, parallel_gold: bool = True) -> RunResult:
     """Build bronze, silver and all gold tables for ``[ds_from, ds_to]``.
 
     Author profiles cover all history. With ``incremental_profiles`` the
@@ -66,17 +67,27 @@ def run_range(spark: SparkSession, raw_path: str, out_root: str,
     replace_partitions(silver_submissions(bronze), paths["silver_submissions"], days)
 
     silver = scan_range(spark, paths["silver_submissions"], ds_from, ds_to, TABLES["silver_submissions"][0])
-    for name, build in PARTITIONED_GOLD.items():
-        replace_partitions(build(silver), paths[name], days)
 
-    if incremental_profiles:
-        replace_partitions(G.author_daily_partials(silver), paths["author_daily_partials"], days)
-        partials = read_table(spark, paths["author_daily_partials"])
-        profiles = G.author_profiles_from_partials(partials)
+    def profiles() -> None:
+        if incremental_profiles:
+            replace_partitions(G.author_daily_partials(silver), paths["author_daily_partials"], days)
+            built = G.author_profiles_from_partials(read_table(spark, paths["author_daily_partials"]))
+        else:
+            built = G.gold_author_profiles(read_table(spark, paths["silver_submissions"],
+                                                      TABLES["silver_submissions"][0]))
+        full_overwrite(built, paths["gold_author_profiles"])
+
+    # The gold tables only depend on silver: submit them as concurrent jobs
+    # (Spark schedules jobs from separate threads side by side).
+    jobs = [lambda n=name, b=build: replace_partitions(b(silver), paths[n], days)
+            for name, build in PARTITIONED_GOLD.items()] + [profiles]
+    if parallel_gold:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(j) for j in jobs]:
+                f.result()
     else:
-        profiles = G.gold_author_profiles(read_table(spark, paths["silver_submissions"],
-                                                     TABLES["silver_submissions"][0]))
-    full_overwrite(profiles, paths["gold_author_profiles"])
+        for j in jobs:
+            j()
     return RunResult(days=days, paths=paths, bronze_counts=counts.as_dict())
 
 
