@@ -97,7 +97,7 @@ _scalar("flag_candidate", {"is_ai_enrichment_candidate":
                            f"({S.trending_sql()} = TRUE OR length(full_text) > {R.CANDIDATE_MIN_TEXT_LENGTH})"})
 _scalar("flag_edited", {"edited": "edited", "is_edited": f"NOT (edited = {S.q(R.EDITED_FALSE_LITERAL)})"})
 _scalar("concat_text", {"full_text": "full_text"})
-_scalar("text_length", {"text_length": "length(full_text)"})
+_scalar("text_length", {"text_length": "CAST(length(full_text) AS INTEGER)"})
 _scalar("in_list", {"in_game_specific": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[0][1]),
                     "in_general_gaming": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[1][1])})
 _scalar("ts_from_unix", {"created_utc_unix": "created_utc_unix", "created_ts": S.ts("created_utc_unix")})

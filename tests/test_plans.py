@@ -44,3 +44,30 @@ def test_bronze_plan_pushes_qc_key_filter_and_group_limit(spark):
     from postlake.operators.bronze import bronze_submissions
     plan = bronze_submissions(raw_fx(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_gold_scans_no_text_columns(spark, tmp_path):
+    from postlake.operators.silver import silver_submissions
+    from postlake.operators.bronze import bronze_submissions
+    path = str(tmp_path / "silver")
+    ST.replace_partitions(silver_submissions(bronze_submissions(raw_fx(spark, SF_SMALL))), path, DAYS)
+    silver = ST.scan_full(spark, path, TABLES["silver_submissions"][0])
+    for build in (G.gold_topic_trends, G.gold_topic_time_series, G.gold_author_profiles):
+        plan = build(silver)._jdf.queryExecution().executedPlan().toString()
+        read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+        assert "text_content" not in read_schema and "text_title" not in read_schema
+
+
+def test_ts_from_unix_is_zone_free_in_fall_back_hour(spark):
+    from pyspark.sql import functions as F
+    from postlake.functions.timefmt import ts_from_unix
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(1762063200,)], "u bigint")
+        r = df.select(F.unix_timestamp(ts_from_unix("u")).alias("a"),
+                      F.unix_timestamp(F.to_utc_timestamp(F.from_unixtime("u"), "UTC")).alias("b")).first()
+        assert r.a == 1762063200          # exact instant
+        assert r.b != r.a                 # the string round trip shifts by an hour here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
