@@ -69,6 +69,12 @@ def _flag(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(False))
 
 
+def _fetch_seconds() -> Column:
+    """Fetch time of a record; when the source has none, the landing job's
+    own time (one value per query, so every row of a run gets the same)."""
+    return F.coalesce(F.col("retrieved_utc").cast("bigint"), F.unix_timestamp(F.current_timestamp()))
+
+
 def land_submissions(records: DataFrame, ds: str | _dt.date | Column | None = None) -> DataFrame:
     """Normalise submission records into the 21-column raw layout.
 
@@ -78,7 +84,7 @@ def land_submissions(records: DataFrame, ds: str | _dt.date | Column | None = No
     string). Unix seconds are truncated like ``int()``.
     """
     created = F.col("created_utc").cast("bigint")
-    retrieved = F.col("retrieved_utc").cast("bigint")
+    retrieved = _fetch_seconds()
     out = records.select(
         F.coalesce(F.col("author"), F.lit(DELETED_AUTHOR)).alias("author_name"),
         iso_from_unix(created).alias("created_utc"),
@@ -120,7 +126,7 @@ def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None)
     """Normalise comment records into the 15-column raw layout, one row per
     ``comment_id`` (latest fetch wins)."""
     created = F.col("created_utc").cast("bigint")
-    retrieved = F.col("retrieved_utc").cast("bigint")
+    retrieved = _fetch_seconds()
     out = records.select(
         F.coalesce(F.col("author"), F.lit(DELETED_AUTHOR)).alias("author_name"),
         F.col("body"),
