@@ -1,8 +1,9 @@
 """Rule-based labels, bins and flags as native column expressions.
 
-Every function returns a ``Column`` built from ``pyspark.sql.functions``,
-so it stays inside whole-stage codegen. Rules are data: the ``when`` chains
-are generated from the fixed lists below, in their order.
+Every function returns a ``Column`` of native expressions, so it stays
+inside whole-stage codegen. Rules are data: the CASE chains are generated
+from the fixed lists below, in their order — as one SQL expression when the
+inputs are column names, or from ``Column`` builders otherwise.
 """
 
 from __future__ import annotations
@@ -79,24 +80,105 @@ def _chain(cases: list[tuple[Column, str]], default: str) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+# --- Spark SQL text of the same rules ----------------------------------------
+# With column *names* the rule expressions are built as one SQL expression
+# (``F.expr``): one driver→JVM call instead of hundreds. ``Column`` inputs
+# use the Column builders below; tests pin both paths to the same result.
+
+def _q(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _n(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_chain(cases: list[tuple[str, str]], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {_q(l)}" for c, l in cases) + f" ELSE {_q(default)} END"
+
+
+def bin_score_sql(x: str) -> str:
+    cases = [(f"{x} >= {lo}", label) for label, lo in SCORE_BINS] + [(f"{x} = 0", SCORE_BIN_ZERO)]
+    return _sql_chain(cases, SCORE_BIN_ELSE)
+
+
+def bin_num_comments_sql(x: str) -> str:
+    return _sql_chain([(f"{x} >= {lo}", label) for label, lo in NUM_COMMENTS_BINS], NUM_COMMENTS_BIN_ELSE)
+
+
+def bin_upvote_ratio_sql(x: str) -> str:
+    return _sql_chain([(f"{x} >= {float(lo)!r}D", label) for label, lo in UPVOTE_RATIO_BINS],
+                      UPVOTE_RATIO_BIN_ELSE)
+
+
+def flag_trending_sql(s: str, n: str) -> str:
+    return f"({s} >= {TRENDING_MIN_SCORE} AND {n} >= {TRENDING_MIN_COMMENTS})"
+
+
+def any_keyword_sql(texts_lc: list[str], keywords: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({t}, {_q(k)})" for k in keywords for t in texts_lc) + ")"
+
+
+def in_list_sql(value_lc: str, values: list[str]) -> str:
+    return f"{value_lc} IN (" + ", ".join(_q(v) for v in values) + ")"
+
+
+def categorize_text_sql(t_lc: str, s_lc: str, sub: str) -> str:
+    cases = [(any_keyword_sql([t_lc, s_lc], kws), label) for label, kws in CATEGORY_KEYWORD_RULES]
+    cases += [(in_list_sql(f"lower({sub})", subs), label) for label, subs in CATEGORY_SUBREDDIT_RULES]
+    return _sql_chain(cases, CATEGORY_DEFAULT)
+
+
+def map_game_topic_sql(sub: str) -> str:
+    return _sql_chain([(f"lower({sub}) = {_q(k)}", label) for k, label in GAME_TOPICS], GAME_TOPIC_DEFAULT)
+
+
+def flag_game_topic_sql(g: str) -> str:
+    return f"(NOT ({g} = {_q(GAME_TOPIC_DEFAULT)}))"
+
+
+def flag_candidate_sql(tr: str, text: str) -> str:
+    return f"(({tr} = true) OR (length({text}) > {CANDIDATE_MIN_TEXT_LENGTH}))"
+
+
+def flag_edited_sql(e: str) -> str:
+    return f"(NOT ({e} = {_q(EDITED_FALSE_LITERAL)}))"
+
+
+def concat_text_sql(t: str, s: str) -> str:
+    return f"concat_ws(' ', {t}, {s})"
+
+
+def _all_names(*args) -> bool:
+    return all(isinstance(a, str) for a in args)
+
+
 def bin_score(score: Column | str) -> Column:
+    if _all_names(score):
+        return F.expr(bin_score_sql(_n(score)))
     s = _col(score)
     cases = [(s >= lo, label) for label, lo in SCORE_BINS] + [(s == 0, SCORE_BIN_ZERO)]
     return _chain(cases, SCORE_BIN_ELSE)
 
 
 def bin_num_comments(num_comments: Column | str) -> Column:
+    if _all_names(num_comments):
+        return F.expr(bin_num_comments_sql(_n(num_comments)))
     n = _col(num_comments)
     return _chain([(n >= lo, label) for label, lo in NUM_COMMENTS_BINS], NUM_COMMENTS_BIN_ELSE)
 
 
 def bin_upvote_ratio(upvote_ratio: Column | str) -> Column:
+    if _all_names(upvote_ratio):
+        return F.expr(bin_upvote_ratio_sql(_n(upvote_ratio)))
     r = _col(upvote_ratio)
     return _chain([(r >= lo, label) for label, lo in UPVOTE_RATIO_BINS], UPVOTE_RATIO_BIN_ELSE)
 
 
 def flag_trending(score: Column | str, num_comments: Column | str) -> Column:
     """May be NULL (NULL input), exactly like the SQL comparison."""
+    if _all_names(score, num_comments):
+        return F.expr(flag_trending_sql(_n(score), _n(num_comments)))
     return (_col(score) >= TRENDING_MIN_SCORE) & (_col(num_comments) >= TRENDING_MIN_COMMENTS)
 
 
@@ -123,6 +205,11 @@ def categorize_text(title: Column | str, selftext: Column | str, subreddit: Colu
     NULL title/selftext follow SQL three-valued logic: a rule whose only
     evidence is NULL is skipped (NULL OR FALSE is NULL → falls through).
     """
+    if _all_names(title, selftext, subreddit):
+        t_sql, s_sql = _n(title), _n(selftext)
+        if not lowered:
+            t_sql, s_sql = f"lower({t_sql})", f"lower({s_sql})"
+        return F.expr(categorize_text_sql(t_sql, s_sql, _n(subreddit)))
     t, s = _col(title), _col(selftext)
     if not lowered:
         t, s = F.lower(t), F.lower(s)
@@ -133,16 +220,22 @@ def categorize_text(title: Column | str, selftext: Column | str, subreddit: Colu
 
 
 def map_game_topic(subreddit: Column | str) -> Column:
+    if _all_names(subreddit):
+        return F.expr(map_game_topic_sql(_n(subreddit)))
     sub = F.lower(_col(subreddit))
     return _chain([(sub == key, label) for key, label in GAME_TOPICS], GAME_TOPIC_DEFAULT)
 
 
 def flag_game_topic(game_topic: Column | str) -> Column:
+    if _all_names(game_topic):
+        return F.expr(flag_game_topic_sql(_n(game_topic)))
     return ~(_col(game_topic) == GAME_TOPIC_DEFAULT)
 
 
 def concat_text(title: Column | str, selftext: Column | str) -> Column:
     """NULL-skipping ``concat_ws(' ', title, selftext)``; never NULL."""
+    if _all_names(title, selftext):
+        return F.expr(concat_text_sql(_n(title), _n(selftext)))
     return F.concat_ws(" ", _col(title), _col(selftext))
 
 
@@ -151,9 +244,13 @@ def text_length(text: Column | str) -> Column:
 
 
 def flag_candidate(is_trending: Column | str, full_text: Column | str) -> Column:
+    if _all_names(is_trending, full_text):
+        return F.expr(flag_candidate_sql(_n(is_trending), _n(full_text)))
     return (_col(is_trending) == F.lit(True)) | (text_length(full_text) > CANDIDATE_MIN_TEXT_LENGTH)
 
 
 def flag_edited(edited: Column | str) -> Column:
     """``NOT (edited = 'False')``: only the literal 'False' is unedited."""
+    if _all_names(edited):
+        return F.expr(flag_edited_sql(_n(edited)))
     return ~(_col(edited) == EDITED_FALSE_LITERAL)

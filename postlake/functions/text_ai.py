@@ -102,6 +102,26 @@ def ai_topics(full_text: Column | str) -> Column:
     return _topic_label(text.isNull(), ai_topic_scores(F.lower(text)))
 
 
+def _q(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def topic_score_sql(lc: str, keywords: list[str]) -> str:
+    return "(" + " + ".join(f"(CASE WHEN contains({lc}, {_q(k)}) THEN 1 ELSE 0 END)" for k in keywords) + ")"
+
+
+def sentiment_label_sql(is_null: str, pos: str, neg: str) -> str:
+    return (f"CASE WHEN {is_null} THEN CAST(NULL AS STRING) WHEN {pos} AND {neg} THEN 'mixed' "
+            f"WHEN {pos} THEN 'positive' WHEN {neg} THEN 'negative' ELSE 'neutral' END")
+
+
+def topic_label_sql(is_null: str, scores: list[str]) -> str:
+    best = "greatest(" + ", ".join(scores) + ")"
+    whens = " ".join(f"WHEN {s} = {best} THEN {_q(label)}" for (label, _), s in zip(AI_TOPIC_KEYWORDS, scores))
+    return (f"CASE WHEN {is_null} THEN CAST(NULL AS STRING) WHEN {best} = 0 THEN {_q(AI_TOPIC_DEFAULT)} "
+            f"{whens} ELSE {_q(AI_TOPIC_DEFAULT)} END")
+
+
 def with_ai_labels(df: DataFrame, full_text_lc: str, sentiment_col: str = "ai_sentiment",
                    topics_col: str = "ai_topics") -> DataFrame:
     """Add both labels from an already lower-cased text column.
@@ -111,15 +131,16 @@ def with_ai_labels(df: DataFrame, full_text_lc: str, sentiment_col: str = "ai_se
     the first, so the label CASE chains of the second read them instead of
     re-scanning the text once per branch.
     """
-    lc = F.col(full_text_lc)
-    scored = df.select("*", lc.rlike(POSITIVE_PATTERN).alias("_pos"), lc.rlike(NEGATIVE_PATTERN).alias("_neg"),
-                       *[s.alias(f"_ts{i}") for i, s in enumerate(ai_topic_scores(lc))])
-    scores = [F.col(f"_ts{i}") for i in range(len(AI_TOPIC_KEYWORDS))]
-    labelled = scored.select(
+    lc = "`" + full_text_lc + "`"
+    n = len(AI_TOPIC_KEYWORDS)
+    scored = df.selectExpr(
+        "*", f"{lc} RLIKE {_q(POSITIVE_PATTERN)} AS _pos", f"{lc} RLIKE {_q(NEGATIVE_PATTERN)} AS _neg",
+        *[f"{topic_score_sql(lc, kws)} AS _ts{i}" for i, (_, kws) in enumerate(AI_TOPIC_KEYWORDS)])
+    labelled = scored.selectExpr(
         "*",
-        _sentiment_label(lc.isNull(), F.col("_pos"), F.col("_neg")).alias(sentiment_col),
-        _topic_label(lc.isNull(), scores).alias(topics_col))
-    return labelled.drop("_pos", "_neg", *[f"_ts{i}" for i in range(len(AI_TOPIC_KEYWORDS))])
+        f"{sentiment_label_sql(f'{lc} IS NULL', '_pos', '_neg')} AS `{sentiment_col}`",
+        f"{topic_label_sql(f'{lc} IS NULL', [f'_ts{i}' for i in range(n)])} AS `{topics_col}`")
+    return labelled.drop("_pos", "_neg", *[f"_ts{i}" for i in range(n)])
 
 
 # ---------------------------------------------------------------------------

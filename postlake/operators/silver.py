@@ -17,10 +17,8 @@ from postlake.schemas import SILVER_SUBMISSIONS, conform
 def enrich(bronze: DataFrame) -> DataFrame:
     """Adds full_text, bins, is_trending, text_category, game_topic and
     is_ai_enrichment_candidate to bronze rows (no rows dropped)."""
-    df = (bronze
-          .withColumn("full_text", R.concat_text("title", "selftext"))
-          .withColumn("_title_lc", F.lower("title"))
-          .withColumn("_self_lc", F.lower("selftext")))
+    df = bronze.select("*", R.concat_text("title", "selftext").alias("full_text"),
+                       F.lower("title").alias("_title_lc"), F.lower("selftext").alias("_self_lc"))
     df = df.select(
         "*",
         F.lit("submission").alias("text_type"),
@@ -31,10 +29,9 @@ def enrich(bronze: DataFrame) -> DataFrame:
         R.categorize_text("_title_lc", "_self_lc", "raw_subreddit_name", lowered=True)
         .alias("text_category"),
         R.map_game_topic("raw_subreddit_name").alias("game_topic"),
+        R.concat_text("_title_lc", "_self_lc").alias("_full_lc"),
     )
-    df = df.withColumn("is_ai_enrichment_candidate",
-                       R.flag_candidate("is_trending", "full_text"))
-    df = df.withColumn("_full_lc", R.concat_text("_title_lc", "_self_lc"))
+    df = df.withColumn("is_ai_enrichment_candidate", R.flag_candidate("is_trending", "full_text"))
     return df.drop("_title_lc", "_self_lc")
 
 

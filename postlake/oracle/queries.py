@@ -173,7 +173,14 @@ SELECT ds, content_id, {_key},
   CAST(row_number() OVER (PARTITION BY ds ORDER BY {_key} DESC NULLS LAST, content_id) AS BIGINT) AS {_rank}
 FROM silver""")
 
-oracle("rank_or_filter", ["silver"], TOP_DAILY_BODY.format(src="silver"))
+oracle("rank_or_filter", ["silver"], """
+SELECT ds, content_id, score, num_comments, CAST(rank_score AS INTEGER) AS rank_score,
+  CAST(rank_comments AS INTEGER) AS rank_comments
+FROM (SELECT *,
+    row_number() OVER (PARTITION BY ds ORDER BY score DESC NULLS LAST, content_id) AS rank_score,
+    row_number() OVER (PARTITION BY ds ORDER BY num_comments DESC NULLS LAST, content_id) AS rank_comments
+  FROM silver) r
+WHERE rank_score <= 10 OR rank_comments <= 10""")
 oracle("topk_either", ["bronze"], """
 SELECT ds, submission_id, score, num_comments, CAST(rank_score AS INTEGER) AS rank_score,
   CAST(rank_comments AS INTEGER) AS rank_comments

@@ -52,7 +52,6 @@ from postlake.functions import timefmt as TF  # noqa: E402
 from postlake.operators.bronze import bronze_project, dedup_latest  # noqa: E402
 from postlake.operators.silver import candidate_filter  # noqa: E402
 from postlake.plans.chain import bronze_dedup_fx, enriched_fx, raw_fx  # noqa: E402
-from postlake.schemas import columns, BRONZE_SUBMISSIONS  # noqa: E402
 
 
 @register("bronze_dedup_latest")
@@ -182,7 +181,13 @@ for _name in ("doc_subreddit_activity_daily", "doc_subreddit_activity_weekly",
 # --- windows / top-k --------------------------------------------------------
 register("rank_by_score")(_on_silver(K.rank_by_score))
 register("rank_by_comments")(_on_silver(K.rank_by_comments))
-register("rank_or_filter")(_on_silver(K.gold_top_daily_window))
+@register("rank_or_filter")
+def _q_rank_or(spark, d):
+    """``rank_score <= 10 OR rank_comments <= 10`` on silver, via the
+    candidate plan (the two-window plan is kept only as a test oracle)."""
+    s = silver_fx(spark, d)
+    out = K.top_k_either(s, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")], 10)
+    return out.select("ds", "content_id", "score", "num_comments", "rank_score", "rank_comments")
 
 
 @register("topk_either")

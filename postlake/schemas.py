@@ -110,7 +110,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Fails (AnalysisException) when a declared column is missing: schema
     drift is an error, not something to paper over.
     """
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    if list(have) == [f.name for f in schema.fields] and all(have[f.name] == f.dataType for f in schema.fields):
+        return df
+    return df.select(*[F.col(f.name) if have.get(f.name) == f.dataType
+                       else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def check_schema(df: DataFrame, schema: T.StructType) -> None:

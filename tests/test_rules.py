@@ -111,3 +111,39 @@ def test_custom_model_hook_matches_native(spark):
     out = AI.ai_custom_model(df, "t", AI.lexicon_sentiment_model, "m")
     got = [(r.n, r.m) for r in out.select(AI.ai_sentiment("t").alias("n"), "m").collect()]
     assert all(n == m for n, m in got)
+
+
+def test_sql_text_path_equals_column_path_on_fixture(spark):
+    from postlake.plans.chain import bronze_dedup_fx
+    from tests.conftest import SF_SMALL
+    b = bronze_dedup_fx(spark, SF_SMALL).withColumn("full_text", R.concat_text("title", "selftext"))
+    c = F.col
+    pairs = {
+        "score_bin": (R.bin_score("score"), R.bin_score(c("score"))),
+        "nc_bin": (R.bin_num_comments("num_comments"), R.bin_num_comments(c("num_comments"))),
+        "ratio_bin": (R.bin_upvote_ratio("upvote_ratio"), R.bin_upvote_ratio(c("upvote_ratio"))),
+        "trend": (R.flag_trending("score", "num_comments"), R.flag_trending(c("score"), c("num_comments"))),
+        "cat": (R.categorize_text("title", "selftext", "raw_subreddit_name"),
+                R.categorize_text(c("title"), c("selftext"), c("raw_subreddit_name"))),
+        "topic": (R.map_game_topic("raw_subreddit_name"), R.map_game_topic(c("raw_subreddit_name"))),
+        "edited": (R.flag_edited("edited"), R.flag_edited(c("edited"))),
+        "cand": (R.flag_candidate("is_self", "full_text"), R.flag_candidate(c("is_self"), c("full_text"))),
+        "concat": (R.concat_text("title", "selftext"), R.concat_text(c("title"), c("selftext"))),
+    }
+    sel = []
+    for k, (a, b_) in pairs.items():
+        sel += [a.alias(f"{k}_sql"), b_.alias(f"{k}_col")]
+    out = b.select(*sel).collect()
+    for r in out:
+        for k in pairs:
+            assert r[f"{k}_sql"] == r[f"{k}_col"], k
+
+
+def test_ai_labels_two_projection_form_equals_expressions(spark):
+    from postlake.plans.chain import bronze_fx
+    from tests.conftest import SF_SMALL
+    b = bronze_fx(spark, SF_SMALL).withColumn("full_text", R.concat_text("title", "selftext"))
+    b = b.withColumn("_lc", F.lower("full_text"))
+    got = AI.with_ai_labels(b, "_lc", "s2", "t2").select(
+        AI.ai_sentiment("full_text").alias("s1"), "s2", AI.ai_topics("full_text").alias("t1"), "t2").collect()
+    assert all(r.s1 == r.s2 and r.t1 == r.t2 for r in got)
