@@ -33,7 +33,8 @@ from postlake.operators.silver import silver_submissions  # noqa: E402
 from postlake.plans.backfill import run_range  # noqa: E402
 from postlake.schemas import TABLES  # noqa: E402
 from postlake.session import local_session  # noqa: E402
-from postlake.sinks.tables import full_overwrite, read_table, replace_partitions  # noqa: E402
+from postlake.sinks.tables import (full_overwrite, overwrite_partitions, read_table,  # noqa: E402
+                                   replace_partitions)
 from postlake.sources.fixtures import raw_submissions_fx, submission_records_fx  # noqa: E402
 from postlake.sources.landing import land_submissions  # noqa: E402
 
@@ -71,10 +72,9 @@ def main() -> None:
 
     q: dict[str, float] = {}
     # landing from API-shaped record files (written untimed, several files)
-    submission_records_fx(spark, sf_dir).repartition(2 * cpus, "id").write.parquet(f"{work}/records")
+    submission_records_fx(spark, sf_dir).repartition(cpus, "id").write.parquet(f"{work}/records")
     recs = spark.read.parquet(f"{work}/records")
-    q["land_submissions"] = _timed(lambda: replace_partitions(land_submissions(recs),
-                                                              f"{work}/landed", days))
+    q["land_submissions"] = _timed(lambda: overwrite_partitions(land_submissions(recs), f"{work}/landed"))
 
     # -- layers, each written as a table ------------------------------------
     counts = BronzeCounts()

@@ -23,6 +23,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size instead of keeping
+    # them small for parallelism: right-sized tasks and output files (each
+    # write task writes one file per day it holds).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Parquet writes into existing partitioned tables only replace the
     # partitions present in the written data unless a sink says otherwise.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
