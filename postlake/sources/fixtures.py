@@ -39,13 +39,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _cycle(key: Column, values: list, default=None) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        cond = key == i
-        lit = F.lit(v).cast("string")
-        expr = F.when(cond, lit) if expr is None else expr.when(cond, lit)
-    return expr.otherwise(F.lit(default).cast("string"))
+def _sql_str(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _cycle(key_sql: str, values: list, default=None) -> Column:
+    """CASE <key> WHEN 0 THEN v0 WHEN 1 THEN v1 … ELSE default END (one SQL expression)."""
+    whens = " ".join(f"WHEN {i} THEN {_sql_str(v)}" for i, v in enumerate(values))
+    return F.expr(f"CASE {key_sql} {whens} ELSE {_sql_str(default)} END")
 
 
 def _fetches(n: int) -> Column:
@@ -69,7 +70,7 @@ def raw_submissions_fx(spark: SparkSession, sf_dir: str, scope: str = "day") ->
         .otherwise(F.concat(F.lit("u"), (doc % 97).cast("string"))).alias("author_name"),
         iso_from_unix(created).alias("created_utc"),
         created.alias("created_utc_unix"),
-        _cycle(doc % 5, ["1751155999.0", "false", None], "False").alias("edited"),
+        _cycle("doc_id % 5", ["1751155999.0", "false", None], "False").alias("edited"),
         F.col("lang").alias("flair"),
         (doc % 3 == 0).alias("is_self"),
         F.when(doc % 29 == 0, F.lit(None)).otherwise((doc * 7 + f) % 130).alias("num_comments"),
@@ -81,8 +82,8 @@ def raw_submissions_fx(spark: SparkSession, sf_dir: str, scope: str = "day") ->
         (doc % 19 == 0).alias("spoiler"),
         (doc % 23 == 0).alias("stickied"),
         doc.cast("string").alias("submission_id"),
-        _cycle(doc % 12, SUBREDDIT_CYCLE).alias("subreddit"),
-        _cycle(doc % 17, TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
+        _cycle("doc_id % 12", SUBREDDIT_CYCLE).alias("subreddit"),
+        _cycle("doc_id % 17", TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
         F.when(doc % 37 == 0, F.lit(None))
         .otherwise(((doc * 41) % 101).cast("double") / 100).alias("upvote_ratio"),
         F.concat(F.lit("https://x.example/"), doc.cast("string")).alias("url"),
@@ -142,9 +143,9 @@ def submission_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc, f = F.col("doc_id"), F.col("f")
     created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
     out = d.select(
-        _cycle(doc % 12, SUBREDDIT_CYCLE).alias("subreddit"),
+        _cycle("doc_id % 12", SUBREDDIT_CYCLE).alias("subreddit"),
         doc.cast("string").alias("id"),
-        _cycle(doc % 17, TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
+        _cycle("doc_id % 17", TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
         F.when(doc % 13 == 12, F.lit(None)).otherwise(F.col("text")).alias("selftext"),
         F.when(doc % 11 == 0, F.lit(None))
         .otherwise(F.concat(F.lit("u"), (doc % 97).cast("string"))).alias("author"),
@@ -153,7 +154,7 @@ def submission_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(((doc * 41) % 101).cast("double") / 100).alias("upvote_ratio"),
         F.when(doc % 29 == 0, F.lit(None)).otherwise((doc * 7 + f) % 130).alias("num_comments"),
         created.cast("double").alias("created_utc"),
-        _cycle(doc % 5, ["1751155999.0", None], "False").alias("edited"),
+        _cycle("doc_id % 5", ["1751155999.0", None], "False").alias("edited"),
         F.when(doc % 23 == 0, F.lit(True)).when(doc % 10 == 1, F.lit(None))
         .otherwise(F.lit(False)).alias("stickied"),
         (doc % 17 == 0).alias("over_18"),
