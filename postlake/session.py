@@ -64,19 +64,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Reads ``spark.checkpoint.dir`` (cluster setting) or the directory the
-    SparkContext already uses. Only when neither is set (local tests) a
-    fresh local folder is created and registered.
+    Reads the directory the SparkContext already uses, or the
+    ``spark.checkpoint.dir`` setting (cluster). Only when neither is set
+    (local tests) a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="postlake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
