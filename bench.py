@@ -100,7 +100,7 @@ def main() -> None:
     for name, build in (("gold_sentiment_topic", G.gold_sentiment_topic),
                         ("gold_topic_trends", G.gold_topic_trends),
                         ("gold_topic_time_series", G.gold_topic_time_series),
-                        ("gold_top_daily", K.gold_top_daily)):
+                        ("gold_top_daily", lambda s: K.gold_top_daily(s, n_days=len(days)))):
         q[name] = _timed(lambda b=build, n=name: replace_partitions(b(silver), f"{work}/{n}", days))
     q["gold_author_profiles"] = _timed(
         lambda: full_overwrite(G.gold_author_profiles(silver), f"{work}/gold_author_profiles"))

@@ -92,50 +92,60 @@ def _before(r_key: Column, c_key: Column, r_id: Column, c_id: Column) -> Column:
 
 
 def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int = TOP_DAILY_K,
-                 part_col: str = "ds", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 part_col: str = "ds", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                 max_groups: int | None = None) -> DataFrame:
     """Rows in the top ``k`` of their ``part_col`` group by *any* of ``keys``
     (each key descending, NULLs last, ties by ``id_col``), with the exact
     rank under every key. ``keys`` is a list of (order column, rank column).
 
-    1. candidates: top-k per group for each key (partial group limits, so
-       a hot group reaches the shuffle as ≤ k rows per map task);
-    2. materialise them (≤ k·len(keys) rows per group), counted in that write;
-    3. rank = 1 + number of the group's rows ordered before the candidate,
-       counted by a join on ``part_col`` — broadcast when the measured
-       candidate count is within ``max_broadcast_rows``, else a shuffle join
-       (AQE splits a skewed group) — and a partial aggregate.
+    1. candidates from the narrow key columns only (no text is read or
+       sorted): top-k per group for each key, as partial group limits, so a
+       hot group reaches the shuffle as ≤ k rows per map task;
+    2. their count is bounded by k·len(keys)·groups when the caller knows
+       the groups (``max_groups``, e.g. the days of a run); otherwise they
+       are written once and counted in that write;
+    3. rank = 1 + number of the group's rows ordered before the candidate:
+       a join of the narrow rows with the candidates on ``part_col``
+       (broadcast within ``max_broadcast_rows``, else a shuffle join that
+       AQE splits when a group is skewed) and a partial aggregate;
+    4. the full rows of the ranked candidates: one pass over ``df`` joined
+       with the (broadcast) ranks.
     ``id_col`` must be unique within a group (it is, per day, after dedup).
     """
-    tops = [top_n_per_key(df, [part_col], _desc_then_id(c, id_col), k) for c, _ in keys]
+    order_cols = [c for c, _ in keys]
+    narrow = df.select(part_col, id_col, *order_cols)
+    tops = [top_n_per_key(narrow, [part_col], _desc_then_id(c, id_col), k) for c in order_cols]
     cands = reduce(lambda a, b: a.unionByName(b), tops).dropDuplicates([part_col, id_col])
-    cands, n_cands = materialize(cands, "topk_candidates")
-
-    key_cols = [F.col(part_col), F.col(id_col).alias("_c_id")]
-    key_cols += [F.col(c).alias(f"_c_{i}") for i, (c, _) in enumerate(keys)]
-    cand_keys = cands.select(*key_cols)
-    if n_cands <= max_broadcast_rows:
-        cand_keys = F.broadcast(cand_keys)
-    row_cols = [F.col(part_col), F.col(id_col).alias("_r_id")]
-    row_cols += [F.col(c).alias(f"_r_{i}") for i, (c, _) in enumerate(keys)]
-    joined = df.select(*row_cols).join(cand_keys, part_col)
+    bound = k * len(keys) * max_groups if max_groups is not None else None
+    if bound is not None and bound <= max_broadcast_rows:
+        n_cands = bound
+    else:
+        cands, n_cands = materialize(cands, "topk_candidates")
+    small = n_cands <= max_broadcast_rows
+
+    cand_keys = cands.select(F.col(part_col), F.col(id_col).alias("_c_id"),
+                             *[F.col(c).alias(f"_c_{i}") for i, c in enumerate(order_cols)])
+    rows_ = narrow.select(F.col(part_col), F.col(id_col).alias("_r_id"),
+                          *[F.col(c).alias(f"_r_{i}") for i, c in enumerate(order_cols)])
+    joined = rows_.join(F.broadcast(cand_keys) if small else cand_keys, part_col)
     r_id, c_id = F.col("_r_id"), F.col("_c_id")
     aggs = [(F.count_if(_before(F.col(f"_r_{i}"), F.col(f"_c_{i}"), r_id, c_id)) + 1)
             .cast("int").alias(rank) for i, (_, rank) in enumerate(keys)]
     ranks = joined.groupBy(part_col, "_c_id").agg(*aggs).withColumnRenamed("_c_id", id_col)
-    out = cands.join(ranks, [part_col, id_col])
     keep = reduce(lambda a, b: a | b, [F.col(rank) <= k for _, rank in keys])
-    return out.filter(keep)
+    ranks = ranks.filter(keep)
+    return df.join(F.broadcast(ranks) if small else ranks, [part_col, id_col])
 
 
 def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, n_days: int | None = None) -> DataFrame:
     """Daily top-k report by score or by comments, with both exact ranks.
 
     Same rows and ranks as :func:`gold_top_daily_window`, without sorting a
     whole day in one task.
     """
     out = top_k_either(silver, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")],
-                       k, "ds", max_broadcast_rows)
+                       k, "ds", max_broadcast_rows, n_days)
     return out.select(*columns(GOLD_TOP_DAILY))
 
 

@@ -30,6 +30,7 @@ PARTITIONED_GOLD = {
     "gold_topic_time_series": G.gold_topic_time_series,
     "gold_top_daily": gold_top_daily,
 }
+BOUNDED_BY_DAYS = {"gold_top_daily"}   # builders that take the run's day count
 
 
 @dataclass
@@ -79,8 +80,11 @@ def run_range(spark: SparkSession, raw_path: str, out_root: str,
 
     # The gold tables only depend on silver: submit them as concurrent jobs
     # (Spark schedules jobs from separate threads side by side).
-    jobs = [lambda n=name, b=build: replace_partitions(b(silver), paths[n], days)
-            for name, build in PARTITIONED_GOLD.items()] + [profiles]
+    def gold(name: str, build) -> None:
+        out = build(silver, n_days=len(days)) if name in BOUNDED_BY_DAYS else build(silver)
+        replace_partitions(out, paths[name], days)
+
+    jobs = [lambda n=name, b=build: gold(n, b) for name, build in PARTITIONED_GOLD.items()] + [profiles]
     if parallel_gold:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(j) for j in jobs]:

@@ -72,3 +72,11 @@ def test_top_daily_plan_has_no_single_partition_and_uses_group_limit(spark):
     assert "WindowGroupLimit" in plan
     full = K.gold_top_daily(silver)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in full
+
+
+def test_top_k_either_known_group_bound_path(spark):
+    df = _random_days(spark, n=800, seed=9)
+    keys = [("score", "rank_score"), ("num_comments", "rank_comments")]
+    a = K.top_k_either(df, "content_id", keys, 5, max_groups=3)       # bounded: no write
+    b = K.top_k_either(df, "content_id", keys, 5)                      # measured
+    assert rows(a) == rows(b)
