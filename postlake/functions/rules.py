@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlake.functions.sqltext import ident as _n
+from postlake.functions.sqltext import quote as _q
+
 # ---------------------------------------------------------------------------
 # These must equal the reference's for identical results.
 # Text categories, first matching rule wins; each keyword is a case-folded
@@ -85,14 +88,6 @@ def _chain(cases: list[tuple[Column, str]], default: str) -> Column:
 # (``F.expr``): one driver→JVM call instead of hundreds. ``Column`` inputs
 # use the Column builders below; tests pin both paths to the same result.
 
-def _q(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _n(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _sql_chain(cases: list[tuple[str, str]], default: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {_q(l)}" for c, l in cases) + f" ELSE {_q(default)} END"
 

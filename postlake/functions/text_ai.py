@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions.rules import CATEGORY_KEYWORD_RULES
+from postlake.functions.sqltext import quote as _q
 
 # ---------------------------------------------------------------------------
 # Fixed values of our scorers.
@@ -102,10 +103,6 @@ def ai_topics(full_text: Column | str) -> Column:
     return _topic_label(text.isNull(), ai_topic_scores(F.lower(text)))
 
 
-def _q(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def topic_score_sql(lc: str, keywords: list[str]) -> str:
     return "(" + " + ".join(f"(CASE WHEN contains({lc}, {_q(k)}) THEN 1 ELSE 0 END)" for k in keywords) + ")"
 

@@ -8,20 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.operators import gold as G
 from postlake.operators.bronze import bronze_submissions
 from postlake.operators.silver import silver_submissions
 from postlake.session import apply_runtime_conf
 from postlake.sources.fixtures import first_fetch, raw_submissions_fx
 
-GOLD_BUILDERS = {
-    "gold_sentiment_topic": G.gold_sentiment_topic,
-    "gold_topic_trends": G.gold_topic_trends,
-    "gold_topic_time_series": G.gold_topic_time_series,
-    "gold_author_profiles": G.gold_author_profiles,
-}
-
-
 def silver_from_raw(raw: DataFrame, scope: str = "day") -> DataFrame:
     return silver_submissions(bronze_submissions(raw, scope))
 

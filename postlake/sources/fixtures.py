@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.functions.sqltext import quote
 from postlake.functions.timefmt import iso_from_unix, ts_from_unix
 from postlake.schemas import RAW_COMMENTS, RAW_SUBMISSIONS, conform
 
@@ -39,14 +40,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _sql_str(v: str | None) -> str:
-    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _cycle(key_sql: str, values: list, default=None) -> Column:
     """CASE <key> WHEN 0 THEN v0 WHEN 1 THEN v1 … ELSE default END (one SQL expression)."""
-    whens = " ".join(f"WHEN {i} THEN {_sql_str(v)}" for i, v in enumerate(values))
-    return F.expr(f"CASE {key_sql} {whens} ELSE {_sql_str(default)} END")
+    whens = " ".join(f"WHEN {i} THEN {quote(v)}" for i, v in enumerate(values))
+    return F.expr(f"CASE {key_sql} {whens} ELSE {quote(default)} END")
 
 
 def _fetches(n: int) -> Column:
