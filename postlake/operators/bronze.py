@@ -111,3 +111,20 @@ def bronze_submissions(raw: DataFrame, scope: str = "day",
     if counts is not None:
         df = df.observe(counts.final, _count_rows())
     return df
+
+
+def qc_report(raw: DataFrame, scope: str = "day") -> DataFrame:
+    """Per day: rows landed, rows after dedup, rows after QC, and the drops.
+
+    The reference prints these three counts per run; here they are a table
+    for every day of the input. Two small aggregates (≤ one row per day
+    each) joined on ``ds``; the dedup side is the same plan as bronze.
+    """
+    landed = raw.groupBy("ds").agg(F.count(F.lit(1)).alias("raw_rows"))
+    deduped = bronze_project(dedup_latest(raw, "submission_id", scope))
+    kept = deduped.groupBy("ds").agg(F.count(F.lit(1)).alias("deduped_rows"),
+                                     F.count_if(qc_predicate()).alias("final_rows"))
+    out = landed.join(kept, "ds", "left").fillna(0, ["deduped_rows", "final_rows"])
+    return out.select("ds", "raw_rows", "deduped_rows", "final_rows",
+                      (F.col("raw_rows") - F.col("deduped_rows")).alias("dropped_by_dedup"),
+                      (F.col("deduped_rows") - F.col("final_rows")).alias("dropped_by_qc"))

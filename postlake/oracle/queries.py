@@ -261,3 +261,13 @@ SELECT 'update_preimage', b.ds, b.content_id, {_b} FROM silver_v1 b JOIN silver
 UNION ALL
 SELECT 'update_postimage', a.ds, a.content_id, {_a} FROM silver_v1 b JOIN silver a USING (ds, content_id)
   WHERE row({_b}) IS DISTINCT FROM row({_a})""")
+
+oracle("qc_report", ["raw_submissions_fx", "bronze_dedup"], f"""
+SELECT r.ds, r.raw_rows, coalesce(k.deduped_rows, 0) AS deduped_rows,
+  coalesce(k.final_rows, 0) AS final_rows,
+  r.raw_rows - coalesce(k.deduped_rows, 0) AS dropped_by_dedup,
+  coalesce(k.deduped_rows, 0) - coalesce(k.final_rows, 0) AS dropped_by_qc
+FROM (SELECT ds, COUNT(*) AS raw_rows FROM raw_submissions_fx GROUP BY ds) r
+LEFT JOIN (SELECT ds, COUNT(*) AS deduped_rows,
+             COUNT(*) FILTER (WHERE {S.QC_WHERE}) AS final_rows
+           FROM bronze_dedup GROUP BY ds) k USING (ds)""")

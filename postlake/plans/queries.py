@@ -385,3 +385,9 @@ def _q_backfill_top(spark, d):
 def _q_backfill_profiles(spark, d):
     paths = _backfill(spark, d)
     return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
+
+
+@register("qc_report")
+def _q_qc_report(spark, d):
+    from postlake.operators.bronze import qc_report
+    return qc_report(raw_fx(spark, d))

@@ -200,3 +200,13 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType,
                  comment: str | None = None, properties: dict[str, str] | None = None) -> None:
     """Register a table if it is missing (a no-op when it exists)."""
     spark.sql(table_ddl(name, schema, partition_cols, location, comment, properties))
+
+
+def register_views(spark: SparkSession, paths: dict[str, str],
+                   schemas: dict[str, T.StructType] | None = None) -> list[str]:
+    """Expose written tables to SQL as temporary views (``name`` → path)."""
+    names = []
+    for name, path in paths.items():
+        read_table(spark, path, (schemas or {}).get(name)).createOrReplaceTempView(name)
+        names.append(name)
+    return names

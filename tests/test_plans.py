@@ -71,3 +71,13 @@ def test_ts_from_unix_is_zone_free_in_fall_back_hour(spark):
         assert r.b != r.a                 # the string round trip shifts by an hour here
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_register_views_and_qc_report(spark, tmp_path):
+    from postlake.operators.bronze import qc_report
+    raw_path = str(tmp_path / "raw")
+    ST.overwrite_partitions(raw_fx(spark, SF_SMALL), raw_path)
+    ST.register_views(spark, {"raw_submissions": raw_path}, {"raw_submissions": TABLES["raw_submissions"][0]})
+    assert spark.sql("SELECT COUNT(*) AS n FROM raw_submissions").first().n == 367
+    rep = qc_report(spark.table("raw_submissions")).agg({"raw_rows": "sum", "deduped_rows": "sum"}).first()
+    assert tuple(rep) in ((367, 200), (200, 367))
