@@ -74,8 +74,9 @@ def full_overwrite(df: DataFrame, path: str) -> None:
 
 def _guard_days(df: DataFrame, days: list[_dt.date]) -> DataFrame:
     """Fail the write job on a row whose ``ds`` is not one of ``days``."""
-    ok = F.col(PARTITION_COL).isin(*[F.lit(d) for d in days])
-    msg = F.concat(F.lit("row outside replaced days: ds="), F.col(PARTITION_COL).cast("string"))
+    ok = F.coalesce(F.col(PARTITION_COL).isin(*[F.lit(d) for d in days]), F.lit(False))
+    msg = F.concat(F.lit("row outside replaced days: ds="),
+                   F.coalesce(F.col(PARTITION_COL).cast("string"), F.lit("NULL")))
     return df.withColumn(PARTITION_COL, F.when(ok, F.col(PARTITION_COL)).otherwise(
         F.raise_error(msg).cast("date")))
 
@@ -138,7 +139,8 @@ def audit(staged: DataFrame, days: list[_dt.date], not_null: Iterable[str],
     """All checks in one aggregate job (plus one distinct count for keys)."""
     not_null = list(not_null)
     aggs = [F.count(F.lit(1)).alias("_rows"),
-            F.count_if(~F.col(PARTITION_COL).isin(*[F.lit(d) for d in days])).alias("_outside")]
+            F.count_if(~F.coalesce(F.col(PARTITION_COL).isin(*[F.lit(d) for d in days]), F.lit(False)))
+            .alias("_outside")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]
     if key:
         aggs.append(F.count_distinct(*[F.col(k) for k in key]).alias("_keys"))

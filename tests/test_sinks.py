@@ -75,3 +75,11 @@ def test_create_table_registers_path_table(spark, tmp_table):
     spark.sql("ALTER TABLE gold_topic_trends_t RECOVER PARTITIONS")
     assert spark.table("gold_topic_trends_t").count() == 1
     spark.sql("DROP TABLE gold_topic_trends_t")
+
+
+def test_null_day_is_outside(spark, tmp_table):
+    bad = _df(spark, [("a", 1, None)])
+    with pytest.raises(Exception, match="ds=NULL"):
+        ST.replace_partition(bad, tmp_table, D0)
+    with pytest.raises(ST.AuditError):
+        ST.publish_audited(bad, tmp_table, [D0])
