@@ -136,6 +136,16 @@ def flag_candidate_sql(tr: str, text: str) -> str:
     return f"(({tr} = true) OR (length({text}) > {CANDIDATE_MIN_TEXT_LENGTH}))"
 
 
+def concat_length_sql(t: str, s: str) -> str:
+    """length(concat_ws(' ', t, s)) without building the concatenation."""
+    return (f"(coalesce(length({t}), 0) + coalesce(length({s}), 0)"
+            f" + CASE WHEN {t} IS NOT NULL AND {s} IS NOT NULL THEN 1 ELSE 0 END)")
+
+
+def flag_candidate_parts_sql(tr: str, t: str, s: str) -> str:
+    return f"(({tr} = true) OR ({concat_length_sql(t, s)} > {CANDIDATE_MIN_TEXT_LENGTH}))"
+
+
 def flag_edited_sql(e: str) -> str:
     return f"(NOT ({e} = {_q(EDITED_FALSE_LITERAL)}))"
 
@@ -244,6 +254,12 @@ def flag_candidate(is_trending: Column | str, full_text: Column | str) -> Column
     return (_col(is_trending) == F.lit(True)) | (text_length(full_text) > CANDIDATE_MIN_TEXT_LENGTH)
 
 
+def flag_candidate_parts(is_trending: str, title: str, selftext: str) -> Column:
+    """:func:`flag_candidate` on ``concat_ws(' ', title, selftext)``, with the
+    length summed from the parts (no copy of the text is made)."""
+    return F.expr(flag_candidate_parts_sql(_n(is_trending), _n(title), _n(selftext)))
+
+
 def flag_edited(edited: Column | str) -> Column:
     """``NOT (edited = 'False')``: only the literal 'False' is unedited."""
     if _all_names(edited):

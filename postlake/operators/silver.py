@@ -31,7 +31,8 @@ def enrich(bronze: DataFrame) -> DataFrame:
         R.map_game_topic("raw_subreddit_name").alias("game_topic"),
         R.concat_text("_title_lc", "_self_lc").alias("_full_lc"),
     )
-    df = df.withColumn("is_ai_enrichment_candidate", R.flag_candidate("is_trending", "full_text"))
+    df = df.withColumn("is_ai_enrichment_candidate",
+                       R.flag_candidate_parts("is_trending", "title", "selftext"))
     return df.drop("_title_lc", "_self_lc")
 
 

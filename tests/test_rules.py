@@ -147,3 +147,12 @@ def test_ai_labels_two_projection_form_equals_expressions(spark):
     got = AI.with_ai_labels(b, "_lc", "s2", "t2").select(
         AI.ai_sentiment("full_text").alias("s1"), "s2", AI.ai_topics("full_text").alias("t1"), "t2").collect()
     assert all(r.s1 == r.s2 and r.t1 == r.t2 for r in got)
+
+
+def test_candidate_from_parts_equals_concat_length(spark):
+    data = [("x" * 250, "y" * 249), ("x" * 250, "y" * 250), (None, "y" * 501), ("x" * 501, None),
+            (None, None), ("", "y" * 500), ("", "y" * 499)]
+    df = spark.createDataFrame(data, "t string, s string").withColumn("tr", F.lit(False))
+    got = df.select(R.flag_candidate_parts("tr", "t", "s").alias("a"),
+                    R.flag_candidate(F.col("tr"), R.concat_text(F.col("t"), F.col("s"))).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] == [False, True, True, True, False, True, False]
