@@ -140,6 +140,57 @@ def with_ai_labels(df: DataFrame, full_text_lc: str, sentiment_col: str = "ai_se
     return labelled.drop("_pos", "_neg", *[f"_ts{i}" for i in range(n)])
 
 
+def keyword_hit_sql(title_lc: str, self_lc: str, keyword: str) -> str:
+    """``contains(lower(concat_ws(' ', title, selftext)), keyword)`` from the
+    lower-cased parts: a hit inside either part, or — for a keyword with a
+    space — the one alignment where that space is the joining space."""
+    hits = [f"coalesce(contains({title_lc}, {_q(keyword)}), false)",
+            f"coalesce(contains({self_lc}, {_q(keyword)}), false)"]
+    for j, ch in enumerate(keyword):
+        if ch == " ":
+            hits.append(f"coalesce(endswith({title_lc}, {_q(keyword[:j])}) "
+                        f"AND startswith({self_lc}, {_q(keyword[j + 1:])}), false)")
+    return "(" + " OR ".join(hits) + ")"
+
+
+def with_ai_labels_from_parts(df: DataFrame, title_lc: str, self_lc: str,
+                              hit_cols: dict[str, str] | None = None,
+                              sentiment_col: str = "ai_sentiment", topics_col: str = "ai_topics") -> DataFrame:
+    """Both labels of ``concat_ws(' ', title, selftext)`` (never NULL) from its
+    lower-cased parts, without building the joined text.
+
+    ``hit_cols`` maps keywords to boolean columns that already hold
+    "keyword in title or self text" (the rule categoriser computes them), so
+    each keyword scans the text once for both uses; only the cross-join
+    alignment of spaced keywords is added. The lexicon words have no space
+    and the joining space is a non-letter, so a whole-word match in the
+    joined text is one in a part.
+    """
+    hit_cols = hit_cols or {}
+    t, s_ = f"`{title_lc}`", f"`{self_lc}`"
+
+    def hit(k: str) -> str:
+        if k in hit_cols:
+            extra = [f"coalesce(endswith({t}, {_q(k[:j])}) AND startswith({s_}, {_q(k[j + 1:])}), false)"
+                     for j, ch in enumerate(k) if ch == " "]
+            return "(" + " OR ".join([f"`{hit_cols[k]}`", *extra]) + ")"
+        return keyword_hit_sql(t, s_, k)
+
+    def rx(p: str) -> str:
+        return f"(coalesce({t} RLIKE {_q(p)}, false) OR coalesce({s_} RLIKE {_q(p)}, false))"
+
+    n = len(AI_TOPIC_KEYWORDS)
+    scores = ["(" + " + ".join(f"(CASE WHEN {hit(k)} THEN 1 ELSE 0 END)" for k in kws) + ")"
+              for _, kws in AI_TOPIC_KEYWORDS]
+    scored = df.selectExpr("*", f"{rx(POSITIVE_PATTERN)} AS _pos", f"{rx(NEGATIVE_PATTERN)} AS _neg",
+                           *[f"{sc} AS _ts{i}" for i, sc in enumerate(scores)])
+    labelled = scored.selectExpr(
+        "*",
+        f"{sentiment_label_sql('false', '_pos', '_neg')} AS `{sentiment_col}`",
+        f"{topic_label_sql('false', [f'_ts{i}' for i in range(n)])} AS `{topics_col}`")
+    return labelled.drop("_pos", "_neg", *[f"_ts{i}" for i in range(n)])
+
+
 # ---------------------------------------------------------------------------
 # User-supplied model hook.
 

@@ -14,11 +14,28 @@ from postlake.functions import text_ai as AI
 from postlake.schemas import SILVER_SUBMISSIONS, conform
 
 
+# Every distinct rule keyword, in rule order; ``_kw{i}`` holds "in title or
+# self text" for keyword i, computed once and shared by the category rules
+# and the topic scores.
+KEYWORDS = list(dict.fromkeys(k for _, kws in R.CATEGORY_KEYWORD_RULES for k in kws))
+KEYWORD_COLS = {k: f"_kw{i}" for i, k in enumerate(KEYWORDS)}
+
+
 def enrich(bronze: DataFrame) -> DataFrame:
     """Adds full_text, bins, is_trending, text_category, game_topic and
-    is_ai_enrichment_candidate to bronze rows (no rows dropped)."""
+    is_ai_enrichment_candidate to bronze rows (no rows dropped).
+
+    Keeps ``_title_lc``, ``_self_lc`` and the keyword-hit columns for the
+    label step; :func:`silver_project` drops them.
+    """
     df = bronze.select("*", R.concat_text("title", "selftext").alias("full_text"),
                        F.lower("title").alias("_title_lc"), F.lower("selftext").alias("_self_lc"))
+    df = df.selectExpr("*", *[f"{R.any_keyword_sql(['`_title_lc`', '`_self_lc`'], [k])} AS {c}"
+                              for k, c in KEYWORD_COLS.items()])
+    rule_cases = [(" OR ".join(f"coalesce({KEYWORD_COLS[k]}, false)" for k in kws), label)
+                  for label, kws in R.CATEGORY_KEYWORD_RULES]
+    rule_cases += [(R.in_list_sql("lower(`raw_subreddit_name`)", subs), label)
+                   for label, subs in R.CATEGORY_SUBREDDIT_RULES]
     df = df.select(
         "*",
         F.lit("submission").alias("text_type"),
@@ -26,26 +43,24 @@ def enrich(bronze: DataFrame) -> DataFrame:
         R.bin_num_comments("num_comments").alias("num_comments_bin"),
         R.bin_upvote_ratio("upvote_ratio").alias("upvote_ratio_bin"),
         R.flag_trending("score", "num_comments").alias("is_trending"),
-        R.categorize_text("_title_lc", "_self_lc", "raw_subreddit_name", lowered=True)
-        .alias("text_category"),
+        F.expr(R._sql_chain(rule_cases, R.CATEGORY_DEFAULT)).alias("text_category"),
         R.map_game_topic("raw_subreddit_name").alias("game_topic"),
-        R.concat_text("_title_lc", "_self_lc").alias("_full_lc"),
     )
-    df = df.withColumn("is_ai_enrichment_candidate",
-                       R.flag_candidate_parts("is_trending", "title", "selftext"))
-    return df.drop("_title_lc", "_self_lc")
+    return df.withColumn("is_ai_enrichment_candidate",
+                         R.flag_candidate_parts("is_trending", "title", "selftext"))
+
+
+def _helper_cols() -> list[str]:
+    return ["_title_lc", "_self_lc", *KEYWORD_COLS.values()]
 
 
 def full_text_lc(df: DataFrame) -> DataFrame:
-    """Ensure ``_full_lc``: the lower-cased full text, built from the
-    lower-cased parts (``enrich`` already adds it).
+    """Add ``_full_lc``: the lower-cased full text, built from the
+    lower-cased parts (fallback when the keyword-hit columns are absent).
 
     Every keyword and lexicon word is ASCII, and lower-casing never makes
     or breaks an ASCII match across the joining space, so this equals
-    ``lower(full_text)`` for all matching while scanning the big text once
-    less."""
-    if "_full_lc" in df.columns:
-        return df
+    ``lower(full_text)`` for all matching."""
     return df.withColumn("_full_lc", R.concat_text(F.lower("title"), F.lower("selftext")))
 
 
@@ -60,7 +75,10 @@ def silver_project(candidates: DataFrame) -> DataFrame:
     The AI labels read ``full_text`` (title + ' ' + self text) while the
     output ``text_content`` is the self text alone.
     """
-    labelled = AI.with_ai_labels(full_text_lc(candidates), "_full_lc")
+    if all(c in candidates.columns for c in _helper_cols()):
+        labelled = AI.with_ai_labels_from_parts(candidates, "_title_lc", "_self_lc", KEYWORD_COLS)
+    else:
+        labelled = AI.with_ai_labels(full_text_lc(candidates), "_full_lc")
     out = labelled.select(
         F.col("submission_id").alias("content_id"),
         F.col("text_type").alias("content_type"),

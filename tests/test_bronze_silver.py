@@ -84,3 +84,24 @@ def test_fixture_counts_sf0001(spark):
     c = counts.as_dict()
     assert c["raw"] == 367 and c["deduped"] == 200
     assert 0 < n <= c["final"] < c["deduped"]
+
+
+def test_labels_from_parts_equal_full_text_definitions_at_the_junction(spark):
+    from postlake.functions import text_ai as AI
+    from postlake.functions.rules import concat_text
+    cases = [("pro", "play today"), ("fan", "art and love"), ("I really lo", "ve it"),
+             ("so good", None), (None, "hate it"), ("love", "hate"), ("a pro", " play"),
+             ("esports pro", "playoffs"), ("bug", "gy"), ("", "fan art"), ("fan art", ""),
+             ("Pro", "Play"), ("meta", "l guide"), (None, None), ("loveless", "good")]
+    raw = _raw(spark, [dict(submission_id=str(i), ds=D, created_utc_unix=1, score=50, num_comments=10,
+                            title=t, selftext=s, _loaded_at_timestamp_utc=_ts(1))
+                       for i, (t, s) in enumerate(cases)])
+    silver = silver_submissions(bronze_submissions(raw))
+    full = raw.select(F.col("submission_id").alias("content_id"),
+                      concat_text(F.col("title"), F.col("selftext")).alias("ft"))
+    got = silver.join(full, "content_id").select(
+        "content_id", "ai_sentiment", "ai_topics",
+        AI.ai_sentiment(F.col("ft")).alias("s_direct"), AI.ai_topics(F.col("ft")).alias("t_direct")).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        assert (r.ai_sentiment, r.ai_topics) == (r.s_direct, r.t_direct), r
