@@ -27,9 +27,6 @@ RUNTIME_CONF = {
     # them small for parallelism: right-sized tasks and output files (each
     # write task writes one file per day it holds).
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    # Parquet writes into existing partitioned tables only replace the
-    # partitions present in the written data unless a sink says otherwise.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Constraint inference grows combinatorially over the long CASE chains
     # of the rule labels once plans are unioned / filtered again (heap
     # exhaustion in the optimizer); the filters we need are written out.
