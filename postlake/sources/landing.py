@@ -170,6 +170,17 @@ def flatten_comments(submissions: DataFrame, comments_col: str = "comments",
     )
 
 
+def read_records(spark, paths: str | list[str], schema: T.StructType = SUBMISSION_RECORD,
+                 fmt: str = "json") -> DataFrame:
+    """Read record files (one or many folders, e.g. one per subreddit) under
+    an explicit schema in one multi-path scan; malformed JSON lines become
+    all-NULL rows instead of failing the job (PERMISSIVE)."""
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "json":
+        reader = reader.option("mode", "PERMISSIVE")
+    return reader.load(paths if isinstance(paths, list) else [paths])
+
+
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     """Concatenate per-source landings by column name (no shuffle)."""
     if not frames:

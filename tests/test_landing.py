@@ -46,3 +46,22 @@ def test_reject_reasons(spark):
     assert sorted(r._reject_reason for r in bad.collect()) == ["bad_type:score", "malformed_json",
                                                                "missing:id"]
     assert [(r.id, r.score) for r in good.collect()] == [("3", 7)]
+
+
+def test_read_records_multi_path_and_land(spark, tmp_path):
+    from postlake.sources.fixtures import submission_records_fx
+    from tests.conftest import rows
+    recs = submission_records_fx(spark, SF_SMALL)
+    a, b = str(tmp_path / "sub_a"), str(tmp_path / "sub_b")
+    recs.filter("subreddit = 'valorant'").write.json(a)
+    recs.filter("subreddit <> 'valorant' OR subreddit IS NULL").write.json(b)
+    back = L.read_records(spark, [a, b])
+    assert rows(L.land_submissions(back)) == rows(L.land_submissions(recs))
+
+
+def test_flattened_comments_land_as_raw_comments(spark):
+    from postlake.schemas import RAW_COMMENTS
+    flat = L.flatten_comments(nested_submissions_fx(spark, SF_SMALL))
+    landed = L.land_comments(flat.drop("position"))
+    check_schema(landed, RAW_COMMENTS)
+    assert landed.count() == flat.select("id").distinct().count()
