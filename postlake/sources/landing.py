@@ -191,7 +191,9 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Dirty input: JSON lines with wrong types or broken syntax.
 
-_STRING_RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in SUBMISSION_RECORD.fields])
+_CORRUPT = "_corrupt_record"
+_STRING_RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in SUBMISSION_RECORD.fields]
+                              + [T.StructField(_CORRUPT, T.StringType())])
 REQUIRED_FIELDS = ("id", "created_utc", "retrieved_utc")
 
 
@@ -203,9 +205,9 @@ def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFra
     'malformed_json', 'missing:<field>', 'bad_type:<field>' (first found).
     """
     raw = F.col(value_col)
-    parsed = lines.select(raw.alias("_raw"),
-                          F.from_json(raw, _STRING_RECORD, {"mode": "PERMISSIVE"}).alias("r"))
-    is_json = F.get_json_object(F.col("_raw"), "$").isNotNull()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = lines.select(raw.alias("_raw"), F.from_json(raw, _STRING_RECORD, options).alias("r"))
+    is_json = F.col(f"r.{_CORRUPT}").isNull()   # one parse: the reader flags broken lines
     cols, reasons = [], []
     for f in SUBMISSION_RECORD.fields:
         s = F.col(f"r.{f.name}")
