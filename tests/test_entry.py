@@ -13,7 +13,7 @@ def test_entry_smoke(spark):
                           "trending_ratio"]
 
 
-def test_every_query_has_an_oracle_except_model_free_ones():
+def test_every_query_has_an_oracle():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == set()
 
