@@ -42,10 +42,13 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "postlake") -> SparkSession:
+                  app_name: str = "postlake", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and the local bench (UI off, UTC, AQE on)."""
+    builder = SparkSession.builder
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -14,7 +14,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from postlake.session import local_session
-    s = local_session("4", shuffle_partitions=8, app_name="postlake-tests")
+    s = local_session("4", shuffle_partitions=8, app_name="postlake-tests",
+                      warehouse_dir=tempfile.mkdtemp(prefix="postlake-test-wh-"))
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postlake-test-ckpt-"))
     yield s
     s.stop()
