@@ -81,3 +81,15 @@ def test_register_views_and_qc_report(spark, tmp_path):
     assert spark.sql("SELECT COUNT(*) AS n FROM raw_submissions").first().n == 367
     rep = qc_report(spark.table("raw_submissions")).agg({"raw_rows": "sum", "deduped_rows": "sum"}).first()
     assert tuple(rep) in ((367, 200), (200, 367))
+
+
+def test_cli_land_and_run(spark, tmp_path):
+    from postlake.__main__ import main
+    from postlake.sources.fixtures import submission_records_fx
+    src = str(tmp_path / "records")
+    submission_records_fx(spark, SF_SMALL).write.json(src)
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "lake")
+    main(["land", "--records", src, "--raw", raw])
+    res = main(["run", "--raw", raw, "--out", out, "--from", "2025-06-29", "--to", "2025-07-06"])
+    assert len(res["days"]) == 8 and res["bronze_counts"]["raw"] > 0
+    assert ST.scan_full(spark, res["tables"]["gold_topic_trends"], TABLES["gold_topic_trends"][0]).count() > 0
