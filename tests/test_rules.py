@@ -156,3 +156,20 @@ def test_candidate_from_parts_equals_concat_length(spark):
     got = df.select(R.flag_candidate_parts("tr", "t", "s").alias("a"),
                     R.flag_candidate(F.col("tr"), R.concat_text(F.col("t"), F.col("s"))).alias("b")).collect()
     assert [r.a for r in got] == [r.b for r in got] == [False, True, True, True, False, True, False]
+
+
+def test_run_date_is_validated_up_front():
+    import datetime as dt
+
+    import pytest
+
+    from postlake.functions.timefmt import ds_range, parse_ds
+    assert parse_ds("2025-07-01") == dt.date(2025, 7, 1)
+    for bad in ("2025-13-01", "2025-7-1", "20250701", "2025-07-01 00:00", ""):
+        with pytest.raises(ValueError):
+            parse_ds(bad)
+    with pytest.raises(TypeError):
+        parse_ds(dt.datetime(2025, 7, 1))        # a timestamp is not a run date
+    assert len(ds_range("2025-06-29", "2025-07-05")) == 7
+    with pytest.raises(ValueError):
+        ds_range("2025-07-05", "2025-06-29")
