@@ -108,3 +108,19 @@ def materialize(df, name: str):
     seen = Observation(f"materialize_{name}")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library created under the checkpoint root.
+
+    Refuses any path outside that root. Uses Hadoop's FileSystem API (the
+    same storage layer Spark writes through), so it works on any shared
+    file system the cluster uses.
+    """
+    root = checkpoint_root(spark).rstrip("/")
+    if not path.startswith(root + "/") or path.rstrip("/") == root:
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access from PySpark
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return bool(fs.delete(hpath, True))

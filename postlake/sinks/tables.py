@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions.timefmt import parse_ds
-from postlake.session import scratch_path
+from postlake.session import drop_scratch, scratch_path
 
 PARTITION_COL = "ds"
 
@@ -164,11 +164,14 @@ def publish_audited(df: DataFrame, path: str, days: Iterable[str | _dt.date],
     spark = df.sparkSession
     stage = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(df.schema).parquet(stage)
-    result = audit(staged, wanted, not_null, key)
-    if not result.ok or result.rows < min_rows:
-        raise AuditError(f"audit failed for {path}: {result}")
-    replace_partitions(staged, path, wanted)
+    try:
+        staged = spark.read.schema(df.schema).parquet(stage)
+        result = audit(staged, wanted, not_null, key)
+        if not result.ok or result.rows < min_rows:
+            raise AuditError(f"audit failed for {path}: {result}")
+        replace_partitions(staged, path, wanted)
+    finally:
+        drop_scratch(spark, stage)   # the staged copy is not kept
     return result
 
 

@@ -83,3 +83,18 @@ def test_null_day_is_outside(spark, tmp_table):
         ST.replace_partition(bad, tmp_table, D0)
     with pytest.raises(ST.AuditError):
         ST.publish_audited(bad, tmp_table, [D0])
+
+
+def test_publish_leaves_no_staged_copy(spark, tmp_table):
+    import os
+
+    from postlake.session import checkpoint_root, drop_scratch
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    ST.publish_audited(_df(spark, [("a", 1, D0)]), tmp_table, [D0], key=("ds", "id"))
+    with pytest.raises(ST.AuditError):
+        ST.publish_audited(_df(spark, [(None, 1, D0)]), tmp_table, [D0], not_null=["id"])
+    after = set(os.listdir(root))
+    assert not [d for d in after - before if d.startswith("stage-")]
+    with pytest.raises(ValueError):
+        drop_scratch(spark, tmp_table)            # outside the scratch root: refused
