@@ -69,6 +69,7 @@ TRENDING_MIN_SCORE = 5
 TRENDING_MIN_COMMENTS = 4
 CANDIDATE_MIN_TEXT_LENGTH = 500  # strictly greater than
 EDITED_FALSE_LITERAL = "False"
+CONTENT_TYPE = "submission"
 # ---------------------------------------------------------------------------
 
 

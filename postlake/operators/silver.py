@@ -38,7 +38,7 @@ def enrich(bronze: DataFrame) -> DataFrame:
                    for label, subs in R.CATEGORY_SUBREDDIT_RULES]
     df = df.select(
         "*",
-        F.lit("submission").alias("text_type"),
+        F.lit(R.CONTENT_TYPE).alias("text_type"),
         R.bin_score("score").alias("score_bin"),
         R.bin_num_comments("num_comments").alias("num_comments_bin"),
         R.bin_upvote_ratio("upvote_ratio").alias("upvote_ratio_bin"),
