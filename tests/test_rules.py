@@ -173,3 +173,48 @@ def test_run_date_is_validated_up_front():
     assert len(ds_range("2025-06-29", "2025-07-05")) == 7
     with pytest.raises(ValueError):
         ds_range("2025-07-05", "2025-06-29")
+
+
+def test_bins_and_trending_match_a_plain_python_reading_of_the_rules(spark):
+    import random
+
+    rnd = random.Random(17)
+
+    def pick(vals):
+        return rnd.choice(vals)
+
+    data = [(pick([None, rnd.randint(-50, 900)]), pick([None, rnd.randint(-5, 200)]),
+             pick([None, math.nan, round(rnd.random(), 2)])) for _ in range(600)]
+
+    def py_bin(x, bins, zero=None, default=None):
+        if x is None:
+            return default
+        for label, lo in bins:
+            if x >= lo:
+                return label
+        if zero is not None and x == 0:
+            return zero
+        return default
+
+    def py_ratio_bin(r):
+        if r is None:
+            return R.UPVOTE_RATIO_BIN_ELSE
+        if math.isnan(r):                      # NaN sorts above every number in Spark
+            return R.UPVOTE_RATIO_BINS[0][0]
+        return py_bin(r, R.UPVOTE_RATIO_BINS, default=R.UPVOTE_RATIO_BIN_ELSE)
+
+    def py_trending(s, n):
+        a = None if s is None else s >= R.TRENDING_MIN_SCORE
+        b = None if n is None else n >= R.TRENDING_MIN_COMMENTS
+        if a is False or b is False:
+            return False
+        return None if a is None or b is None else True
+
+    df = spark.createDataFrame(data, "s bigint, n bigint, r double")
+    got = df.select("s", "n", "r", R.bin_score("s").alias("sb"), R.bin_num_comments("n").alias("nb"),
+                    R.bin_upvote_ratio("r").alias("rb"), R.flag_trending("s", "n").alias("t")).collect()
+    for row in got:
+        assert row.sb == py_bin(row.s, R.SCORE_BINS, R.SCORE_BIN_ZERO, R.SCORE_BIN_ELSE)
+        assert row.nb == py_bin(row.n, R.NUM_COMMENTS_BINS, default=R.NUM_COMMENTS_BIN_ELSE)
+        assert row.rb == py_ratio_bin(row.r)
+        assert row.t == py_trending(row.s, row.n)
