@@ -19,7 +19,8 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", [
-    "gold_topic_trends", "gold_sentiment_topic", "gold_top_daily", "rank_by_score", "qc_report",
+    "bronze_submissions", "silver_submissions", "gold_topic_trends", "gold_sentiment_topic",
+    "gold_top_daily", "rank_by_score", "qc_report",
     "categorize_text", "ai_topics", "flatten_comments", "reject_bad_rows", "land_comments",
     "partition_changes", "sink_replace_where", "backfill_author_profiles", "doc_trending_summary",
 ])
