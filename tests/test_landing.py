@@ -65,3 +65,17 @@ def test_flattened_comments_land_as_raw_comments(spark):
     landed = L.land_comments(flat.drop("position"))
     check_schema(landed, RAW_COMMENTS)
     assert landed.count() == flat.select("id").distinct().count()
+
+
+def test_comment_limit_none_or_zero_keeps_all_and_run_date_is_applied(spark):
+    import datetime as dt
+
+    from postlake.operators.topk import limit_comments_per_submission
+    from postlake.sources.fixtures import comment_records_fx
+    landed = L.land_comments(comment_records_fx(spark, SF_SMALL), ds="2025-07-01")
+    assert {r.ds for r in landed.select("ds").distinct().collect()} == {dt.date(2025, 7, 1)}
+    n = landed.count()
+    assert limit_comments_per_submission(landed, None).count() == n
+    assert limit_comments_per_submission(landed, 0).count() == n
+    per_sub = limit_comments_per_submission(landed, 2).groupBy("submission_id").count()
+    assert per_sub.agg(F.max("count")).first()[0] == 2
