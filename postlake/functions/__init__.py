@@ -7,6 +7,7 @@ from postlake.functions.rules import (  # noqa: F401
     categorize_text,
     concat_text,
     flag_candidate,
+    flag_candidate_parts,
     flag_edited,
     flag_game_topic,
     flag_trending,
@@ -15,7 +16,13 @@ from postlake.functions.rules import (  # noqa: F401
     match_keyword,
     text_length,
 )
-from postlake.functions.text_ai import ai_custom_model, ai_sentiment, ai_topics  # noqa: F401
+from postlake.functions.text_ai import (  # noqa: F401
+    ai_custom_model,
+    ai_sentiment,
+    ai_topics,
+    with_ai_labels,
+    with_ai_labels_from_parts,
+)
 from postlake.functions.timefmt import (  # noqa: F401
     date_from_string,
     iso_from_unix,
