@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import bpe, idfile, scratch
+from postlake.llm.line_dedup import line_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +30,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that at least 10 documents hold."""
+    out = line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1, keep="none")
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_token_id_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, written as plane-shuffled shards and read back."""
     path = scratch.new_path(spark, "token-ids")
@@ -39,7 +47,29 @@ def op3_token_id_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_id_file": op3_token_id_file,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+            FROM documents),
+        lines AS (
+            SELECT rid, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
+        keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines),
+        frequent AS (
+            SELECT key FROM keyed WHERE length(key) >= 1
+            GROUP BY key HAVING count(DISTINCT rid) >= 10),
+        marked AS (
+            SELECT k.*, f.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+               count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+                   AS kept_sha256
+        FROM marked GROUP BY rid""",
+}
