@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm import bpe, idfile, scratch
 from postlake.llm.line_dedup import line_dedup
+from postlake.llm.simhash import simhash_groups
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,10 +46,16 @@ def op3_token_id_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every whole text and the group its near copies form."""
+    return simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_id_file": op3_token_id_file,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
