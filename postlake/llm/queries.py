@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import bpe, idfile, scratch
+from postlake.llm.brown_lm import brown_scores
 from postlake.llm.line_dedup import line_dedup
 from postlake.llm.simhash import simhash_groups
 
@@ -51,11 +52,22 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+def id_fold(n: int):
+    """crc32 of the doc_id as text, modulo ``n`` (null id: null)."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op5_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based scores of every whole text, learnt from all but one fold in seven."""
+    return brown_scores(table(spark, sf_dir, "documents"), held_out=id_fold(7) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_id_file": op3_token_id_file,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_brown_lm": op5_brown_lm,
 }
 
 ORACLE: dict[str, str] = {
