@@ -4,13 +4,15 @@ Words belong to classes; a word's probability given the word before it is
 
     P(class | class before) * P(word | class).
 
-Exchange clustering assigns the classes: words move to the class that most
-raises the likelihood of the class bigrams. Words are addressed by a fixed
-number of hash slots and all words of a slot share its class, so the
-assignment has the same bounded size for any vocabulary and also covers
-words never seen; the counts behind the emission probabilities are exact, per
-word. The end of a text is a word with a slot and class of its own, and is
-what stands before a text's first word.
+Exchange clustering assigns the classes: one word after the other moves to
+the class that most raises the likelihood of the class bigrams. Words are
+addressed by a fixed number of slots (a short word by itself, a longer one by
+its ending, hashed) and all words of a slot share its class. So the bigrams
+that clustering needs have the same bounded size for any vocabulary, rare
+words take the class of words that end alike, and words never seen have one
+too; the counts behind the emission probabilities are exact, per word. The
+end of a text is a word with a slot and class of its own, and is what stands
+before a text's first word.
 
 * Transition: add-one smoothed class bigrams.
 * Emission: a known word has (count - d) / N(class) with absolute discount
@@ -19,8 +21,9 @@ what stands before a text's first word.
   class's unknown word (all unseen words are one event, as in the base score).
 
 The corpus is read once into blocks (word numbers of some whole texts and
-the block's own distinct words), kept in the shared checkpoint folder. Each
-clustering round is one pass over the blocks that sums slot-by-class counts.
+the block's own distinct words), kept in the shared checkpoint folder. One
+pass over the blocks sums the slot bigrams; exchange then runs on that table
+of at most ``(SLOTS + 1) ** 2`` counts.
 Word counts are summed by word over the blocks' distinct words and return to
 the blocks by block number, so what is shuffled are distinct words per block,
 never tokens, and no vocabulary is collected or broadcast.
@@ -41,13 +44,14 @@ from pyspark.sql import types as T
 from postlake.llm import scratch
 from postlake.llm.pretokens import row_blocks
 
-SLOTS = 8192
-CLASSES = 32
-ROUNDS = 4
+SLOTS = 4096
+CLASSES = 48
+ROUNDS = 3
+#: Words of up to so many bytes have a slot by themselves, others by their last bytes.
+SHORT_WORD, ENDING = 4, 3
 #: Text bytes of a block (one longer text is a block of its own).
 BLOCK_TEXT = 6 << 20
-_RANGES = 32                   # slot ranges in which partial counts travel
-_CHUNK = 128                   # slots moved together between updates of the class bigrams
+_RANGES = 64                   # slot ranges in which partial counts travel
 
 _BLOCK = T.StructType([
     T.StructField("block", T.LongType(), False),
@@ -106,7 +110,8 @@ def word_slots(words: list[bytes], slots: int) -> np.ndarray:
     """Slot of each word; the end of a text has slot ``slots``."""
     import xxhash
 
-    out = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(slots)
+    keys = (w if len(w) <= SHORT_WORD else b" " + w[-ENDING:] for w in words)
+    out = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(words)) % np.uint64(slots)
     out[[i for i, w in enumerate(words[:1]) if not w]] = slots
     return out.astype("<u2")
 
@@ -161,15 +166,18 @@ def word_counts(blocks: DataFrame, slots: int) -> DataFrame:
                        (F.min("block").over(same) == F.col("block")).alias("first"))
 
 
-def context_counts(blocks: DataFrame, classes: np.ndarray, slots: int, n_classes: int) -> np.ndarray:
-    """``[2, slot, class]`` over training texts: how often a slot stands before
-    each class (0) and after each class (1)."""
-    n_slots, span = slots + 1, -(-(slots + 1) // _RANGES)
+def slot_bigrams(blocks: DataFrame, slots: int) -> np.ndarray:
+    """``[slot before, slot]`` counts over training texts.
+
+    A task sends its non-zero counts, zstd-compressed, by range of the first
+    slot; ranges are summed as streams. The driver gets ``(slots + 1) ** 2``
+    numbers, whatever the corpus."""
+    n, span = slots + 1, -(-(slots + 1) // _RANGES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = n_slots * n_classes
-        total = np.zeros((2, cells), dtype=np.int64)
-        end_class, seen = int(classes[slots]), False
+        import zstandard
+
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
@@ -178,99 +186,116 @@ def context_counts(blocks: DataFrame, classes: np.ndarray, slots: int, n_classes
                 slot = np.frombuffer(row["slots"], "<u2")[np.frombuffer(row["index"], "<u4")][train].astype(np.int64)
                 if not slot.size:
                     continue
-                seen = True
                 before = np.empty_like(slot)     # texts end with the end's slot
                 before[1:], before[0] = slot[:-1], slots
-                kind = classes[slot].astype(np.int64)
-                kind_before = np.append(end_class, kind[:-1])
-                total[0] += np.bincount(before * n_classes + kind, minlength=cells)
-                total[1] += np.bincount(slot * n_classes + kind_before, minlength=cells)
-        if seen:
-            both = total.reshape(2, n_slots, n_classes)
-            for r in range(_RANGES):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r], pa.int32()),
-                     pa.array([np.ascontiguousarray(both[:, r * span:(r + 1) * span]).tobytes()], pa.binary())],
-                    names=["part", "counts"])
+                new, times = np.unique(before * n + slot, return_counts=True)
+                codes, where = np.unique(np.concatenate([codes, new]), return_inverse=True)
+                counts = np.bincount(where, np.concatenate([counts, times])).astype(np.int64)
+        edges = np.searchsorted(codes, np.arange(_RANGES + 1) * span * n)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for r in np.flatnonzero(np.diff(edges)):
+            i, j = edges[r], edges[r + 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r], pa.int32()),
+                 pa.array([pack(np.diff(codes[i:j], prepend=r * span * n).tobytes() + counts[i:j].tobytes())],
+                          pa.binary())], names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         sums: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for r, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                new = np.frombuffer(counts, np.int64)
-                sums[r] = sums[r] + new if r in sums else new
-        for r, counts in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
-                                             names=["part", "counts"])
+                steps, times = np.frombuffer(unpack(counts), np.int64).reshape(2, -1)
+                if r not in sums:
+                    sums[r] = np.zeros(span * n, dtype=np.int64)
+                sums[r][np.cumsum(steps)] += times
+        for r, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r], pa.int32()),
+                 pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())],
+                names=["part", "counts"])
+
+    import zstandard
 
     schema = "part int, counts binary"
     merged = (blocks.select("held_out", "sizes", "index", "slots").mapInArrow(count, schema)
               .repartition("part").mapInArrow(add, schema))
-    out = np.zeros((2, n_slots, n_classes), dtype=np.int64)
-    for row in merged.collect():                 # 16 bytes a slot and class in all
-        out[:, row.part * span:(row.part + 1) * span] = np.frombuffer(
-            row.counts, np.int64).reshape(2, -1, n_classes)
-    return out
+    out = np.zeros(_RANGES * span * n, dtype=np.float64)
+    for row in merged.toLocalIterator():
+        out[row.part * span * n:(row.part + 1) * span * n] = np.frombuffer(
+            zstandard.ZstdDecompressor().decompress(row.counts), np.int64)
+    return out[:n * n].reshape(n, n)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def class_bigrams(contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    out = np.zeros((contexts.shape[2], contexts.shape[2]))
-    np.add.at(out, classes, contexts[0])
-    return out
+def likelihood(class_bigrams: np.ndarray) -> float:
+    """Log-likelihood of the classes, up to a constant of the words alone."""
+    return float(_xlogx(class_bigrams).sum() - _xlogx(class_bigrams.sum(0)).sum()
+                 - _xlogx(class_bigrams.sum(1)).sum())
 
 
-def likelihood(bigrams: np.ndarray) -> float:
-    return float(_xlogx(bigrams).sum() - _xlogx(bigrams.sum(0)).sum() - _xlogx(bigrams.sum(1)).sum())
+def first_classes(bigrams: np.ndarray, n_classes: int) -> np.ndarray:
+    """Slots dealt over the classes by frequency; the end has the last class."""
+    classes = np.empty(len(bigrams), dtype=np.int64)
+    order = np.argsort(-bigrams[:, :-1].sum(0), kind="stable")
+    classes[order] = np.arange(order.size) % n_classes
+    classes[-1] = n_classes
+    return classes
 
 
-def exchange(contexts: np.ndarray, classes: np.ndarray, n_classes: int) -> np.ndarray:
-    """Move each slot (most frequent first) to the class with the largest gain
-    in class-bigram likelihood; the end's slot and class stay. ``n_classes``
-    counts the end's class, which is the last."""
-    before, after = contexts[0].astype(float), contexts[1].astype(float)
-    n = class_bigrams(contexts, classes)
+def exchange(bigrams: np.ndarray, classes: np.ndarray, n_classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, class bigrams) after moving slots, most frequent first, to the
+    class of largest gain, until ``rounds`` are over or none moves."""
+    total = n_classes + 1
     classes = classes.copy()
-    order = np.argsort(-before[:-1].sum(1), kind="stable")
-    order = order[before[order].sum(1) > 0]
-    for k in range(0, order.size, _CHUNK):
-        slots = order[k:k + _CHUNK]
-        own = classes[slots]
-        m = np.arange(slots.size)
-
-        def gains(matrix: np.ndarray, rows: np.ndarray) -> np.ndarray:
-            """Gain of adding each slot's row to each class, less the loss in its own."""
-            there = (_xlogx(matrix[None] + rows[:, None, :]) - _xlogx(matrix)[None]).sum(2)
-            left = np.maximum(matrix[own] - rows, 0)
-            lost = (_xlogx(left) - _xlogx(matrix[own])).sum(1)
-            total, mine = matrix.sum(1), rows.sum(1)
-            margin = _xlogx(total[None] + mine[:, None]) - _xlogx(total)[None]
-            margin_lost = _xlogx(np.maximum(total[own] - mine, 0)) - _xlogx(total[own])
-            return there - margin + (lost - margin_lost)[:, None]
-
-        gain = gains(n, before[slots]) + gains(n.T, after[slots])
-        gain[m, own] = 0.0
-        gain[:, n_classes - 1] = -np.inf
-        best = gain.argmax(1)
-        moves = np.flatnonzero((best != own) & (gain[m, best] > 1e-6))
-        s, a, b = slots[moves], own[moves], best[moves]
-        np.add.at(n, b, before[s])
-        np.add.at(n, a, -before[s])
-        np.add.at(n.T, b, after[s])
-        np.add.at(n.T, a, -after[s])
-        np.maximum(n, 0, out=n)
-        classes[s] = b
-    return classes
+    one_hot = np.eye(total)[classes]
+    to_class, from_class = bigrams @ one_hot, bigrams.T @ one_hot   # [slot, class]
+    n = one_hot.T @ to_class
+    order = np.argsort(-bigrams[:, :-1].sum(0), kind="stable")
+    order = order[(bigrams[:, order].sum(0) > 0)]
+    for _ in range(rounds):
+        moved = 0
+        for s in order:
+            own, twin = classes[s], bigrams[s, s]
+            after, before = to_class[s].copy(), from_class[s].copy()
+            after[own] -= twin
+            before[own] -= twin
+            n[own] -= after
+            n[:, own] -= before
+            n[own, own] -= twin                  # the slot is in no class now
+            gain = (_xlogx(n + after) - _xlogx(n)).sum(1) + (_xlogx(n + before[:, None]) - _xlogx(n)).sum(0)
+            d = np.diag(n)                       # the cell that gets both, and the slot's own pairs
+            gain += _xlogx(d + after + before + twin) - _xlogx(d + after) - _xlogx(d + before) + _xlogx(d)
+            rows, columns = n.sum(1) + before, n.sum(0) + after
+            gain -= _xlogx(rows + after.sum() + twin) - _xlogx(rows)
+            gain -= _xlogx(columns + before.sum() + twin) - _xlogx(columns)
+            gain[n_classes] = -np.inf
+            best = int(gain.argmax())
+            if gain[best] <= gain[own] + 1e-9:
+                best = own
+            n[best] += after
+            n[:, best] += before
+            n[best, best] += twin
+            if best != own:
+                moved += 1
+                classes[s] = best
+                to_class[:, own] -= bigrams[:, s]
+                to_class[:, best] += bigrams[:, s]
+                from_class[:, own] -= bigrams[s]
+                from_class[:, best] += bigrams[s]
+        if not moved:
+            break
+    return classes, n
 
 
 def fit(blocks: DataFrame, counts: DataFrame, slots: int = SLOTS, n_classes: int = CLASSES,
         rounds: int = ROUNDS) -> Model:
-    """Exchange clustering and the model's bounded parameters.
-
-    The driver gets one row per slot, and per round the slot-by-class counts."""
+    """Exchange clustering and the model's bounded parameters."""
     per_slot = counts.where("first AND count > 0").groupBy("slot").agg(
         F.sum("count").alias("tokens"), F.count(F.lit(1)).alias("words"),
         F.count_if(F.col("count") == 1).alias("once"), F.count_if(F.col("count") == 2).alias("twice")).collect()
@@ -281,20 +306,9 @@ def fit(blocks: DataFrame, counts: DataFrame, slots: int = SLOTS, n_classes: int
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
     total = n_classes + 1                        # the end's class is the last
-    classes = np.empty(slots + 1, dtype=np.int64)
-    classes[np.argsort(-tokens[:slots], kind="stable")] = np.arange(slots) % n_classes
-    classes[slots] = n_classes
-    best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for step in range(rounds + 1):
-        contexts = context_counts(blocks, classes, slots, total)
-        bigrams = class_bigrams(contexts, classes)
-        value = likelihood(bigrams)
-        if best is None or value > best[0]:
-            best = (value, classes, bigrams)
-        if step < rounds:
-            classes = exchange(contexts, classes, total)
-    _, classes, bigrams = best  # type: ignore[misc]
-    transition = (bigrams + 1) / (bigrams.sum(1, keepdims=True) + total)
+    bigrams = slot_bigrams(blocks, slots)
+    classes, between = exchange(bigrams, first_classes(bigrams, n_classes), n_classes, rounds)
+    transition = (between + 1) / (between.sum(1, keepdims=True) + total)
     return Model(classes, np.log10(transition), np.bincount(classes, tokens, total),
                  np.bincount(classes, words, total), discount, int(tokens.sum()), int(words.sum()))
 
