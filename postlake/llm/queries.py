@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm import bpe, idfile, scratch
 from postlake.llm.brown_lm import brown_scores
+from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
 from postlake.llm.simhash import simhash_groups
 
@@ -62,12 +63,21 @@ def op5_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_scores(table(spark, sf_dir, "documents"), held_out=id_fold(7) == 2)
 
 
+def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; one fold in four is never learnt from."""
+    held_out = F.coalesce(id_fold(4) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs, train_on=~held_out).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_id_file": op3_token_id_file,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_brown_lm": op5_brown_lm,
+    "op6_crf_language": op6_crf_language,
 }
 
 ORACLE: dict[str, str] = {
