@@ -219,25 +219,40 @@ def matrix_bpe(path: str) -> MatrixBpe:
     return _ENCODERS[path]
 
 
-def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
     """``(doc_id, ids array<int>)`` of every row, in one narrow pass.
 
-    A null or empty text has no ids; a null ``doc_id`` stays null; repeated
-    rows are encoded each; other columns (whatever their names) are not
-    read. Very long texts are encoded whole.
+    With ``decoded`` the ids are decoded again in the same task and their
+    bytes returned as a third column. A null or empty text has no ids; a
+    null ``doc_id`` stays null; repeated rows are encoded each; other columns
+    (whatever their names) are not read. Very long texts are encoded whole.
     """
-    schema = T.StructType([T.StructField("doc_id", T.LongType()),
-                           T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = matrix_bpe(ranks_path)
         for batch in batches:
             for part in row_blocks(batch):
                 ids, bounds = bpe.encode_texts(part.column("text"))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "ids"])
+                columns = [part.column("doc_id"),
+                           pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
+                if decoded:
+                    columns.append(_binary(*bpe.decode(ids, bounds)))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
-    return _two(docs, id_col, text_col).mapInArrow(run, schema)
+
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(
+        pa.large_binary(), bounds.size - 1,
+        [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))],
+    ).cast(pa.binary())
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -256,14 +271,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             sizes = pc.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
             ids = lists.flatten().to_numpy()
             bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-            data, ends = bpe.decode(ids, bounds)
-            text = pa.Array.from_buffers(pa.large_binary(), len(lists),
-                                         [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, text.cast(pa.binary())],
-                                             names=["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, _binary(*bpe.decode(ids, bounds))],
+                                             names=schema.names)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, schema)
 
-
-def _two(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -26,7 +26,7 @@ _N_CODE_POINTS = 0x110000
 _CLASSES: np.ndarray | None = None
 
 #: Text bytes handled at once inside a task (a longer single text is one block).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def char_classes() -> np.ndarray:
@@ -51,7 +51,7 @@ def code_points(data: bytes) -> np.ndarray:
 
 
 def utf8_widths(cps: np.ndarray) -> np.ndarray:
-    return (1 + (cps >= 0x80).astype(np.int8) + (cps >= 0x800) + (cps >= 0x10000)).astype(np.int64)
+    return 1 + (cps >= 0x80).astype(np.int8) + (cps >= 0x800) + (cps >= 0x10000)
 
 
 def token_starts(cps: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:

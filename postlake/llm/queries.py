@@ -25,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text by the rank file, and their bytes again."""
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS)
-    return bpe.decode(encoded, RANKS).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), RANKS, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from postlake.llm.pretokens import ragged, split_block
 
 #: Distinct pre-tokens remembered by one Python worker before it starts anew.
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 200_000
 
 
 class WordEncoder:
