@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import ann, bpe, idfile, scratch
+from postlake.llm import ann, bpe, idfile, scratch, sketch
 from postlake.llm.brown_lm import brown_scores
 from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
@@ -75,6 +75,11 @@ def op9_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
 
 
+def op10_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text."""
+    return sketch.compare_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_brown_lm": op5_brown_lm,
     "op6_crf_language": op6_crf_language,
     "op9_adaptive_scan": op9_adaptive_scan,
+    "op10_bottom_k_sketch": op10_bottom_k_sketch,
 }
 
 ORACLE: dict[str, str] = {
