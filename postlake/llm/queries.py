@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import ann, bpe, idfile, scratch, sketch
+from postlake.llm import ann, bpe, idfile, packing, scratch, sketch
 from postlake.llm.brown_lm import brown_scores
 from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
@@ -70,6 +70,11 @@ def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, END_ID, capacity=1024)
+
+
 def op9_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every row whose id is divisible by 20."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_brown_lm": op5_brown_lm,
     "op6_crf_language": op6_crf_language,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_bottom_k_sketch": op10_bottom_k_sketch,
 }
