@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import ann, bpe, idfile, packing, scratch, sketch
+from postlake.llm import ann, bpe, idfile, packing, scratch, sketch, warc
 from postlake.llm.brown_lm import brown_scores
 from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
@@ -70,6 +70,50 @@ def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Archive records derived from ``pages``: a full response per page, a
+    minute apart, and a revisit per page around it, with the page's URL
+    written in another way and agreeing, weak, other or no validators."""
+    captured = 1704067200 + F.col("page_id") * 60
+    etag = F.concat(F.lit('"'), F.substring(F.md5(F.col("html").cast("binary")), 1, 16), F.lit('"'))
+    written = lambda seconds: F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    header = lambda name, value: F.struct(F.lit(name).alias("key"), value.alias("value"))
+    given = lambda *h: F.map_from_entries(F.filter(F.array(*h), lambda e: e["value"].isNotNull()))
+    way, validator = F.col("page_id") % 4, F.col("page_id") % 5
+    again = captured + (F.col("page_id") % 9 - 1) * 3600 + 30
+    response = pages.select(
+        F.concat(F.lit("response-"), F.col("page_id")).alias("record_id"), F.lit("response").alias("record_type"),
+        F.col("url").alias("uri"), F.timestamp_seconds(captured).alias("date"),
+        F.when(F.col("page_id") % 17 == 9, 404).otherwise(200).alias("status"),
+        given(header("Content-Type", F.lit("text/html")), header("ETag", etag), header("Server", F.lit("demo")),
+              header("Content-Length", F.octet_length("html").cast("string")),
+              header("Last-Modified", written(captured)), header("Cache-Control", F.lit("max-age=60"))).alias("headers"),
+        F.col("html").alias("payload"))
+    revisit = pages.select(
+        F.concat(F.lit("revisit-"), F.col("page_id")).alias("record_id"), F.lit("revisit").alias("record_type"),
+        F.when(way == 1, F.regexp_replace("url", "example", "EXAMPLE"))
+        .when(way == 2, F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")))
+        .when(way == 3, F.regexp_replace("url", "^http://([^/]+)", "http://$1:80"))
+        .otherwise(F.col("url")).alias("uri"),
+        F.timestamp_seconds(again).alias("date"), F.lit(304).alias("status"),
+        given(header("ETag", F.when(validator == 0, etag).when(validator == 1, F.concat(F.lit("W/"), etag))
+                     .when(validator == 3, F.lit('"other"'))),
+              header("Last-Modified", F.when(validator == 2, written(captured))),
+              header("Date", written(again)), header("Cache-Control", F.lit("max-age=600")),
+              header("Content-Length", F.lit("0")), header("X-Cache", F.lit("HIT"))).alias("headers"),
+        F.lit(None).cast("string").alias("payload"))
+    return response.unionByName(revisit)
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of all pages, resolved against the pages' responses."""
+    out = warc.resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
+    text = F.array_join(F.array_sort(F.transform(
+        F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))), "\n")
+    return out.select("record_id", "canonical_uri", "outcome", "response_id", "matched_by",
+                      text.alias("headers"), F.sha2(F.col("payload").cast("binary"), 256).alias("payload_sha256"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text packed into sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, END_ID, capacity=1024)
@@ -92,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_brown_lm": op5_brown_lm,
     "op6_crf_language": op6_crf_language,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_bottom_k_sketch": op10_bottom_k_sketch,
@@ -118,4 +163,63 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
                    AS kept_sha256
         FROM marked GROUP BY rid""",
+    "op7_warc_revisits": r"""
+        WITH p AS (
+            SELECT page_id, url, html, 1704067200 + page_id * 60 AS captured,
+                   1704067200 + page_id * 60 + (page_id % 9 - 1) * 3600 + 30 AS again,
+                   '"' || substr(md5(html), 1, 16) || '"' AS tag
+            FROM pages),
+        captures AS (
+            SELECT 'response-' || page_id AS record_id, 1 AS kind, url AS uri, captured AS ts, html,
+                   tag AS etag, strftime(make_timestamp(captured * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS modified
+            FROM p WHERE page_id % 17 <> 9
+            UNION ALL
+            SELECT 'revisit-' || page_id, 0,
+                   CASE page_id % 4 WHEN 1 THEN replace(url, 'example', 'EXAMPLE')
+                        WHEN 2 THEN regexp_replace(url, '#.*$', '') || '#again'
+                        WHEN 3 THEN regexp_replace(url, '^http://([^/]+)', 'http://\1:80') ELSE url END,
+                   again, NULL,
+                   CASE page_id % 5 WHEN 0 THEN tag WHEN 1 THEN 'W/' || tag WHEN 3 THEN '"other"' END,
+                   CASE page_id % 5 WHEN 2
+                        THEN strftime(make_timestamp(captured * 1000000), '%Y-%m-%dT%H:%M:%SZ') END
+            FROM p),
+        parts AS (
+            SELECT *, regexp_extract(uri, '^([a-z]+)://', 1) AS scheme,
+                   lower(regexp_extract(uri, '^[a-z]+://([^/?#]*)', 1)) AS host,
+                   regexp_extract(uri, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+                   regexp_extract(uri, '^[^?#]*[?]([^#]*)', 1) AS query
+            FROM captures),
+        keyed AS (
+            SELECT *, regexp_replace(regexp_replace(host,
+                           CASE scheme WHEN 'http' THEN ':(80)?$' WHEN 'https' THEN ':(443)?$' ELSE '$' END, ''),
+                       '^www[.]', '')
+                   || CASE path WHEN '' THEN '/' ELSE path END
+                   || CASE WHEN trim(query, '&') = '' THEN ''
+                           ELSE '?' || array_to_string(list_sort(string_split(
+                               trim(regexp_replace(query, '&+', '&', 'g'), '&'), '&')), '&')
+                      END AS canonical_uri
+            FROM parts),
+        joined AS (
+            SELECT v.record_id, v.canonical_uri, v.ts, v.etag, v.modified, r.record_id AS response_id,
+                   r.etag AS r_etag, r.modified AS r_modified, r.html,
+                   row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) AS n
+            FROM keyed v LEFT JOIN keyed r
+              ON r.kind = 1 AND r.canonical_uri = v.canonical_uri AND r.ts < v.ts
+            WHERE v.kind = 0),
+        judged AS (
+            SELECT *, CASE WHEN response_id IS NULL THEN NULL
+                           WHEN etag IS NOT NULL
+                           THEN CASE WHEN regexp_replace(etag, '^W/', '') = r_etag THEN 'etag' END
+                           WHEN modified = r_modified THEN 'last-modified' END AS matched_by
+            FROM joined WHERE n = 1)
+        SELECT record_id, canonical_uri, response_id, matched_by,
+               CASE WHEN response_id IS NULL THEN 'no_response' WHEN matched_by IS NOT NULL THEN 'resolved'
+                    WHEN etag IS NOT NULL OR modified IS NOT NULL THEN 'mismatch' ELSE 'no_validator' END AS outcome,
+               CASE WHEN matched_by IS NOT NULL THEN array_to_string(list_sort([
+                   'cache-control: max-age=600', 'content-length: ' || strlen(html), 'content-type: text/html',
+                   'date: ' || strftime(make_timestamp(ts * 1000000), '%Y-%m-%dT%H:%M:%SZ'),
+                   'etag: ' || coalesce(etag, r_etag), 'last-modified: ' || coalesce(modified, r_modified),
+                   'server: demo']), chr(10)) END AS headers,
+               CASE WHEN matched_by IS NOT NULL THEN sha256(html) END AS payload_sha256
+        FROM judged""",
 }
