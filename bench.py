@@ -24,6 +24,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from postlake.operators import gold as G  # noqa: E402
@@ -32,8 +33,8 @@ from postlake.operators.bronze import (BronzeCounts, bronze_project, bronze_subm
                                        dedup_latest, qc_filter)
 from postlake.operators.silver import silver_submissions  # noqa: E402
 from postlake.plans.backfill import run_range  # noqa: E402
-from postlake.schemas import TABLES  # noqa: E402
-from postlake.session import local_session  # noqa: E402
+from postlake.schemas import GOLD_TOP_DAILY, TABLES, columns  # noqa: E402
+from postlake.session import local_session, stored  # noqa: E402
 from postlake.sinks.tables import (full_overwrite, overwrite_partitions, read_table,  # noqa: E402
                                    replace_partitions)
 from postlake.sources.fixtures import raw_submissions_fx, submission_records_fx  # noqa: E402
@@ -100,7 +101,7 @@ def main() -> None:
     for name, build in (("gold_sentiment_topic", G.gold_sentiment_topic),
                         ("gold_topic_trends", G.gold_topic_trends),
                         ("gold_topic_time_series", G.gold_topic_time_series),
-                        ("gold_top_daily", lambda s: K.gold_top_daily(s, n_days=len(days)))):
+                        ("gold_top_daily", K.gold_top_daily)):
         q[name] = _timed(lambda b=build, n=name: replace_partitions(b(silver), f"{work}/{n}", days))
     q["gold_author_profiles"] = _timed(
         lambda: full_overwrite(G.gold_author_profiles(silver), f"{work}/gold_author_profiles"))
@@ -113,12 +114,14 @@ def main() -> None:
                         ("doc_top_authors_daily", G.doc_top_authors_daily),
                         ("doc_trending_summary", G.doc_trending_summary),
                         ("doc_sentiment_summary", G.doc_sentiment_summary),
-                        ("rank_by_score", K.rank_by_score)):
+                        ("rank_by_score", lambda s: K.daily_rank(
+                            stored(K.number_rows(s, "score"), "numbered"), "rank_score"))):
         q[name] = _timed(lambda b=build: _noop(b(silver)))
 
     # -- reference-shaped plans, for comparison -------------------------------
     q["bronze_naive"] = _timed(lambda: _bronze_five_actions(raw, paths["naive"], days))
-    q["gold_top_daily_naive"] = _timed(lambda: _noop(K.gold_top_daily_window(silver)))
+    q["gold_top_daily_naive"] = _timed(
+        lambda: replace_partitions(_top_daily_by_windows(silver), f"{work}/gold_top_daily_naive", days))
 
     # -- headline: the whole chain for the week, one job per layer ----------
     chain = _timed(lambda: run_range(spark, paths["raw"], paths["lake"], days[0], days[-1]))
@@ -134,6 +137,15 @@ def _days(spark, df):
     return sorted(r["ds"] for r in df.select("ds").distinct().collect())
 
 
+def _top_daily_by_windows(silver, k: int = K.TOP_DAILY_K):
+    """The reference's report plan: two whole-day windows and an OR filter."""
+    ranked = silver
+    for key, rank in (("score", "rank_score"), ("num_comments", "rank_comments")):
+        w = Window.partitionBy("ds").orderBy(F.col(key).desc_nulls_last(), F.col("content_id"))
+        ranked = ranked.withColumn(rank, F.row_number().over(w))
+    return ranked.filter((F.col("rank_score") <= k) | (F.col("rank_comments") <= k)).select(*columns(GOLD_TOP_DAILY))
+
+
 def _bronze_five_actions(raw, path, days) -> None:
     """The reference's bronze job shape: count, dedup count, QC count,
     preview, write — each re-running the dedup plan."""

@@ -195,21 +195,33 @@ def with_ai_labels_from_parts(df: DataFrame, title_lc: str, self_lc: str,
 # User-supplied model hook.
 
 ModelLoader = Callable[[], Callable[[pd.Series], pd.Series]]
+_MODELS: dict[str, Callable[[pd.Series], pd.Series]] = {}
+
+
+def worker_model(key: str, loader: ModelLoader) -> Callable[[pd.Series], pd.Series]:
+    """The loaded model of this Python process."""
+    if key not in _MODELS:
+        _MODELS[key] = loader()
+    return _MODELS[key]
 
 
 def ai_custom_model(df: DataFrame, text_col: str, loader: ModelLoader, output_col: str,
-                    return_type: T.DataType = T.StringType()) -> DataFrame:
+                    return_type: T.DataType = T.StringType(), model_key: str | None = None) -> DataFrame:
     """Apply a user model to ``text_col`` in Arrow batches.
 
-    ``loader()`` runs once per Python worker process (iterator pandas UDF)
-    and returns a vectorised ``predict(pd.Series) -> pd.Series``. Filter
+    ``loader()`` runs once per Python worker process, however many tasks the
+    worker runs (models are kept by ``model_key``, by default the loader's
+    qualified name), and returns a vectorised
+    ``predict(pd.Series) -> pd.Series``. Filter
     rows *before* calling this: the projection is not pushed below filters
     for Python UDFs.
     """
 
+    key = model_key or f"{loader.__module__}.{getattr(loader, '__qualname__', repr(loader))}"
+
     @F.pandas_udf(return_type)
     def _predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = loader()
+        predict = worker_model(key, loader)
         for batch in batches:
             yield predict(batch)
 

@@ -1,4 +1,5 @@
-"""Time conversions. The session zone is pinned to UTC (see session.py)."""
+"""Time conversions. None depends on the session's time zone: dates and ISO
+texts of unix seconds are always those of UTC."""
 
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+_EPOCH = "1970-01-01 00:00:00"
 _DS_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
@@ -23,8 +24,14 @@ def ts_from_unix(unix_seconds: Column | str) -> Column:
 
 
 def iso_from_unix(unix_seconds: Column | str) -> Column:
-    """Unix seconds → 'YYYY-MM-DDTHH:MM:SS' in UTC (session zone pinned)."""
-    return F.date_format(ts_from_unix(unix_seconds), ISO_SECONDS_FORMAT)
+    """Unix seconds → 'YYYY-MM-DDTHH:MM:SS' in UTC."""
+    wall_clock = F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=_col(unix_seconds).cast("decimal(18,6)"))
+    return F.translate(wall_clock.cast("string"), " ", "T")
+
+
+def utc_date_from_unix(unix_seconds: Column | str) -> Column:
+    """Unix seconds → the UTC date."""
+    return F.date_from_unix_date(F.floor(_col(unix_seconds) / 86400).cast("int"))
 
 
 def parse_ds(ds: str | _dt.date) -> _dt.date:

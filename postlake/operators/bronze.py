@@ -14,20 +14,25 @@ from pyspark.sql import functions as F
 
 from postlake.functions.timefmt import ts_from_unix
 from postlake.schemas import BRONZE_SUBMISSIONS, conform
+from postlake.session import observed
 
 DEDUP_ORDER = ("_loaded_at_timestamp_utc", "created_utc_unix")
+# Compared last, so that whole texts are looked at only if all else is equal.
+WIDE_COLUMNS = ("title", "selftext", "body")
 
 
-def latest_version_order(extra: tuple[str, ...] = ()) -> list[Column]:
-    """Newest load first, then newest creation; a row hash is the last
-    tie-break so the kept row never depends on task order."""
-    cols = [F.col(c).desc_nulls_last() for c in (*DEDUP_ORDER, *extra)]
-    return cols
+def latest_version_order(columns: list[str], key: str, order: tuple[str, ...] = DEDUP_ORDER) -> list[Column]:
+    """Newest load first, then newest creation, then the other columns in
+    their order (texts last), so the kept row never depends on task order.
+    Nothing is hashed, and a frame without its texts orders the same way."""
+    rest = [c for c in columns if c not in (key, "ds", *order)]
+    names = [*order, *[c for c in rest if c not in WIDE_COLUMNS], *[c for c in rest if c in WIDE_COLUMNS]]
+    return [F.col(c).desc_nulls_last() for c in names if c in columns]
 
 
 def dedup_latest(df: DataFrame, key: str = "submission_id", scope: str = "day",
-                 order: list[Column] | None = None) -> DataFrame:
-    """Keep one row per key: the newest by ``order``.
+                 order: tuple[str, ...] = DEDUP_ORDER) -> DataFrame:
+    """Keep one row per key: the newest by the ``order`` columns.
 
     ``scope="day"`` dedups inside each ``ds`` (the reference's behaviour,
     its scan is filtered to one day); ``scope="all"`` across days.
@@ -39,14 +44,22 @@ def dedup_latest(df: DataFrame, key: str = "submission_id", scope: str = "day",
     if scope not in ("day", "all"):
         raise ValueError("scope must be 'day' or 'all'")
     parts = ["ds", key] if scope == "day" else [key]
-    order = order or latest_version_order()
-    tail = F.xxhash64(*[F.col(c) for c in df.columns]).desc()
-    w = Window.partitionBy(*parts).orderBy(*order, tail)
+    w = Window.partitionBy(*parts).orderBy(*latest_version_order(df.columns, key, order))
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1)
               .drop("_rn"))
 
 
+def latest_days(raw: DataFrame) -> DataFrame:
+    """``(submission_id, ds)``: the day that holds the latest version of each
+    submission over the whole raw table (narrow columns only; versions equal
+    in all of them: the later day). A NULL id stays with its own day."""
+    narrow = raw.drop(*WIDE_COLUMNS).filter(F.col("submission_id").isNotNull())
+    order = [*latest_version_order(narrow.columns, "submission_id"), F.col("ds").desc_nulls_last()]
+    w = Window.partitionBy("submission_id").orderBy(*order)
+    return narrow.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("submission_id", "ds")
+
+
 def bronze_project(df: DataFrame) -> DataFrame:
     """Rename + derive + fix the 22-column bronze order."""
     out = df.select(
@@ -89,9 +102,8 @@ class BronzeCounts:
 
     def as_dict(self) -> dict[str, int]:
         return {
-            "raw": self.raw.get["rows"],
-            "deduped": self.deduped.get["rows"],
-            "final": self.final.get["rows"],
+            name: (observed(seen) or {"rows": 0})["rows"]
+            for name, seen in (("raw", self.raw), ("deduped", self.deduped), ("final", self.final))
         }
 
 
@@ -99,12 +111,22 @@ def _count_rows() -> Column:
     return F.count(F.lit(1)).alias("rows")
 
 
-def bronze_submissions(raw: DataFrame, scope: str = "day",
-                       counts: BronzeCounts | None = None) -> DataFrame:
+def bronze_submissions(raw: DataFrame, scope: str = "day", counts: BronzeCounts | None = None,
+                       all_raw: DataFrame | None = None) -> DataFrame:
+    """Deduplicated, typed and checked submissions of ``raw``.
+
+    With ``all_raw`` (the whole raw table of which ``raw`` holds some days) and
+    ``scope="all"`` a submission stays only on the day of its latest version
+    over that table, so any split of the days into runs gives the same rows."""
     df = raw
     if counts is not None:
         df = df.observe(counts.raw, _count_rows())
-    df = bronze_project(dedup_latest(df, "submission_id", scope))
+    if scope == "all" and all_raw is not None:
+        df = dedup_latest(df, "submission_id", "day").join(
+            latest_days(all_raw), ["submission_id", "ds"], "left_semi").select(*raw.columns)
+    else:
+        df = dedup_latest(df, "submission_id", scope)
+    df = bronze_project(df)
     if counts is not None:
         df = df.observe(counts.deduped, _count_rows())
     df = qc_filter(df)
@@ -118,10 +140,12 @@ def qc_report(raw: DataFrame, scope: str = "day") -> DataFrame:
 
     The reference prints these three counts per run; here they are a table
     for every day of the input. Two small aggregates (≤ one row per day
-    each) joined on ``ds``; the dedup side is the same plan as bronze.
+    each) joined on ``ds``; the dedup side orders as bronze does, on the
+    narrow columns alone.
     """
     landed = raw.groupBy("ds").agg(F.count(F.lit(1)).alias("raw_rows"))
-    deduped = bronze_project(dedup_latest(raw, "submission_id", scope))
+    deduped = dedup_latest(raw.drop(*WIDE_COLUMNS), "submission_id", scope).withColumn(
+        "created_at_timestamp", ts_from_unix("created_utc_unix"))
     kept = deduped.groupBy("ds").agg(F.count(F.lit(1)).alias("deduped_rows"),
                                      F.count_if(qc_predicate()).alias("final_rows"))
     out = landed.join(kept, "ds", "left").fillna(0, ["deduped_rows", "final_rows"])

@@ -117,8 +117,8 @@ def doc_subreddit_activity_daily(silver: DataFrame) -> DataFrame:
 
 
 def doc_subreddit_activity_weekly(silver: DataFrame) -> DataFrame:
-    """Weeks start on Monday (``date_trunc('week')``)."""
-    week = F.to_date(F.date_trunc("week", F.col("ds"))).alias("week_start")
+    """Weeks start on Monday (``trunc(ds, 'week')``)."""
+    week = F.trunc("ds", "week").alias("week_start")
     return (silver.groupBy(week, "content_subreddit")
             .agg(F.count(F.lit(1)).alias("posts"),
                  F.countDistinct("author_name").alias("distinct_authors"),

@@ -1,19 +1,24 @@
 """Per-key limits, daily ranks and the daily top-k report.
 
 Ties are broken by the id column (ascending), so every rank is a total,
-reproducible order; NULL keys sort last, as ``ORDER BY x DESC`` does.
-
-Scaling notes
-* ``row_number() <= k`` with a literal ``k`` is planned as a partial
-  WindowGroupLimit before the shuffle: a hot partition key (one subreddit,
-  one day) reaches the reducer as at most ``k`` rows per map task.
-* ``gold_top_daily`` never sorts a whole day in one task: it takes the top-k
-  candidates per key that way, then computes each candidate's exact rank by
-  counting the rows ordered before it (a broadcast join + partial aggregate).
-* ``daily_rank`` ranks *every* row of a day without a one-task-per-day
-  window: range partitioning splits a hot day over many tasks, and per-task
-  offsets (a table of ≤ partitions + days rows) turn local positions into
-  day ranks.
+reproducible order; NULL keys sort last, as ``ORDER BY x DESC`` does. One
+plan serves every ``n`` and ``k``, no operator here starts a job, and joins
+carry no size hints: adaptive execution broadcasts a side by its measured
+size and splits a skewed one.
+
+* Limits work on two levels. A key's rows are first dealt over ``SALT``
+  groups and cut to ``n`` there, then the survivors are cut to ``n``; so a hot
+  key (one subreddit, one day) is sorted by many tasks whatever ``n`` is.
+  (Up to Spark's own group-limit threshold the cut also happens before the
+  first shuffle.)
+* ``top_k_either`` never sorts a whole day. A candidate's rank is the number
+  of rows with a greater key (a histogram of key values, summed up per day)
+  plus the rows of equal key and smaller id (each such row finds its interval
+  among the candidates' ids; one count per interval).
+* ``daily_rank`` ranks *every* row: range partitioning splits a hot day over
+  many tasks, and a table of at most partitions + days rows turns local
+  positions into day ranks. Positions must be fixed before they are joined
+  back, so it works on numbered rows that the caller has stored.
 """
 
 from __future__ import annotations
@@ -24,12 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.schemas import GOLD_TOP_DAILY, columns
-from postlake.session import materialize
 
 TOP_DAILY_K = 10
-# Broadcast the top-k candidate keys only up to this many rows (measured
-# after materialising them); beyond it the join is a shuffle join.
-MAX_BROADCAST_ROWS = 1_000_000
+SALT = 64
 
 
 def _desc_then_id(order_col: str, id_col: str) -> list[Column]:
@@ -37,115 +39,94 @@ def _desc_then_id(order_col: str, id_col: str) -> list[Column]:
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int | None,
-                  rank_col: str | None = None) -> DataFrame:
-    """Keep the first ``n`` rows of each key group (``n`` None/0 = all)."""
+                  salt_by: list[str], rank_col: str | None = None) -> DataFrame:
+    """Keep the first ``n`` rows of each key group (``n`` None/0 = all).
+
+    ``salt_by`` names narrow columns whose hash deals a key's rows over
+    groups; any choice gives the same rows."""
     if not n:
         return df
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(n))
-    if rank_col:
-        return out.withColumnRenamed("_rn", rank_col)
-    return out.drop("_rn")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALT)))
+    inner = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    cut = salted.withColumn("_rn", F.row_number().over(inner)).filter(F.col("_rn") <= int(n)).drop("_rn", "_salt")
+    out = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
+             .filter(F.col("_rn") <= int(n))
+    return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
 # ---------------------------------------------------------------------------
 # Landing limits (the API's new(limit=N) / top(limit=N) / comment limit).
 
 def limit_newest_per_subreddit(raw: DataFrame, n: int = 50) -> DataFrame:
-    order = [F.col("created_utc_unix").desc_nulls_last(), F.col("submission_id").asc_nulls_last()]
-    return top_n_per_key(raw, ["ds", "subreddit"], order, n)
+    return top_n_per_key(raw, ["ds", "subreddit"], _desc_then_id("created_utc_unix", "submission_id"), n,
+                         ["submission_id", "retrieved_utc_unix"])
 
 
 def limit_top_per_subreddit(raw: DataFrame, n: int = 50) -> DataFrame:
-    return top_n_per_key(raw, ["ds", "subreddit"], _desc_then_id("score", "submission_id"), n)
+    return top_n_per_key(raw, ["ds", "subreddit"], _desc_then_id("score", "submission_id"), n,
+                         ["submission_id", "retrieved_utc_unix"])
 
 
 def limit_comments_per_submission(comments: DataFrame, n: int | None = 50) -> DataFrame:
-    """First ``n`` comments of each submission in thread order (creation
-    time, then id); ``n`` of 0 or None keeps all."""
+    """First ``n`` landed comments of each submission by creation time, then
+    id; ``n`` of 0 or None keeps all. (At landing the limit goes by position
+    in the comment list: ``flatten_comments(limit=n)``.)"""
     order = [F.col("created_utc_unix").asc_nulls_last(), F.col("comment_id").asc_nulls_last()]
-    return top_n_per_key(comments, ["ds", "submission_id"], order, n)
+    return top_n_per_key(comments, ["ds", "submission_id"], order, n, ["comment_id"])
 
 
 # ---------------------------------------------------------------------------
 # Daily top-k report.
 
-def gold_top_daily_window(silver: DataFrame, k: int = TOP_DAILY_K) -> DataFrame:
-    """Reference-shaped plan: two full-day windows + OR filter.
-
-    Kept as the test oracle; every day is sorted in one task (no group
-    limit can be pushed through the OR), so do not use it at scale.
-    """
-    ws = Window.partitionBy("ds").orderBy(*_desc_then_id("score", "content_id"))
-    wc = Window.partitionBy("ds").orderBy(*_desc_then_id("num_comments", "content_id"))
-    ranked = (silver.withColumn("rank_score", F.row_number().over(ws))
-              .withColumn("rank_comments", F.row_number().over(wc)))
-    out = ranked.filter((F.col("rank_score") <= k) | (F.col("rank_comments") <= k))
-    return out.select(*columns(GOLD_TOP_DAILY))
-
-
-def _before(r_key: Column, c_key: Column, r_id: Column, c_id: Column) -> Column:
-    """Row r sorts before candidate c in (key DESC NULLS LAST, id ASC)."""
-    tie = (r_id < c_id)
-    return (F.when(c_key.isNull(), r_key.isNotNull() | (r_key.isNull() & tie))
-            .otherwise(r_key.isNotNull() & ((r_key > c_key) | ((r_key == c_key) & tie))))
+def _ranks_of(cands: DataFrame, narrow: DataFrame, part_col: str, id_col: str, key: str, rank: str) -> DataFrame:
+    """``(part, id, rank)``: each candidate's place under one key."""
+    same = [part_col, "_key"]
+    rows_ = narrow.select(part_col, F.col(id_col).alias("_id"), F.col(key).alias("_key"))
+    earlier = Window.partitionBy(part_col).orderBy(F.col("_key").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    greater = rows_.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col(part_col).alias("_g_part"), F.col("_key").alias("_g_key"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_greater"))
+    ids = cands.groupBy(F.col(part_col).alias("_i_part"), F.col(key).alias("_i_key")).agg(
+        F.sort_array(F.collect_list(id_col)).alias("_ids"))
+    groups = ids.join(greater, (F.col("_i_part") == F.col("_g_part")) & F.col("_i_key").eqNullSafe(F.col("_g_key")))
+    groups = groups.select(F.col("_i_part").alias(part_col), F.col("_i_key").alias("_key"), "_ids", "_greater")
+    tied = rows_.join(ids, (F.col(part_col) == F.col("_i_part")) & F.col("_key").eqNullSafe(F.col("_i_key"))).filter(
+        F.col("_id") < F.element_at("_ids", -1)).select(
+        part_col, "_key", F.size(F.filter("_ids", lambda c: c <= F.col("_id"))).alias("_place"))
+    counts = tied.groupBy(*same, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    asked = groups.select(part_col, "_key", "_greater", F.posexplode("_ids").alias("_place", "_id"))
+    both = counts.select(*same, "_place", F.lit(0).alias("_kind"), "_n", F.lit(None).cast("bigint").alias("_greater"),
+                         F.lit(None).cast(cands.schema[id_col].dataType).alias("_id")).unionByName(
+        asked.select(*same, "_place", F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_n"), "_greater", "_id"))
+    up_to = Window.partitionBy(*same).orderBy("_place", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return (both.withColumn("_before", F.sum("_n").over(up_to)).filter("_kind = 1")
+            .select(part_col, F.col("_id").alias(id_col), (F.col("_greater") + F.col("_before") + 1).cast("int").alias(rank)))
 
 
 def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int = TOP_DAILY_K,
-                 part_col: str = "ds", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                 max_groups: int | None = None) -> DataFrame:
+                 part_col: str = "ds") -> DataFrame:
     """Rows in the top ``k`` of their ``part_col`` group by *any* of ``keys``
     (each key descending, NULLs last, ties by ``id_col``), with the exact
     rank under every key. ``keys`` is a list of (order column, rank column).
 
-    1. candidates from the narrow key columns only (no text is read or
-       sorted): top-k per group for each key, as partial group limits, so a
-       hot group reaches the shuffle as ≤ k rows per map task;
-    2. their count is bounded by k·len(keys)·groups when the caller knows
-       the groups (``max_groups``, e.g. the days of a run); otherwise they
-       are written once and counted in that write;
-    3. rank = 1 + number of the group's rows ordered before the candidate:
-       a join of the narrow rows with the candidates on ``part_col``
-       (broadcast within ``max_broadcast_rows``, else a shuffle join that
-       AQE splits when a group is skewed) and a partial aggregate;
-    4. the full rows of the ranked candidates: one pass over ``df`` joined
-       with the (broadcast) ranks.
-    ``id_col`` must be unique within a group (it is, per day, after dedup).
+    Candidates and ranks come from the narrow key columns; the full rows of
+    the ranked candidates are one more pass over ``df``, which should
+    therefore be a written table. ``id_col`` is unique within a group and not
+    NULL (it is, per day, after dedup and QC).
     """
-    order_cols = [c for c, _ in keys]
-    narrow = df.select(part_col, id_col, *order_cols)
-    tops = [top_n_per_key(narrow, [part_col], _desc_then_id(c, id_col), k) for c in order_cols]
+    narrow = df.select(part_col, id_col, *[c for c, _ in keys])
+    tops = [top_n_per_key(narrow, [part_col], _desc_then_id(c, id_col), k, [id_col]) for c, _ in keys]
     cands = reduce(lambda a, b: a.unionByName(b), tops).dropDuplicates([part_col, id_col])
-    bound = k * len(keys) * max_groups if max_groups is not None else None
-    if bound is not None and bound <= max_broadcast_rows:
-        n_cands = bound
-    else:
-        cands, n_cands = materialize(cands, "topk_candidates")
-    small = n_cands <= max_broadcast_rows
-
-    cand_keys = cands.select(F.col(part_col), F.col(id_col).alias("_c_id"),
-                             *[F.col(c).alias(f"_c_{i}") for i, c in enumerate(order_cols)])
-    rows_ = narrow.select(F.col(part_col), F.col(id_col).alias("_r_id"),
-                          *[F.col(c).alias(f"_r_{i}") for i, c in enumerate(order_cols)])
-    joined = rows_.join(F.broadcast(cand_keys) if small else cand_keys, part_col)
-    r_id, c_id = F.col("_r_id"), F.col("_c_id")
-    aggs = [(F.count_if(_before(F.col(f"_r_{i}"), F.col(f"_c_{i}"), r_id, c_id)) + 1)
-            .cast("int").alias(rank) for i, (_, rank) in enumerate(keys)]
-    ranks = joined.groupBy(part_col, "_c_id").agg(*aggs).withColumnRenamed("_c_id", id_col)
+    ranks = reduce(lambda a, b: a.join(b, [part_col, id_col]),
+                   [_ranks_of(cands, narrow, part_col, id_col, c, rank) for c, rank in keys])
     keep = reduce(lambda a, b: a | b, [F.col(rank) <= k for _, rank in keys])
-    ranks = ranks.filter(keep)
-    return df.join(F.broadcast(ranks) if small else ranks, [part_col, id_col])
-
+    return df.join(ranks.filter(keep), [part_col, id_col])
 
-def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, n_days: int | None = None) -> DataFrame:
-    """Daily top-k report by score or by comments, with both exact ranks.
 
-    Same rows and ranks as :func:`gold_top_daily_window`, without sorting a
-    whole day in one task.
-    """
-    out = top_k_either(silver, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")],
-                       k, "ds", max_broadcast_rows, n_days)
+def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K) -> DataFrame:
+    """Daily top-k report by score or by comments, with both exact ranks."""
+    out = top_k_either(silver, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")], k, "ds")
     return out.select(*columns(GOLD_TOP_DAILY))
 
 
@@ -155,43 +136,31 @@ def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K,
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
 
-def daily_rank(df: DataFrame, order_col: str, rank_col: str, id_col: str = "content_id",
-               keep: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by ds order by order_col desc, id)`` for
-    every row, without putting a whole day into one task.
-
-    The rows are range-partitioned on (ds, key, id) and sorted inside each
-    partition; the row's position in its partition is numbered in the same
-    stage, and the numbered rows are written once (so positions are fixed).
-    A per-(partition, day) count table — at most partitions + days − 1 rows,
-    broadcast — gives each partition's offset within its day.
-    """
-    keep = keep or []
+def number_rows(df: DataFrame, order_col: str, id_col: str = "content_id", keep: list[str] | None = None,
+                num_partitions: int | None = None) -> DataFrame:
+    """Rows in (day, key descending, id) order with their partition and the
+    position in it. Store the result before ranking it."""
     order = [F.col("ds").asc(), *_desc_then_id(order_col, id_col)]
-    cols = list(dict.fromkeys(["ds", id_col, order_col, *keep]))
-    base = df.select(*cols)
+    base = df.select(*dict.fromkeys(["ds", id_col, order_col, *(keep or [])]))
     parted = (base.repartitionByRange(num_partitions, *order) if num_partitions
               else base.repartitionByRange(*order))
-    numbered = (parted.sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-                .drop("_mid"))
-    numbered, _ = materialize(numbered, "daily_rank")
-
-    stats = numbered.groupBy("_pid", "ds").agg(F.count(F.lit(1)).alias("_n"),
-                                              F.min("_pos").alias("_first"))
+    return (parted.sortWithinPartitions(*order)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
+            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+            .drop("_mid"))
+
+
+def daily_rank(numbered: DataFrame, rank_col: str) -> DataFrame:
+    """``row_number() over (partition by ds order by key desc, id)`` of every
+    row of a *stored* :func:`number_rows`, without one task per day.
+
+    The per-(partition, day) counts are at most partitions + days - 1 rows; the
+    join leaves it to adaptive execution to broadcast them."""
+    stats = numbered.groupBy("_pid", "ds").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.partitionBy("ds").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    stats = stats.select("_pid", "ds", "_offset", "_first")
-    ranked = numbered.join(F.broadcast(stats), ["_pid", "ds"])
+    ranked = numbered.join(stats.select("_pid", "ds", "_offset", "_first"), ["_pid", "ds"])
     rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
+    cols = [c for c in numbered.columns if c not in ("_pid", "_pos")]
     return ranked.select(*cols, rank.alias(rank_col))
-
-
-def rank_by_score(silver: DataFrame) -> DataFrame:
-    return daily_rank(silver, "score", "rank_score")
-
-
-def rank_by_comments(silver: DataFrame) -> DataFrame:
-    return daily_rank(silver, "num_comments", "rank_comments")

@@ -65,7 +65,6 @@ oracle("gold_top_daily", ["silver"], TOP_DAILY_BODY.format(src="silver"))
 
 
 # --- bronze / silver steps ------------------------------------------------
-from postlake.functions import rules as R  # noqa: E402
 from postlake.oracle import sql as S  # noqa: E402
 
 oracle("bronze_dedup_latest", ["bronze_dedup"], f"SELECT {BRONZE_OUT} FROM bronze_dedup")
@@ -92,21 +91,21 @@ _scalar("bin_upvote_ratio", {"upvote_ratio": "upvote_ratio", "upvote_ratio_bin":
 _scalar("flag_trending", {"is_trending": S.trending_sql()})
 _scalar("categorize_text", {"text_category": S.category_sql()})
 _scalar("map_game_topic", {"raw_subreddit_name": "raw_subreddit_name", "game_topic": S.game_topic_sql()})
-_scalar("flag_game_topic", {"is_game_topic": f"NOT ({S.game_topic_sql()} = {S.q(R.GAME_TOPIC_DEFAULT)})"})
+_scalar("flag_game_topic", {"is_game_topic": f"NOT ({S.game_topic_sql()} = 'Other Game')"})
 _scalar("flag_candidate", {"is_ai_enrichment_candidate":
-                           f"({S.trending_sql()} = TRUE OR length(full_text) > {R.CANDIDATE_MIN_TEXT_LENGTH})"})
-_scalar("flag_edited", {"edited": "edited", "is_edited": f"NOT (edited = {S.q(R.EDITED_FALSE_LITERAL)})"})
+                           f"({S.trending_sql()} = TRUE OR length(full_text) > 500)"})
+_scalar("flag_edited", {"edited": "edited", "is_edited": f"NOT (edited = 'False')"})
 _scalar("concat_text", {"full_text": "full_text"})
 _scalar("text_length", {"text_length": "CAST(length(full_text) AS INTEGER)"})
-_scalar("in_list", {"in_game_specific": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[0][1]),
-                    "in_general_gaming": S.in_list_sql("raw_subreddit_name", R.CATEGORY_SUBREDDIT_RULES[1][1])})
+_scalar("in_list", {"in_game_specific": S.in_list_sql("raw_subreddit_name", S.GAME_SUBREDDITS),
+                    "in_general_gaming": S.in_list_sql("raw_subreddit_name", S.GENERAL_SUBREDDITS)})
 _scalar("ts_from_unix", {"created_utc_unix": "created_utc_unix", "created_ts": S.ts("created_utc_unix")})
 _scalar("iso_from_unix", {"created_iso": S.iso("created_utc_unix")})
 _scalar("date_from_string", {"created_date": "TRY_CAST(substr(raw_created_utc_str, 1, 10) AS DATE)"})
 _scalar("ai_sentiment", {"ai_sentiment": S.sentiment_sql("full_text")})
 _scalar("ai_topics", {"ai_topics": S.topics_sql("full_text")})
 
-_KWS = ", ".join(S.q(k) for _, ks in R.CATEGORY_KEYWORD_RULES for k in ks)
+_KWS = ", ".join(S.q(k) for _, ks in S.KEYWORDS for k in ks)
 oracle("match_keyword", ["bronze_dedup"], f"""
 SELECT ds, keyword,
   count(*) FILTER (WHERE coalesce(contains(lower(title), keyword), FALSE)
@@ -191,10 +190,10 @@ FROM (SELECT *,
 WHERE rank_score <= 10 OR rank_comments <= 10""")
 
 for _name, _key in (("limit_newest_per_subreddit", "created_utc_unix"), ("limit_top_per_subreddit", "score")):
-    oracle(_name, ["raw_v1"], f"""
-SELECT ds, subreddit, submission_id, {_key} FROM (
-  SELECT *, row_number() OVER (PARTITION BY ds, subreddit
-      ORDER BY {_key} DESC NULLS LAST, submission_id) AS rn FROM raw_v1) r
+    oracle(_name, ["bronze_dedup"], f"""
+SELECT ds, raw_subreddit_name AS subreddit, submission_id, {_key} FROM (
+  SELECT *, row_number() OVER (PARTITION BY ds, raw_subreddit_name
+      ORDER BY {_key} DESC NULLS LAST, submission_id) AS rn FROM bronze_dedup) r
 WHERE rn <= 10""")
 
 # --- landing ---------------------------------------------------------------
@@ -206,7 +205,7 @@ SELECT submission_id, retrieved_utc_unix, author_name, score, num_comments, upvo
   stickied, flair, permalink FROM landed_submissions""")
 oracle("distinct_by_key", ["raw_comments_fx"], """
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
+  SELECT *, row_number() OVER (PARTITION BY ds, comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
   FROM raw_comments_fx) d WHERE rn = 1""")
 oracle("limit_comments_per_submission", ["landed_comments"], """
 SELECT ds, submission_id, comment_id, created_utc_unix FROM (
@@ -271,3 +270,15 @@ FROM (SELECT ds, COUNT(*) AS raw_rows FROM raw_submissions_fx GROUP BY ds) r
 LEFT JOIN (SELECT ds, COUNT(*) AS deduped_rows,
              COUNT(*) FILTER (WHERE {S.QC_WHERE}) AS final_rows
            FROM bronze_dedup GROUP BY ds) k USING (ds)""")
+
+oracle("land_record_files", ["file_landed"], "SELECT * FROM file_landed")
+oracle("land_record_files_rejects", ["file_records"], """
+SELECT reject_reason AS _reject_reason, COUNT(*) AS rows FROM file_records
+WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
+oracle("land_record_files_edited", ["file_silver"], "SELECT ds, content_id, edited FROM file_silver")
+oracle("land_record_files_comments", ["file_landed_comments"], "SELECT * FROM file_landed_comments")
+oracle("land_comments_two_days", ["two_days_landed"], "SELECT * FROM two_days_landed")
+ORACLE["profiles_full_then_incremental"] = ORACLE["gold_author_profiles"]
+ORACLE["bronze_daily_runs"] = ORACLE["bronze_submissions"]
+oracle("bronze_daily_runs_all_days", ["bronze_dedup_all"], f"SELECT {BRONZE_OUT} FROM bronze_dedup_all WHERE {S.QC_WHERE}")
+ORACLE["topk_either_5000"] = ORACLE["topk_either"].replace("<= 10", "<= 5000")

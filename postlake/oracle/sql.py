@@ -1,16 +1,45 @@
 """DuckDB SQL for the correctness oracle.
 
-An independent SQL rendering of the fixtures and the pipeline layers, as
-CTEs over the pre-registered test tables. ``with_ctes(names, body)``
-assembles the CTE chain a query needs.
+A SQL rendering of the fixtures and the pipeline layers, as CTEs over the
+pre-registered test tables. ``with_ctes(names, body)`` assembles the CTE chain
+a query needs. Rules are stated here again as plain literals, and sentiment by
+its definition (tokens of the text), so a changed rule in the library makes a
+query differ; only the fixture's own constants are shared.
 """
 
 from __future__ import annotations
 
-from postlake.functions import rules as R
-from postlake.functions import text_ai as AI
 from postlake.sources import fixtures as FX
 
+# ---------------------------------------------------------------------------
+# The rules as the queries must apply them.
+KEYWORDS = [
+    ("Game Update/Patch", ["patch", "update"]),
+    ("Esports/Competitive", ["esports", "pro play", "tournament"]),
+    ("Trust & Safety: Malicious Behavior", ["hack", "cheat", "exploit", "bot", "toxicity", "abuse"]),
+    ("Bug Report/Technical", ["bug", "crash", "performance"]),
+    ("Lore/Story", ["lore", "story"]),
+    ("Player Feedback/Suggestions", ["feedback", "suggestion"]),
+    ("Gameplay Strategy/Tips", ["guide", "meta"]),
+    ("Community/Social", ["fan art", "meme"]),
+]
+GAME_SUBREDDITS = ["leagueoflegends", "valorant", "dota2", "apexlegends", "wildrift", "teamfighttactics",
+                   "legendsofruneterra"]
+GENERAL_SUBREDDITS = ["gaming", "pcgaming", "consolegaming", "games"]
+TOPIC_KEYWORDS = [
+    ("Game Update/Patch", ["patch", "update"]),
+    ("Bug Report/Technical", ["bug", "crash", "performance"]),
+    ("Esports/Competitive", ["esports", "pro play", "tournament"]),
+    ("Lore/Story", ["lore", "story"]),
+    ("Player Bots/Detected", ["hack", "cheat", "exploit", "bot", "toxicity", "abuse"]),
+    ("Player Feedback/Suggestions", ["feedback", "suggestion"]),
+    ("Gameplay Strategy/Tip", ["guide", "meta"]),
+    ("Community/Social", ["fan art", "meme"]),
+]
+POSITIVE_WORDS = ["love", "great", "good", "awesome", "fun", "best", "thanks", "amazing"]
+NEGATIVE_WORDS = ["hate", "bad", "awful", "broken", "worst", "terrible", "annoying", "toxic"]
+# ---------------------------------------------------------------------------
+
 
 def q(s: str | None) -> str:
     if s is None:
@@ -118,20 +147,22 @@ def _chain(cases: list[tuple[str, str]], default: str) -> str:
 
 
 def bin_score_sql(x: str = "score") -> str:
-    cases = [(f"{x} >= {lo}", label) for label, lo in R.SCORE_BINS] + [(f"{x} = 0", R.SCORE_BIN_ZERO)]
-    return _chain(cases, R.SCORE_BIN_ELSE)
+    return (f"CASE WHEN {x} >= 500 THEN '500+' WHEN {x} >= 100 THEN '100-499' WHEN {x} >= 10 THEN '10-99' "
+            f"WHEN {x} >= 1 THEN '1-9' WHEN {x} = 0 THEN '0' ELSE 'Negative' END")
 
 
 def bin_num_comments_sql(x: str = "num_comments") -> str:
-    return _chain([(f"{x} >= {lo}", label) for label, lo in R.NUM_COMMENTS_BINS], R.NUM_COMMENTS_BIN_ELSE)
+    return (f"CASE WHEN {x} >= 100 THEN '100+' WHEN {x} >= 50 THEN '50-99' WHEN {x} >= 10 THEN '10-49' "
+            f"WHEN {x} >= 1 THEN '1-9' ELSE '0' END")
 
 
 def bin_upvote_ratio_sql(x: str = "upvote_ratio") -> str:
-    return _chain([(f"{x} >= {lo}", label) for label, lo in R.UPVOTE_RATIO_BINS], R.UPVOTE_RATIO_BIN_ELSE)
+    return (f"CASE WHEN {x} >= 0.9 THEN 'Highly Upvoted (90%+)' WHEN {x} >= 0.7 THEN 'Mostly Upvoted (70-89%)' "
+            f"WHEN {x} >= 0.5 THEN 'Mixed (50-69%)' ELSE 'Mostly Downvoted (<50%)' END")
 
 
 def trending_sql(s: str = "score", n: str = "num_comments") -> str:
-    return f"({s} >= {R.TRENDING_MIN_SCORE} AND {n} >= {R.TRENDING_MIN_COMMENTS})"
+    return f"({s} >= 5 AND {n} >= 4)"
 
 
 def any_kw_sql(texts: list[str], kws: list[str]) -> str:
@@ -143,25 +174,31 @@ def in_list_sql(x: str, values: list[str]) -> str:
 
 
 def category_sql(t: str = "title", s: str = "selftext", sub: str = "raw_subreddit_name") -> str:
-    cases = [(any_kw_sql([t, s], kws), label) for label, kws in R.CATEGORY_KEYWORD_RULES]
-    cases += [(in_list_sql(sub, subs), label) for label, subs in R.CATEGORY_SUBREDDIT_RULES]
-    return _chain(cases, R.CATEGORY_DEFAULT)
+    cases = [(any_kw_sql([t, s], kws), label) for label, kws in KEYWORDS]
+    cases += [(in_list_sql(sub, GAME_SUBREDDITS), "Game Specific Discussion"),
+              (in_list_sql(sub, GENERAL_SUBREDDITS), "General Gaming Discussion")]
+    return _chain(cases, "Other")
 
 
 def game_topic_sql(sub: str = "raw_subreddit_name") -> str:
-    return _chain([(f"lower({sub}) = {q(k)}", label) for k, label in R.GAME_TOPICS], R.GAME_TOPIC_DEFAULT)
+    return f"""CASE lower({sub}) WHEN 'leagueoflegends' THEN 'League of Legends' WHEN 'valorant' THEN 'Valorant'
+      WHEN 'teamfighttactics' THEN 'Teamfight Tactics' WHEN 'legendsofruneterra' THEN 'Legends of Runeterra'
+      WHEN 'wildrift' THEN 'Wild Rift' WHEN 'dota2' THEN 'DotA 2' WHEN 'globaloffensive' THEN 'CS:GO'
+      WHEN 'apexlegends' THEN 'Apex Legends' WHEN 'heroesofthestorm' THEN 'Heroes of the Storm'
+      ELSE 'Other Game' END"""
 
 
 def sentiment_sql(x: str = "full_text") -> str:
-    pos = f"regexp_matches(lower({x}), {q(AI.POSITIVE_PATTERN)})"
-    neg = f"regexp_matches(lower({x}), {q(AI.NEGATIVE_PATTERN)})"
+    tokens = f"string_split_regex(lower({x}), '[^a-z]+')"
+    pos = f"list_has_any({tokens}, [{', '.join(q(w) for w in POSITIVE_WORDS)}])"
+    neg = f"list_has_any({tokens}, [{', '.join(q(w) for w in NEGATIVE_WORDS)}])"
     return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {pos} AND {neg} THEN 'mixed' "
             f"WHEN {pos} THEN 'positive' WHEN {neg} THEN 'negative' ELSE 'neutral' END")
 
 
 def topic_scores_sql(x: str = "full_text") -> list[str]:
     out = []
-    for _, kws in AI.AI_TOPIC_KEYWORDS:
+    for _, kws in TOPIC_KEYWORDS:
         out.append("(" + " + ".join(
             f"(CASE WHEN contains(lower({x}), {q(k)}) THEN 1 ELSE 0 END)" for k in kws) + ")")
     return out
@@ -171,15 +208,15 @@ def topics_sql(x: str = "full_text") -> str:
     scores = topic_scores_sql(x)
     best = "greatest(" + ", ".join(scores) + ")"
     whens = " ".join(f"WHEN {s} = {best} THEN {q(label)}"
-                     for (label, _), s in zip(AI.AI_TOPIC_KEYWORDS, scores))
-    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {best} = 0 THEN {q(AI.AI_TOPIC_DEFAULT)} "
-            f"{whens} ELSE {q(AI.AI_TOPIC_DEFAULT)} END")
+                     for (label, _), s in zip(TOPIC_KEYWORDS, scores))
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {best} = 0 THEN {q('Other')} "
+            f"{whens} ELSE {q('Other')} END")
 
 
 def enriched_sql(src: str = "bronze") -> str:
     return f"""
 SELECT *,
-  (is_trending = TRUE OR length(full_text) > {R.CANDIDATE_MIN_TEXT_LENGTH}) AS is_ai_enrichment_candidate
+  (is_trending = TRUE OR length(full_text) > 500) AS is_ai_enrichment_candidate
 FROM (
   SELECT *, concat_ws(' ', title, selftext) AS full_text, 'submission' AS text_type,
     {bin_score_sql()} AS score_bin, {bin_num_comments_sql()} AS num_comments_bin,
@@ -193,9 +230,9 @@ def silver_sql(src: str = "enriched") -> str:
 SELECT submission_id AS content_id, text_type AS content_type, author_name,
   raw_subreddit_name AS content_subreddit, title AS text_title, selftext AS text_content,
   url AS text_url, text_category, game_topic, flair AS class_type,
-  NOT (game_topic = {q(R.GAME_TOPIC_DEFAULT)}) AS is_game_topic,
+  NOT (game_topic = {q('Other Game')}) AS is_game_topic,
   {sentiment_sql()} AS ai_sentiment, {topics_sql()} AS ai_topics,
-  NOT (edited = {q(R.EDITED_FALSE_LITERAL)}) AS edited,
+  NOT (edited = {q('False')}) AS edited,
   is_trending, upvote_ratio_bin, num_comments_bin, score_bin, is_self, over_18,
   num_comments, score, spoiler, created_at_timestamp, _loaded_at_timestamp_utc, ds
 FROM {src} WHERE is_ai_enrichment_candidate"""
@@ -298,7 +335,7 @@ def land_submissions_sql(src: str) -> str:
 SELECT coalesce(author, '[deleted]') AS author_name,
   {iso(_unix('created_utc'))} AS created_utc,
   {_unix('created_utc')} AS created_utc_unix,
-  coalesce(edited, 'false') AS edited,
+  CASE edited WHEN 'true' THEN 'True' WHEN 'false' THEN 'False' ELSE coalesce(edited, 'false') END AS edited,
   link_flair_text AS flair,
   coalesce(is_self, FALSE) AS is_self,
   coalesce(num_comments, 0) AS num_comments,
@@ -323,7 +360,7 @@ SELECT author_name, body, comment_id, created_utc, created_utc_unix, edited, is_
   parent_id, permalink, retrieved_utc_unix, score, stickied, submission_id, ds,
   _loaded_at_timestamp_utc
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
+  SELECT *, row_number() OVER (PARTITION BY ds, comment_id ORDER BY retrieved_utc_unix DESC NULLS LAST) AS rn
   FROM (
     SELECT coalesce(author, '[deleted]') AS author_name, body, id AS comment_id,
       {iso(_unix('created_utc'))} AS created_utc, {_unix('created_utc')} AS created_utc_unix,
@@ -363,3 +400,53 @@ CTES.update({
     "landed_submissions": (land_submissions_sql("submission_records"), ["submission_records"]),
     "landed_comments": (land_comments_sql("comment_records"), ["comment_records"]),
 })
+
+
+# ---------------------------------------------------------------------------
+# Record files: the records with JSON edits, and what is wrong with each line.
+
+def file_records_sql() -> str:
+    return """
+SELECT * EXCLUDE (edited, first_line, doc),
+  CASE doc % 5 WHEN 0 THEN '1751155999.0' WHEN 1 THEN NULL WHEN 2 THEN 'true' ELSE 'false' END AS edited,
+  CASE WHEN doc % 53 = 0 THEN 'malformed_json' WHEN doc % 59 = 0 THEN 'missing:id'
+       WHEN doc % 41 = 0 THEN 'bad_type:score'
+       WHEN doc % 47 = 0 AND length(trim(first_line, ' ')) <> 0 THEN 'bad_comment' END AS reject_reason
+FROM (SELECT r.*, d.doc_id AS doc, string_split(d.text, chr(10))[1] AS first_line
+      FROM submission_records r JOIN documents d ON r.id = CAST(d.doc_id AS VARCHAR)) x"""
+
+
+def file_comments_sql(limit: int) -> str:
+    """Comment records of the good lines: the first comments of each list."""
+    created = f"({FX.EPOCH_BASE} + doc_id * {FX.SUBMISSION_STEP})"
+    return f"""
+SELECT id AS submission_id, concat(id, '-', CAST(pos AS VARCHAR)) AS id,
+  CASE WHEN pos = 0 THEN concat('t3_', id)
+       ELSE concat('t1_', id, '-', CAST((pos - 1) // 2 AS VARCHAR)) END AS parent_id,
+  line AS body, concat('u', CAST((doc_id + pos) % 97 AS VARCHAR)) AS author,
+  CAST((doc_id + pos * 7) % 50 - 3 AS BIGINT) AS score,
+  CAST({created} + pos * 60 AS DOUBLE) AS created_utc,
+  pos % 4 = 0 AS is_submitter, FALSE AS stickied, 'False' AS edited,
+  concat('/r/c/', id, '-', CAST(pos AS VARCHAR)) AS permalink, retrieved_utc
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, retrieved_utc ORDER BY pos) AS n FROM (
+    SELECT g.id, g.retrieved_utc, d.doc_id, unnest(string_split(d.text, chr(10))) AS line,
+      unnest(range(len(string_split(d.text, chr(10))))) AS pos
+    FROM file_good g JOIN documents d ON g.id = CAST(d.doc_id AS VARCHAR)) l
+  WHERE length(trim(line, ' ')) <> 0) c
+WHERE n <= {limit}"""
+
+
+CTES.update({
+    "file_records": (file_records_sql(), ["submission_records"]),
+    "file_good": ("SELECT * EXCLUDE (reject_reason) FROM file_records WHERE reject_reason IS NULL", ["file_records"]),
+    "file_landed": (land_submissions_sql("file_good"), ["file_good"]),
+    "file_bronze": (f"SELECT * FROM ({bronze_dedup_sql('file_landed')}) b WHERE {QC_WHERE}", ["file_landed"]),
+    "file_enriched": (enriched_sql("file_bronze"), ["file_bronze"]),
+    "file_silver": (silver_sql("file_enriched"), ["file_enriched"]),
+    "file_comments": (file_comments_sql(5), ["file_good"]),
+    "file_landed_comments": (land_comments_sql("file_comments"), ["file_comments"]),
+    "two_days": ("SELECT * FROM comment_records UNION ALL "
+                 "SELECT * REPLACE (retrieved_utc + 86400 AS retrieved_utc) FROM comment_records", ["comment_records"]),
+    "two_days_landed": (land_comments_sql("two_days"), ["two_days"]),
+})

@@ -2,9 +2,13 @@
 
 One job per layer for the whole range (not one job per day): every
 operator keeps ``ds`` in its keys, so a week or a year is one plan. Each
-layer is written (replace-where over the range) and read back by the next,
+layer is written (replace-where over the days) and read back by the next,
 so lineage is cut at every layer and a lost executor only re-runs tasks of
 the current layer. A single day is the range [d, d].
+
+Stored columns are checked against the declared ones before a run, written
+columns against theirs, and a NULL in a NOT NULL column fails the write, so
+a drifted input replaces nothing.
 """
 
 from __future__ import annotations
@@ -13,16 +17,16 @@ import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from postlake.functions.timefmt import ds_range
 from postlake.operators import gold as G
-from postlake.operators.bronze import BronzeCounts, bronze_submissions
+from postlake.operators.bronze import BronzeCounts, bronze_submissions, latest_days
 from postlake.operators.silver import silver_submissions
 from postlake.operators.topk import gold_top_daily
-from postlake.schemas import TABLES
-from postlake.session import apply_runtime_conf
-from postlake.sinks.tables import full_overwrite, read_table, replace_partitions, scan_range
+from postlake.schemas import TABLES, conform
+from postlake.sinks.tables import (check_table, create_table, full_overwrite, guard_not_null, partition_days,
+                                   read_table, replace_partitions, scan_days)
 
 PARTITIONED_GOLD = {
     "gold_sentiment_topic": G.gold_sentiment_topic,
@@ -30,7 +34,6 @@ PARTITIONED_GOLD = {
     "gold_topic_time_series": G.gold_topic_time_series,
     "gold_top_daily": gold_top_daily,
 }
-BOUNDED_BY_DAYS = {"gold_top_daily"}   # builders that take the run's day count
 
 
 @dataclass
@@ -42,49 +45,78 @@ class RunResult:
 
 def table_paths(root: str) -> dict[str, str]:
     root = root.rstrip("/")
-    names = [*TABLES, "author_daily_partials"]
-    return {n: f"{root}/{n}" for n in names}
-
-
-def run_range(spark: SparkSession, raw_path: str, out_root: str,
-              ds_from: str | _dt.date, ds_to: str | _dt.date, scope: str = "day",
-              incremental_profiles: bool = True, parallel_gold: bool = True) -> RunResult:
-    """Build bronze, silver and all gold tables for ``[ds_from, ds_to]``.
-
-    Author profiles cover all history. With ``incremental_profiles`` the
-    range's (author, day, topic) partials are written per day and the
-    profile is rolled up from all partials, so a daily run never re-scans
-    the whole silver history.
+    return {n: f"{root}/{n}" for n in TABLES}
+
+
+def _superseded_days(spark: SparkSession, bronze_path: str, raw: DataFrame, winners: DataFrame,
+                     days: list[_dt.date]) -> list[_dt.date]:
+    """Built days outside the run that still hold a submission of the run's
+    days whose latest version is elsewhere (narrow columns; at most one row
+    per built day reaches the driver)."""
+    others = sorted(set(partition_days(spark, bronze_path)) - set(days))
+    if not others:
+        return []
+    built = scan_days(spark, bronze_path, others, TABLES["bronze_submissions"][0]).select("submission_id", "ds")
+    touched = raw.select("submission_id").distinct()
+    stale = built.join(touched, "submission_id", "left_semi").join(winners, ["submission_id", "ds"], "left_anti")
+    return sorted(r["ds"] for r in stale.select("ds").distinct().collect())
+
+
+def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.date], scope: str = "day",
+             incremental_profiles: bool = True, parallel_gold: bool = True,
+             database: str | None = None) -> RunResult:
+    """Build bronze, silver and all gold tables for ``days``.
+
+    ``scope="day"`` keeps the latest version of a submission per day,
+    ``scope="all"`` over the whole raw table: a submission then stays only on
+    the day of its latest version, and earlier built days that lose one are
+    rebuilt too, so the tables do not depend on how days are cut into runs.
+
+    Author profiles cover all history: per-day partial sums are written with
+    every run, days of silver that lack them are filled in, and the profile
+    is rolled up from all of them (or, without ``incremental_profiles``, from
+    the whole silver table). ``database`` registers the tables there by name.
     """
-    apply_runtime_conf(spark)
-    days = ds_range(ds_from, ds_to)
     paths = table_paths(out_root)
-
-    raw = scan_range(spark, raw_path, ds_from, ds_to, TABLES["raw_submissions"][0])
+    raw_schema = TABLES["raw_submissions"][0]
+    check_table(spark, raw_path, raw_schema)
+    days = sorted(days)
+
+    def put(df: DataFrame, name: str, to: list[_dt.date]) -> None:
+        schema = TABLES[name][0]
+        replace_partitions(guard_not_null(conform(df, schema), schema), paths[name], to)
+
+    def layer(name: str, of: list[_dt.date]) -> DataFrame:
+        return scan_days(spark, paths[name], of, TABLES[name][0])
+
+    raw = scan_days(spark, raw_path, days, raw_schema)
+    whole = read_table(spark, raw_path, raw_schema) if scope == "all" else None
+    if whole is not None:
+        days = sorted({*days, *_superseded_days(spark, paths["bronze_submissions"], raw, latest_days(whole), days)})
+        raw = scan_days(spark, raw_path, days, raw_schema)
     counts = BronzeCounts()
-    replace_partitions(bronze_submissions(raw, scope, counts), paths["bronze_submissions"], days)
-
-    bronze = scan_range(spark, paths["bronze_submissions"], ds_from, ds_to, TABLES["bronze_submissions"][0])
-    replace_partitions(silver_submissions(bronze), paths["silver_submissions"], days)
-
-    silver = scan_range(spark, paths["silver_submissions"], ds_from, ds_to, TABLES["silver_submissions"][0])
+    put(bronze_submissions(raw, scope, counts, whole), "bronze_submissions", days)
+    put(silver_submissions(layer("bronze_submissions", days)), "silver_submissions", days)
+    silver = layer("silver_submissions", days)
 
     def profiles() -> None:
+        put(G.author_daily_partials(silver), "author_daily_partials", days)
         if incremental_profiles:
-            replace_partitions(G.author_daily_partials(silver), paths["author_daily_partials"], days)
-            built = G.author_profiles_from_partials(read_table(spark, paths["author_daily_partials"]))
+            behind = sorted(set(partition_days(spark, paths["silver_submissions"]))
+                            - set(partition_days(spark, paths["author_daily_partials"])))
+            if behind:
+                put(G.author_daily_partials(layer("silver_submissions", behind)), "author_daily_partials", behind)
+            built = G.author_profiles_from_partials(
+                read_table(spark, paths["author_daily_partials"], TABLES["author_daily_partials"][0]))
         else:
             built = G.gold_author_profiles(read_table(spark, paths["silver_submissions"],
                                                       TABLES["silver_submissions"][0]))
-        full_overwrite(built, paths["gold_author_profiles"])
+        schema = TABLES["gold_author_profiles"][0]
+        full_overwrite(guard_not_null(conform(built, schema), schema), paths["gold_author_profiles"])
 
     # The gold tables only depend on silver: submit them as concurrent jobs
     # (Spark schedules jobs from separate threads side by side).
-    def gold(name: str, build) -> None:
-        out = build(silver, n_days=len(days)) if name in BOUNDED_BY_DAYS else build(silver)
-        replace_partitions(out, paths[name], days)
-
-    jobs = [lambda n=name, b=build: gold(n, b) for name, build in PARTITIONED_GOLD.items()] + [profiles]
+    jobs = [lambda n=name, b=build: put(b(silver), n, days) for name, build in PARTITIONED_GOLD.items()] + [profiles]
     if parallel_gold:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(j) for j in jobs]:
@@ -92,9 +124,38 @@ def run_range(spark: SparkSession, raw_path: str, out_root: str,
     else:
         for j in jobs:
             j()
+    if database:
+        register_tables(spark, database, paths)
     return RunResult(days=days, paths=paths, bronze_counts=counts.as_dict())
 
 
+def run_range(spark: SparkSession, raw_path: str, out_root: str,
+              ds_from: str | _dt.date, ds_to: str | _dt.date, scope: str = "day",
+              incremental_profiles: bool = True, parallel_gold: bool = True,
+              database: str | None = None) -> RunResult:
+    """:func:`run_days` for every day of ``[ds_from, ds_to]``."""
+    return run_days(spark, raw_path, out_root, ds_range(ds_from, ds_to), scope, incremental_profiles,
+                    parallel_gold, database)
+
+
 def run_day(spark: SparkSession, raw_path: str, out_root: str, ds: str | _dt.date,
             scope: str = "day") -> RunResult:
     return run_range(spark, raw_path, out_root, ds, ds, scope)
+
+
+def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -> list[str]:
+    """Register the written tables under their names (if missing) and pick up
+    their new partitions; returns the qualified names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, path in paths.items():
+        schema, parts = TABLES[name]
+        if name.startswith("raw_"):
+            continue
+        qualified = f"{database}.{name}"
+        create_table(spark, qualified, schema, parts, location=path)
+        spark.catalog.refreshTable(qualified)
+        if parts:
+            spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+        names.append(qualified)
+    return names

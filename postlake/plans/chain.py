@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.operators.bronze import bronze_submissions
 from postlake.operators.silver import silver_submissions
-from postlake.session import apply_runtime_conf
 from postlake.sources.fixtures import first_fetch, raw_submissions_fx
 
 def silver_from_raw(raw: DataFrame, scope: str = "day") -> DataFrame:
@@ -18,7 +17,6 @@ def silver_from_raw(raw: DataFrame, scope: str = "day") -> DataFrame:
 
 
 def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_runtime_conf(spark)
     return raw_submissions_fx(spark, sf_dir)
 
 

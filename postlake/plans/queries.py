@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlake.operators import gold as G
 from postlake.operators import topk as K
 from postlake.plans.chain import bronze_fx, silver_fx
+from postlake.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,7 +41,8 @@ register("gold_topic_trends")(_on_silver(G.gold_topic_trends))
 register("gold_sentiment_topic")(_on_silver(G.gold_sentiment_topic))
 register("gold_topic_time_series")(_on_silver(G.gold_topic_time_series))
 register("gold_author_profiles")(_on_silver(G.gold_author_profiles))
-register("gold_top_daily")(_on_silver(K.gold_top_daily))
+# the report reads silver as a written table, as run_range does
+register("gold_top_daily")(lambda spark, d: K.gold_top_daily(stored(silver_fx(spark, d), "silver")))
 
 
 # --- bronze / silver steps ------------------------------------------------
@@ -62,8 +64,6 @@ def _q_dedup(spark, d):
 @register("bronze_dedup_all_days")
 def _q_dedup_all(spark, d):
     from postlake.sources.fixtures import raw_submissions_fx
-    from postlake.session import apply_runtime_conf
-    apply_runtime_conf(spark)
     return bronze_project(dedup_latest(raw_submissions_fx(spark, d, scope="all"), scope="all"))
 
 
@@ -130,14 +130,16 @@ _scalar("ai_topics", lambda: {"ai_topics": AI.ai_topics("full_text")})
 
 @register("match_keyword")
 def _q_kw(spark, d):
-    """Per day and keyword: submissions whose title or self text contains it."""
-    b = bronze_dedup_fx(spark, d)
+    """Per day and keyword: submissions whose title or self text contains it
+    (one conditional count per keyword; the few result rows are unpivoted)."""
+    b = bronze_dedup_fx(spark, d).select("ds", F.lower("title").alias("t"), F.lower("selftext").alias("s"))
     kws = [k for _, ks in R.CATEGORY_KEYWORD_RULES for k in ks]
-    e = b.select("ds", F.lower("title").alias("t"), F.lower("selftext").alias("s"),
-                 F.explode(F.array(*[F.lit(k) for k in kws])).alias("keyword"))
-    hit = F.coalesce(F.col("t").contains(F.col("keyword")), F.lit(False)) | \
-        F.coalesce(F.col("s").contains(F.col("keyword")), F.lit(False))
-    return e.groupBy("ds", "keyword").agg(F.count_if(hit).alias("hits"))
+    counts = b.groupBy("ds").agg(*[
+        F.count_if(F.coalesce(R.match_keyword(F.col("t"), k), F.lit(False))
+                   | F.coalesce(R.match_keyword(F.col("s"), k), F.lit(False))).alias(f"k{i}")
+        for i, k in enumerate(kws)])
+    pairs = F.array(*[F.struct(F.lit(k).alias("keyword"), F.col(f"k{i}").alias("hits")) for i, k in enumerate(kws)])
+    return counts.select("ds", F.inline(pairs))
 
 
 @register("ai_custom_model")
@@ -179,62 +181,74 @@ for _name in ("doc_subreddit_activity_daily", "doc_subreddit_activity_weekly",
     register(_name)(_on_silver(getattr(G, _name)))
 
 # --- windows / top-k --------------------------------------------------------
-register("rank_by_score")(_on_silver(K.rank_by_score))
-register("rank_by_comments")(_on_silver(K.rank_by_comments))
+def _ranked(order_col: str, rank_col: str) -> Query:
+    """Every silver row's daily rank: rows are numbered, stored, then ranked."""
+    def q(spark, d):
+        numbered = stored(K.number_rows(silver_fx(spark, d), order_col), "numbered")
+        return K.daily_rank(numbered, rank_col)
+    return q
+
+
+register("rank_by_score")(_ranked("score", "rank_score"))
+register("rank_by_comments")(_ranked("num_comments", "rank_comments"))
+
+
 @register("rank_or_filter")
 def _q_rank_or(spark, d):
-    """``rank_score <= 10 OR rank_comments <= 10`` on silver, via the
-    candidate plan (the two-window plan is kept only as a test oracle)."""
-    s = silver_fx(spark, d)
-    out = K.top_k_either(s, "content_id", [("score", "rank_score"), ("num_comments", "rank_comments")], 10)
-    return out.select("ds", "content_id", "score", "num_comments", "rank_score", "rank_comments")
+    """``rank_score <= 10 OR rank_comments <= 10`` from the two full daily
+    ranks (not the candidate plan of gold_top_daily)."""
+    by_score = _ranked("score", "rank_score")(spark, d)
+    by_comments = _ranked("num_comments", "rank_comments")(spark, d)
+    both = by_score.join(by_comments, ["ds", "content_id"])
+    out = both.filter("rank_score <= 10 OR rank_comments <= 10")
+    return out.select("ds", "content_id", "score", "num_comments", F.col("rank_score").cast("int").alias("rank_score"),
+                      F.col("rank_comments").cast("int").alias("rank_comments"))
+
+
+def _topk_bronze(k: int) -> Query:
+    def q(spark, d):
+        b = stored(bronze_fx(spark, d), "bronze")
+        out = K.top_k_either(b, "submission_id", [("score", "rank_score"), ("num_comments", "rank_comments")], k)
+        return out.select("ds", "submission_id", "score", "num_comments", "rank_score", "rank_comments")
+    return q
 
 
-@register("topk_either")
-def _q_topk_either(spark, d):
-    """Top-10 by score or by comments over bronze rows, both ranks exact."""
-    b = bronze_fx(spark, d)
-    out = K.top_k_either(b, "submission_id", [("score", "rank_score"),
-                                               ("num_comments", "rank_comments")], 10)
-    return out.select("ds", "submission_id", "score", "num_comments", "rank_score", "rank_comments")
+# Top-k by score or by comments over bronze rows, both ranks exact.
+register("topk_either")(_topk_bronze(10))
+register("topk_either_5000")(_topk_bronze(5000))
 
 
 @register("limit_newest_per_subreddit")
 def _q_newest(spark, d):
-    from postlake.sources.fixtures import first_fetch
-    r = K.limit_newest_per_subreddit(first_fetch(raw_fx(spark, d)), n=10)
+    """The newest 10 submissions (latest version of each) per day and subreddit."""
+    r = K.limit_newest_per_subreddit(dedup_latest(raw_fx(spark, d)), n=10)
     return r.select("ds", "subreddit", "submission_id", "created_utc_unix")
 
 
 @register("limit_top_per_subreddit")
 def _q_top(spark, d):
-    from postlake.sources.fixtures import first_fetch
-    r = K.limit_top_per_subreddit(first_fetch(raw_fx(spark, d)), n=10)
+    r = K.limit_top_per_subreddit(dedup_latest(raw_fx(spark, d)), n=10)
     return r.select("ds", "subreddit", "submission_id", "score")
 
 
 # --- landing ---------------------------------------------------------------
 from postlake.sources import fixtures as FXS  # noqa: E402
 from postlake.sources import landing as L  # noqa: E402
-from postlake.session import apply_runtime_conf  # noqa: E402
 
 
 @register("land_submissions")
 def _q_land_sub(spark, d):
-    apply_runtime_conf(spark)
     return L.land_submissions(FXS.submission_records_fx(spark, d))
 
 
 @register("land_comments")
 def _q_land_com(spark, d):
-    apply_runtime_conf(spark)
     return L.land_comments(FXS.comment_records_fx(spark, d))
 
 
 @register("normalize_defaults")
 def _q_defaults(spark, d):
     """Only the defaulted fields of landed submissions."""
-    apply_runtime_conf(spark)
     r = L.land_submissions(FXS.submission_records_fx(spark, d))
     return r.select("submission_id", "retrieved_utc_unix", "author_name", "score", "num_comments",
                     "upvote_ratio", "edited", "stickied", "flair", "permalink")
@@ -242,13 +256,11 @@ def _q_defaults(spark, d):
 
 @register("distinct_by_key")
 def _q_distinct(spark, d):
-    apply_runtime_conf(spark)
-    return L.distinct_by_key(FXS.raw_comments_fx(spark, d), "comment_id")
+    return L.distinct_by_key(FXS.raw_comments_fx(spark, d), ["ds", "comment_id"])
 
 
 @register("limit_comments_per_submission")
 def _q_limit_comments(spark, d):
-    apply_runtime_conf(spark)
     c = L.land_comments(FXS.comment_records_fx(spark, d))
     return K.limit_comments_per_submission(c, n=3).select(
         "ds", "submission_id", "comment_id", "created_utc_unix")
@@ -256,29 +268,80 @@ def _q_limit_comments(spark, d):
 
 @register("flatten_comments")
 def _q_flatten(spark, d):
-    apply_runtime_conf(spark)
     return L.flatten_comments(FXS.nested_submissions_fx(spark, d))
 
 
 @register("union_sources")
 def _q_union(spark, d):
-    """Landings of each fetch round, concatenated by name."""
-    apply_runtime_conf(spark)
+    """Three sources (one folder each, by fetch round) written apart, read back
+    in one scan and landed together."""
     recs = FXS.submission_records_fx(spark, d)
-    rounds = [L.land_submissions(recs.filter((F.col("retrieved_utc") - F.col("created_utc")) == i * 3600))
-              for i in range(3)]
-    return L.union_sources(rounds)
+    root = scratch_path(spark, "sources")
+    fetch = ((F.col("retrieved_utc") - F.col("created_utc")) / FXS.FETCH_STEP).cast("int")
+    recs.withColumn("source", fetch).write.partitionBy("source").parquet(root)
+    good, _ = L.reject_bad_rows(L.read_records(spark, [f"{root}/source={i}" for i in range(3)], fmt="parquet"))
+    return L.land_submissions(good)
 
 
 @register("reject_bad_rows")
 def _q_reject(spark, d):
-    """Outcome counts of lenient JSON parsing: good rows and rejects by reason."""
-    apply_runtime_conf(spark)
+    """Outcome counts of lenient JSON parsing: good rows and rejects by reason
+    (one parse, grouped by outcome)."""
     parsed = L.parse_submission_json(FXS.submission_json_lines_fx(spark, d))
-    good, bad = L.reject_bad_rows(parsed)
-    counts_bad = bad.groupBy(F.col("_reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
-    counts_good = good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("ok").alias("outcome"), "rows")
-    return counts_good.unionByName(counts_bad)
+    return parsed.groupBy(F.coalesce("_reject_reason", F.lit("ok")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def _record_files(spark, d) -> str:
+    """JSON record files of all documents, with broken lines, wrong types,
+    boolean ``edited`` and nested comments."""
+    path = scratch_path(spark, "records")
+    FXS.record_lines_fx(spark, d).write.text(path)
+    return path
+
+
+def _landed_files(spark, d, **limits) -> dict[str, str]:
+    root = scratch_path(spark, "landed")
+    paths = {n: f"{root}/{n}" for n in ("raw_submissions", "raw_comments", "rejects")}
+    land_files(spark, _record_files(spark, d), paths["raw_submissions"], paths["raw_comments"],
+               paths["rejects"], **limits)
+    return paths
+
+
+@register("land_record_files")
+def _q_land_files(spark, d):
+    """Submissions landed from dirty JSON files: good rows only."""
+    paths = _landed_files(spark, d)
+    return ST.scan_full(spark, paths["raw_submissions"], RAW_SUBMISSIONS)
+
+
+@register("land_record_files_rejects")
+def _q_land_rejects(spark, d):
+    paths = _landed_files(spark, d)
+    return spark.read.parquet(paths["rejects"]).groupBy("_reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("land_record_files_edited")
+def _q_land_edited(spark, d):
+    """The silver ``edited`` flag of submissions landed from those files."""
+    paths = _landed_files(spark, d)
+    raw = ST.scan_full(spark, paths["raw_submissions"], RAW_SUBMISSIONS)
+    return silver_from_raw(raw).select("ds", "content_id", "edited")
+
+
+@register("land_record_files_comments")
+def _q_land_comments_files(spark, d):
+    """Nested comments of the files, the first five of each list, landed."""
+    paths = _landed_files(spark, d, comment_limit=5)
+    return ST.scan_full(spark, paths["raw_comments"], RAW_COMMENTS)
+
+
+@register("land_comments_two_days")
+def _q_land_comments_days(spark, d):
+    """Comments fetched again a day later, both days landed in one call."""
+    recs = FXS.comment_records_fx(spark, d)
+    later = recs.withColumn("retrieved_utc", F.col("retrieved_utc") + 86400)
+    return L.land_comments(recs.unionByName(later))
 
 
 # --- sinks, scans, publish, changes, backfill ----------------------------
@@ -288,7 +351,9 @@ import datetime as _dt  # noqa: E402
 
 from postlake.plans.backfill import run_range  # noqa: E402
 from postlake.plans.chain import silver_v1_fx  # noqa: E402
-from postlake.schemas import (GOLD_AUTHOR_PROFILES, RAW_SUBMISSIONS, SILVER_SUBMISSIONS,  # noqa: E402
+from postlake.plans.chain import silver_from_raw  # noqa: E402
+from postlake.plans.landing import land_files  # noqa: E402
+from postlake.schemas import (GOLD_AUTHOR_PROFILES, RAW_COMMENTS, RAW_SUBMISSIONS, SILVER_SUBMISSIONS,  # noqa: E402
                               TABLES)
 from postlake.session import scratch_path  # noqa: E402
 from postlake.sinks import tables as ST  # noqa: E402
@@ -387,6 +452,32 @@ def _q_backfill_profiles(spark, d):
     return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
 
 
+@register("profiles_full_then_incremental")
+def _q_profiles_mixed(spark, d):
+    """Six days with profiles from silver, then the last day incrementally."""
+    raw_path, out = _land_raw(spark, d), scratch_path(spark, "lake")
+    run_range(spark, raw_path, out, FX_DAYS[0], FX_DAYS[-2], incremental_profiles=False)
+    paths = run_range(spark, raw_path, out, FX_DAYS[-1], FX_DAYS[-1]).paths
+    return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
+
+
+def _daily_runs(scope: str) -> Query:
+    """Bronze of the week after seven runs of one day each, where every run
+    sees the raw days landed so far."""
+    def q(spark, d):
+        raw = FXS.raw_submissions_fx(spark, d, scope)
+        raw_path, out = scratch_path(spark, "raw_submissions"), scratch_path(spark, "lake")
+        for day in FX_DAYS:
+            ST.replace_partition(raw.filter(F.col("ds") == F.lit(day)), raw_path, day)
+            paths = run_range(spark, raw_path, out, day, day, scope).paths
+        return ST.scan_full(spark, paths["bronze_submissions"], TABLES["bronze_submissions"][0])
+    return q
+
+
+register("bronze_daily_runs")(_daily_runs("day"))
+register("bronze_daily_runs_all_days")(_daily_runs("all"))
+
+
 @register("qc_report")
 def _q_qc_report(spark, d):
     from postlake.operators.bronze import qc_report

@@ -86,6 +86,14 @@ GOLD_TOP_DAILY = _struct(
     "ai_sentiment STRING, ai_topics STRING, rank_score INT, rank_comments INT"
 )
 
+# Mergeable daily sums behind the author profiles (keyed by topic as well, so
+# that the distinct-topic count of the rollup is exact).
+AUTHOR_DAILY_PARTIALS = _struct(
+    "author_name STRING, ds DATE, game_topic STRING, n BIGINT, score_sum BIGINT, score_n BIGINT, "
+    "comments_sum BIGINT, comments_n BIGINT, trending_n BIGINT, positive_n BIGINT, "
+    "first_seen TIMESTAMP, last_seen TIMESTAMP"
+)
+
 # name -> (schema, partition columns)
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "raw_submissions": (RAW_SUBMISSIONS, ("ds",)),
@@ -97,6 +105,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "gold_topic_time_series": (GOLD_TOPIC_TIME_SERIES, ("ds",)),
     "gold_author_profiles": (GOLD_AUTHOR_PROFILES, ()),
     "gold_top_daily": (GOLD_TOP_DAILY, ("ds",)),
+    "author_daily_partials": (AUTHOR_DAILY_PARTIALS, ("ds",)),
 }
 
 

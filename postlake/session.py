@@ -2,45 +2,34 @@
 
 Nothing here builds a cluster; on a cluster the session comes from the
 launcher and we only *read* its settings. ``scratch_path`` uses the shared
-folder named in ``spark.checkpoint.dir`` and only creates a local one when
-the session has none (local tests).
+folder named in ``spark.checkpoint.dir``; only a local session may go without.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_TIME_ZONE = "UTC"
 
-# Runtime SQL settings every operator relies on. They are plain session
-# confs, so they can be (re)applied to a session someone else built.
-RUNTIME_CONF = {
+# Settings of the sessions that this library itself creates (tests, bench,
+# command line without a session). A session that someone else built keeps
+# its own settings: no operator or query changes them.
+LOCAL_CONF = {
     "spark.sql.session.timeZone": SESSION_TIME_ZONE,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Coalesce shuffle partitions to the advisory size instead of keeping
-    # them small for parallelism: right-sized tasks and output files (each
-    # write task writes one file per day it holds).
+    # them small for parallelism: right-sized tasks and output files.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    # Constraint inference grows combinatorially over the long CASE chains
-    # of the rule labels once plans are unioned / filtered again (heap
-    # exhaustion in the optimizer); the filters we need are written out.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
-def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
-    return spark
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "postlake", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and the local bench (UI off, UTC, AQE on)."""
@@ -58,56 +47,64 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return apply_runtime_conf(spark)
+    for key, value in LOCAL_CONF.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads the directory the SparkContext already uses, or the
-    ``spark.checkpoint.dir`` setting (cluster). Only when neither is set
-    (local tests) a fresh local folder is created and registered.
+    ``spark.checkpoint.dir`` setting. Only a local session (one machine) may
+    go without: it gets a temporary folder. On a cluster a missing folder is
+    an error, since executors could not see each other's files.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    else:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="postlake-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root."""
+    """A new, unique folder below the shared checkpoint root; deleted by
+    :func:`drop_scratch`, :func:`clear_scratch` or when the driver ends."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark, path))
+    return path
 
 
-def materialize(df, name: str):
-    """Write ``df`` once to a new folder under the shared checkpoint root and
-    read it back: lineage is cut, a lost executor cannot change the rows, and
-    the row count comes from an Observation of that same write job.
-
-    Returns (read-back DataFrame, row count).
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a new shared folder and read it back: lineage is
+    cut, and a lost executor cannot change or lose the rows. This is an
+    action; operators that need one take their stored input from the caller.
     """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    seen = Observation(f"materialize_{name}")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def observed(seen) -> dict | None:
+    """The metrics of a finished write; None if adaptive execution found the
+    written plan empty and dropped the observing node with it."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        return seen.get or None
+    except Py4JJavaError:
+        return None
 
 
 def drop_scratch(spark: SparkSession, path: str) -> bool:
@@ -120,7 +117,24 @@ def drop_scratch(spark: SparkSession, path: str) -> bool:
     root = checkpoint_root(spark).rstrip("/")
     if not path.startswith(root + "/") or path.rstrip("/") == root:
         raise ValueError(f"not a scratch folder of this session: {path}")
+    _SCRATCH[:] = [(s, p) for s, p in _SCRATCH if p != path]
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access from PySpark
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
     return bool(fs.delete(hpath, True))
+
+
+def clear_scratch() -> int:
+    """Delete the scratch folders of this process that are still there (once
+    their results are read); returns how many were deleted."""
+    dropped = 0
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            dropped += drop_scratch(spark, path)
+        except Exception:  # noqa: BLE001 - the session of that folder has ended
+            continue
+    return dropped
+
+
+atexit.register(clear_scratch)

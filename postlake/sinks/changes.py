@@ -3,8 +3,8 @@
 Open replacement for a table format's change-data feed: given the rows of
 a table (or some of its partitions) before and after a write, emit
 ``insert`` / ``delete`` / ``update_preimage`` / ``update_postimage`` rows.
-Unchanged rows are dropped. One full-outer join on the key (a sort-merge
-join: both sides are large, keys are unique so nothing is skewed).
+Unchanged rows are dropped. Both versions first meet as key and 128-bit row
+digest only; whole rows are read again for the keys that changed.
 """
 
 from __future__ import annotations
@@ -15,18 +15,47 @@ from pyspark.sql import functions as F
 CHANGE_COL = "_change_type"
 
 
+def _digests(df: DataFrame, keys: list[str], values: list[str], prefix: str) -> DataFrame:
+    """Key, row digest (two 64-bit hashes and which values are NULL), and
+    whether the key is unique in its version."""
+    nulls = F.concat(*[F.when(F.col(v).isNull(), "1").otherwise("0") for v in values]) if values else F.lit("")
+    digest = F.struct(F.xxhash64(F.lit(0), *values), F.xxhash64(F.lit(1), *values), nulls)
+    return df.groupBy(*keys).agg(F.min(digest).alias(f"_{prefix}"), F.count(F.lit(1)).alias(f"_{prefix}_n"))
+
+
 def partition_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys must be unique and non-NULL in each version.
+    """Change rows by ``keys``, which may be NULL (a NULL key equals itself).
 
-    Row equality is null-safe over all non-key columns (``<=>`` on a struct),
-    so it is exact, with no hash collisions.
+    A key that a version holds more than once fails the job. Rows are equal if
+    their values are (NULL equal to NULL); the digests only choose which rows
+    to compare, so a change is missed with probability 2^-128.
     """
     values = [c for c in after.columns if c not in keys]
     if sorted(values) != sorted(c for c in before.columns if c not in keys):
         raise ValueError("versions differ in columns")
-    b = before.select(*keys, F.struct(*values).alias("_b"))
-    a = after.select(*keys, F.struct(*values).alias("_a"))
-    j = b.join(a, keys, "full_outer").filter(~F.col("_b").eqNullSafe(F.col("_a")))
+
+    def renamed(df: DataFrame, prefix: str) -> DataFrame:
+        return df.withColumnsRenamed({k: f"_{prefix}_{k}" for k in keys})
+
+    def joined(left: DataFrame, lp: str, right: DataFrame, rp: str, how: str) -> DataFrame:
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(f"_{lp}_{k}").eqNullSafe(F.col(f"_{rp}_{k}"))
+        return renamed(left, lp).join(renamed(right, rp), on, how)
+
+    def either(lp: str, rp: str, missing: str) -> list:
+        """The keys of a full join: the side that has a row."""
+        return [F.when(F.col(missing).isNull(), F.col(f"_{rp}_{k}")).otherwise(F.col(f"_{lp}_{k}")).alias(k) for k in keys]
+
+    b, a = _digests(before, keys, values, "b"), _digests(after, keys, values, "a")
+    unique = F.when(F.greatest(F.coalesce("_b_n", F.lit(0)), F.coalesce("_a_n", F.lit(0))) > 1,
+                    F.raise_error(F.lit("a version holds a key more than once")).cast("boolean")).otherwise(F.lit(True))
+    changed = joined(b, "p", a, "q", "full_outer").where(
+        unique & ~F.col("_b").eqNullSafe(F.col("_a"))).select(*either("p", "q", "_b"))
+    whole = [joined(df.select(*keys, F.struct(*values).alias(name)), "p", changed, "q", "left_semi")
+             .withColumnsRenamed({f"_p_{k}": k for k in keys}) for df, name in ((before, "_b"), (after, "_a"))]
+    j = joined(whole[0], "p", whole[1], "q", "full_outer").filter(~F.col("_b").eqNullSafe(F.col("_a"))).select(
+        *either("p", "q", "_b"), "_b", "_a")
 
     def tagged(kind: str, row: str):
         return F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row"))

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions.timefmt import parse_ds
-from postlake.session import drop_scratch, scratch_path
+from postlake.schemas import check_schema
+from postlake.session import drop_scratch, observed, scratch_path
 
 PARTITION_COL = "ds"
 
@@ -57,12 +58,51 @@ def scan_range(spark: SparkSession, path: str, ds_from: str | _dt.date, ds_to: s
         F.col(PARTITION_COL).between(F.lit(parse_ds(ds_from)), F.lit(parse_ds(ds_to))))
 
 
+def scan_days(spark: SparkSession, path: str, days: Iterable[str | _dt.date],
+              schema: T.StructType | None = None) -> DataFrame:
+    return read_table(spark, path, schema).filter(F.col(PARTITION_COL).isin(*[F.lit(d) for d in _dates(days)]))
+
+
+def partition_days(spark: SparkSession, path: str) -> list[_dt.date]:
+    """Days that have a partition folder (a file listing, no job)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access from PySpark
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(root):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    prefix = PARTITION_COL + "="
+    return sorted(parse_ds(n.removeprefix(prefix)) for n in names
+                  if n.startswith(prefix) and n.removeprefix(prefix)[:1].isdigit())
+
+
+#: Partition column that streaming adds to the raw table.
+STREAM_BATCH_COL = "batch_id"
+
+
+def check_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Fail if the stored columns of a table are not the declared ones."""
+    got = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields
+           if f.name != STREAM_BATCH_COL}
+    want = {f.name: f.dataType.simpleString() for f in schema.fields}
+    if got != want:
+        raise ValueError(f"schema drift in {path}: got {sorted(set(got.items()) - set(want.items()))}, "
+                         f"want {sorted(set(want.items()) - set(got.items()))}")
+
+
 def scan_full(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return read_table(spark, path, schema)
 
 
+def clustered(df: DataFrame, cols: tuple[str, ...] = (PARTITION_COL,)) -> DataFrame:
+    """Rows gathered by partition value before a partitioned write: a task
+    holds one day (or a part of a large one, which adaptive execution
+    splits), so it writes one file, not one per day it happens to hold."""
+    return df.hint("rebalance", *cols)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...] = (PARTITION_COL,)) -> None:
-    (df.write.mode("overwrite")
+    (clustered(df, partition_cols).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
        .parquet(path))
@@ -81,10 +121,14 @@ def _guard_days(df: DataFrame, days: list[_dt.date]) -> DataFrame:
         F.raise_error(msg).cast("date")))
 
 
-def _clear_partition(spark: SparkSession, df: DataFrame, path: str, day: _dt.date) -> None:
-    """Replace one partition folder with an empty one (same schema)."""
-    empty = spark.createDataFrame([], df.drop(PARTITION_COL).schema)
-    empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{PARTITION_COL}={day.isoformat()}")
+def _clear_partitions(spark: SparkSession, path: str, days: list[_dt.date]) -> None:
+    """Remove the folders of the given days (file system calls, no jobs)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access from PySpark
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    for day in days:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{PARTITION_COL}={day.isoformat()}"), True)
 
 
 def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date]) -> list[_dt.date]:
@@ -103,13 +147,24 @@ def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date])
     seen = Observation("replaced_days")
     guarded = _guard_days(df, wanted).observe(seen, F.collect_set(PARTITION_COL).alias("days"))
     overwrite_partitions(guarded, path)
-    present = set(seen.get["days"] or [])
+    present = set((observed(seen) or {}).get("days") or [])
     cleared = [d for d in wanted if d not in present]
-    for d in cleared:
-        _clear_partition(spark, df, path, d)
+    _clear_partitions(spark, path, cleared)
     return cleared
 
 
+def guard_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Exactly the declared columns, and a NULL in a NOT NULL column fails the
+    job that writes them, before anything is replaced."""
+    check_schema(df, schema)
+    out = df
+    for name in not_null_columns(schema):
+        kind = schema[name].dataType
+        fail = F.raise_error(F.lit(f"NULL in NOT NULL column {name}")).cast(kind)
+        out = out.withColumn(name, F.when(F.col(name).isNull(), fail).otherwise(F.col(name)))
+    return out
+
+
 def replace_partition(df: DataFrame, path: str, ds: str | _dt.date) -> list[_dt.date]:
     """Replace-where ``ds = d`` (idempotent re-run of one day)."""
     return replace_partitions(df, path, [ds])

@@ -239,3 +239,28 @@ def submission_json_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     js = F.to_json(rec)
     js = F.when(doc % 53 == 0, F.regexp_replace(js, "}$", "")).otherwise(js)
     return r.select(js.alias("value"))
+
+
+def record_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text lines as an API client would save them, one per submission
+    and fetch, with the nested comments of :func:`nested_submissions_fx`:
+    ``edited`` is a JSON boolean or number, doc_id % 53 == 0 loses its closing
+    brace, % 59 == 0 has no id, % 41 == 0 carries a non-numeric score and
+    % 47 == 0 a comment without an id."""
+    comments = nested_submissions_fx(spark, sf_dir).select(
+        F.col("id").alias("_id"), F.col("comments").alias("_comments"))
+    r = submission_records_fx(spark, sf_dir).join(comments, F.col("id") == F.col("_id"))
+    doc = F.col("id").cast("bigint")
+    nested = F.when(doc % 47 == 0, F.transform("_comments", lambda c, i: F.when(
+        i == 0, c.withField("id", F.lit(None).cast("string"))).otherwise(c))).otherwise(F.col("_comments"))
+    overrides = {
+        "id": F.when(doc % 59 == 0, F.lit(None).cast("string")).otherwise(F.col("id")),
+        "score": F.when(doc % 41 == 0, F.lit("n/a")).otherwise(F.col("score").cast("string")),
+        "edited": F.lit("@edited@"),
+    }
+    names = [c for c in r.columns if not c.startswith("_")]
+    js = F.to_json(F.struct(*[overrides.get(c, F.col(c)).alias(c) for c in names], nested.alias("comments")))
+    edited = F.when(doc % 5 == 0, F.lit("1751155999.0")).when(doc % 5 == 1, F.lit("null")).when(
+        doc % 5 == 2, F.lit("true")).otherwise(F.lit("false"))
+    js = F.replace(js, F.lit('"@edited@"'), edited)
+    return r.select(F.when(doc % 53 == 0, F.substring(js, F.lit(1), F.length(js) - 1)).otherwise(js).alias("value"))

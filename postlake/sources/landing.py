@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.functions.timefmt import iso_from_unix, parse_ds, ts_from_unix
+from postlake.functions.timefmt import iso_from_unix, parse_ds, ts_from_unix, utc_date_from_unix
+from postlake.operators.bronze import WIDE_COLUMNS
 from postlake.schemas import RAW_COMMENTS, RAW_SUBMISSIONS, _struct, conform
 
 # ---------------------------------------------------------------------------
 # Landing defaults for missing attributes.
 DELETED_AUTHOR = "[deleted]"
-DEFAULT_EDITED = "false"
+DEFAULT_EDITED = "false"      # the attribute is missing
+EDITED_BOOLEANS = {"true": "True", "false": "False"}   # a JSON boolean, as stored
 DEFAULT_TEXT = ""
 # ---------------------------------------------------------------------------
 
@@ -54,12 +56,13 @@ NESTED_COMMENT = T.StructType([
     T.StructField("permalink", T.StringType()),
 ])
 MORE_STUB_KIND = "more"
+_COMMENTS = "comments"
 
 
 def _ds_column(ds: str | _dt.date | Column | None, retrieved: Column) -> Column:
     """Run date: a given date (one run) or, when None, the UTC fetch date."""
     if ds is None:
-        return F.to_date(ts_from_unix(retrieved))
+        return utc_date_from_unix(retrieved)
     if isinstance(ds, Column):
         return ds.cast("date")
     return F.lit(parse_ds(ds))
@@ -69,6 +72,17 @@ def _flag(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(False))
 
 
+def _edited() -> Column:
+    """The edited attribute as text: a JSON boolean becomes 'True' / 'False',
+    an edit time stays a number, a missing attribute becomes 'false'."""
+    value = F.when(F.col("edited").contains("E"), F.coalesce(   # the reader's form of a JSON number
+        F.col("edited").try_cast("double").try_cast("decimal(20,1)").cast("string"), F.col("edited"))
+    ).otherwise(F.col("edited"))
+    for json_text, stored in EDITED_BOOLEANS.items():
+        value = F.when(F.col("edited") == json_text, F.lit(stored)).otherwise(value)
+    return F.coalesce(value, F.lit(DEFAULT_EDITED))
+
+
 def _fetch_seconds() -> Column:
     """Fetch time of a record; when the source has none, the landing job's
     own time (one value per query, so every row of a run gets the same)."""
@@ -80,7 +94,7 @@ def land_submissions(records: DataFrame, ds: str | _dt.date | Column | None = No
 
     Missing author → '[deleted]'; missing score / comment count → 0; missing
     ratio → 0.0; missing self text / permalink → ''; missing flags → false;
-    missing ``edited`` → 'false'. A missing flair stays NULL (no 'None'
+    missing ``edited`` → 'false', a boolean one → 'True' / 'False'. A missing flair stays NULL (no 'None'
     string). Unix seconds are truncated like ``int()``.
     """
     created = F.col("created_utc").cast("bigint")
@@ -89,7 +103,7 @@ def land_submissions(records: DataFrame, ds: str | _dt.date | Column | None = No
         F.coalesce(F.col("author"), F.lit(DELETED_AUTHOR)).alias("author_name"),
         iso_from_unix(created).alias("created_utc"),
         created.alias("created_utc_unix"),
-        F.coalesce(F.col("edited"), F.lit(DEFAULT_EDITED)).alias("edited"),
+        _edited().alias("edited"),
         F.col("link_flair_text").alias("flair"),
         _flag("is_self").alias("is_self"),
         F.coalesce(F.col("num_comments"), F.lit(0)).alias("num_comments"),
@@ -111,20 +125,24 @@ def land_submissions(records: DataFrame, ds: str | _dt.date | Column | None = No
     return conform(out, RAW_SUBMISSIONS)
 
 
-def distinct_by_key(df: DataFrame, key: str, newest: str = "retrieved_utc_unix") -> DataFrame:
-    """One row per ``key``: the most recently fetched (then a row-hash tie-break).
+def distinct_by_key(df: DataFrame, key: str | list[str], newest: str = "retrieved_utc_unix") -> DataFrame:
+    """One row per ``key`` (run date and id for comments): the most recently
+    fetched, then the greatest in the other columns, texts last.
 
     ``row_number() == 1`` is a partial group limit: duplicates collapse
     before the shuffle.
     """
-    tail = F.xxhash64(*[F.col(c) for c in df.columns]).desc()
-    w = Window.partitionBy(key).orderBy(F.col(newest).desc_nulls_last(), tail)
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in (newest, *keys)]
+    names = [newest, *[c for c in rest if c not in WIDE_COLUMNS], *[c for c in rest if c in WIDE_COLUMNS]]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in names])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None) -> DataFrame:
     """Normalise comment records into the 15-column raw layout, one row per
-    ``comment_id`` (latest fetch wins)."""
+    run date and ``comment_id`` (latest fetch wins), so landing several days
+    together gives the rows of landing them one by one."""
     created = F.col("created_utc").cast("bigint")
     retrieved = _fetch_seconds()
     out = records.select(
@@ -133,7 +151,7 @@ def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None)
         F.col("id").alias("comment_id"),
         iso_from_unix(created).alias("created_utc"),
         created.alias("created_utc_unix"),
-        F.coalesce(F.col("edited"), F.lit(DEFAULT_EDITED)).alias("edited"),
+        _edited().alias("edited"),
         _flag("is_submitter").alias("is_submitter"),
         F.coalesce(F.col("parent_id"), F.lit(DEFAULT_TEXT)).alias("parent_id"),
         F.coalesce(F.col("permalink"), F.lit(DEFAULT_TEXT)).alias("permalink"),
@@ -144,41 +162,44 @@ def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None)
         _ds_column(ds, retrieved).alias("ds"),
         ts_from_unix(retrieved).alias("_loaded_at_timestamp_utc"),
     )
-    return conform(distinct_by_key(out, "comment_id"), RAW_COMMENTS)
+    return conform(distinct_by_key(out, ["ds", "comment_id"]), RAW_COMMENTS)
 
 
 def flatten_comments(submissions: DataFrame, comments_col: str = "comments",
-                     submission_id_col: str = "id", retrieved_col: str = "retrieved_utc") -> DataFrame:
+                     submission_id_col: str = "id", retrieved_col: str = "retrieved_utc",
+                     limit: int | None = None) -> DataFrame:
     """Nested comment lists → comment records (one row per comment).
 
-    Narrow: ``posexplode`` runs inside each task, nothing is grouped. Each
-    row keeps its submission id and ``parent_id`` (the tree needs no
-    recursion). Truncated 'more' stubs are dropped. ``position`` is the
-    comment's index in its submission's list.
+    Narrow: the list is filtered and cut inside its row, nothing is grouped.
+    Each row keeps its submission id and ``parent_id`` (the tree needs no
+    recursion). Truncated 'more' stubs are dropped; then the first ``limit``
+    comments of the list stay (None or 0: all). ``position`` is the comment's
+    index in its submission's list, stubs included.
     """
-    exploded = submissions.select(
-        F.col(submission_id_col).alias("submission_id"),
-        F.col(retrieved_col).alias("retrieved_utc"),
-        F.posexplode(F.col(comments_col)).alias("position", "c"),
-    )
-    kept = exploded.filter(F.col("c").isNotNull()
-                           & ~F.coalesce(F.col("c.kind") == MORE_STUB_KIND, F.lit(False)))
-    return kept.select(
-        "submission_id", "position",
-        *[F.col(f"c.{f.name}").alias(f.name) for f in NESTED_COMMENT.fields if f.name != "kind"],
+    placed = F.transform(F.col(comments_col), lambda c, i: F.struct(i.alias("position"), c.alias("c")))
+    kept = F.filter(placed, lambda x: x["c"].isNotNull()
+                    & ~F.coalesce(x["c"]["kind"] == MORE_STUB_KIND, F.lit(False)))
+    if limit:
+        kept = F.slice(kept, 1, int(limit))
+    rows = submissions.select(F.col(submission_id_col).alias("submission_id"),
+                              F.col(retrieved_col).alias("retrieved_utc"), F.explode(kept).alias("x"))
+    return rows.select(
+        "submission_id", F.col("x.position").alias("position"),
+        *[F.col(f"x.c.{f.name}").alias(f.name) for f in NESTED_COMMENT.fields if f.name != "kind"],
         "retrieved_utc",
     )
 
 
-def read_records(spark, paths: str | list[str], schema: T.StructType = SUBMISSION_RECORD,
-                 fmt: str = "json") -> DataFrame:
-    """Read record files (one or many folders, e.g. one per subreddit) under
-    an explicit schema in one multi-path scan; malformed JSON lines become
-    all-NULL rows instead of failing the job (PERMISSIVE)."""
-    reader = spark.read.schema(schema).format(fmt)
+def read_records(spark, paths: str | list[str], fmt: str = "json") -> DataFrame:
+    """Submission records of one or many folders (e.g. one per subreddit) in
+    one multi-path scan, with ``comments``, ``_reject_reason`` (NULL = good
+    row) and ``_raw``: nothing is dropped or made up here, and
+    :func:`reject_bad_rows` splits the rows. ``fmt`` is ``json`` (lines) or
+    ``parquet`` (typed records, where only a missing field can be wrong)."""
+    paths = paths if isinstance(paths, list) else [paths]
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-    return reader.load(paths if isinstance(paths, list) else [paths])
+        return parse_submission_json(spark.read.text(paths))
+    return check_records(spark.read.format(fmt).load(paths))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -193,8 +214,10 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 
 _CORRUPT = "_corrupt_record"
 _STRING_RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in SUBMISSION_RECORD.fields]
-                              + [T.StructField(_CORRUPT, T.StringType())])
-REQUIRED_FIELDS = ("id", "created_utc", "retrieved_utc")
+                              + [T.StructField(_COMMENTS, T.StringType()), T.StructField(_CORRUPT, T.StringType())])
+_STRING_COMMENTS = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in NESTED_COMMENT.fields]))
+# The fetch time is not required: the landing job stamps its own.
+REQUIRED_FIELDS = ("id", "created_utc")
 
 
 def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -203,10 +226,13 @@ def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFra
     Every field is read as a string, then ``try_cast`` to its declared type,
     so one bad value rejects its row instead of failing the job. Reasons:
     'malformed_json', 'missing:<field>', 'bad_type:<field>' (first found).
+    Nested comments are read the same way: a comment without an id, or with a
+    value of a wrong type, rejects its record ('bad_comment').
     """
     raw = F.col(value_col)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = lines.select(raw.alias("_raw"), F.from_json(raw, _STRING_RECORD, options).alias("r"))
+    parsed = parsed.withColumn("_c", F.from_json(F.col(f"r.{_COMMENTS}"), _STRING_COMMENTS, {"mode": "PERMISSIVE"}))
     is_json = F.col(f"r.{_CORRUPT}").isNull()   # one parse: the reader flags broken lines
     cols, reasons = [], []
     for f in SUBMISSION_RECORD.fields:
@@ -217,8 +243,34 @@ def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFra
             reasons.append(F.when(s.isNull(), F.lit(f"missing:{f.name}")))
         if not isinstance(f.dataType, T.StringType):
             reasons.append(F.when(s.isNotNull() & typed.isNull(), F.lit(f"bad_type:{f.name}")))
+
+    def comment(c: Column) -> Column:
+        return F.struct(*[(c[f.name] if isinstance(f.dataType, T.StringType) else c[f.name].try_cast(f.dataType))
+                          .alias(f.name) for f in NESTED_COMMENT.fields])
+
+    def broken(c: Column) -> Column:
+        bad = c["id"].isNull()
+        for f in NESTED_COMMENT.fields:
+            if not isinstance(f.dataType, T.StringType):
+                bad = bad | (c[f.name].isNotNull() & c[f.name].try_cast(f.dataType).isNull())
+        return c.isNull() | (bad & ~F.coalesce(c["kind"] == MORE_STUB_KIND, F.lit(False)))
+
+    reasons.append(F.when(F.col(f"r.{_COMMENTS}").isNotNull()
+                          & (F.col("_c").isNull() | F.exists("_c", broken)), F.lit("bad_comment")))
     reason = F.when(~is_json | F.col("r").isNull(), F.lit("malformed_json")).otherwise(F.coalesce(*reasons))
-    return parsed.select(*cols, reason.alias("_reject_reason"), F.col("_raw"))
+    return parsed.select(*cols, F.transform("_c", comment).alias(_COMMENTS),
+                         reason.alias("_reject_reason"), F.col("_raw"))
+
+
+def check_records(records: DataFrame) -> DataFrame:
+    """Typed records with ``comments``, ``_reject_reason`` and ``_raw``
+    (columns they lack are NULL)."""
+    present = {c.lower() for c in records.columns}
+    fields = [*SUBMISSION_RECORD.fields, T.StructField(_COMMENTS, T.ArrayType(NESTED_COMMENT))]
+    cols = [(F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in REQUIRED_FIELDS])
+    out = records.select(*cols)
+    return out.select("*", reason.alias("_reject_reason"), F.to_json(F.struct(*out.columns)).alias("_raw"))
 
 
 def reject_bad_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

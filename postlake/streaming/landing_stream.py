@@ -6,7 +6,7 @@ landed into the ``ds``-partitioned raw table through the file sink, which
 commits each micro-batch exactly once (its metadata log makes readers see
 only committed files, and a restarted query resumes from its checkpoint).
 
-Downstream layers stay batch jobs: ``refresh_touched_days`` re-runs the
+Downstream layers stay batch jobs: ``refresh_days`` re-runs the
 chain for the days a landed micro-batch touched. That is idempotent (each
 day is replaced whole from the raw table), so late records are absorbed by
 re-running their day, as the daily jobs do.
@@ -20,29 +20,34 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlake.plans.backfill import RunResult, run_range
-from postlake.session import apply_runtime_conf
-from postlake.sources.landing import SUBMISSION_RECORD, land_submissions
+from postlake.plans.backfill import RunResult, run_days
+from postlake.session import observed
+from postlake.sinks.tables import STREAM_BATCH_COL, clustered
+from postlake.sources.landing import SUBMISSION_RECORD, check_records, land_submissions, parse_submission_json, reject_bad_rows
 
 
 def submission_record_stream(spark: SparkSession, source_dir: str, fmt: str = "json",
                              max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(SUBMISSION_RECORD).format(fmt)
+    """Parsed records of new files with ``_reject_reason`` and ``_raw``."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(source_dir)
+    if fmt == "json":
+        return parse_submission_json(reader.text(source_dir))
+    return check_records(reader.schema(SUBMISSION_RECORD).format(fmt).load(source_dir))
 
 
 def start_landing(spark: SparkSession, source_dir: str, raw_path: str, checkpoint_dir: str,
                   fmt: str = "json", available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
     """Stream record files → land → append to the raw table (exactly once).
+    Broken lines are left out (``start_landing_with_refresh`` keeps them).
 
     ``available_now`` processes what is there and stops (scheduled runs);
     otherwise the query keeps running with ``processing_time`` triggers.
     """
-    apply_runtime_conf(spark)
-    landed = land_submissions(submission_record_stream(spark, source_dir, fmt))
+    good, _ = reject_bad_rows(submission_record_stream(spark, source_dir, fmt))
+    landed = land_submissions(good)
     writer = (landed.writeStream.format("parquet")
               .partitionBy("ds")
               .option("checkpointLocation", checkpoint_dir)
@@ -54,43 +59,42 @@ def start_landing(spark: SparkSession, source_dir: str, raw_path: str, checkpoin
     return writer.start(raw_path)
 
 
-def touched_days(batch: DataFrame) -> list[_dt.date]:
-    """Days present in one micro-batch (a set bounded by the batch's date span)."""
-    return sorted(r["ds"] for r in batch.select("ds").distinct().collect())
-
-
-def refresh_touched_days(spark: SparkSession, batch: DataFrame, raw_path: str,
-                         out_root: str) -> RunResult | None:
-    """Re-run bronze → gold for the days a landed batch touched."""
-    days = touched_days(batch)
-    if not days:
-        return None
-    return run_range(spark, raw_path, out_root, days[0], days[-1])
+def refresh_days(spark: SparkSession, days: list[_dt.date], raw_path: str, out_root: str) -> RunResult:
+    """Re-run bronze → gold for exactly the given days, so a single late record
+    costs its own day."""
+    return run_days(spark, raw_path, out_root, days)
 
 
 def start_landing_with_refresh(spark: SparkSession, source_dir: str, raw_path: str,
-                               out_root: str, checkpoint_dir: str,
-                               fmt: str = "json") -> StreamingQuery:
+                               out_root: str, checkpoint_dir: str, fmt: str = "json",
+                               rejects_path: str | None = None, max_days: int = 366) -> StreamingQuery:
     """Land each micro-batch and refresh its days (``foreachBatch``).
 
     The landed rows of a batch are written under ``raw_path`` in a folder
     keyed by the batch id, replaced whole on a retry of the same batch, so
     a re-executed batch does not duplicate rows; the refresh then replaces
-    the touched days downstream.
+    the touched days downstream. Broken lines are counted in that write and
+    kept under ``rejects_path`` by batch id. A batch that touches more than
+    ``max_days`` days fails before anything downstream is replaced.
     """
-    apply_runtime_conf(spark)
-    landed = land_submissions(submission_record_stream(spark, source_dir, fmt))
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation(f"landed_days_{batch_id}")
-        tagged = (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                  .observe(seen, F.collect_set("ds").alias("days")))
-        (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "ds").parquet(raw_path))
-        days = sorted(seen.get["days"] or [])
+        seen, found = Observation(f"rejects_{batch_id}"), Observation(f"landed_days_{batch_id}")
+        parsed = batch.observe(seen, F.count("_reject_reason").alias("rejected"))
+        good, _ = reject_bad_rows(parsed)
+        tagged = (land_submissions(good).withColumn(STREAM_BATCH_COL, F.lit(batch_id).cast("bigint"))
+                  .observe(found, F.collect_set("ds").alias("days")))
+        (clustered(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(STREAM_BATCH_COL, "ds").parquet(raw_path))
+        counts = observed(seen)
+        if rejects_path and (counts is None or counts["rejected"]):
+            _, bad = reject_bad_rows(batch)
+            bad.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
+        days = sorted((observed(found) or {}).get("days") or [])
+        if len(days) > max_days:
+            raise ValueError(f"batch {batch_id} touches {len(days)} days, more than {max_days}")
         if days:
-            run_range(spark, raw_path, out_root, days[0], days[-1])
+            refresh_days(spark, days, raw_path, out_root)
 
-    return (landed.writeStream.foreachBatch(per_batch)
+    return (submission_record_stream(spark, source_dir, fmt).writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())

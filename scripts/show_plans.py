@@ -45,7 +45,7 @@ def main() -> None:
         "silver from bronze rows": silver_submissions(bronze_submissions(raw)),
         "gold_topic_trends from the silver table": G.gold_topic_trends(silver),
         "gold_author_profiles from the silver table": G.gold_author_profiles(silver),
-        "gold_top_daily from the silver table (7 known days)": K.gold_top_daily(silver, n_days=7),
+        "gold_top_daily from the silver table": K.gold_top_daily(silver),
         "doc_top_authors_daily from the silver table": G.doc_top_authors_daily(silver),
         "one day of silver (partition pruning)": silver.filter("ds = DATE'2025-07-01'").select("content_id"),
     }

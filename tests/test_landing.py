@@ -55,7 +55,8 @@ def test_read_records_multi_path_and_land(spark, tmp_path):
     a, b = str(tmp_path / "sub_a"), str(tmp_path / "sub_b")
     recs.filter("subreddit = 'valorant'").write.json(a)
     recs.filter("subreddit <> 'valorant' OR subreddit IS NULL").write.json(b)
-    back = L.read_records(spark, [a, b])
+    back, bad = L.reject_bad_rows(L.read_records(spark, [a, b]))
+    assert bad.count() == 0
     assert rows(L.land_submissions(back)) == rows(L.land_submissions(recs))
 
 
@@ -79,3 +80,67 @@ def test_comment_limit_none_or_zero_keeps_all_and_run_date_is_applied(spark):
     assert limit_comments_per_submission(landed, 0).count() == n
     per_sub = limit_comments_per_submission(landed, 2).groupBy("submission_id").count()
     assert per_sub.agg(F.max("count")).first()[0] == 2
+
+
+GOOD = ('{"id":"%s","subreddit":"valorant","created_utc":1751155200.0,"retrieved_utc":1751158800,"score":7,'
+        '"edited":%s,"comments":[{"id":"%s-c","body":"hi","created_utc":1.0},{"kind":"more"}]}')
+
+
+def test_dirty_file_keeps_existing_days_and_counts_rejects(spark, tmp_path):
+    from postlake.__main__ import main
+    raw, comments = str(tmp_path / "raw"), str(tmp_path / "comments")
+    first, second = tmp_path / "a", tmp_path / "b"
+    first.mkdir()
+    second.mkdir()
+    (first / "x.json").write_text(GOOD % ("1", "false", "1") + "\n")
+    (second / "y.json").write_text('{"id":"2","created_utc":17511\n' + '{"id":"3","created_utc":1.0,"score":"n/a"}\n')
+    assert main(["land", "--records", str(first), "--raw", raw, "--comments", comments])["rows"] == 1
+    res = main(["land", "--records", str(second), "--raw", raw, "--comments", comments])
+    assert (res["read"], res["rows"], res["rejected"]) == (2, 0, 2)
+    assert [(r.submission_id, r.edited, str(r.ds)) for r in spark.read.parquet(raw).collect()] == [
+        ("1", "False", "2025-06-29")]
+    assert [r.comment_id for r in spark.read.parquet(comments).collect()] == ["1-c"]
+    assert sorted(r._reject_reason for r in spark.read.parquet(raw + "_rejects").collect()) == [
+        "bad_type:score", "malformed_json"]
+
+
+def test_edited_boolean_number_and_missing(spark):
+    from postlake.operators.bronze import bronze_project
+    from postlake.functions.rules import flag_edited
+    lines = spark.createDataFrame([(GOOD % (str(i), e, str(i)),) for i, e in enumerate(
+        ["false", "true", "1751155999.0", "null", "1751155999"])], "value string")
+    good, bad = L.reject_bad_rows(L.parse_submission_json(lines))
+    assert bad.count() == 0
+    out = bronze_project(L.land_submissions(good)).select("submission_id", "edited", flag_edited("edited").alias("f"))
+    assert rows_by_id(out) == {"0": ("False", False), "1": ("True", True), "2": ("1751155999.0", True),
+                               "3": ("false", True), "4": ("1751155999", True)}
+
+
+def rows_by_id(df):
+    return {r[0]: tuple(r[1:]) for r in df.collect()}
+
+
+def test_comment_limit_goes_by_position_without_a_shuffle(spark):
+    nested = nested_submissions_fx(spark, SF_SMALL)
+    flat = L.flatten_comments(nested, limit=3)
+    assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
+    kept = {r.submission_id: r.n for r in flat.groupBy("submission_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    every = {r.submission_id: r.n for r in L.flatten_comments(nested).groupBy("submission_id").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    assert kept == {k: min(3, n) for k, n in every.items()}
+
+
+def test_comments_of_two_days_land_together_as_one_by_one(spark):
+    base = {f.name: None for f in L.COMMENT_RECORD.fields}
+    recs = [dict(base, id="c1", body=b, created_utc=1.0, retrieved_utc=t) for b, t in (("a", 10), ("b", 20), ("c", 90000))]
+    out = L.land_comments(spark.createDataFrame(recs, L.COMMENT_RECORD)).collect()
+    assert sorted((str(r.ds), r.body) for r in out) == [("1970-01-01", "b"), ("1970-01-02", "c")]
+
+
+def test_fetch_limits_per_subreddit(spark):
+    from postlake.plans.landing import limit_records
+    from postlake.sources.fixtures import submission_records_fx
+    recs = submission_records_fx(spark, SF_SMALL)
+    for kw in ({"newest": 4}, {"top": 4}):
+        out = limit_records(recs, **kw)
+        assert out.groupBy("subreddit").count().agg(F.max("count")).first()[0] <= 4

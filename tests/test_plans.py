@@ -93,3 +93,73 @@ def test_cli_land_and_run(spark, tmp_path):
     res = main(["run", "--raw", raw, "--out", out, "--from", "2025-06-29", "--to", "2025-07-06"])
     assert len(res["days"]) == 8 and res["bronze_counts"]["raw"] > 0
     assert ST.scan_full(spark, res["tables"]["gold_topic_trends"], TABLES["gold_topic_trends"][0]).count() > 0
+
+
+def test_zone_free_times_in_another_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from postlake.functions.timefmt import iso_from_unix, utc_date_from_unix
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(1751155200,), (1741503600,), (-1,)], "u bigint")   # the second in a DST gap there
+        got = [tuple(r) for r in df.select(iso_from_unix("u"), utc_date_from_unix("u").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [("2025-06-29T00:00:00", "2025-06-29"), ("2025-03-09T07:00:00", "2025-03-09"),
+                   ("1969-12-31T23:59:59", "1969-12-31")]
+
+
+def test_drift_and_null_fail_before_anything_is_replaced(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    raw_path, out = str(tmp_path / "raw"), str(tmp_path / "lake")
+    ST.overwrite_partitions(raw_fx(spark, SF_SMALL), raw_path)
+    paths = run_range(spark, raw_path, out, DAYS[0], DAYS[-1]).paths
+    before = rows(spark.read.parquet(paths["silver_submissions"]).select("content_id"))
+    drifted = str(tmp_path / "drifted")
+    ST.overwrite_partitions(raw_fx(spark, SF_SMALL).withColumn("score", F.col("score").cast("string")), drifted)
+    with pytest.raises(ValueError, match="schema drift"):
+        run_range(spark, drifted, out, DAYS[0], DAYS[-1])
+    schema = TABLES["silver_submissions"][0]
+    name = ST.not_null_columns(schema)[0]
+    bad = ST.scan_full(spark, paths["silver_submissions"], schema).withColumn(
+        name, F.when(F.lit(False), F.col(name)).cast(schema[name].dataType))
+    with pytest.raises(Exception, match="NOT NULL"):
+        ST.replace_partitions(ST.guard_not_null(bad, schema), paths["silver_submissions"], DAYS)
+    assert rows(spark.read.parquet(paths["silver_submissions"]).select("content_id")) == before
+
+
+def test_tables_are_registered_by_name(spark, tmp_path):
+    raw_path, out = str(tmp_path / "raw"), str(tmp_path / "lake")
+    ST.overwrite_partitions(raw_fx(spark, SF_SMALL), raw_path)
+    run_range(spark, raw_path, out, DAYS[0], DAYS[1], database="postlake_t")
+    n = spark.table("postlake_t.gold_topic_trends").count()
+    assert n > 0
+    run_range(spark, raw_path, out, DAYS[2], DAYS[2], database="postlake_t")
+    assert spark.table("postlake_t.gold_topic_trends").count() > n
+    spark.sql("DROP DATABASE postlake_t CASCADE")
+
+
+def test_qc_report_reads_no_text(spark):
+    from postlake.operators.bronze import qc_report
+    plan = qc_report(raw_fx(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    schemas = [p.split("\n")[0] for p in plan.split("ReadSchema: ")[1:]]
+    assert schemas and not any("text:string" in s for s in schemas)
+
+
+def test_model_is_loaded_once_per_worker(spark):
+    from pyspark.sql import functions as F
+
+    from postlake.functions import text_ai as AI
+    loads = spark.sparkContext.accumulator(0)
+
+    def loader():
+        loads.add(1)
+        import os
+        return lambda texts: texts.map(lambda _: str(os.getpid()))
+
+    df = spark.range(0, 64, 1, 16).withColumn("t", F.lit("x"))
+    pids = AI.ai_custom_model(df, "t", loader, "pid", model_key="counting-model").select("pid").distinct().count()
+    assert loads.value <= pids
