@@ -2,45 +2,26 @@
 
 An intermediate is written once as Parquet below ``spark.checkpoint.dir``
 and read back, so a lost executor costs the tasks it was running and
-nothing before them. The folders of a process are deleted by
-``clear()`` or when the Python driver ends.
+nothing before them. ``clear()``, or the end of the Python driver, deletes
+the folders of this process.
 """
 
 from __future__ import annotations
 
-import atexit
-
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.session import drop_scratch, scratch_path
-
-_OPEN: list[tuple[SparkSession, str]] = []
+from postlake import session
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    path = scratch_path(spark, f"llm-{name}")
-    _OPEN.append((spark, path))
-    return path
+    return session.scratch_path(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new shared folder and read it back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return session.stored(df, f"llm-{name}")
 
 
 def clear() -> int:
-    """Delete every intermediate table of this process; returns how many."""
-    dropped = 0
-    while _OPEN:
-        spark, path = _OPEN.pop()
-        try:
-            dropped += drop_scratch(spark, path)
-        except Exception:  # noqa: BLE001 - the session may have ended
-            break
-    return dropped
-
-
-atexit.register(clear)
+    """Delete the intermediate tables of this process; returns how many."""
+    return session.clear_scratch()
