@@ -44,8 +44,9 @@ def canonical_url(url: Column) -> Column:
 
 
 def _headers(column: Column) -> Column:
-    """Header entries with lower-case names; of equal names the last counts."""
-    entries = F.transform(F.coalesce(F.map_entries(column), F.array().cast("array<struct<key:string,value:string>>")),
+    """Header entries with lower-case names; of names equal but for case, the
+    spelling that sorts last counts."""
+    entries = F.transform(F.array_sort(F.coalesce(F.map_entries(column), F.array().cast("array<struct<key:string,value:string>>"))),
                           lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     later = lambda e, i: F.exists(F.slice(entries, i + 2, 1 << 30), lambda x: x["key"] == e["key"])
     return F.filter(entries, lambda e, i: e["key"].isNotNull() & ~later(e, i))
