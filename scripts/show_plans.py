@@ -25,7 +25,10 @@ from postlake.sinks.tables import read_table, replace_partitions  # noqa: E402
 
 
 def plan(df) -> str:
+    """The plan that ran, after adaptive re-planning."""
+    df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
+    text = text.split("+- == Initial Plan ==")[0].rstrip()
     text = re.sub(r"#\d+L?", "", text)                      # attribute ids
     text = re.sub(r"Location: InMemoryFileIndex\(\d+ paths\)\[[^\]]*\], ", "", text)  # temp paths
     return "\n".join(l if "FileScan" in l else l[:220] for l in text.splitlines())
@@ -33,7 +36,7 @@ def plan(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = local_session(8, 16)
+    spark = local_session(4, 16)
     work = tempfile.mkdtemp(prefix="postlake-plans-")
     days = [dt.date(2025, 6, 29) + dt.timedelta(days=i) for i in range(7)]
     replace_partitions(raw_fx(spark, sf_dir), f"{work}/raw", days)
@@ -49,7 +52,7 @@ def main() -> None:
         "doc_top_authors_daily from the silver table": G.doc_top_authors_daily(silver),
         "one day of silver (partition pruning)": silver.filter("ds = DATE'2025-07-01'").select("content_id"),
     }
-    print("# Physical plans (before adaptive re-planning)\n")
+    print("# Physical plans (final, after adaptive re-planning, on small tables)\n")
     print("Generated by `python scripts/show_plans.py`; attribute ids and temp paths removed.\n")
     for title, df in shown.items():
         print(f"## {title}\n\n```\n{plan(df)}\n```\n")
