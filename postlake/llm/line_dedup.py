@@ -196,7 +196,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str
     counted = suspects.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.min(F.struct("doc", "content", F.col("lines")[0].alias("line"))).alias("first"))
-    frequent = counted.where(F.col("n_docs") >= min_docs).select("key", "first")
+    # stored, so that both sides of the join are read and dealt for it alone:
+    # the frequent keys are broadcast if small, and else a hot key is split
+    frequent = scratch.stored(counted.where(F.col("n_docs") >= min_docs).select("key", "first"), "frequent-lines")
     drops = suspects.join(frequent, "key")
     if keep == "first":
         is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("content") == F.col("first.content"))
