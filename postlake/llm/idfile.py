@@ -174,7 +174,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
     earlier = totals.select(
         "part", (F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")).alias("base"))
-    placed = shards.join(earlier, "part").select(
+    # one row per range partition, a number the session sets: small enough to
+    # broadcast, so the images themselves are not shuffled
+    placed = shards.join(F.broadcast(earlier), "part").select(
         (F.col("base") + F.col("ids_before")).alias("base"), "doc_ids", "doc_sizes", "image")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
