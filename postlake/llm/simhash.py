@@ -219,8 +219,9 @@ def simhash_groups(docs: DataFrame, words: int = 3, radius: int = 3,
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = scratch.stored(_roots(prints, radius), "roots")
     by_root = linked.join(least, "fp").groupBy("root").agg(F.min("least").alias("group_least"))
-    groups = least.join(linked.join(by_root, "root"), "fp", "left").select(
-        "fp", F.coalesce("group_least", "least").alias("component_id"))
+    # stored, so that the fingerprint of many exact copies can be split in the join
+    groups = scratch.stored(least.join(linked.join(by_root, "root"), "fp", "left").select(
+        "fp", F.coalesce("group_least", "least").alias("component_id")), "groups")
     return prints.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
