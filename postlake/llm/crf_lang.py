@@ -323,7 +323,7 @@ def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABE
         crf = model.value
         names = [*crf.labels, UNDETERMINED]
         for batch in batches:
-            for rows in row_blocks(batch, batch.schema.names[position], block_bytes=2 << 20):
+            for rows in row_blocks(batch, batch.schema.names[position], block_bytes=1 << 20):
                 found = find_words(rows.column(position))
                 n, k = rows.num_rows, len(crf.labels)
                 best, score = np.full(n, k), np.zeros(n)

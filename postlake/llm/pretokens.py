@@ -145,6 +145,7 @@ def row_blocks(batch: pa.RecordBatch, column: str = "text",
         held += int(size)
     if start < len(sizes):
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()    # the worker lives on in later stages
 
 
 def ragged(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
