@@ -119,10 +119,13 @@ def resolve_revisits(records: DataFrame, permitted: tuple[str, ...] = PERMITTED_
     stored = records.where(is_response).select(
         F.col("record_id").alias("response_id"), entries.alias("stored"), "payload").dropDuplicates(["response_id"])
     judged = judged.withColumns({"response_id": F.col("response.record_id"), "response_date": F.col("response.date")})
-    use = F.when(F.col("outcome") == "resolved", F.col("response_id"))
+    # a revisit without a payload joins by its own id, which no response has,
+    # so that unresolved ones do not all meet at the NULL key
+    resolved = F.col("outcome") == "resolved"
+    use = F.when(resolved, F.col("response_id")).otherwise(F.concat(F.lit("\0"), F.col("record_id")))
     whole = judged.withColumn("use", use).join(stored.withColumnRenamed("response_id", "use"), "use", "left")
     updates = F.filter("entries", lambda e: e["key"].isin(list(permitted)))
     kept = F.filter("stored", lambda e: ~F.exists(updates, lambda u: u["key"] == e["key"]))
-    merged = F.when(F.col("outcome") == "resolved", F.map_from_entries(F.concat(kept, updates)))
+    merged = F.when(resolved, F.map_from_entries(F.concat(kept, updates)))
     return whole.select("record_id", "uri", "canonical_uri", "date", "outcome", "response_id", "response_date",
-                        "matched_by", merged.alias("headers"), "payload")
+                        "matched_by", merged.alias("headers"), F.when(resolved, F.col("payload")).alias("payload"))
