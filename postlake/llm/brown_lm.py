@@ -58,13 +58,29 @@ _BLOCK = T.StructType([
     T.StructField("doc_ids", T.ArrayType(T.LongType(), True), False),
     T.StructField("held_out", T.ArrayType(T.BooleanType(), False), False),
     T.StructField("sizes", T.BinaryType(), False),       # <u4, tokens of each text
-    T.StructField("index", T.BinaryType(), False),       # <u4, word numbers of all tokens
+    T.StructField("index", T.BinaryType(), False),       # packed word numbers of all tokens
     T.StructField("slots", T.BinaryType(), False),       # <u2, slot of each word
     T.StructField("words", T.ArrayType(T.BinaryType(), False), False),
     T.StructField("n_train", T.ArrayType(T.LongType(), False), False),
 ])
 
 
+def pack_index(index: np.ndarray) -> bytes:
+    """Word numbers as zstd-compressed byte planes (frequent words appear early
+    in a block, so the higher planes are nearly empty)."""
+    import zstandard
+
+    planes = np.ascontiguousarray(index.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_index(data: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 @dataclass(frozen=True)
 class Model:
     """What scoring needs besides a word's count; bounded by slots and classes."""
@@ -130,7 +146,7 @@ def make_blocks(docs: DataFrame, slots: int) -> DataFrame:
                     pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([held.tolist()], pa.list_(pa.bool_())),
                     pa.array([sizes.astype("<u4").tobytes()], pa.binary()),
-                    pa.array([index.astype("<u4").tobytes()], pa.binary()),
+                    pa.array([pack_index(index)], pa.binary()),
                     pa.array([word_slots(words, slots).tobytes()], pa.binary()),
                     pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.binary())),
                     pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(train, pa.int64())),
@@ -183,7 +199,7 @@ def slot_bigrams(blocks: DataFrame, slots: int) -> np.ndarray:
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
                 train = np.repeat(~np.array(row["held_out"], dtype=bool), sizes)
-                slot = np.frombuffer(row["slots"], "<u2")[np.frombuffer(row["index"], "<u4")][train].astype(np.int64)
+                slot = np.frombuffer(row["slots"], "<u2")[unpack_index(row["index"])][train].astype(np.int64)
                 if not slot.size:
                     continue
                 before = np.empty_like(slot)     # texts end with the end's slot
@@ -316,7 +332,7 @@ def fit(blocks: DataFrame, counts: DataFrame, slots: int = SLOTS, n_classes: int
 def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray) -> pa.Table:
     slot = np.frombuffer(row["slots"], "<u2")
     sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-    index = np.frombuffer(row["index"], "<u4")
+    index = unpack_index(row["index"])
     count = np.zeros(slot.size)
     count[numbers] = found
     kind = model.classes[slot]
