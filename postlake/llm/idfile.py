@@ -128,7 +128,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
     empty table writes no shard.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer_path)
+        encoder = library_encoder(tokenizer_path, added_tokens=True)
         part = TaskContext.get().partitionId()
         before = seq = 0
         names: list = []

@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer_path)
+        encoder = library_encoder(tokenizer_path, added_tokens=True)
         part = TaskContext.get().partitionId()
         places = [0] * (capacity + 1)
         for batch in batches:

@@ -4,15 +4,18 @@
 worker; a block of texts costs one dictionary encoding, a lookup of its
 distinct pre-tokens, the encoding of those not seen before, and one gather.
 ``LibraryEncoder`` gets the ids of a pre-token from the ``tokenizers``
-library's own model.
+library's own model, and cuts texts at the file's added tokens first.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from postlake.llm.pretokens import ragged, split_block
 
@@ -71,15 +74,28 @@ def _byte_letters() -> dict[int, str]:
 
 
 class LibraryEncoder(WordEncoder):
-    """Ids by the ``tokenizers`` library's model of a byte-level vocabulary
-    file. Strings of special tokens inside a text are ordinary text."""
+    """Ids by the ``tokenizers`` library's model of a byte-level vocabulary file.
 
-    def __init__(self, path: str, max_cached: int = MAX_CACHED_WORDS):
+    With ``added_tokens`` the ids are those of the library's own ``encode``
+    without the post-processor: the file's added tokens (the special ones
+    too) are found in a text first, leftmost and longest, and the text between
+    them is cut into pre-tokens. Without, such a string is ordinary text."""
+
+    def __init__(self, path: str, max_cached: int = MAX_CACHED_WORDS, added_tokens: bool = False):
         super().__init__(max_cached)
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path).model
+        self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        tokens = [t for t in spec.get("added_tokens") or [] if t["content"]] if added_tokens else []
+        self.added = {t["content"]: t["id"] for t in tokens}
+        #: Whether a token is its content alone, whatever stands around it.
+        self.plain = not any(t[k] for t in tokens for k in ("single_word", "lstrip", "rstrip")) and (
+            spec.get("normalizer") is None)
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def encode_words(self, words):
         tokenize, letters = self.model.tokenize, self.letters
@@ -90,12 +106,33 @@ class LibraryEncoder(WordEncoder):
             ends[i] = len(ids)
         return np.array(ids, dtype=np.int32), ends
 
-
-_LIBRARY: dict[str, LibraryEncoder] = {}
-
-
-def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder per file and Python worker process."""
-    if path not in _LIBRARY:
-        _LIBRARY[path] = LibraryEncoder(path)
-    return _LIBRARY[path]
+    def encode_texts(self, texts):
+        if self.added and not self.plain:
+            out = [self.library.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+            bounds = np.concatenate(([0], np.cumsum([len(x) for x in out], dtype=np.int64)))
+            return np.array([i for x in out for i in x], dtype=np.int32), bounds
+        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+            return super().encode_texts(texts)
+        # sections between added tokens; after[j] is the id that follows section j (-1: its text ends)
+        sections: list[str] = []
+        after: list[int] = []
+        for text in texts.to_pylist():
+            parts = self.cut.split(text or "")
+            sections += parts[::2]
+            after += [*(self.added[t] for t in parts[1::2]), -1]
+        ids, bounds = super().encode_texts(pa.array(sections, pa.large_string()))
+        follows = np.array(after, dtype=np.int32)
+        put = follows >= 0
+        ends = bounds[1:] + np.cumsum(put)
+        return np.insert(ids, bounds[1:][put], follows[put]), np.concatenate(([0], ends[~put]))
+
+
+_LIBRARY: dict[tuple[str, bool], LibraryEncoder] = {}
+
+
+def library_encoder(path: str, added_tokens: bool = False) -> LibraryEncoder:
+    """One encoder per file and kind in a Python worker process."""
+    key = (path, added_tokens)
+    if key not in _LIBRARY:
+        _LIBRARY[key] = LibraryEncoder(path, added_tokens=added_tokens)
+    return _LIBRARY[key]

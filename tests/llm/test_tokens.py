@@ -210,3 +210,35 @@ def test_pack_odd_rows_and_an_empty_table(spark):
     rows = packing.pack(_odd(spark), VOCABULARY, capacity=16).collect()
     assert sorted(str(r.doc_id) for r in rows if r.piece == 0) == ["1", "1", "2", "3", "5", "5", "None"]
     assert packing.pack(_odd(spark).limit(0), VOCABULARY).count() == 0
+
+
+# --- added tokens of the vocabulary file ---------------------------------------
+
+END = "<|endoftext|>"
+
+
+def test_added_tokens_inside_texts_equal_the_library():
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = [f"a {END} x", END, END * 3, f"{END}  two  {END}\n", "plain text", "", None, f"don{END}'t <|endoftext| > é{END}",
+             *(t.replace("!", END) for t in _texts(300, seed=6))]
+    ids, bounds = library_encoder(VOCABULARY, added_tokens=True).encode_texts(pa.array(texts))
+    assert len(bounds) == len(texts) + 1 and ids.dtype == np.int32
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert ids[:bounds[1]].tolist() == [64, 220, 50256, 2124]
+
+
+def test_operators_keep_added_tokens_whole(spark):
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = {1: f"a {END} x", 2: "plain", 3: f"{END}{END} " * 30, 4: "after"}
+    want = {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    path = scratch.new_path(spark, "added")
+    idfile.write_ids(docs, path, VOCABULARY)
+    out = {r.doc_id: r for r in idfile.read_ids(spark, path).collect()}
+    assert {i: np.frombuffer(r.ids, "<u4").tolist() for i, r in out.items()} == want
+    assert [out[i].start for i in (1, 2, 3, 4)] == [sum(len(want[j]) for j in range(1, i)) for i in (1, 2, 3, 4)]
+    pieces = packing.pack(docs, VOCABULARY, capacity=16, with_ids=True).collect()
+    for i, ids in want.items():
+        cut = sorted((r for r in pieces if r.doc_id == i), key=lambda r: r.piece)
+        assert [x for r in cut for x in np.frombuffer(r.ids, "<u4").tolist()] == ids
