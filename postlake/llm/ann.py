@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product, with an adaptive
 dimension scan of probed lists.
 
-Vectors get one more coordinate, sqrt(M^2 - |x|^2) for the largest norm M,
+Equal rows (id and vector) are made one first, with one shuffle of the
+vectors, and a query's candidates are counted by id. Vectors get one more coordinate, sqrt(M^2 - |x|^2) for the largest norm M,
 which turns the largest inner product into the least distance, and a random
 rotation. k-means centroids (fitted on a bounded sample) divide all rows
 into lists; a query probes its nearest lists. In a probed list distances
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.llm import scratch
+
 SAMPLE_ROWS = 8192             # fitting sample (k-means, probe count, first distances)
 COLUMNS = 16                   # coordinates of a block
 EPSILON = 2.1
@@ -78,13 +81,27 @@ def kmeans(rows: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10)
     return centroids
 
 
-def probe_count(sample: np.ndarray, queries: np.ndarray, own: np.ndarray, centroids: np.ndarray, k: int,
-                target: float) -> int:
-    """Lists to probe so that sample rows would find ``target`` of their k nearest."""
+def nearest_ids(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Columns of each row's k least distances to different ids (of an id its
+    nearest column); fewer columns if there are fewer ids."""
+    order = np.argsort(d, axis=1, kind="stable")
+    distinct = np.unique(ids).size
+    if distinct == ids.size:
+        return order[:, :k]
+    out = np.empty((len(d), min(k, distinct)), dtype=np.int64)
+    for i, row in enumerate(order):
+        first = np.sort(np.unique(ids[row], return_index=True)[1])
+        out[i] = row[first[:k]]
+    return out
+
+
+def probe_count(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, centroids: np.ndarray,
+                k: int, target: float) -> int:
+    """Lists to probe so that sample rows would find ``target`` of their k nearest ids."""
     lists = distances(sample, centroids).argmin(axis=1)
     d = distances(queries, sample)
-    d[np.arange(len(queries)), own] = np.inf
-    near = np.argsort(d, axis=1)[:, :k]
+    d[ids[own][:, None] == ids[None]] = np.inf
+    near = nearest_ids(d, ids, k)
     order = np.argsort(distances(queries, centroids), axis=1)
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(order.shape[1])[None], axis=1)
@@ -99,11 +116,11 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(vec_id, v array<double>)`` of the rows that take part: an id, and a
     vector that is neither null, empty nor zero and has no null or non-finite
-    component."""
+    component. Equal rows (id and vector) are one."""
     v = F.col(vector_col).cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     return vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(
-        F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
+        F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0)).distinct()
 
 
 def build(rows: DataFrame, n_queries: int, k: int, target_recall: float, seed: int = 11) -> tuple[Index, int] | None:
@@ -116,7 +133,7 @@ def build(rows: DataFrame, n_queries: int, k: int, target_recall: float, seed: i
         return None
     dim, n = kind.dim, kind.n
     rows = rows.where(F.size("v") == dim)
-    taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
+    taken = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(SAMPLE_ROWS).toArrow()
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0]
     ids = taken.column("vec_id").to_numpy()
@@ -127,8 +144,8 @@ def build(rows: DataFrame, n_queries: int, k: int, target_recall: float, seed: i
     centroids = kmeans(sample, lists, rng)
     trial = np.arange(min(256, len(sample)))
     probes = lists
-    if len(sample) > k + 1:
-        probes = probe_count(sample, draft.place_queries(original[trial]), trial, centroids, k, target_recall)
+    if np.unique(ids).size > k + 1:
+        probes = probe_count(sample, ids, draft.place_queries(original[trial]), trial, centroids, k, target_recall)
     # rows per list, to deal lists (or parts of a long one) over groups
     sizes = np.zeros(lists, dtype=np.int64)
     empty = Index(draft.bound, rotation, centroids, probes, sample, ids, original, [[0]] * lists, 1)
@@ -180,7 +197,7 @@ def _probing(queries: DataFrame, index: Index, dim: int, k: int) -> DataFrame:
                 probed = np.argsort(distances(placed, ix.centroids), axis=1, kind="stable")[:, :ix.probes]
                 d = distances(placed, ix.sample)
                 d[ids[:, None] == ix.sample_ids[None]] = np.inf
-                near = np.argsort(d, axis=1, kind="stable")[:, :k]
+                near = nearest_ids(d, ix.sample_ids, k)
                 first = np.take_along_axis(d, near, axis=1)
                 kth = first[:, -1] if near.shape[1] == k else np.full(len(ids), np.inf)
                 rows, groups, lists = [], [], []
@@ -212,7 +229,7 @@ def _probing(queries: DataFrame, index: Index, dim: int, k: int) -> DataFrame:
 
 
 class _Best:
-    """The k best candidates of each query so far."""
+    """The k best candidates of each query so far, one of each id."""
 
     def __init__(self, queries: int, k: int, kth: np.ndarray, bound: float, square: np.ndarray):
         self.k, self.kth, self.bound, self.square = k, kth.copy(), bound, square
@@ -224,6 +241,11 @@ class _Best:
     def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
         ids, score = np.concatenate([self.id, ids]), np.concatenate([self.score, score])
+        order = np.lexsort((-score, ids, query))         # of an id its best row
+        query, ids, score = query[order], ids[order], score[order]
+        best = np.ones(query.size, dtype=bool)
+        best[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+        query, ids, score = query[best], ids[best], score[best]
         order = np.lexsort((ids, -score, query))
         query = query[order]
         heads = np.searchsorted(query, np.arange(self.n + 1))
@@ -271,18 +293,19 @@ def nearest(vectors: DataFrame, queries=None, k: int = 20, target_recall: float
     table gives no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
+    rows = scratch.stored(usable(vectors, id_col, vector_col), "vectors")
     asked = rows if queries is None else rows.where(queries)
     built = build(rows, asked.count(), k, target_recall)
     if built is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index, dim = built
-    rows, asked = (x.where(F.size("v") == dim) for x in (rows, asked.dropDuplicates(["vec_id"])))
+    rows, asked = (x.where(F.size("v") == dim) for x in (rows, asked))
+    asked = asked.dropDuplicates(["vec_id"])
     shared = spark.sparkContext.broadcast(index)
     groups = F.array(*[F.array(*map(F.lit, g)) for g in index.list_groups])
     own = F.element_at(groups, F.col("list") + 1)
     placed = _with_lists(rows, index, dim).withColumn(
-        "grp", F.element_at(own, (F.pmod(F.xxhash64("vec_id"), F.size(own)) + 1).cast("int")))
+        "grp", F.element_at(own, (F.pmod(F.xxhash64("vec_id", "v"), F.size(own)) + 1).cast("int")))
     placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(index.blocks - 1))))
     probing = _probing(asked, index, dim, k).withColumn(
         "block", F.pmod(F.xxhash64("vec_id"), F.lit(index.blocks)).cast("int"))

@@ -89,6 +89,27 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(df.where("vec_id IN (3, 4)")).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_copies_of_rows_take_no_neighbours_place(spark, copies):
+    rng = np.random.default_rng(8)
+    ids, x = np.arange(400), rng.normal(size=(400, 12))
+    want = _exact(ids, x, range(0, 400, 20), 20)
+    out = ann.nearest(_frame(spark, np.tile(ids, copies), np.tile(x, (copies, 1))), F.col("vec_id") % 20 == 0, k=20)
+    assert _recall(out, want) >= 0.95 and out.count() == 20 * 20
+
+
+def test_an_id_with_many_vectors_is_one_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 200)
+    rng = np.random.default_rng(9)
+    ids, x = np.arange(300), rng.normal(size=(300, 12))
+    near = x[0] * 3 + rng.normal(size=(60, 12)) / 100        # one id, 60 vectors, the best of query 0
+    out = ann.nearest(_frame(spark, [*ids, *[999] * 60], np.vstack([x, near])), F.col("vec_id") == 0, k=20).collect()
+    best = sorted(((x[1:] @ x[0]).tolist()), reverse=True)[:19]
+    assert len(out) == 20 and [r.vec_id for r in out].count(999) == 1
+    assert out[[r.rank for r in out].index(1)].vec_id == 999
+    assert len({round(b, 9) for b in best} & {round(r.score, 9) for r in out}) >= 17
+
+
 # --- revisits --------------------------------------------------------------------
 
 T0 = dt.datetime(2024, 1, 1)
