@@ -8,8 +8,8 @@ weight and learned transitions between neighbouring words score a labelling.
 Marginals come from the forward-backward algorithm over each line of a text,
 so words of a second language inside a text keep their own label.
 
-Training takes a bounded sample (``docs_per_label`` documents per language,
-the least hashes of their ids) and maximises the conditional likelihood with
+Training takes a bounded sample of every language (``docs_per_label``
+documents, the least hashes of their ids) and maximises the conditional likelihood with
 AdaGrad on runs of words, half of them code-switched: joined from documents
 of different languages. The model (bounded by hash size, sample and labels)
 is broadcast; prediction is one narrow pass over whole texts.
@@ -32,9 +32,10 @@ from postlake.llm.pretokens import LETTER, char_classes, code_points, row_blocks
 
 UNDETERMINED = "und"
 DOCS_PER_LABEL = 150
-MAX_LABELS = 64
 HASH_BITS = 16
 STEPS, RUNS, RUN_WORDS = 260, 48, 40
+#: Text bytes predicted at once, with up to so many labels; fewer with more.
+BLOCK_TEXT, BLOCK_LABELS = 1 << 20, 64
 _FIRST, _LAST = 1, 2           # stand for a word's two boundaries (below any letter)
 
 
@@ -256,9 +257,8 @@ def _pair_counts(scores: np.ndarray, chain: np.ndarray, inner: np.ndarray, start
     f = _forward(e, chain, start, t)
     beta = p / np.maximum(f, 1e-300)
     left, right = f[inner], e[inner + 1] * beta[inner + 1]
-    joint = left[:, :, None] * t[None] * right[:, None, :]
-    joint /= joint.sum(axis=(1, 2), keepdims=True)
-    return joint.sum(axis=0)
+    whole = ((left @ t) * right).sum(axis=1, keepdims=True)
+    return t * ((left / whole).T @ right)        # no array of pairs by labels squared
 
 
 def _forward(e: np.ndarray, chain: np.ndarray, start: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -283,21 +283,20 @@ def word_labels(text: str, model: Crf) -> list[tuple[str, str]]:
     return [(words[i].decode(), model.labels[j]) for i, j in zip(found.index, p.argmax(axis=1))]
 
 
-def sample(docs: DataFrame, docs_per_label: int = DOCS_PER_LABEL, max_labels: int = MAX_LABELS,
-           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list:
-    """The training rows ``(text, lang)``: per language the documents with the
-    least id hashes, at most ``docs_per_label`` and of the ``max_labels`` most
-    frequent languages. The hashes alone are ranked; texts are read for the
-    chosen rows only."""
+def sample(docs: DataFrame, docs_per_label: int = DOCS_PER_LABEL, id_col: str = "doc_id",
+           text_col: str = "text", lang_col: str = "lang") -> list:
+    """The training rows ``(text, lang)``: of every language the documents with
+    the least (id hash, text hash), at most ``docs_per_label``; rows of equal
+    id, text and language are one document. The hashes alone are ranked; texts
+    are read for the chosen rows only."""
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-        F.xxhash64(F.col(id_col).cast("long")).alias("h"))
-    ranked = rows.select("lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    limits = ranked.where(F.col("n") <= docs_per_label).groupBy("lang").agg(
-        F.max("h").alias("last"), F.count(F.lit(1)).alias("found")).orderBy(F.desc("found"), "lang").limit(max_labels)
-    chosen = rows.join(F.broadcast(limits), "lang").where("h <= last")     # at most max_labels rows broadcast
-    return chosen.select("text", "lang", "h").orderBy("h", "lang", F.xxhash64("text")).limit(
-        docs_per_label * max_labels).collect()
+        F.xxhash64(F.col(id_col).cast("long")).alias("h")).withColumn("t", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("h", "t")
+    least = rows.select("lang", "h", "t").distinct().withColumn("n", F.row_number().over(order)).where(
+        F.col("n") <= docs_per_label).drop("n")
+    chosen = rows.join(F.broadcast(least), ["lang", "h", "t"])     # docs_per_label rows a language broadcast
+    return sorted(chosen.distinct().collect(), key=lambda r: (r.h, r.lang, r.t))
 
 
 def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABEL, id_col: str = "doc_id",
@@ -312,7 +311,7 @@ def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABE
     each; an empty table gives an empty table.
     """
     learn = docs if train_on is None else docs.where(F.coalesce(train_on, F.lit(False)))
-    rows = sample(learn, docs_per_label, MAX_LABELS, id_col, text_col, lang_col)
+    rows = sample(learn, docs_per_label, id_col, text_col, lang_col)
     model = docs.sparkSession.sparkContext.broadcast(train([r.text for r in rows], [r.lang for r in rows]))
     kept = docs.drop("lang_pred", "score")
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
@@ -322,8 +321,9 @@ def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = model.value
         names = [*crf.labels, UNDETERMINED]
+        block_bytes = BLOCK_TEXT * BLOCK_LABELS // max(BLOCK_LABELS, len(crf.labels))
         for batch in batches:
-            for rows in row_blocks(batch, batch.schema.names[position], block_bytes=1 << 20):
+            for rows in row_blocks(batch, batch.schema.names[position], block_bytes=block_bytes):
                 found = find_words(rows.column(position))
                 n, k = rows.num_rows, len(crf.labels)
                 best, score = np.full(n, k), np.zeros(n)

@@ -350,6 +350,22 @@ def test_training_sample_is_bounded_per_language(spark):
     assert set(found) == {"en", "de", "fr", "es"} and set(found.values()) == {20}
 
 
+def test_every_language_is_learnt_however_many_there_are(spark):
+    data = [(100 * k + i, f"l{k:02}", f"word{k} text{i}") for k in range(70) for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, lang string, text string")
+    found = Counter(r.lang for r in crf_lang.sample(docs, docs_per_label=2))
+    assert set(found) == {f"l{k:02}" for k in range(70)} and set(found.values()) == {2}
+
+
+def test_rows_of_one_id_do_not_take_other_languages_places(spark):
+    data = [(None, "aa", f"text {i}") for i in range(300)] + [(7, "bb", "copy")] * 50 + [
+        (i, "bb", f"other {i}") for i in range(100, 130)] + [(None, "cc", f"third {i}") for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, lang string, text string")
+    found = crf_lang.sample(docs, docs_per_label=10)
+    assert Counter(r.lang for r in found) == {"aa": 10, "bb": 10, "cc": 10}
+    assert len({(r.lang, r.text) for r in found}) == 30
+
+
 # --- pipeline -------------------------------------------------------------------
 
 def test_stages_keep_the_columns_and_decide_as_the_operators_do(spark):
