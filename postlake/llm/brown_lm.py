@@ -4,14 +4,17 @@ Words belong to classes; a word's probability given the word before it is
 
     P(class | class before) * P(word | class).
 
-Exchange clustering assigns the classes: one word after the other moves to
-the class that most raises the likelihood of the class bigrams. Words are
-addressed by a fixed number of slots (a short word by itself, a longer one by
-its ending, hashed) and all words of a slot share its class. So the bigrams
-that clustering needs have the same bounded size for any vocabulary, rare
-words take the class of words that end alike, and words never seen have one
-too; the counts behind the emission probabilities are exact, per word. The
-end of a text is a word with a slot and class of its own, and is what stands
+Exchange clustering assigns the classes: a word moves to the class that most
+raises the likelihood of the class bigrams. It starts from classes of a fixed
+number of slots (a short word by itself, a longer one by its ending, hashed),
+exchanged on the slots' bigrams; words never seen keep their slot's class.
+Then every training word moves by itself: in each round the corpus sums each
+word's counts of the classes before and after it, grouped by word (known by
+its 64-bit hash), and every word of the round's part (a hash class, so that
+the parts are disjoint) takes its best class given the others'. All words of
+a part move at once; if that lowers the likelihood of the class bigrams, the
+part keeps its classes. What is gathered grows with the words of the blocks,
+and no vocabulary is on the driver. The end of a text is a word with a slot and class of its own, and is what stands
 before a text's first word.
 
 * Transition: add-one smoothed class bigrams.
@@ -22,8 +25,8 @@ before a text's first word.
 
 The corpus is read once into blocks (word numbers of some whole texts and
 the block's own distinct words), kept in the shared checkpoint folder. One
-pass over the blocks sums the slot bigrams; exchange then runs on that table
-of at most ``(SLOTS + 1) ** 2`` counts.
+pass over the blocks sums the slot bigrams; the first exchange runs on that
+table of at most ``(SLOTS + 1) ** 2`` counts.
 Word counts are summed by word over the blocks' distinct words and return to
 the blocks by block number, so what is shuffled are distinct words per block,
 never tokens, and no vocabulary is collected or broadcast.
@@ -32,7 +35,7 @@ never tokens, and no vocabulary is collected or broadcast.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,8 @@ SHORT_WORD, ENDING = 4, 3
 #: Text bytes of a block (one longer text is a block of its own).
 BLOCK_TEXT = 6 << 20
 _RANGES = 64                   # slot ranges in which partial counts travel
+#: Rounds of single words, the disjoint parts of the vocabulary that move in turn.
+WORD_PARTS = 3
 
 _BLOCK = T.StructType([
     T.StructField("block", T.LongType(), False),
@@ -329,13 +334,197 @@ def fit(blocks: DataFrame, counts: DataFrame, slots: int = SLOTS, n_classes: int
                  np.bincount(classes, words, total), discount, int(tokens.sum()), int(words.sum()))
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def block_classes(row: dict, slot_classes: np.ndarray) -> np.ndarray:
+    """Class of each word of a block: its own, or that of its slot (255)."""
+    own = np.frombuffer(row["classes"], np.uint8) if row.get("classes") else None
+    by_slot = slot_classes[np.frombuffer(row["slots"], "<u2")]
+    return by_slot if own is None else np.where(own == 255, by_slot, own)
+
+
+def class_bigrams(rows: DataFrame, slot_classes: np.ndarray, total: int) -> np.ndarray:
+    """``[class before, class]`` counts of training texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(total * total, dtype=np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                kinds = _train_kinds(row, slot_classes)[1]
+                sums += np.bincount(np.append(total - 1, kinds)[:-1] * total + kinds, minlength=total * total)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at])], names=["cell", "n"])
+
+    out = np.zeros(total * total)
+    for r in rows.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r.cell] = r.n
+    return out.reshape(total, total)
+
+
+def _train_kinds(row: dict, slot_classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word numbers, classes) of a block's training tokens."""
+    sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
+    index = unpack_index(row["index"])[np.repeat(~np.array(row["held_out"], dtype=bool), sizes)].astype(np.int64)
+    return index, block_classes(row, slot_classes)[index].astype(np.int64)
+
+
+def best_classes(n: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray, twin: np.ndarray) -> np.ndarray:
+    """Best class of each word given the class bigrams ``n``, all others fixed.
+
+    ``before`` and ``after`` are a word's counts [word, class] without its
+    ``twin`` pairs with itself; the last class, the end's, is none of them."""
+    total = len(n)
+    out = own.copy()
+    for w in range(len(own)):
+        a, b, t, c = after[w], before[w], twin[w], own[w]
+        m = n.copy()
+        m[c] -= a
+        m[:, c] -= b
+        m[c, c] -= t                             # the word is in no class now
+        at, bt = np.flatnonzero(a), np.flatnonzero(b)
+        gain = (_xlogx(m[:, at] + a[at]) - _xlogx(m[:, at])).sum(1)
+        gain += (_xlogx(m[bt] + b[bt, None]) - _xlogx(m[bt])).sum(0)
+        d = np.diag(m)
+        gain += _xlogx(d + a + b + t) - _xlogx(d + a) - _xlogx(d + b) + _xlogx(d)
+        rows, columns = m.sum(1) + b, m.sum(0) + a
+        gain -= _xlogx(rows + a.sum() + t) - _xlogx(rows)
+        gain -= _xlogx(columns + b.sum() + t) - _xlogx(columns)
+        gain[total - 1] = -np.inf
+        best = int(gain.argmax())
+        if gain[best] > gain[c] + 1e-9:
+            out[w] = best
+    return out
+
+
+def move_words(rows: DataFrame, slot_classes: np.ndarray, between: np.ndarray, part: int, parts: int,
+               ranges: int) -> DataFrame:
+    """``(block, numbers, moved)``: words of ``part`` and their best classes.
+
+    A block sends, per hash range, its words' hashes and their counts as
+    compressed arrays; a range sums them by word and sends each block its
+    words' classes."""
+    total = len(between)
+    shared = rows.sparkSession.sparkContext.broadcast((slot_classes, between))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for row in batch.to_pylist():
+                hashes = np.frombuffer(row["hashes"], "<u8")
+                index, kinds = _train_kinds(row, shared.value[0])
+                kind_of = block_classes(row, shared.value[0]).astype(np.int64)
+                chosen = hashes % np.uint64(parts) == part   # also words that only held-out texts have here
+                chosen[0] = False                # the end of a text
+                prior = np.append(0, index)[:-1]     # training texts end with word 0
+                twins = prior == index
+                follow, lead = chosen[index] & ~twins, chosen[prior] & ~twins
+                same = chosen[index] & twins
+                width = 2 * total + 1
+                codes, times = np.unique(np.concatenate([
+                    index[follow] * width + np.append(total - 1, kinds)[:-1][follow],
+                    prior[lead] * width + total + kinds[lead], index[same] * width + 2 * total]), return_counts=True)
+                word, cell = codes // width, codes % width
+                everywhere = ((hashes // np.uint64(parts)) % np.uint64(ranges)).astype(np.int64)
+                where, own_range = everywhere[word], np.where(chosen, everywhere, -1)
+                for r in np.unique(own_range[chosen]):
+                    mine, numbers = where == r, np.flatnonzero(own_range == r)
+                    local = np.searchsorted(numbers, word[mine])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([int(r)], pa.int32()), pa.array([row["block"]], pa.int64()),
+                        pa.array([pack(numbers.astype("<u4").tobytes())], pa.binary()),
+                        pa.array([hashes[numbers].tobytes()], pa.binary()),
+                        pa.array([kind_of[numbers].astype(np.uint8).tobytes()], pa.binary()),
+                        pa.array([pack(np.diff(local, prepend=0).astype("<u4").tobytes() + cell[mine].astype("<u4").tobytes()
+                                       + times[mine].astype("<u4").tobytes())], pa.binary())],
+                        names=["range", "block", "numbers", "hashes", "own", "counts"])
+
+    def choose(table: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        n, width = shared.value[1], 2 * total + 1
+        held = [np.frombuffer(h, "<u8") for h in table.column("hashes").to_pylist()]
+        words, first, place = np.unique(np.concatenate(held), return_index=True, return_inverse=True)
+        own = np.concatenate([np.frombuffer(c, np.uint8) for c in table.column("own").to_pylist()])[first].astype(np.int64)
+        codes, times, at = [], [], 0
+        for hashes, counts in zip(held, table.column("counts").to_pylist()):
+            steps, cell, t = np.frombuffer(unpack(counts), "<u4").reshape(3, -1).astype(np.int64)
+            codes.append(place[at:at + hashes.size][np.cumsum(steps)] * width + cell)
+            times.append(t)
+            at += hashes.size
+        codes, where = np.unique(np.concatenate(codes), return_inverse=True)
+        times = np.bincount(where, np.concatenate(times))
+        best = np.full(words.size, 255)          # met in no training text: the slot's
+        for lo in range(0, words.size, 4096):
+            hi = min(words.size, lo + 4096)
+            i, j = np.searchsorted(codes, (lo * width, hi * width))
+            dense = np.zeros((hi - lo) * width)
+            dense[codes[i:j] - lo * width] = times[i:j]
+            dense = dense.reshape(-1, width)
+            met = np.flatnonzero(dense.any(axis=1))
+            best[lo + met] = best_classes(n, own[lo + met], dense[met, :total], dense[met, total:-1], dense[met, -1])
+        moved = np.split(best[place].astype(np.uint8), np.cumsum([h.size for h in held])[:-1])
+        return pa.table({"block": table.column("block"), "numbers": table.column("numbers"),
+                         "moved": pa.array([m.tobytes() for m in moved], pa.binary())})
+
+    schema = "range int, block long, numbers binary, hashes binary, own binary, counts binary"
+    return rows.mapInArrow(gather, schema).groupBy("range").applyInArrow(choose, "block long, numbers binary, moved binary")
+
+
+def word_classes(blocks: DataFrame, model: Model, parts: int = WORD_PARTS) -> tuple[DataFrame, np.ndarray]:
+    """Blocks with ``classes`` (a byte a word, 255: its slot's) after moving
+    single words, and the class bigrams."""
+    slot_classes, total = model.classes, len(model.class_tokens)
+
+    def add_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                hashes = word_hashes(row.column("words").flatten().to_pylist()).astype("<u8").tobytes()
+                yield pa.RecordBatch.from_arrays([*row.select(kept).columns, pa.array([hashes], pa.binary())],
+                                                 names=[*kept, "hashes"])
+
+    def put(left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        (row,) = left.to_pylist()
+        classes = np.frombuffer(row["classes"], np.uint8).copy() if row["classes"] else np.full(
+            len(row["slots"]) // 2, 255, np.uint8)
+        for numbers, moved in zip(right.column("numbers").to_pylist(), right.column("moved").to_pylist()):
+            classes[np.frombuffer(unpack(numbers), "<u4")] = np.frombuffer(moved, np.uint8)
+        return pa.table({"block": pa.array([row["block"]], pa.int64()), "classes": pa.array([classes.tobytes()], pa.binary())})
+
+    kept = ["block", "held_out", "sizes", "index", "slots"]
+    fields = T.StructType([*[_BLOCK[c] for c in kept], T.StructField("hashes", T.BinaryType(), False)])
+    base = blocks.select(*kept, "words").mapInArrow(add_hashes, fields)
+    ranges = 64 + blocks.count() // 8
+    none = blocks.select("block", F.lit(None).cast("binary").alias("classes"))
+    classes, between = none, class_bigrams(base.withColumn("classes", F.lit(None).cast("binary")), slot_classes, total)
+    for part in range(parts):
+        rows = base.withColumn("classes", F.lit(None).cast("binary")) if classes is none else base.join(classes, "block")
+        moves = move_words(rows, slot_classes, between, part, parts, ranges)
+        small = blocks.select("block", "slots").join(classes, "block")
+        tried = scratch.stored(small.groupBy("block").cogroup(moves.groupBy("block")).applyInArrow(
+            put, "block long, classes binary"), "word-classes")
+        now = class_bigrams(base.join(tried, "block"), slot_classes, total)
+        if likelihood(now) >= likelihood(between):
+            classes, between = tried, now
+    return classes, between
+
+
 def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray) -> pa.Table:
     slot = np.frombuffer(row["slots"], "<u2")
     sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
     index = unpack_index(row["index"])
     count = np.zeros(slot.size)
     count[numbers] = found
-    kind = model.classes[slot]
+    kind = block_classes(row, model.classes)
     in_class = np.maximum(model.class_tokens[kind], 1)
     unknown = np.where(model.class_words[kind] > 0, model.discount * model.class_words[kind] / in_class, 1.0)
     emission = np.log10(np.where(count > 0, (count - model.discount) / in_class, unknown))
@@ -352,6 +541,29 @@ def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray
         "score": add(emission[index] + model.log_transition[before, kinds])})
 
 
+def with_words(blocks: DataFrame, counts: DataFrame, model: Model, classes: DataFrame, between: np.ndarray) -> Model:
+    """The model with transitions and class sizes of the single words' classes."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens, words = np.zeros((2, total), dtype=np.int64)
+        for row in left.to_pylist():
+            kind = block_classes(row, model.classes)[right.column("number").to_numpy()]
+            n = right.column("count").to_numpy()
+            tokens += np.bincount(kind, n, total).astype(np.int64)
+            words += np.bincount(kind, n > 0, total).astype(np.int64)
+        at = np.flatnonzero(words)
+        return pa.table({"cls": pa.array(at, pa.int32()), "tokens": tokens[at], "words": words[at]})
+
+    total = len(model.class_tokens)
+    tokens, words = np.zeros((2, total), dtype=np.int64)
+    known = counts.where("first AND count > 0").select("block", "number", "count")
+    sums = blocks.select("block", "slots").join(classes, "block").groupBy("block").cogroup(
+        known.groupBy("block")).applyInArrow(run, "cls int, tokens long, words long")
+    for r in sums.groupBy("cls").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect():
+        tokens[r.cls], words[r.cls] = r.tokens, r.words
+    transition = (between + 1) / (between.sum(1, keepdims=True) + total)
+    return replace(model, log_transition=np.log10(transition), class_tokens=tokens, class_words=words)
+
+
 def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """Base and model scores of every text of the blocks."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -365,7 +577,8 @@ def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         "doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()),
         **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")},
         **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
-    texts = blocks.select("block", "doc_ids", "held_out", "sizes", "index", "slots")
+    texts = blocks.select("block", "doc_ids", "held_out", "sizes", "index", "slots",
+                          *[c for c in blocks.columns if c == "classes"])
     return texts.groupBy("block").cogroup(counts.select("block", "number", "count").groupBy("block")).applyInArrow(
         run, schema)
 
@@ -385,4 +598,6 @@ def brown_scores(docs: DataFrame, held_out=None, slots: int = SLOTS, n_classes:
                        held.alias("held_out"))
     blocks = scratch.stored(make_blocks(rows, slots), "word-blocks")
     counts = scratch.stored(word_counts(blocks, slots), "word-counts")
-    return score(blocks, counts, fit(blocks, counts, slots, n_classes, rounds))
+    model = fit(blocks, counts, slots, n_classes, rounds)
+    classes, between = word_classes(blocks, model)
+    return score(blocks.join(classes, "block"), counts, with_words(blocks, counts, model, classes, between))

@@ -282,6 +282,36 @@ def test_slot_bigrams_equal_brute_force_and_exchange_raises_the_likelihood(spark
     assert brown_lm.likelihood(between) > before and classes[-1] == 8 and (classes[:-1] < 8).all()
 
 
+def test_words_of_one_slot_move_by_themselves(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(4).withColumn("held_out", F.col("doc_id") % 5 == 0)
+    blocks = scratch.stored(brown_lm.make_blocks(docs.select("doc_id", "text", "held_out"), 64), "b")
+    counts = scratch.stored(brown_lm.word_counts(blocks, 64), "c")
+    model = brown_lm.fit(blocks, counts, slots=64, n_classes=8)
+    classes, between = brown_lm.word_classes(blocks, model)
+    by_word, by_slot, trained = {}, {}, Counter()
+    for r in blocks.join(classes, "block").collect():
+        kinds = brown_lm.block_classes(r.asDict(), model.classes)
+        for w, s, k, n in zip(r["words"], np.frombuffer(r.slots, "<u2"), kinds, r.n_train):
+            if n:
+                trained[bytes(w)] += n
+                assert by_word.setdefault(bytes(w), int(k)) == int(k)    # the same in all blocks
+                by_slot.setdefault(int(s), set()).add(int(k))
+    assert sum(len(k) > 1 for k in by_slot.values()) > 32
+    want = np.zeros((9, 9))
+    for r in docs.where("doc_id % 5 <> 0").collect():
+        k = [8, *(by_word[w.encode()] for w in _words(r.text)), 8]
+        np.add.at(want, (k[:-1], k[1:]), 1)
+    assert (between == want).all()
+    one = np.eye(9)[model.classes]
+    start = one.T @ brown_lm.slot_bigrams(blocks, 64) @ one
+    assert brown_lm.likelihood(between) > brown_lm.likelihood(start)
+    full = brown_lm.with_words(blocks, counts, model, classes, between)
+    sizes = np.zeros(9)
+    for w, n in trained.items():
+        sizes[by_word[w]] += n
+    assert (full.class_tokens == sizes).all() and full.class_words.sum() == len(trained)
+
+
 def test_scores_of_odd_rows(spark):
     out = brown_lm.brown_scores(_odd(spark), slots=64, n_classes=4)
     assert out.count() == 8 and all(math.isfinite(r.score) and r.score <= 0 for r in out.collect())
