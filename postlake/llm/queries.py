@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import ann, bpe, idfile, packing, scratch, sketch, warc
+from postlake.llm import ann, bpe, conversations, idfile, packing, scratch, sketch, warc
 from postlake.llm.brown_lm import brown_scores
 from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
@@ -129,6 +129,11 @@ def op10_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation, after damage."""
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -140,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_bottom_k_sketch": op10_bottom_k_sketch,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
