@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import ann, bpe, conversations, idfile, packing, scratch, sketch, warc
+from postlake.llm import ann, bpe, conversations, idfile, lexical, packing, scratch, sketch, toxicity, warc
 from postlake.llm.brown_lm import brown_scores
 from postlake.llm.crf_lang import identify
 from postlake.llm.line_dedup import line_dedup
@@ -129,6 +129,19 @@ def op10_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; one fold in five of the labels is never learnt from."""
+    held_out = F.coalesce(id_fold(5) == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), train_on=~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every conversation, after damage."""
     return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
@@ -145,6 +158,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_bottom_k_sketch": op10_bottom_k_sketch,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_toxicity_mil": op12_toxicity_mil,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -228,4 +243,37 @@ ORACLE: dict[str, str] = {
                    'server: demo']), chr(10)) END AS headers,
                CASE WHEN matched_by IS NOT NULL THEN sha256(html) END AS payload_sha256
         FROM judged""",
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        sized AS (SELECT rid, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized),
+        asked AS (
+            SELECT qid, item_id, unnest(terms) AS term FROM (
+                SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+                FROM benchmark) AS b),
+        times AS (SELECT qid, item_id, term, count(*) AS times FROM asked GROUP BY qid, item_id, term),
+        postings AS (
+            SELECT o.rid, o.term, count(*) AS tf
+            FROM (SELECT rid, unnest(terms) AS term FROM d) AS o
+            WHERE o.term IN (SELECT term FROM times) GROUP BY o.rid, o.term),
+        weighted AS (
+            SELECT p.term, CAST(floor(1000 * ln((2 * any_value(t.docs) + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM postings p CROSS JOIN total t GROUP BY p.term),
+        impacts AS (
+            SELECT p.term, s.rid, s.doc_id, v.w * (1000000000 * p.tf
+                // (1000 * p.tf + 8 * (100 - 75 + (75 * s.n * t.docs) // t.all_terms))) AS impact
+            FROM postings p JOIN sized s ON s.rid = p.rid JOIN weighted v ON v.term = p.term CROSS JOIN total t),
+        scored AS (
+            SELECT q.qid, q.item_id, i.rid, i.doc_id, CAST(sum(q.times * i.impact) AS BIGINT) AS score
+            FROM times q JOIN impacts i ON i.term = q.term GROUP BY q.qid, q.item_id, i.rid, i.doc_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+            FROM scored WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
