@@ -59,7 +59,8 @@ def main(argv: list[str] | None = None) -> dict:
         done = land_files(spark, args.records, args.raw, args.comments,
                           args.rejects or args.raw.rstrip("/") + "_rejects", args.ds, args.format,
                           args.newest, args.top, args.comment_limit)
-        result = {"landed": args.raw, "read": done.read, "rows": done.landed, "rejected": done.rejected}
+        result = {"landed": args.raw, "read": done.read, "rows": done.landed, "rejected": done.rejected,
+                  "rejected_comments": done.rejected_comments}
     else:
         res = run_range(spark, args.raw, args.out, args.ds_from, args.ds_to or args.ds_from, args.scope,
                         database=args.database)

@@ -10,9 +10,12 @@ They are *our* definitions, not an imitation of any hosted model.
 
 from __future__ import annotations
 
+import hashlib
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,13 +198,23 @@ def with_ai_labels_from_parts(df: DataFrame, title_lc: str, self_lc: str,
 # User-supplied model hook.
 
 ModelLoader = Callable[[], Callable[[pd.Series], pd.Series]]
-_MODELS: dict[str, Callable[[pd.Series], pd.Series]] = {}
+#: Models that a Python process keeps (the least recently used goes first).
+KEPT_MODELS = 4
+_MODELS: OrderedDict[str, Callable[[pd.Series], pd.Series]] = OrderedDict()
+
+
+def loader_key(loader: ModelLoader) -> str:
+    """Digest of the pickled loader: its code, defaults and closure."""
+    return hashlib.sha256(cloudpickle.dumps(loader)).hexdigest()
 
 
 def worker_model(key: str, loader: ModelLoader) -> Callable[[pd.Series], pd.Series]:
     """The loaded model of this Python process."""
     if key not in _MODELS:
         _MODELS[key] = loader()
+    _MODELS.move_to_end(key)
+    while len(_MODELS) > KEPT_MODELS:
+        _MODELS.popitem(last=False)
     return _MODELS[key]
 
 
@@ -210,14 +223,14 @@ def ai_custom_model(df: DataFrame, text_col: str, loader: ModelLoader, output_co
     """Apply a user model to ``text_col`` in Arrow batches.
 
     ``loader()`` runs once per Python worker process, however many tasks the
-    worker runs (models are kept by ``model_key``, by default the loader's
-    qualified name), and returns a vectorised
-    ``predict(pd.Series) -> pd.Series``. Filter
+    worker runs, and returns a vectorised ``predict(pd.Series) -> pd.Series``.
+    Models are kept by ``model_key`` or, by default, by what the loader is:
+    another closure, default or body is another model, under any name. Filter
     rows *before* calling this: the projection is not pushed below filters
     for Python UDFs.
     """
 
-    key = model_key or f"{loader.__module__}.{getattr(loader, '__qualname__', repr(loader))}"
+    key = f"named {model_key}" if model_key else loader_key(loader)
 
     @F.pandas_udf(return_type)
     def _predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

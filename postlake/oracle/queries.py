@@ -273,8 +273,11 @@ LEFT JOIN (SELECT ds, COUNT(*) AS deduped_rows,
 
 oracle("land_record_files", ["file_landed"], "SELECT * FROM file_landed")
 oracle("land_record_files_rejects", ["file_records"], """
-SELECT reject_reason AS _reject_reason, COUNT(*) AS rows FROM file_records
-WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
+SELECT reason AS _reject_reason, COUNT(*) AS rows FROM (
+  SELECT reject_reason AS reason FROM file_records WHERE reject_reason IS NOT NULL
+  UNION ALL
+  SELECT 'bad_comment:missing:id' FROM file_records WHERE reject_reason IS NULL AND bad_first_comment) r
+GROUP BY reason""")
 oracle("land_record_files_edited", ["file_silver"], "SELECT ds, content_id, edited FROM file_silver")
 oracle("land_record_files_comments", ["file_landed_comments"], "SELECT * FROM file_landed_comments")
 oracle("land_comments_two_days", ["two_days_landed"], "SELECT * FROM two_days_landed")
@@ -282,3 +285,5 @@ ORACLE["profiles_full_then_incremental"] = ORACLE["gold_author_profiles"]
 ORACLE["bronze_daily_runs"] = ORACLE["bronze_submissions"]
 oracle("bronze_daily_runs_all_days", ["bronze_dedup_all"], f"SELECT {BRONZE_OUT} FROM bronze_dedup_all WHERE {S.QC_WHERE}")
 ORACLE["topk_either_5000"] = ORACLE["topk_either"].replace("<= 10", "<= 5000")
+oracle("land_reply_trees", ["tree_landed"], "SELECT * FROM tree_landed")
+oracle("land_reply_trees_first", ["tree_first_landed"], "SELECT * FROM tree_first_landed")

@@ -410,14 +410,14 @@ def file_records_sql() -> str:
 SELECT * EXCLUDE (edited, first_line, doc),
   CASE doc % 5 WHEN 0 THEN '1751155999.0' WHEN 1 THEN NULL WHEN 2 THEN 'true' ELSE 'false' END AS edited,
   CASE WHEN doc % 53 = 0 THEN 'malformed_json' WHEN doc % 59 = 0 THEN 'missing:id'
-       WHEN doc % 41 = 0 THEN 'bad_type:score'
-       WHEN doc % 47 = 0 AND length(trim(first_line, ' ')) <> 0 THEN 'bad_comment' END AS reject_reason
+       WHEN doc % 41 = 0 THEN 'bad_type:score' END AS reject_reason,
+  doc % 47 = 0 AND length(trim(first_line, ' ')) <> 0 AS bad_first_comment
 FROM (SELECT r.*, d.doc_id AS doc, string_split(d.text, chr(10))[1] AS first_line
       FROM submission_records r JOIN documents d ON r.id = CAST(d.doc_id AS VARCHAR)) x"""
 
 
 def file_comments_sql(limit: int) -> str:
-    """Comment records of the good lines: the first comments of each list."""
+    """Comment records of the good lines: the first good comments of each list."""
     created = f"({FX.EPOCH_BASE} + doc_id * {FX.SUBMISSION_STEP})"
     return f"""
 SELECT id AS submission_id, concat(id, '-', CAST(pos AS VARCHAR)) AS id,
@@ -433,13 +433,13 @@ FROM (
     SELECT g.id, g.retrieved_utc, d.doc_id, unnest(string_split(d.text, chr(10))) AS line,
       unnest(range(len(string_split(d.text, chr(10))))) AS pos
     FROM file_good g JOIN documents d ON g.id = CAST(d.doc_id AS VARCHAR)) l
-  WHERE length(trim(line, ' ')) <> 0) c
+  WHERE length(trim(line, ' ')) <> 0 AND NOT (doc_id % 47 = 0 AND pos = 0)) c
 WHERE n <= {limit}"""
 
 
 CTES.update({
     "file_records": (file_records_sql(), ["submission_records"]),
-    "file_good": ("SELECT * EXCLUDE (reject_reason) FROM file_records WHERE reject_reason IS NULL", ["file_records"]),
+    "file_good": ("SELECT * EXCLUDE (reject_reason, bad_first_comment) FROM file_records WHERE reject_reason IS NULL", ["file_records"]),
     "file_landed": (land_submissions_sql("file_good"), ["file_good"]),
     "file_bronze": (f"SELECT * FROM ({bronze_dedup_sql('file_landed')}) b WHERE {QC_WHERE}", ["file_landed"]),
     "file_enriched": (enriched_sql("file_bronze"), ["file_bronze"]),
@@ -450,3 +450,35 @@ CTES.update({
                  "SELECT * REPLACE (retrieved_utc + 86400 AS retrieved_utc) FROM comment_records", ["comment_records"]),
     "two_days_landed": (land_comments_sql("two_days"), ["two_days"]),
 })
+
+
+# ---------------------------------------------------------------------------
+# Reply trees: a turn is answered by the next turn and a leaf; level by level
+# turn t stands at 2t - 1 (the first at 0) and its leaf at 2t + 2, and the
+# last turn's leaf follows the turn before's.
+
+def tree_comments_sql() -> str:
+    created = f"({FX.EPOCH_BASE} + conv_id * {FX.COMMENT_STEP} + turn * 60)"
+    shared = f"""role AS author, CAST((conv_id * 7 + turn) % 40 - 3 AS BIGINT) AS score,
+  CAST({created} AS DOUBLE) AS created_utc, CAST(NULL AS BOOLEAN) AS is_submitter, CAST(NULL AS BOOLEAN) AS stickied,
+  CAST(NULL AS VARCHAR) AS edited, CAST(NULL AS VARCHAR) AS permalink,
+  CAST({FX.EPOCH_BASE} + conv_id * {FX.COMMENT_STEP} + {FX.FETCH_STEP} AS BIGINT) AS retrieved_utc"""
+    return f"""
+SELECT CAST(conv_id AS VARCHAR) AS submission_id, concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS id,
+  CASE WHEN turn = 0 THEN concat('t3_', CAST(conv_id AS VARCHAR))
+       ELSE concat('t1_', CAST(conv_id AS VARCHAR), '-', CAST(turn - 1 AS VARCHAR)) END AS parent_id,
+  text AS body, CASE WHEN turn = 0 THEN 0 ELSE 2 * turn - 1 END AS place, {shared}
+FROM conversations
+UNION ALL
+SELECT CAST(conv_id AS VARCHAR), concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR), 'x'),
+  concat('t1_', CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)), 'leaf', 2 * turn + 2, {shared}
+FROM conversations"""
+
+
+CTES.update({
+    "tree_comments": (tree_comments_sql(), []),
+    "tree_first": ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submission_id ORDER BY place) AS n "
+                   "FROM tree_comments) t WHERE n <= 5", ["tree_comments"]),
+    "tree_landed": (land_comments_sql("tree_comments"), ["tree_comments"]),
+    "tree_first_landed": (land_comments_sql("tree_first"), ["tree_first"]),
+})

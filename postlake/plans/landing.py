@@ -1,14 +1,17 @@
-"""Landing job: record files → raw submissions and raw comments.
+"""Landing job: record files → raw submissions, raw comments and rejects.
 
-One pass writes the good submissions and counts the rejects in that write;
-rejected lines are kept beside the raw tables, by run, and never reach them.
-A file with broken lines therefore replaces only the days its good rows
-belong to, and a file without a good row replaces nothing.
+The text is read and parsed once; the parsed records are stored below the
+shared checkpoint folder and fan out from there, each target reading its own
+columns. Rejected lines and comments are kept by run, replaced when the run
+is repeated, and never reach a raw table. A file with broken lines therefore
+replaces only the days its good rows belong to, and a file without a good row
+replaces nothing.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,9 +19,13 @@ from pyspark.sql import functions as F
 
 from postlake.functions.timefmt import parse_ds
 from postlake.operators.topk import top_n_per_key
-from postlake.session import observed
-from postlake.sinks.tables import overwrite_partitions, replace_partition
-from postlake.sources.landing import flatten_comments, land_comments, land_submissions, read_records, reject_bad_rows
+from postlake.session import drop_scratch, observed, scratch_path
+from postlake.sinks.tables import overwrite_partitions, replace_partition, replace_values
+from postlake.sources.landing import (flatten_comments, land_comments, land_submissions, next_replies, read_records,
+                                      reject_bad_rows, rejects_of)
+
+#: Partition column of the rejects: the run date, or a digest of the paths.
+RUN_COL = "run"
 
 
 @dataclass
@@ -26,6 +33,7 @@ class LandingResult:
     read: int
     landed: int
     rejected: int
+    rejected_comments: int = 0
 
 
 def limit_records(records: DataFrame, newest: int | None = None, top: int | None = None) -> DataFrame:
@@ -45,31 +53,79 @@ def _write(rows: DataFrame, path: str, ds: _dt.date | None) -> None:
         replace_partition(rows, path, ds)
 
 
+class StoredRecords:
+    """Parsed records, stored: one pass over the text, however deep replies are."""
+
+    def __init__(self, parsed: DataFrame, name: str = "parsed"):
+        self.spark, self.paths = parsed.sparkSession, []
+        seen = Observation(f"{name}-{id(self)}")
+        totals = (F.count(F.lit(1)).alias("read"), F.count("_reject_reason").alias("rejected"),
+                  F.sum(F.size("comment_rejects")).alias("comments"))
+        left = F.size("_replies") > 0
+        # a good line needs no raw text again, and one fetch time holds for all its targets
+        slim = parsed.withColumns({
+            "_raw": F.when(F.col("_reject_reason").isNotNull(), F.col("_raw")),
+            "retrieved_utc": F.coalesce("retrieved_utc", F.unix_timestamp(F.current_timestamp()))})
+        self.rows = self._put(slim.observe(seen, *totals, F.count_if(left).alias("deeper")), name)
+        counts = observed(seen) or {"read": 0, "rejected": 0, "comments": 0, "deeper": 0}
+        deeper = counts["deeper"] or 0
+        while deeper:                         # only rows with deeper replies are read again
+            more = Observation(f"{name}-{id(self)}-{len(self.paths)}")
+            rest = self._put(next_replies(self.rows.where(left)).observe(more, F.count_if(left).alias("deeper")), name)
+            self.rows = self.rows.where(~F.coalesce(left, F.lit(False))).unionByName(rest)
+            deeper = (observed(more) or {"deeper": 0})["deeper"]
+        self.read, self.rejected = counts["read"], counts["rejected"]
+
+    def _put(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_scratch(self.spark, path)
+
+
+def write_rejects(parsed: DataFrame, path: str, run: str) -> int:
+    """Replace the rejects of one run; returns how many are comments."""
+    seen = Observation("rejects-" + run)
+    rows = rejects_of(parsed).withColumn(RUN_COL, F.lit(run)).observe(
+        seen, F.count("submission_id").alias("comments"))
+    replace_values(rows, path, RUN_COL, [run])
+    return (observed(seen) or {"comments": 0})["comments"]
+
+
+def run_key(paths: str | list[str], day: _dt.date | None) -> str:
+    if day is not None:
+        return day.isoformat()
+    given = "\n".join(sorted([paths] if isinstance(paths, str) else paths))
+    return "files-" + hashlib.sha256(given.encode()).hexdigest()[:16]
+
+
 def land_files(spark: SparkSession, paths: str | list[str], raw_path: str, comments_path: str | None = None,
                rejects_path: str | None = None, ds: str | _dt.date | None = None, fmt: str = "json",
                newest: int | None = None, top: int | None = None, comment_limit: int | None = None) -> LandingResult:
     """Land record files. With ``ds`` every row belongs to that run date, whose
     partition is replaced; a run without any good row changes nothing.
-    Comments come from the landed records' own lists (the first
-    ``comment_limit`` of each). Rejects go to ``rejects_path``
-    (``_raw``, ``_reject_reason``), appended."""
+    Comments come from the landed records' own lists and reply trees (the
+    first ``comment_limit`` of each); a broken comment leaves its record and
+    the others in place. Rejects go to ``rejects_path`` (``_raw``,
+    ``_reject_reason``, ``submission_id``, ``comment_position``) in the run's
+    partition: the run date or, without one, a digest of ``paths``. Landing
+    the same files again leaves every table as it was."""
     day = parse_ds(ds) if ds is not None else None
-    parsed = read_records(spark, paths, fmt)
-    seen = Observation("landing")
-    totals = (F.count(F.lit(1)).alias("read"), F.count("_reject_reason").alias("rejected"))
-    counted = parsed.observe(seen, *totals)
-    good, _ = reject_bad_rows(counted)
-    landed_seen = Observation("landed")
-    landed = land_submissions(limit_records(good, newest, top), day).observe(
-        landed_seen, F.count(F.lit(1)).alias("rows"))
-    overwrite_partitions(landed, raw_path)   # no rows: no partition changes
-    rows = (observed(landed_seen) or {"rows": 0})["rows"]
-    counts = observed(seen) or parsed.agg(*totals).first().asDict()   # counted apart if nothing was good
-    if comments_path and rows:
-        records, _ = reject_bad_rows(parsed)
-        comments = flatten_comments(limit_records(records, newest, top), limit=comment_limit)
-        _write(land_comments(comments, day), comments_path, day)
-    if rejects_path and counts["rejected"]:
-        _, bad = reject_bad_rows(parsed)
-        bad.write.mode("append").parquet(rejects_path)
-    return LandingResult(counts["read"], rows, counts["rejected"])
+    records = StoredRecords(read_records(spark, paths, fmt))
+    try:
+        good, _ = reject_bad_rows(records.rows)
+        chosen = limit_records(good, newest, top)
+        landed_seen = Observation("landed")
+        landed = land_submissions(chosen, day).observe(landed_seen, F.count(F.lit(1)).alias("rows"))
+        overwrite_partitions(landed, raw_path)   # no rows: no partition changes
+        rows = (observed(landed_seen) or {"rows": 0})["rows"]
+        if comments_path and rows:
+            _write(land_comments(flatten_comments(chosen, limit=comment_limit), day), comments_path, day)
+        bad_comments = write_rejects(records.rows, rejects_path, run_key(paths, day)) if rejects_path else 0
+    finally:
+        records.drop()
+    return LandingResult(records.read, rows, records.rejected, bad_comments)

@@ -303,8 +303,9 @@ def _record_files(spark, d) -> str:
 def _landed_files(spark, d, **limits) -> dict[str, str]:
     root = scratch_path(spark, "landed")
     paths = {n: f"{root}/{n}" for n in ("raw_submissions", "raw_comments", "rejects")}
-    land_files(spark, _record_files(spark, d), paths["raw_submissions"], paths["raw_comments"],
-               paths["rejects"], **limits)
+    files = _record_files(spark, d)
+    for _ in range(2):        # landing the same files again changes nothing
+        land_files(spark, files, paths["raw_submissions"], paths["raw_comments"], paths["rejects"], **limits)
     return paths
 
 
@@ -336,6 +337,25 @@ def _q_land_comments_files(spark, d):
     return ST.scan_full(spark, paths["raw_comments"], RAW_COMMENTS)
 
 
+def _landed_trees(spark, d, **limits) -> DataFrame:
+    files, root = scratch_path(spark, "tree-records"), scratch_path(spark, "landed")
+    FXS.reply_tree_lines_fx(spark, d).write.text(files)
+    land_files(spark, files, f"{root}/raw_submissions", f"{root}/raw_comments", **limits)
+    return ST.scan_full(spark, f"{root}/raw_comments", RAW_COMMENTS)
+
+
+@register("land_reply_trees")
+def _q_trees(spark, d):
+    """Comments of reply trees of any depth, landed."""
+    return _landed_trees(spark, d)
+
+
+@register("land_reply_trees_first")
+def _q_trees_first(spark, d):
+    """The first five comments of each tree, level by level."""
+    return _landed_trees(spark, d, comment_limit=5)
+
+
 @register("land_comments_two_days")
 def _q_land_comments_days(spark, d):
     """Comments fetched again a day later, both days landed in one call."""

@@ -37,12 +37,12 @@ def _dates(days: Iterable[str | _dt.date]) -> list[_dt.date]:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a path table; with ``schema`` the partition column keeps its
-    declared type instead of an inferred one."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    """Read a path table; with ``schema`` exactly the declared columns (not the
+    batch ids that streaming adds), and the partition column keeps its declared
+    type instead of an inferred one."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def scan_partition(spark: SparkSession, path: str, ds: str | _dt.date,
@@ -121,14 +121,28 @@ def _guard_days(df: DataFrame, days: list[_dt.date]) -> DataFrame:
         F.raise_error(msg).cast("date")))
 
 
-def _clear_partitions(spark: SparkSession, path: str, days: list[_dt.date]) -> None:
-    """Remove the folders of the given days (file system calls, no jobs)."""
+def _clear_partitions(spark: SparkSession, path: str, values: Iterable[str], col: str = PARTITION_COL) -> None:
+    """Remove the folders of the given partition values (file system calls, no jobs)."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access from PySpark
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(conf)
-    for day in days:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{PARTITION_COL}={day.isoformat()}"), True)
+    for value in values:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{col}={value}"), True)
+
+
+def replace_values(df: DataFrame, path: str, col: str, values: Iterable) -> None:
+    """Replace exactly the given values of a table partitioned by ``col``
+    (values without special characters); rows must have one of them, and a
+    value that received no rows is cleared."""
+    wanted = sorted(set(values))
+    seen = Observation("replaced_values")
+    ok = F.coalesce(F.col(col).isin(*wanted), F.lit(False))
+    msg = F.concat(F.lit(f"row outside replaced values of {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
+    guarded = df.withColumn(col, F.when(ok, F.col(col)).otherwise(F.raise_error(msg).cast(df.schema[col].dataType)))
+    overwrite_partitions(guarded.observe(seen, F.collect_set(col).alias("values")), path, (col,))
+    present = set((observed(seen) or {}).get("values") or [])
+    _clear_partitions(df.sparkSession, path, [v for v in wanted if v not in present], col)
 
 
 def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date]) -> list[_dt.date]:
@@ -149,7 +163,7 @@ def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date])
     overwrite_partitions(guarded, path)
     present = set((observed(seen) or {}).get("days") or [])
     cleared = [d for d in wanted if d not in present]
-    _clear_partitions(spark, path, cleared)
+    _clear_partitions(spark, path, [d.isoformat() for d in cleared])
     return cleared
 
 

@@ -264,3 +264,38 @@ def record_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc % 5 == 2, F.lit("true")).otherwise(F.lit("false"))
     js = F.replace(js, F.lit('"@edited@"'), edited)
     return r.select(F.when(doc % 53 == 0, F.substring(js, F.lit(1), F.length(js) - 1)).otherwise(js).alias("value"))
+
+
+def reply_tree_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON record lines with reply trees: a record per conversation, whose
+    first turn is its one top comment. Every turn is answered by the next
+    turn, by a leaf and by a 'more' stub, so a tree is as deep as its
+    conversation is long."""
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+    def comment(t: Column, leaf: bool) -> Column:
+        conv, turn = F.col("conv_id"), t["turn"]
+        cid = F.concat(conv.cast("string"), F.lit("-"), turn.cast("string"))
+        up = F.when(turn == 0, F.concat(F.lit("t3_"), conv.cast("string"))).otherwise(
+            F.concat(F.lit("t1_"), conv.cast("string"), F.lit("-"), (turn - 1).cast("string")))
+        return F.to_json(F.struct(
+            (F.concat(cid, F.lit("x")) if leaf else cid).alias("id"),
+            (F.concat(F.lit("t1_"), cid) if leaf else up).alias("parent_id"),
+            (F.lit("leaf") if leaf else t["text"]).alias("body"), t["role"].alias("author"),
+            ((conv * 7 + turn) % 40 - 3).alias("score"),
+            (F.lit(EPOCH_BASE) + conv * COMMENT_STEP + turn * 60).cast("double").alias("created_utc")))
+
+    def answered(rest: Column, t: Column) -> Column:
+        own, leaf = comment(t, False), comment(t, True)
+        replies = F.concat_ws(",", F.when(rest != "", rest), leaf, F.lit('{"kind":"more"}'))
+        return F.concat(F.substring(own, F.lit(1), F.length(own) - 1), F.lit(',"replies":['), replies, F.lit("]}"))
+
+    turns = c.groupBy("conv_id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("turn", "role", "text")))).alias("turns"))
+    tree = F.aggregate("turns", F.lit(""), answered)
+    conv = F.col("conv_id")
+    head = F.to_json(F.struct(
+        conv.cast("string").alias("id"), _cycle("conv_id % 12", SUBREDDIT_CYCLE).alias("subreddit"),
+        (F.lit(EPOCH_BASE) + conv * COMMENT_STEP).cast("double").alias("created_utc"),
+        (F.lit(EPOCH_BASE) + conv * COMMENT_STEP + FETCH_STEP).alias("retrieved_utc")))
+    return turns.select(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"comments":['), tree, F.lit("]}"))
+                        .alias("value"))

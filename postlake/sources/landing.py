@@ -171,10 +171,11 @@ def flatten_comments(submissions: DataFrame, comments_col: str = "comments",
     """Nested comment lists → comment records (one row per comment).
 
     Narrow: the list is filtered and cut inside its row, nothing is grouped.
-    Each row keeps its submission id and ``parent_id`` (the tree needs no
-    recursion). Truncated 'more' stubs are dropped; then the first ``limit``
-    comments of the list stay (None or 0: all). ``position`` is the comment's
-    index in its submission's list, stubs included.
+    Each row keeps its submission id and ``parent_id``. Reply trees are lists by
+    then, level by level (:func:`parse_submission_json`). Truncated 'more' stubs
+    are dropped; then the first ``limit`` comments of the list stay (None or
+    0: all). ``position`` is the comment's index in its submission's list,
+    stubs and rejected comments included.
     """
     placed = F.transform(F.col(comments_col), lambda c, i: F.struct(i.alias("position"), c.alias("c")))
     kept = F.filter(placed, lambda x: x["c"].isNotNull()
@@ -215,9 +216,61 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 _CORRUPT = "_corrupt_record"
 _STRING_RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in SUBMISSION_RECORD.fields]
                               + [T.StructField(_COMMENTS, T.StringType()), T.StructField(_CORRUPT, T.StringType())])
-_STRING_COMMENTS = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in NESTED_COMMENT.fields]))
+# ``replies`` stays JSON text, read one level at a time
+_REPLIES = "replies"
+_STRING_COMMENTS = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in NESTED_COMMENT.fields]
+                                            + [T.StructField(_REPLIES, T.StringType())]))
+COMMENT_REJECT = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("reason", T.StringType()),
+                               T.StructField("raw", T.StringType())])
 # The fetch time is not required: the landing job stamps its own.
 REQUIRED_FIELDS = ("id", "created_utc")
+# Reply levels that one pass over the rows with unread replies takes in.
+REPLY_LEVELS = 2
+
+
+def _typed_comment(c: Column) -> Column:
+    return F.struct(*[(c[f.name] if isinstance(f.dataType, T.StringType) else c[f.name].try_cast(f.dataType))
+                      .alias(f.name) for f in NESTED_COMMENT.fields])
+
+
+def _comment_reason(c: Column) -> Column:
+    """Why a comment is rejected (NULL: it is good, or a stub)."""
+    wrong = [F.when(c["id"].isNull(), F.lit("bad_comment:missing:id"))]
+    for f in NESTED_COMMENT.fields:
+        if not isinstance(f.dataType, T.StringType):
+            wrong.append(F.when(c[f.name].isNotNull() & c[f.name].try_cast(f.dataType).isNull(),
+                                F.lit(f"bad_comment:bad_type:{f.name}")))
+    return (F.when(c.isNull(), F.lit("bad_comment:null"))
+            .when(F.coalesce(c["kind"] == MORE_STUB_KIND, F.lit(False)), F.lit(None).cast("string"))
+            .otherwise(F.coalesce(*wrong)))
+
+
+def _comment_list(text: Column) -> Column:
+    return F.from_json(text, _STRING_COMMENTS, {"mode": "PERMISSIVE"})
+
+
+def _taken_in(df: DataFrame, found: str) -> DataFrame:
+    """Append the string comments of column ``found`` to the row's comments
+    (a rejected one as NULL, which keeps positions), their rejects and replies."""
+    c = F.col(found)
+    judged = df.withColumn("_at", F.size(_COMMENTS)).withColumn("_why", F.transform(c, _comment_reason))
+    kept = F.transform(c, lambda x, i: F.when(F.get("_why", i).isNull(), _typed_comment(x)).cast(NESTED_COMMENT))
+    rejects = F.filter(F.transform(c, lambda x, i: F.when(F.get("_why", i).isNotNull(), F.struct(
+        (F.col("_at") + i).cast("int").alias("position"), F.get("_why", i).alias("reason"), F.to_json(x).alias("raw")))),
+        lambda r: r.isNotNull())
+    replies = F.filter(F.transform(c, lambda x: x[_REPLIES]), lambda r: r.isNotNull() & ~F.trim(r).isin("", "[]", "null"))
+    return judged.withColumn("comment_rejects", F.concat("comment_rejects", rejects)).withColumn("_replies", replies).withColumn(
+        _COMMENTS, F.concat(_COMMENTS, kept)).drop("_at", "_why", found)
+
+
+def next_replies(df: DataFrame, levels: int = REPLY_LEVELS) -> DataFrame:
+    """Read up to ``levels`` more levels of the replies that rows still hold as
+    text in ``_replies``; comments go level by level, siblings in list order
+    under parents in order. In its row: nothing is shuffled."""
+    for _ in range(levels):
+        lists = F.transform("_replies", lambda r: F.coalesce(_comment_list(r), F.array().cast(_STRING_COMMENTS)))
+        df = _taken_in(df.withColumn("_c", F.flatten(lists)), "_c")
+    return df
 
 
 def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -226,13 +279,16 @@ def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFra
     Every field is read as a string, then ``try_cast`` to its declared type,
     so one bad value rejects its row instead of failing the job. Reasons:
     'malformed_json', 'missing:<field>', 'bad_type:<field>' (first found).
-    Nested comments are read the same way: a comment without an id, or with a
-    value of a wrong type, rejects its record ('bad_comment').
+    Nested comments and their ``replies`` are read the same way. A comment
+    without an id, or with a value of a wrong type, is rejected by itself
+    (``comment_rejects``: position, reason, raw text) and NULL in ``comments``;
+    its record, the other comments and its replies stay. ``_replies`` holds
+    the replies' JSON, not read yet: :func:`next_replies` does, for the rows
+    that have any.
     """
     raw = F.col(value_col)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = lines.select(raw.alias("_raw"), F.from_json(raw, _STRING_RECORD, options).alias("r"))
-    parsed = parsed.withColumn("_c", F.from_json(F.col(f"r.{_COMMENTS}"), _STRING_COMMENTS, {"mode": "PERMISSIVE"}))
     is_json = F.col(f"r.{_CORRUPT}").isNull()   # one parse: the reader flags broken lines
     cols, reasons = [], []
     for f in SUBMISSION_RECORD.fields:
@@ -243,38 +299,51 @@ def parse_submission_json(lines: DataFrame, value_col: str = "value") -> DataFra
             reasons.append(F.when(s.isNull(), F.lit(f"missing:{f.name}")))
         if not isinstance(f.dataType, T.StringType):
             reasons.append(F.when(s.isNotNull() & typed.isNull(), F.lit(f"bad_type:{f.name}")))
-
-    def comment(c: Column) -> Column:
-        return F.struct(*[(c[f.name] if isinstance(f.dataType, T.StringType) else c[f.name].try_cast(f.dataType))
-                          .alias(f.name) for f in NESTED_COMMENT.fields])
-
-    def broken(c: Column) -> Column:
-        bad = c["id"].isNull()
-        for f in NESTED_COMMENT.fields:
-            if not isinstance(f.dataType, T.StringType):
-                bad = bad | (c[f.name].isNotNull() & c[f.name].try_cast(f.dataType).isNull())
-        return c.isNull() | (bad & ~F.coalesce(c["kind"] == MORE_STUB_KIND, F.lit(False)))
-
-    reasons.append(F.when(F.col(f"r.{_COMMENTS}").isNotNull()
-                          & (F.col("_c").isNull() | F.exists("_c", broken)), F.lit("bad_comment")))
     reason = F.when(~is_json | F.col("r").isNull(), F.lit("malformed_json")).otherwise(F.coalesce(*reasons))
-    return parsed.select(*cols, F.transform("_c", comment).alias(_COMMENTS),
-                         reason.alias("_reject_reason"), F.col("_raw"))
+    text = F.col(f"r.{_COMMENTS}")
+    listed = parsed.select(*cols, reason.alias("_reject_reason"), "_raw", text.alias("_text"), _comment_list(text).alias("_list"))
+    no_list = F.col("_list").isNull() & F.col("_text").isNotNull() & (F.trim("_text") != "")
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("position"), F.lit("bad_comment:not_a_list").alias("reason"),
+                             F.col("_text").alias("raw")))
+    none = F.array().cast(T.ArrayType(COMMENT_REJECT))
+    first = listed.select(
+        *[f.name for f in SUBMISSION_RECORD.fields], "_reject_reason", "_raw", F.array().cast(T.ArrayType(NESTED_COMMENT)).alias(_COMMENTS),
+        F.when(no_list, whole).otherwise(none).cast(T.ArrayType(COMMENT_REJECT)).alias("comment_rejects"),
+        F.when(F.col("_reject_reason").isNull(), F.col("_list")).alias("_given"))
+    first = first.withColumn("_c", F.coalesce("_given", F.array().cast(_STRING_COMMENTS))).drop("_given")
+    return _taken_in(first, "_c")
 
 
 def check_records(records: DataFrame) -> DataFrame:
     """Typed records with ``comments``, ``_reject_reason`` and ``_raw``
     (columns they lack are NULL)."""
     present = {c.lower() for c in records.columns}
-    fields = [*SUBMISSION_RECORD.fields, T.StructField(_COMMENTS, T.ArrayType(NESTED_COMMENT))]
+    fields = [*SUBMISSION_RECORD.fields, T.StructField(_COMMENTS, T.ArrayType(NESTED_COMMENT)),
+              T.StructField("comment_rejects", T.ArrayType(COMMENT_REJECT)), T.StructField("_replies", T.ArrayType(T.StringType()))]
     cols = [(F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
     reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in REQUIRED_FIELDS])
     out = records.select(*cols)
-    return out.select("*", reason.alias("_reject_reason"), F.to_json(F.struct(*out.columns)).alias("_raw"))
+    given = [f.name for f in fields if f.name not in ("comment_rejects", "_replies")]
+    return out.select("*", reason.alias("_reject_reason"), F.to_json(F.struct(*given)).alias("_raw"))
+
+
+_BOOKKEEPING = ("_reject_reason", "_raw", "comment_rejects", "_replies")
 
 
 def reject_bad_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split parsed records into (good records, rejected raw lines + reason)."""
-    good = parsed.filter(F.col("_reject_reason").isNull()).drop("_reject_reason", "_raw")
+    good = parsed.filter(F.col("_reject_reason").isNull()).drop(*_BOOKKEEPING)
     bad = parsed.filter(F.col("_reject_reason").isNotNull()).select("_raw", "_reject_reason")
     return good, bad
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """All rejects: ``(_raw, _reject_reason, submission_id, comment_position)``.
+    A rejected line has neither id nor position; a rejected comment has both
+    (no position if its whole list could not be read)."""
+    lines = reject_bad_rows(parsed)[1].select("_raw", "_reject_reason", F.lit(None).cast("string").alias("submission_id"),
+                                              F.lit(None).cast("int").alias("comment_position"))
+    comments = parsed.filter(F.col("_reject_reason").isNull()).select("id", F.explode("comment_rejects").alias("r")).select(
+        F.col("r.raw").alias("_raw"), F.col("r.reason").alias("_reject_reason"), F.col("id").alias("submission_id"),
+        F.col("r.position").alias("comment_position"))
+    return lines.unionByName(comments)

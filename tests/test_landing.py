@@ -144,3 +144,58 @@ def test_fetch_limits_per_subreddit(spark):
     for kw in ({"newest": 4}, {"top": 4}):
         out = limit_records(recs, **kw)
         assert out.groupBy("subreddit").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_a_bad_comment_leaves_its_record_and_landing_again_changes_nothing(spark, tmp_path):
+    from postlake.plans.landing import land_files
+    src = tmp_path / "in"
+    src.mkdir()
+    one = ('{"id":"x1","subreddit":"valorant","created_utc":1751155200.0,"retrieved_utc":1751158800,"comments":['
+           '{"id":"c1","body":"good","created_utc":1.0,"score":3},{"id":"c2","score":"many","replies":[{"id":"c3","body":"under"}]},'
+           'null,{"kind":"more"},{"id":"c4"}]}')
+    two = '{"id":"x2","created_utc":1.0,"retrieved_utc":1751158800,"comments":"none"}'
+    (src / "a.json").write_text(one + "\n" + two + "\n" + '{"broken\n')
+    raw, comments, rejects = (str(tmp_path / n) for n in ("raw", "comments", "rejects"))
+    for _ in range(2):
+        done = land_files(spark, str(src), raw, comments, rejects)
+        assert (done.read, done.landed, done.rejected, done.rejected_comments) == (3, 2, 1, 3)
+    assert sorted(r.submission_id for r in spark.read.parquet(raw).collect()) == ["x1", "x2"]
+    assert sorted(r.comment_id for r in spark.read.parquet(comments).collect()) == ["c1", "c3", "c4"]
+    got = sorted((r._reject_reason, r.submission_id or "", r.comment_position) for r in spark.read.parquet(rejects).collect())
+    assert got == [("bad_comment:bad_type:score", "x1", 1), ("bad_comment:not_a_list", "x2", None),
+                   ("bad_comment:null", "x1", 2), ("malformed_json", "", None)]
+    (src / "a.json").write_text(one.replace('"many"', "4").replace("null,", "") + "\n")
+    land_files(spark, str(src), raw, comments, rejects)          # mended: the run's rejects go
+    assert spark.read.parquet(comments).count() == 4
+    assert not list((tmp_path / "rejects").glob("run=*"))
+
+
+def test_reply_trees_of_any_depth_keep_the_forest_order(spark):
+    from postlake.plans.landing import StoredRecords
+    deep = '{"id":"d0","replies":%s}'
+    tree = "[]"
+    for i in range(11, 0, -1):
+        tree = '[{"id":"d%d","replies":%s},{"kind":"more"},{"id":"s%d"}]' % (i, tree, i)
+    lines = spark.createDataFrame([('{"id":"a","created_utc":1.0,"comments":[%s,{"id":"b0","replies":[{"id":"b1"}]}]}' % (deep % tree),),
+                                   ('{"id":"flat","created_utc":1.0,"comments":[{"id":"f","replies":""}]}',)], "value string")
+    stored = StoredRecords(L.parse_submission_json(lines))
+    flat = L.flatten_comments(L.reject_bad_rows(stored.rows)[0])
+    got = [r.id for r in flat.where("submission_id = 'a'").orderBy("position").collect()]
+    assert got == ["d0", "b0", "d1", "s1", "b1"] + [x for i in range(2, 12) for x in (f"d{i}", f"s{i}")]
+    assert [r.id for r in flat.where("submission_id = 'flat'").collect()] == ["f"]
+    assert [r.id for r in L.flatten_comments(L.reject_bad_rows(stored.rows)[0], limit=3).where(
+        "submission_id = 'a'").orderBy("position").collect()] == ["d0", "b0", "d1"]
+    stored.drop()
+
+
+def test_text_is_scanned_once(spark, tmp_path):
+    """Every target of a landing is written from the stored parse."""
+    from postlake.plans import landing as P
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text((GOOD % ("1", "false", "1")) + "\n")
+    records = P.StoredRecords(L.read_records(spark, str(src)))
+    (src / "a.json").unlink()                                    # what follows cannot read it again
+    good, _ = L.reject_bad_rows(records.rows)
+    assert L.land_submissions(good).count() == 1 and L.land_comments(L.flatten_comments(good)).count() == 1
+    assert L.rejects_of(records.rows).count() == 0

@@ -218,3 +218,18 @@ def test_bins_and_trending_match_a_plain_python_reading_of_the_rules(spark):
         assert row.nb == py_bin(row.n, R.NUM_COMMENTS_BINS, default=R.NUM_COMMENTS_BIN_ELSE)
         assert row.rb == py_ratio_bin(row.r)
         assert row.t == py_trending(row.s, row.n)
+
+
+def test_two_models_of_one_factory_are_two_models(spark):
+    def make(answer):
+        def loader():
+            return lambda texts: texts.map(lambda _: answer)
+        return loader
+
+    df = spark.range(50).selectExpr("cast(id as string) AS t")
+    for answer in ("first", "second", "first"):
+        out = AI.ai_custom_model(df, "t", make(answer), "m")
+        assert {r.m for r in out.select("m").collect()} == {answer}
+    assert AI.loader_key(make("a")) != AI.loader_key(make("b")) and AI.loader_key(make("a")) == AI.loader_key(make("a"))
+    kept = [AI.worker_model(f"k{i}", lambda i=i: i) for i in range(AI.KEPT_MODELS + 3)]
+    assert len(AI._MODELS) <= AI.KEPT_MODELS and kept[-1] == AI.worker_model(f"k{AI.KEPT_MODELS + 2}", lambda: None)
