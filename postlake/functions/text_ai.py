@@ -106,6 +106,47 @@ def ai_topics(full_text: Column | str) -> Column:
     return _topic_label(text.isNull(), ai_topic_scores(F.lower(text)))
 
 
+# ---------------------------------------------------------------------------
+# Sentiment with the lexicon as a table.
+
+def tokens(text: Column | str) -> Column:
+    """The ``[a-z]+`` tokens of a lower-cased text."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda t: t != "")
+
+
+def default_lexicon(spark) -> DataFrame:
+    """The built-in words as a lexicon table."""
+    words = [(w, 1) for w in SENTIMENT_POSITIVE_WORDS] + [(w, -1) for w in SENTIMENT_NEGATIVE_WORDS]
+    return spark.createDataFrame(words, "word string, weight int")
+
+
+def lexicon_sentiment(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
+                      word_col: str = "word", weight_col: str = "weight") -> DataFrame:
+    """``(*keys, ai_sentiment, positive, negative)`` by a lexicon of weighted words.
+
+    A text's distinct tokens meet the lexicon in one join and return summed by
+    key: one plan for a lexicon of any size, which adaptive execution
+    broadcasts when it is small, and whose frequent words it splits. Texts are
+    tokenised where they are and never shuffled. ``positive`` and ``negative``
+    are the weights of the distinct tokens on either side; the label says
+    which sides there are (NULL text: NULL). ``keys`` identify a text (rows of
+    equal keys are one); a word listed more than once counts once with the sum
+    of its weights, NULL words, NULL weights and zero weights do not count.
+    """
+    words = lexicon.select(F.lower(F.col(word_col)).alias("_word"), F.col(weight_col).alias("_weight")).where(
+        F.col("_word").isNotNull()).groupBy("_word").agg(F.sum("_weight").alias("_weight")).where("_weight != 0")
+    # an empty token keeps a row for texts without words; NULL marks a NULL text
+    own = F.when(F.col(text_col).isNull(), F.array(F.lit(None).cast("string"))).otherwise(
+        F.concat(F.array(F.lit("")), F.array_distinct(tokens(text_col))))
+    found = df.select(*keys, F.explode(own).alias("_word")).join(words, "_word", "left").groupBy(*keys).agg(
+        F.count("_word").alias("_n"),
+        F.coalesce(F.sum(F.when(F.col("_weight") > 0, F.col("_weight"))), F.lit(0)).alias("positive"),
+        F.coalesce(F.sum(F.when(F.col("_weight") < 0, -F.col("_weight"))), F.lit(0)).alias("negative"))
+    label = _sentiment_label(F.col("_n") == 0, F.col("positive") > 0, F.col("negative") > 0)
+    return found.select(*keys, label.alias("ai_sentiment"), "positive", "negative")
+
+
 def topic_score_sql(lc: str, keywords: list[str]) -> str:
     return "(" + " + ".join(f"(CASE WHEN contains({lc}, {_q(k)}) THEN 1 ELSE 0 END)" for k in keywords) + ")"
 

@@ -93,6 +93,14 @@ def qc_filter(bronze: DataFrame) -> DataFrame:
     return bronze.filter(qc_predicate())
 
 
+def qc_dropped(bronze: DataFrame) -> DataFrame:
+    """The rows that :func:`qc_filter` drops, with the first reason."""
+    reason = (F.when(F.col("submission_id").isNull(), F.lit("no id"))
+              .when(F.col("created_at_timestamp").isNull(), F.lit("no creation time"))
+              .when(F.col("score").isNull(), F.lit("no score")).when(F.col("score") < 0, F.lit("negative score")))
+    return bronze.withColumn("qc_reason", reason).filter(F.col("qc_reason").isNotNull())
+
+
 @dataclass
 class BronzeCounts:
     """Observed row counts of one bronze run (filled by the first action)."""
@@ -112,18 +120,20 @@ def _count_rows() -> Column:
 
 
 def bronze_submissions(raw: DataFrame, scope: str = "day", counts: BronzeCounts | None = None,
-                       all_raw: DataFrame | None = None) -> DataFrame:
+                       all_raw: DataFrame | None = None, winners: DataFrame | None = None) -> DataFrame:
     """Deduplicated, typed and checked submissions of ``raw``.
 
-    With ``all_raw`` (the whole raw table of which ``raw`` holds some days) and
-    ``scope="all"`` a submission stays only on the day of its latest version
-    over that table, so any split of the days into runs gives the same rows."""
+    With ``scope="all"`` and ``winners`` (the day of each submission's latest
+    version, kept by ``plans.versions``), or ``all_raw`` (the whole raw table of
+    which ``raw`` holds some days) to find them, a submission stays only on the
+    day of its latest version over that table, so any split of the days into
+    runs gives the same rows."""
     df = raw
     if counts is not None:
         df = df.observe(counts.raw, _count_rows())
-    if scope == "all" and all_raw is not None:
-        df = dedup_latest(df, "submission_id", "day").join(
-            latest_days(all_raw), ["submission_id", "ds"], "left_semi").select(*raw.columns)
+    if scope == "all" and (winners is not None or all_raw is not None):
+        kept = winners if winners is not None else latest_days(all_raw)
+        df = dedup_latest(df, "submission_id", "day").join(kept, ["submission_id", "ds"], "left_semi").select(*raw.columns)
     else:
         df = dedup_latest(df, "submission_id", scope)
     df = bronze_project(df)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.operators.topk import top_n_per_key
+
 
 def _flag01(c: str) -> Column:
     """CASE WHEN c THEN 1 ELSE 0 END (NULL counts as 0)."""
@@ -67,6 +69,29 @@ def gold_author_profiles(silver: DataFrame) -> DataFrame:
                  F.max("created_at_timestamp").alias("last_seen")))
 
 
+# ---------------------------------------------------------------------------
+# Approximate distinct counts, on request: mergeable sketches.
+
+SKETCH_LG_K = 14
+#: Three standard errors of a sketch (0.83 / sqrt(2 ** SKETCH_LG_K)).
+SKETCH_ERROR = 3 * 0.83 / 2 ** (SKETCH_LG_K / 2)
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    """``keys`` and a HyperLogLog sketch per name (a column each; NULLs do not
+    count): a few KB a group that merge over days and any other key, where
+    exact counts need all values again."""
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_LG_K).alias(n) for n, c in names.items()])
+
+
+def merge_sketches(sketches: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    return sketches.groupBy(*keys).agg(*[F.hll_union_agg(n).alias(n) for n in names])
+
+
+def distinct_estimates(sketches: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    return sketches.select(*keys, *[F.hll_sketch_estimate(n).alias(n) for n in names])
+
+
 # ---------------------------------------------------------------------------
 # Incremental author profiles: mergeable daily partials + rollup.
 
@@ -136,16 +161,15 @@ def doc_category_trends_daily(silver: DataFrame) -> DataFrame:
 def doc_top_authors_daily(silver: DataFrame, k: int = 10) -> DataFrame:
     """Top-k authors per day by posts, ties by name.
 
-    Aggregate first (partial agg absorbs hot authors); the per-day rank
-    then sees one row per (day, author), and ``rank <= k`` becomes a
-    partial group limit before the shuffle by day.
+    Aggregate first (partial agg absorbs hot authors); then one row per (day,
+    author) is cut in two levels, so no day is sorted in one task whatever
+    ``k`` is.
     """
     per_author = (silver.filter(F.col("author_name").isNotNull())
                   .groupBy("ds", "author_name").agg(F.count(F.lit(1)).alias("posts")))
-    w = Window.partitionBy("ds").orderBy(F.col("posts").desc(), F.col("author_name").asc())
-    return (per_author.withColumn("author_rank", F.row_number().over(w))
-            .filter(F.col("author_rank") <= k)
-            .withColumn("author_rank", F.col("author_rank").cast("bigint")))
+    order = [F.col("posts").desc(), F.col("author_name").asc()]
+    top = top_n_per_key(per_author, ["ds"], order, k, ["author_name"], "author_rank")
+    return top.withColumn("author_rank", F.col("author_rank").cast("bigint"))
 
 
 def doc_trending_summary(silver: DataFrame) -> DataFrame:

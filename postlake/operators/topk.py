@@ -11,10 +11,10 @@ size and splits a skewed one.
   key (one subreddit, one day) is sorted by many tasks whatever ``n`` is.
   (Up to Spark's own group-limit threshold the cut also happens before the
   first shuffle.)
-* ``top_k_either`` never sorts a whole day. A candidate's rank is the number
-  of rows with a greater key (a histogram of key values, summed up per day)
-  plus the rows of equal key and smaller id (each such row finds its interval
-  among the candidates' ids; one count per interval).
+* ``top_k_either`` never sorts a whole day. All keys are cut together to the
+  candidates; every row then finds its place among its day's sorted candidates
+  by binary search, and rows are counted by place (partial sums before the
+  shuffle), which gives each candidate's exact rank under every key.
 * ``daily_rank`` ranks *every* row: range partitioning splits a hot day over
   many tasks, and a table of at most partitions + days rows turns local
   positions into day ranks. Positions must be fixed before they are joined
@@ -78,50 +78,59 @@ def limit_comments_per_submission(comments: DataFrame, n: int | None = 50) -> Da
 # ---------------------------------------------------------------------------
 # Daily top-k report.
 
-def _ranks_of(cands: DataFrame, narrow: DataFrame, part_col: str, id_col: str, key: str, rank: str) -> DataFrame:
-    """``(part, id, rank)``: each candidate's place under one key."""
-    same = [part_col, "_key"]
-    rows_ = narrow.select(part_col, F.col(id_col).alias("_id"), F.col(key).alias("_key"))
-    earlier = Window.partitionBy(part_col).orderBy(F.col("_key").desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    greater = rows_.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).select(
-        F.col(part_col).alias("_g_part"), F.col("_key").alias("_g_key"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_greater"))
-    ids = cands.groupBy(F.col(part_col).alias("_i_part"), F.col(key).alias("_i_key")).agg(
-        F.sort_array(F.collect_list(id_col)).alias("_ids"))
-    groups = ids.join(greater, (F.col("_i_part") == F.col("_g_part")) & F.col("_i_key").eqNullSafe(F.col("_g_key")))
-    groups = groups.select(F.col("_i_part").alias(part_col), F.col("_i_key").alias("_key"), "_ids", "_greater")
-    tied = rows_.join(ids, (F.col(part_col) == F.col("_i_part")) & F.col("_key").eqNullSafe(F.col("_i_key"))).filter(
-        F.col("_id") < F.element_at("_ids", -1)).select(
-        part_col, "_key", F.size(F.filter("_ids", lambda c: c <= F.col("_id"))).alias("_place"))
-    counts = tied.groupBy(*same, "_place").agg(F.count(F.lit(1)).alias("_n"))
-    asked = groups.select(part_col, "_key", "_greater", F.posexplode("_ids").alias("_place", "_id"))
-    both = counts.select(*same, "_place", F.lit(0).alias("_kind"), "_n", F.lit(None).cast("bigint").alias("_greater"),
-                         F.lit(None).cast(cands.schema[id_col].dataType).alias("_id")).unionByName(
-        asked.select(*same, "_place", F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_n"), "_greater", "_id"))
-    up_to = Window.partitionBy(*same).orderBy("_place", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    return (both.withColumn("_before", F.sum("_n").over(up_to)).filter("_kind = 1")
-            .select(part_col, F.col("_id").alias(id_col), (F.col("_greater") + F.col("_before") + 1).cast("int").alias(rank)))
+def _sort_key(key: str, id_col: str) -> Column:
+    """A struct that sorts as (key descending, NULLs last, id ascending);
+    ``~v`` falls as an integer ``v`` rises and cannot overflow."""
+    return F.struct(F.col(key).isNull().alias("n"), F.bitwise_not(F.col(key)).alias("v"), F.col(id_col).alias("i"))
+
+
+def _place(cands: str, x: Column, steps: int) -> Column:
+    """Index of the first entry of the sorted array ``cands`` that is not
+    below ``x`` (its size if all are), by binary search."""
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        open_, below = s["lo"] < s["hi"], F.get(cands, mid) < x
+        return F.struct(F.when(open_ & below, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~below, mid).otherwise(s["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(cands).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["lo"])
 
 
 def top_k_either(df: DataFrame, id_col: str, keys: list[tuple[str, str]], k: int = TOP_DAILY_K,
                  part_col: str = "ds") -> DataFrame:
     """Rows in the top ``k`` of their ``part_col`` group by *any* of ``keys``
-    (each key descending, NULLs last, ties by ``id_col``), with the exact
-    rank under every key. ``keys`` is a list of (order column, rank column).
-
-    Candidates and ranks come from the narrow key columns; the full rows of
-    the ranked candidates are one more pass over ``df``, which should
-    therefore be a written table. ``id_col`` is unique within a group and not
+    (integer keys, each descending, NULLs last, ties by ``id_col``), with the
+    exact rank under every key. ``keys`` is a list of (order column, rank column).
+
+    Two passes over the narrow key columns: one cuts all keys together to the
+    candidates, at most ``k`` a key and group; the other finds every row's
+    place among its group's sorted candidates, under each key, and counts rows
+    by place, so a candidate's rank is the sum of the counts up to its own.
+    The rows of the ranked candidates are one more pass over ``df``, which
+    should be a written table. ``id_col`` is unique within a group and not
     NULL (it is, per day, after dedup and QC).
     """
-    narrow = df.select(part_col, id_col, *[c for c, _ in keys])
-    tops = [top_n_per_key(narrow, [part_col], _desc_then_id(c, id_col), k, [id_col]) for c, _ in keys]
-    cands = reduce(lambda a, b: a.unionByName(b), tops).dropDuplicates([part_col, id_col])
-    ranks = reduce(lambda a, b: a.join(b, [part_col, id_col]),
-                   [_ranks_of(cands, narrow, part_col, id_col, c, rank) for c, rank in keys])
+    names = [c for c, _ in keys]
+    narrow = df.select(part_col, id_col, *names)
+    by_key = narrow.select(part_col, id_col, *names, F.posexplode(F.array(*[_sort_key(c, id_col) for c in names]))
+                           .alias("_key", "_order"))
+    tops = top_n_per_key(by_key, [part_col, "_key"], [F.col("_order")], k, [id_col])
+    cands = tops.groupBy(F.col(part_col).alias("_part")).agg(*[
+        F.array_sort(F.collect_set(_sort_key(c, id_col))).alias(f"_cands{i}") for i, c in enumerate(names)])
+    steps = max(1, (len(keys) * k).bit_length())
+    placed = narrow.join(cands, F.col(part_col).eqNullSafe(F.col("_part"))).select(part_col, F.posexplode(F.array(*[
+        F.struct(_place(f"_cands{i}", _sort_key(c, id_col), steps).alias("place"), F.size(f"_cands{i}").alias("size"),
+                 F.col(id_col).alias("id"), _sort_key(c, id_col).alias("order")) for i, c in enumerate(names)])).alias("_key", "_x"))
+    # of the rows that share a place the last one is the candidate itself
+    counts = placed.where(F.col("_x.place") < F.col("_x.size")).groupBy(part_col, "_key", F.col("_x.place").alias("_place")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by("_x.id", "_x.order").alias(id_col))
+    up_to = Window.partitionBy(part_col, "_key").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_rank", F.sum("_n").over(up_to).cast("int")).groupBy(part_col, id_col).agg(*[
+        F.max(F.when(F.col("_key") == i, F.col("_rank"))).alias(rank) for i, (_, rank) in enumerate(keys)])
     keep = reduce(lambda a, b: a | b, [F.col(rank) <= k for _, rank in keys])
-    return df.join(ranks.filter(keep), [part_col, id_col])
+    chosen = ranked.filter(keep).withColumnsRenamed({part_col: "_part", id_col: "_id"})
+    return df.join(chosen, F.col(part_col).eqNullSafe(F.col("_part")) & (F.col(id_col) == F.col("_id"))).drop("_part", "_id")
 
 
 def gold_top_daily(silver: DataFrame, k: int = TOP_DAILY_K) -> DataFrame:

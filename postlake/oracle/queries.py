@@ -287,3 +287,39 @@ oracle("bronze_daily_runs_all_days", ["bronze_dedup_all"], f"SELECT {BRONZE_OUT}
 ORACLE["topk_either_5000"] = ORACLE["topk_either"].replace("<= 10", "<= 5000")
 oracle("land_reply_trees", ["tree_landed"], "SELECT * FROM tree_landed")
 oracle("land_reply_trees_first", ["tree_first_landed"], "SELECT * FROM tree_first_landed")
+
+# --- versions over all days, lexicon table, sketches ------------------------
+_AGAIN = """SELECT * FROM raw_submissions_all_fx
+WHERE ds <> DATE '2025-07-03'
+  AND (ds <> DATE '2025-07-01' OR retrieved_utc_unix - created_utc_unix < {step})"""
+oracle("bronze_days_landed_again", ["raw_submissions_all_fx"], f"SELECT {BRONZE_OUT} FROM again_dedup WHERE {S.QC_WHERE}",
+       [("raw_again", _AGAIN.format(step=S.FX.FETCH_STEP)), ("again_dedup", S.bronze_dedup_sql("raw_again", "all"))])
+
+_TOKENS = "list_filter(string_split_regex(lower(concat_ws(' ', title, selftext)), '[^a-z]+'), lambda x: x <> '')"
+oracle("ai_sentiment_lexicon", ["bronze_dedup"], f"""
+SELECT b.ds, b.submission_id,
+  CASE WHEN b.positive > 0 AND b.negative > 0 THEN 'mixed' WHEN b.positive > 0 THEN 'positive'
+       WHEN b.negative > 0 THEN 'negative' ELSE 'neutral' END AS ai_sentiment, b.positive, b.negative
+FROM (SELECT ds, submission_id, CAST(coalesce(sum(w) FILTER (WHERE w > 0), 0) AS BIGINT) AS positive,
+        CAST(coalesce(-sum(w) FILTER (WHERE w < 0), 0) AS BIGINT) AS negative
+      FROM (SELECT ds, submission_id, CASE WHEN word = '' THEN 0 ELSE ascii(md5(word)) % 7 - 3 END AS w
+            FROM (SELECT ds, submission_id, unnest(list_distinct(list_append({_TOKENS}, ''))) AS word
+                  FROM bronze_dedup) t) u
+      GROUP BY ds, submission_id) b""")
+oracle("ai_sentiment_lexicon_default", ["bronze_dedup"], f"""
+SELECT ds, submission_id, {S.sentiment_sql('full_text')} AS ai_sentiment
+FROM (SELECT *, concat_ws(' ', title, selftext) AS full_text FROM bronze_dedup) b""")
+
+oracle("agg_count_distinct_approx", ["silver"], """
+SELECT CAST(ds AS VARCHAR) AS period, COUNT(DISTINCT game_topic) AS exact_topics,
+  COUNT(DISTINCT author_name) AS exact_authors, TRUE AS topics_near, TRUE AS authors_near, TRUE AS merged_equal
+FROM silver GROUP BY ds
+UNION ALL
+SELECT 'week', COUNT(DISTINCT game_topic), COUNT(DISTINCT author_name), TRUE, TRUE, TRUE FROM silver""")
+
+oracle("qc_dropped", ["bronze_dedup"], """
+SELECT ds, submission_id, score, created_utc_unix,
+  CASE WHEN submission_id IS NULL THEN 'no id' WHEN created_at_timestamp IS NULL THEN 'no creation time'
+       WHEN score IS NULL THEN 'no score' ELSE 'negative score' END AS qc_reason
+FROM bronze_dedup
+WHERE submission_id IS NULL OR created_at_timestamp IS NULL OR score IS NULL OR score < 0""")

@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.functions.timefmt import ds_range
 from postlake.operators import gold as G
-from postlake.operators.bronze import BronzeCounts, bronze_submissions, latest_days
+from postlake.operators.bronze import BronzeCounts, bronze_submissions
 from postlake.operators.silver import silver_submissions
 from postlake.operators.topk import gold_top_daily
+from postlake.plans import versions
 from postlake.schemas import TABLES, conform
 from postlake.sinks.tables import (check_table, create_table, full_overwrite, guard_not_null, partition_days,
                                    read_table, replace_partitions, scan_days)
@@ -48,20 +49,6 @@ def table_paths(root: str) -> dict[str, str]:
     return {n: f"{root}/{n}" for n in TABLES}
 
 
-def _superseded_days(spark: SparkSession, bronze_path: str, raw: DataFrame, winners: DataFrame,
-                     days: list[_dt.date]) -> list[_dt.date]:
-    """Built days outside the run that still hold a submission of the run's
-    days whose latest version is elsewhere (narrow columns; at most one row
-    per built day reaches the driver)."""
-    others = sorted(set(partition_days(spark, bronze_path)) - set(days))
-    if not others:
-        return []
-    built = scan_days(spark, bronze_path, others, TABLES["bronze_submissions"][0]).select("submission_id", "ds")
-    touched = raw.select("submission_id").distinct()
-    stale = built.join(touched, "submission_id", "left_semi").join(winners, ["submission_id", "ds"], "left_anti")
-    return sorted(r["ds"] for r in stale.select("ds").distinct().collect())
-
-
 def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.date], scope: str = "day",
              incremental_profiles: bool = True, parallel_gold: bool = True,
              database: str | None = None) -> RunResult:
@@ -69,8 +56,10 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
 
     ``scope="day"`` keeps the latest version of a submission per day,
     ``scope="all"`` over the whole raw table: a submission then stays only on
-    the day of its latest version, and earlier built days that lose one are
-    rebuilt too, so the tables do not depend on how days are cut into runs.
+    the day of its latest version, and other built days that lose or gain one
+    are rebuilt too, so the tables do not depend on how days are cut into runs.
+    A state table (``latest_versions``) knows the versions of earlier days, so
+    a run reads the raw rows of its own days only.
 
     Author profiles cover all history: per-day partial sums are written with
     every run, days of silver that lack them are filled in, and the profile
@@ -90,12 +79,14 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
         return scan_days(spark, paths[name], of, TABLES[name][0])
 
     raw = scan_days(spark, raw_path, days, raw_schema)
-    whole = read_table(spark, raw_path, raw_schema) if scope == "all" else None
-    if whole is not None:
-        days = sorted({*days, *_superseded_days(spark, paths["bronze_submissions"], raw, latest_days(whole), days)})
+    change = None
+    if scope == "all":
+        change = versions.change(spark, raw_path, f"{out_root.rstrip('/')}/latest_versions", days,
+                                 partition_days(spark, paths["bronze_submissions"]))
+        days = change.days
         raw = scan_days(spark, raw_path, days, raw_schema)
     counts = BronzeCounts()
-    put(bronze_submissions(raw, scope, counts, whole), "bronze_submissions", days)
+    put(bronze_submissions(raw, scope, counts, winners=change and change.winners), "bronze_submissions", days)
     put(silver_submissions(layer("bronze_submissions", days)), "silver_submissions", days)
     silver = layer("silver_submissions", days)
 
@@ -124,6 +115,8 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
     else:
         for j in jobs:
             j()
+    if change:
+        change.commit()
     if database:
         register_tables(spark, database, paths)
     return RunResult(days=days, paths=paths, bronze_counts=counts.as_dict())

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from postlake.functions import rules as R  # noqa: E402
 from postlake.functions import text_ai as AI  # noqa: E402
 from postlake.functions import timefmt as TF  # noqa: E402
-from postlake.operators.bronze import bronze_project, dedup_latest  # noqa: E402
+from postlake.operators.bronze import bronze_project, dedup_latest, qc_dropped  # noqa: E402
 from postlake.operators.silver import candidate_filter  # noqa: E402
 from postlake.plans.chain import bronze_dedup_fx, enriched_fx, raw_fx  # noqa: E402
 
@@ -72,6 +72,12 @@ def _q_qc(spark, d):
     return bronze_fx(spark, d)
 
 
+@register("qc_dropped")
+def _q_qc_dropped(spark, d):
+    """The latest versions that quality control drops, and why."""
+    return qc_dropped(bronze_dedup_fx(spark, d)).select("ds", "submission_id", "score", "created_utc_unix", "qc_reason")
+
+
 @register("project_fixed")
 def _q_project(spark, d):
     """Ordered, typed bronze projection of every raw row (no dedup)."""
@@ -142,6 +148,25 @@ def _q_kw(spark, d):
     return counts.select("ds", F.inline(pairs))
 
 
+@register("ai_sentiment_lexicon")
+def _q_lexicon(spark, d):
+    """Sentiment by a lexicon table: every word of the documents, weighted from
+    -3 to 3 by its digest."""
+    words = bronze_dedup_fx(spark, d).select(F.explode(F.array_distinct(AI.tokens(
+        R.concat_text("title", "selftext")))).alias("word")).distinct()
+    lexicon = words.withColumn("weight", F.ascii(F.md5(F.col("word").cast("binary"))) % 7 - 3)
+    b = bronze_dedup_fx(spark, d).withColumn("full_text", R.concat_text("title", "selftext"))
+    return AI.lexicon_sentiment(b, ["ds", "submission_id"], "full_text", lexicon)
+
+
+@register("ai_sentiment_lexicon_default")
+def _q_lexicon_default(spark, d):
+    """The same plan with the built-in words."""
+    b = bronze_dedup_fx(spark, d).withColumn("full_text", R.concat_text("title", "selftext"))
+    return AI.lexicon_sentiment(b, ["ds", "submission_id"], "full_text", AI.default_lexicon(spark)).select(
+        "ds", "submission_id", "ai_sentiment")
+
+
 @register("ai_custom_model")
 def _q_custom(spark, d):
     """User model hook (Arrow-batched pandas UDF) on candidates' full text."""
@@ -171,6 +196,30 @@ _daily("agg_collect_distinct", lambda: [F.sort_array(F.collect_set("ai_topics"))
 _daily("agg_min_max", lambda: [F.min("created_at_timestamp").alias("first_created"),
                                F.max("created_at_timestamp").alias("last_created")])
 
+
+
+@register("agg_count_distinct_approx")
+def _q_distinct_approx(spark, d):
+    """Approximate distinct authors and topics, per day and for the week from
+    the days' sketches, against exact counts."""
+    silver = silver_fx(spark, d)
+    names = {"topics": "game_topic", "authors": "author_name"}
+    daily = G.distinct_sketches(silver, ["ds"], names)
+    week = G.distinct_estimates(G.merge_sketches(daily, [], names), [], names)
+    at_once = G.distinct_estimates(G.distinct_sketches(silver, [], names), [], names)
+    exact = [F.countDistinct(c).alias(f"exact_{n}") for n, c in names.items()]
+    near = [(F.abs(F.col(n) - F.col(f"exact_{n}")) <= G.SKETCH_ERROR * F.col(f"exact_{n}")).alias(f"{n}_near") for n in names]
+    by_day = G.distinct_estimates(daily, ["ds"], names).join(silver.groupBy("ds").agg(*exact), "ds").select(
+        F.col("ds").cast("string").alias("period"), *[f"exact_{n}" for n in names], *near, F.lit(True).alias("merged_equal"))
+    merged = F.lit(True)
+    both = week.join(at_once.withColumnsRenamed({n: f"once_{n}" for n in names}))
+    for n in names:
+        merged = merged & (F.col(n) == F.col(f"once_{n}"))
+    whole = both.join(silver.agg(*exact)).select(
+        F.lit("week").alias("period"), *[f"exact_{n}" for n in names], *near, merged.alias("merged_equal"))
+    return by_day.unionByName(whole)
+
+
 register("author_profiles_incremental")(
     lambda spark, d: G.author_profiles_from_partials(G.author_daily_partials(silver_fx(spark, d))))
 
@@ -498,6 +547,20 @@ register("bronze_daily_runs")(_daily_runs("day"))
 register("bronze_daily_runs_all_days")(_daily_runs("all"))
 
 
+@register("bronze_days_landed_again")
+def _q_landed_again(spark, d):
+    """The week in one run over all days' versions; then day 3 is landed again
+    with its first fetches only, day 5 with no rows, and each is run once more."""
+    raw = FXS.raw_submissions_fx(spark, d, "all")
+    raw_path, out = scratch_path(spark, "raw_submissions"), scratch_path(spark, "lake")
+    ST.overwrite_partitions(raw, raw_path)
+    run_range(spark, raw_path, out, FX_DAYS[0], FX_DAYS[-1], "all")
+    for day, again in ((FX_DAYS[2], FXS.first_fetch(raw)), (FX_DAYS[4], raw.filter(F.lit(False)))):
+        ST.replace_partition(again.filter(F.col("ds") == F.lit(day)), raw_path, day)
+        paths = run_range(spark, raw_path, out, day, day, "all").paths
+    return ST.scan_full(spark, paths["bronze_submissions"], TABLES["bronze_submissions"][0])
+
+
 @register("qc_report")
 def _q_qc_report(spark, d):
     from postlake.operators.bronze import qc_report
