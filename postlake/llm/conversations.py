@@ -126,9 +126,16 @@ def cheapest_edits(kinds: str, entry: int = _START, exits: tuple = _ACCEPT, last
 
 
 def _cost(kinds: str, entry: int, end: int) -> int:
-    """Least cost from one state to another over a piece that is not the last."""
-    if end == _START and entry != _START or end == _S and entry not in (_START, _S):
-        return _NEVER
+    """Least cost from one state to another over a piece that is not the last.
+
+    Nothing leads back to the start or to a system row, so only Deletes do
+    (and, from the start, one kept system row); a search would try every bound
+    up to that cost, or all of them where there is no way."""
+    if end == _START or end == _S and entry == _S:
+        return DELETE * len(kinds) if entry == end else _NEVER
+    if end == _S:
+        kept = [TRUNCATED if k == "S" else 0 for k in kinds if k in "sS"]
+        return DELETE * (len(kinds) - 1) + min(kept) if kept and entry == _START else _NEVER
     found = cheapest_edits(kinds, entry, tuple(0 if q == end else _NEVER for q in range(4)), False)
     return found[0] if found else _NEVER
 

@@ -141,3 +141,13 @@ def test_a_conversation_that_lost_every_row(spark):
     frame = _frame(spark, [(lost[0], 0, "user", "Hello.")])
     assert rows(cv.repair_damaged(frame)) == [
         (lost[0], 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_costs_between_states_equal_search():
+    rnd = random.Random(4)
+    for _ in range(150):
+        kinds = "".join(rnd.choice("suaauuxdSUAX") for _ in range(rnd.randint(1, 5)))
+        for p in range(4):
+            for q in range(4):
+                found = cv.cheapest_edits(kinds, p, tuple(0 if e == q else cv._NEVER for e in range(4)), False)
+                assert cv._cost(kinds, p, q) == (found[0] if found else cv._NEVER), (kinds, p, q)
