@@ -7,21 +7,25 @@ Words belong to classes; a word's probability given the word before it is
 Exchange clustering assigns the classes: a word moves to the class that most
 raises the likelihood of the class bigrams. It starts from classes of a fixed
 number of slots (a short word by itself, a longer one by its ending, hashed),
-exchanged on the slots' bigrams; words never seen keep their slot's class.
-Then every training word moves by itself: in each round the corpus sums each
-word's counts of the classes before and after it, grouped by word (known by
-its 64-bit hash), and every word of the round's part (a hash class, so that
-the parts are disjoint) takes its best class given the others'. All words of
-a part move at once; if that lowers the likelihood of the class bigrams, the
-part keeps its classes. What is gathered grows with the words of the blocks,
-and no vocabulary is on the driver. The end of a text is a word with a slot and class of its own, and is what stands
+exchanged on the slots' bigrams. Then the vocabulary's words move by
+themselves: the ``VOCABULARY`` most frequent words of training (fewer where
+counts tie at the limit). A pass over the corpus sums, for every such word of
+a part of the vocabulary, the classes before and after it; a task adds up its
+blocks before it sends anything, and sums by word range are added in Spark.
+Each word takes its best class given the others'. All words of a part move at
+once; if that lowers the likelihood, half of them (by hash) move back, and
+again, until it does not. Rarer words, with little to tell by, and words never
+seen have their slot's class. Word classes are one byte for each word of the
+vocabulary, so they are broadcast, and the corpus stays where it is. The end
+of a text is a word with a slot and class of its own, and is what stands
 before a text's first word.
 
 * Transition: add-one smoothed class bigrams.
 * Emission: a known word has (count - d) / N(class) with absolute discount
-  d = n1 / (n1 + 2 n2) from the numbers of words seen once and twice; what
-  the discount frees, d * V(class) / N(class), is the probability of the
-  class's unknown word (all unseen words are one event, as in the base score).
+  d = n1 / (n1 + 2 n2) from the numbers of words seen once and twice. What the
+  discount frees, d * V(class) / N(class), is spread over the class's unseen
+  words, of which there are about n1^2 / (2 (n2 + 1)) + 1 by its own words seen
+  once and twice (Chao's estimate).
 
 The corpus is read once into blocks (word numbers of some whole texts and
 the block's own distinct words), kept in the shared checkpoint folder. One
@@ -29,18 +33,18 @@ pass over the blocks sums the slot bigrams; the first exchange runs on that
 table of at most ``(SLOTS + 1) ** 2`` counts.
 Word counts are summed by word over the blocks' distinct words and return to
 the blocks by block number, so what is shuffled are distinct words per block,
-never tokens, and no vocabulary is collected or broadcast.
+never tokens, and every word is counted, however rare.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,8 +59,13 @@ SHORT_WORD, ENDING = 4, 3
 #: Text bytes of a block (one longer text is a block of its own).
 BLOCK_TEXT = 6 << 20
 _RANGES = 64                   # slot ranges in which partial counts travel
-#: Rounds of single words, the disjoint parts of the vocabulary that move in turn.
-WORD_PARTS = 3
+#: Words with a class of their own: 9 bytes each are broadcast.
+VOCABULARY = 1 << 18
+#: Disjoint parts of the vocabulary that move in turn, and the times that a
+#: part's moves are halved before it stays.
+WORD_PARTS, HALVINGS = 2, 3
+#: Words whose counts travel together, and counts that a task holds before it sends them.
+_WORD_RANGE, _HELD_COUNTS = 8192, 1 << 22
 
 _BLOCK = T.StructType([
     T.StructField("block", T.LongType(), False),
@@ -91,12 +100,16 @@ class Model:
     """What scoring needs besides a word's count; bounded by slots and classes."""
 
     classes: np.ndarray        # slot -> class (the end's slot is the last)
+    vocabulary: np.ndarray     # hashes of the words with own classes, ascending
+    word_classes: np.ndarray   # and their classes
     log_transition: np.ndarray  # [class before, class]
     class_tokens: np.ndarray
     class_words: np.ndarray
+    class_unseen: np.ndarray   # estimated unseen words
     discount: float
     tokens: int
     words: int
+    moved: int                 # words that left their slot's class
 
 
 def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -161,10 +174,9 @@ def make_blocks(docs: DataFrame, slots: int) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
-def word_counts(blocks: DataFrame, slots: int) -> DataFrame:
-    """``(block, number, slot, count, first)`` for each word of each block:
-    its exact count in all training texts, and whether this is the word's
-    first block (so that each word counts once in totals)."""
+def block_words(blocks: DataFrame) -> DataFrame:
+    """``(block, number, word, slot, n)`` for each word of each block, with its
+    count in the block's training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -180,11 +192,19 @@ def word_counts(blocks: DataFrame, slots: int) -> DataFrame:
                         row.column("n_train").flatten().slice(i, m)],
                         names=["block", "number", "word", "slot", "n"])
 
-    rows = blocks.select("block", "words", "slots", "n_train").mapInArrow(
+    return blocks.select("block", "words", "slots", "n_train").mapInArrow(
         run, "block long, number int, word binary, slot int, n long")
-    same = Window.partitionBy("word")
-    return rows.select("block", "number", "slot", F.sum("n").over(same).alias("count"),
-                       (F.min("block").over(same) == F.col("block")).alias("first"))
+
+
+def word_totals(rows: DataFrame) -> DataFrame:
+    """``(word, slot, count)`` of every word, summed per task first."""
+    return rows.groupBy("word", "slot").agg(F.sum("n").alias("count"))
+
+
+def counts_of_blocks(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """``(block, number, count)``: each word's count in all training texts,
+    back at its blocks (a join that adaptive execution may split)."""
+    return rows.select("block", "number", "word").join(totals.select("word", "count"), "word").drop("word")
 
 
 def slot_bigrams(blocks: DataFrame, slots: int) -> np.ndarray:
@@ -314,208 +334,272 @@ def exchange(bigrams: np.ndarray, classes: np.ndarray, n_classes: int, rounds: i
     return classes, n
 
 
-def fit(blocks: DataFrame, counts: DataFrame, slots: int = SLOTS, n_classes: int = CLASSES,
-        rounds: int = ROUNDS) -> Model:
-    """Exchange clustering and the model's bounded parameters."""
-    per_slot = counts.where("first AND count > 0").groupBy("slot").agg(
-        F.sum("count").alias("tokens"), F.count(F.lit(1)).alias("words"),
-        F.count_if(F.col("count") == 1).alias("once"), F.count_if(F.col("count") == 2).alias("twice")).collect()
-    tokens, words = np.zeros(slots + 1, np.int64), np.zeros(slots + 1, np.int64)
-    for row in per_slot:
-        tokens[row.slot], words[row.slot] = row.tokens, row.words
-    once, twice = sum(r.once for r in per_slot), sum(r.twice for r in per_slot)
-    discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-
-    total = n_classes + 1                        # the end's class is the last
-    bigrams = slot_bigrams(blocks, slots)
-    classes, between = exchange(bigrams, first_classes(bigrams, n_classes), n_classes, rounds)
-    transition = (between + 1) / (between.sum(1, keepdims=True) + total)
-    return Model(classes, np.log10(transition), np.bincount(classes, tokens, total),
-                 np.bincount(classes, words, total), discount, int(tokens.sum()), int(words.sum()))
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def block_classes(row: dict, slot_classes: np.ndarray) -> np.ndarray:
-    """Class of each word of a block: its own, or that of its slot (255)."""
-    own = np.frombuffer(row["classes"], np.uint8) if row.get("classes") else None
-    by_slot = slot_classes[np.frombuffer(row["slots"], "<u2")]
-    return by_slot if own is None else np.where(own == 255, by_slot, own)
+@dataclass
+class Classes:
+    """Classes of slots and of the vocabulary's words."""
+
+    slots: np.ndarray
+    vocabulary: np.ndarray
+    words: np.ndarray
+
+    def of(self, hashes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, place in the vocabulary or -1) of each word."""
+        out = self.slots[slots].astype(np.int64)
+        place = np.full(hashes.size, -1)
+        if self.vocabulary.size:
+            at = np.minimum(np.searchsorted(self.vocabulary, hashes), self.vocabulary.size - 1)
+            there = (self.vocabulary[at] == hashes) & (slots != self.slots.size - 1)
+            place[there] = at[there]
+            out[there] = self.words[at[there]]
+        return out, place
+
+
+def vocabulary(totals: DataFrame, slot_classes: np.ndarray, limit: int = VOCABULARY) -> Classes:
+    """The most frequent words, at most ``limit``, all of them or none at any
+    count; each with its slot's class."""
+    slots = len(slot_classes) - 1
+    seen = totals.where(F.col("count") > 0).where(F.col("slot") != slots)
+    # (count, words with it): the number of distinct counts grows as the root of the corpus
+    least, left = None, limit
+    for row in seen.groupBy("count").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("count")).toLocalIterator():
+        left -= row.n
+        if left < 0:
+            break
+        least = row["count"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word_hashes(batch.column("word").to_pylist()).astype("<i8")), batch.column("slot")], names=["h", "slot"])
 
+    if least is None:
+        return Classes(slot_classes, np.zeros(0, np.uint64), np.zeros(0, np.uint8))
+    found = seen.where(F.col("count") >= least).select("word", "slot").mapInArrow(run, "h long, slot int").toArrow()
+    hashes = found.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Classes(slot_classes, hashes[order], slot_classes[found.column("slot").to_numpy()][order].astype(np.uint8))
 
-def class_bigrams(rows: DataFrame, slot_classes: np.ndarray, total: int) -> np.ndarray:
+
+def _train_tokens(row: dict) -> np.ndarray:
+    """Word numbers of a block's training tokens."""
+    sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
+    return unpack_index(row["index"])[np.repeat(~np.array(row["held_out"], dtype=bool), sizes)].astype(np.int64)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            out = {c: row.column(c)[0].as_py() for c in row.schema.names if c != "words"}
+            out["hashes"] = word_hashes(row.column("words").flatten().to_pylist())
+            yield out
+
+
+_TOKENS = ["held_out", "sizes", "index", "slots", "words"]
+
+
+def class_bigrams(blocks: DataFrame, classes: Classes, total: int) -> np.ndarray:
     """``[class before, class]`` counts of training texts."""
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(total * total, dtype=np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                kinds = _train_kinds(row, slot_classes)[1]
-                sums += np.bincount(np.append(total - 1, kinds)[:-1] * total + kinds, minlength=total * total)
+        for row in _rows_of(batches):
+            kinds = shared.value.of(row["hashes"], np.frombuffer(row["slots"], "<u2"))[0][_train_tokens(row)]
+            sums += np.bincount(np.append(total - 1, kinds)[:-1] * total + kinds, minlength=total * total)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at])], names=["cell", "n"])
 
     out = np.zeros(total * total)
-    for r in rows.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for r in blocks.select(*_TOKENS).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         out[r.cell] = r.n
     return out.reshape(total, total)
 
 
-def _train_kinds(row: dict, slot_classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word numbers, classes) of a block's training tokens."""
-    sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-    index = unpack_index(row["index"])[np.repeat(~np.array(row["held_out"], dtype=bool), sizes)].astype(np.int64)
-    return index, block_classes(row, slot_classes)[index].astype(np.int64)
-
-
 def best_classes(n: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray, twin: np.ndarray) -> np.ndarray:
     """Best class of each word given the class bigrams ``n``, all others fixed.
 
     ``before`` and ``after`` are a word's counts [word, class] without its
     ``twin`` pairs with itself; the last class, the end's, is none of them."""
+    gain = class_gains(n, own, before, after, twin)
+    best = gain.argmax(axis=1)
+    at = np.arange(own.size)
+    return np.where(gain[at, best] > gain[at, own] + 1e-9, best, own)
+
+
+def class_gains(n: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray, twin: np.ndarray) -> np.ndarray:
+    """``[word, class]``: the log-likelihood of the class bigrams with each
+    word in each class, against the word in no class."""
     total = len(n)
-    out = own.copy()
-    for w in range(len(own)):
+    out = np.empty((own.size, total))
+    sums, below = n.sum(1), n.sum(0)
+    logs = _xlogx(n)
+    for w in range(own.size):
         a, b, t, c = after[w], before[w], twin[w], own[w]
-        m = n.copy()
-        m[c] -= a
-        m[:, c] -= b
-        m[c, c] -= t                             # the word is in no class now
         at, bt = np.flatnonzero(a), np.flatnonzero(b)
-        gain = (_xlogx(m[:, at] + a[at]) - _xlogx(m[:, at])).sum(1)
-        gain += (_xlogx(m[bt] + b[bt, None]) - _xlogx(m[bt])).sum(0)
-        d = np.diag(m)
+        # the word leaves its class c: row c loses what follows it, column c what stands before it
+        m_at, m_bt = n[:, at], n[bt]
+        m_at[c] -= a[at]
+        m_at[:, at == c] -= (b + t * (np.arange(total) == c))[:, None]
+        m_bt[:, c] -= b[bt]
+        m_bt[bt == c] -= a + t * (np.arange(total) == c)
+        d = np.diag(n).copy()
+        d[c] -= a[c] + b[c] + t
+        changed = c in at or c in bt
+        base_at = logs[:, at].copy() if not changed else _xlogx(m_at)
+        base_at[c] = _xlogx(m_at[c])
+        base_bt = logs[bt].copy() if not changed else _xlogx(m_bt)
+        base_bt[:, c] = _xlogx(m_bt[:, c])
+        gain = (_xlogx(m_at + a[at]) - base_at).sum(1) + (_xlogx(m_bt + b[bt, None]) - base_bt).sum(0)
         gain += _xlogx(d + a + b + t) - _xlogx(d + a) - _xlogx(d + b) + _xlogx(d)
-        rows, columns = m.sum(1) + b, m.sum(0) + a
+        rows, columns = sums - b, below - a
+        rows[c] -= a.sum() + t
+        columns[c] -= b.sum() + t
+        rows, columns = rows + b, columns + a
         gain -= _xlogx(rows + a.sum() + t) - _xlogx(rows)
         gain -= _xlogx(columns + b.sum() + t) - _xlogx(columns)
-        gain[total - 1] = -np.inf
-        best = int(gain.argmax())
-        if gain[best] > gain[c] + 1e-9:
-            out[w] = best
+        out[w] = gain
+    out[:, total - 1] = -np.inf
     return out
 
 
-def move_words(rows: DataFrame, slot_classes: np.ndarray, between: np.ndarray, part: int, parts: int,
-               ranges: int) -> DataFrame:
-    """``(block, numbers, moved)``: words of ``part`` and their best classes.
+def word_contexts(blocks: DataFrame, classes: Classes, total: int, part: int, parts: int) -> DataFrame:
+    """``(range, places, cells, times)``: for the vocabulary's words of ``part``
+    the counts of the classes before them, after them, and of themselves."""
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
+    width = 2 * total + 1
 
-    A block sends, per hash range, its words' hashes and their counts as
-    compressed arrays; a range sums them by word and sends each block its
-    words' classes."""
-    total = len(between)
-    shared = rows.sparkSession.sparkContext.broadcast((slot_classes, between))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            for row in batch.to_pylist():
-                hashes = np.frombuffer(row["hashes"], "<u8")
-                index, kinds = _train_kinds(row, shared.value[0])
-                kind_of = block_classes(row, shared.value[0]).astype(np.int64)
-                chosen = hashes % np.uint64(parts) == part   # also words that only held-out texts have here
-                chosen[0] = False                # the end of a text
-                prior = np.append(0, index)[:-1]     # training texts end with word 0
-                twins = prior == index
-                follow, lead = chosen[index] & ~twins, chosen[prior] & ~twins
-                same = chosen[index] & twins
-                width = 2 * total + 1
-                codes, times = np.unique(np.concatenate([
-                    index[follow] * width + np.append(total - 1, kinds)[:-1][follow],
-                    prior[lead] * width + total + kinds[lead], index[same] * width + 2 * total]), return_counts=True)
-                word, cell = codes // width, codes % width
-                everywhere = ((hashes // np.uint64(parts)) % np.uint64(ranges)).astype(np.int64)
-                where, own_range = everywhere[word], np.where(chosen, everywhere, -1)
-                for r in np.unique(own_range[chosen]):
-                    mine, numbers = where == r, np.flatnonzero(own_range == r)
-                    local = np.searchsorted(numbers, word[mine])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([int(r)], pa.int32()), pa.array([row["block"]], pa.int64()),
-                        pa.array([pack(numbers.astype("<u4").tobytes())], pa.binary()),
-                        pa.array([hashes[numbers].tobytes()], pa.binary()),
-                        pa.array([kind_of[numbers].astype(np.uint8).tobytes()], pa.binary()),
-                        pa.array([pack(np.diff(local, prepend=0).astype("<u4").tobytes() + cell[mine].astype("<u4").tobytes()
-                                       + times[mine].astype("<u4").tobytes())], pa.binary())],
-                        names=["range", "block", "numbers", "hashes", "own", "counts"])
-
-    def choose(table: pa.Table) -> pa.Table:
+        codes, times, held = [], [], 0
+
+        def send() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            both, where = np.unique(np.concatenate(codes), return_inverse=True)
+            sums = np.bincount(where, np.concatenate(times)).astype(np.int64)
+            codes.clear()
+            times.clear()
+            held = 0
+            ranges = both // width // _WORD_RANGE
+            edges = np.flatnonzero(np.diff(ranges, prepend=-1))
+            for i, j in zip(edges, np.append(edges[1:], both.size)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(ranges[i])], pa.int32()),
+                     pa.array([pack(np.diff(both[i:j], prepend=ranges[i] * _WORD_RANGE * width).astype("<u4").tobytes())], pa.binary()),
+                     pa.array([pack(sums[i:j].astype("<u4").tobytes())], pa.binary())], names=["range", "steps", "times"])
+
+        for row in _rows_of(batches):
+            slots = np.frombuffer(row["slots"], "<u2")
+            kind_of, place = shared.value.of(row["hashes"], slots)
+            chosen = (place >= 0) & (row["hashes"] % np.uint64(parts) == part)
+            index = _train_tokens(row)
+            prior, kinds = np.append(0, index)[:-1], kind_of[index]        # texts end with word 0
+            twins = prior == index
+            follow, lead, same = chosen[index] & ~twins, chosen[prior] & ~twins, chosen[index] & twins
+            code, n = np.unique(np.concatenate([
+                place[index[follow]] * width + kind_of[prior[follow]],
+                place[prior[lead]] * width + total + kinds[lead], place[index[same]] * width + 2 * total]), return_counts=True)
+            codes.append(code)
+            times.append(n)
+            held += code.size
+            if held > _HELD_COUNTS:
+                yield from send()
+        if held:
+            yield from send()
+
+    return blocks.select(*_TOKENS).mapInArrow(run, "range int, steps binary, times binary")
+
+
+def word_moves(contexts: DataFrame, classes: Classes, between: np.ndarray) -> np.ndarray:
+    """Class of every vocabulary word, moved where ``contexts`` has counts."""
+    total = len(between)
+    width = 2 * total + 1
+    shared = contexts.sparkSession.sparkContext.broadcast((classes.words, between))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        n, width = shared.value[1], 2 * total + 1
-        held = [np.frombuffer(h, "<u8") for h in table.column("hashes").to_pylist()]
-        words, first, place = np.unique(np.concatenate(held), return_index=True, return_inverse=True)
-        own = np.concatenate([np.frombuffer(c, np.uint8) for c in table.column("own").to_pylist()])[first].astype(np.int64)
-        codes, times, at = [], [], 0
-        for hashes, counts in zip(held, table.column("counts").to_pylist()):
-            steps, cell, t = np.frombuffer(unpack(counts), "<u4").reshape(3, -1).astype(np.int64)
-            codes.append(place[at:at + hashes.size][np.cumsum(steps)] * width + cell)
-            times.append(t)
-            at += hashes.size
-        codes, where = np.unique(np.concatenate(codes), return_inverse=True)
-        times = np.bincount(where, np.concatenate(times))
-        best = np.full(words.size, 255)          # met in no training text: the slot's
-        for lo in range(0, words.size, 4096):
-            hi = min(words.size, lo + 4096)
-            i, j = np.searchsorted(codes, (lo * width, hi * width))
-            dense = np.zeros((hi - lo) * width)
-            dense[codes[i:j] - lo * width] = times[i:j]
-            dense = dense.reshape(-1, width)
+        sums: dict[int, np.ndarray] = {}
+        own, n = shared.value
+        for batch in batches:
+            for r, steps, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if r not in sums:
+                    sums[r] = np.zeros(_WORD_RANGE * width, dtype=np.int64)
+                sums[r][np.cumsum(np.frombuffer(unpack(steps), "<u4").astype(np.int64))] += np.frombuffer(unpack(times), "<u4")
+        for r, flat in sums.items():
+            dense = flat.reshape(_WORD_RANGE, width)
             met = np.flatnonzero(dense.any(axis=1))
-            best[lo + met] = best_classes(n, own[lo + met], dense[met, :total], dense[met, total:-1], dense[met, -1])
-        moved = np.split(best[place].astype(np.uint8), np.cumsum([h.size for h in held])[:-1])
-        return pa.table({"block": table.column("block"), "numbers": table.column("numbers"),
-                         "moved": pa.array([m.tobytes() for m in moved], pa.binary())})
+            places = met + r * _WORD_RANGE
+            counts = dense[met].astype(np.float64)
+            best = best_classes(n, own[places].astype(np.int64), counts[:, :total], counts[:, total:-1], counts[:, -1])
+            at = np.flatnonzero(best != own[places])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places[at], pa.int32()), pa.array(best[at], pa.int32())], names=["place", "cls"])
 
-    schema = "range int, block long, numbers binary, hashes binary, own binary, counts binary"
-    return rows.mapInArrow(gather, schema).groupBy("range").applyInArrow(choose, "block long, numbers binary, moved binary")
+    out = classes.words.copy()
+    moved = contexts.repartition("range").mapInArrow(add, "place int, cls int").toArrow()   # at most the vocabulary
+    out[moved.column("place").to_numpy()] = moved.column("cls").to_numpy().astype(np.uint8)
+    return out
 
 
-def word_classes(blocks: DataFrame, model: Model, parts: int = WORD_PARTS) -> tuple[DataFrame, np.ndarray]:
-    """Blocks with ``classes`` (a byte a word, 255: its slot's) after moving
-    single words, and the class bigrams."""
-    slot_classes, total = model.classes, len(model.class_tokens)
+def exchange_words(blocks: DataFrame, classes: Classes, between: np.ndarray, parts: int = WORD_PARTS) -> tuple[Classes, np.ndarray]:
+    """(classes, class bigrams) after moving the vocabulary's words, part by part."""
+    total = len(between)
+    for part in range(parts if classes.vocabulary.size else 0):
+        contexts = word_contexts(blocks, classes, total, part, parts)
+        words = word_moves(contexts, classes, between)
+        for halved in range(HALVINGS + 1):
+            if (words == classes.words).all():
+                break
+            tried = Classes(classes.slots, classes.vocabulary, words)
+            now = class_bigrams(blocks, tried, total)
+            if likelihood(now) >= likelihood(between):
+                classes, between = tried, now
+                break
+            stay = (classes.vocabulary >> np.uint64(40 + halved)) & np.uint64(1) == 1
+            words = np.where(stay, classes.words, words)
+    return classes, between
 
-    def add_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                hashes = word_hashes(row.column("words").flatten().to_pylist()).astype("<u8").tobytes()
-                yield pa.RecordBatch.from_arrays([*row.select(kept).columns, pa.array([hashes], pa.binary())],
-                                                 names=[*kept, "hashes"])
 
-    def put(left: pa.Table, right: pa.Table) -> pa.Table:
-        import zstandard
+def fit(blocks: DataFrame, totals: DataFrame, slots: int = SLOTS, n_classes: int = CLASSES,
+        rounds: int = ROUNDS, limit: int = VOCABULARY) -> Model:
+    """Exchange clustering and the model's bounded parameters."""
+    total = n_classes + 1                        # the end's class is the last
+    bigrams = slot_bigrams(blocks, slots)
+    slot_classes, between = exchange(bigrams, first_classes(bigrams, n_classes), n_classes, rounds)
+    start = vocabulary(totals, slot_classes, limit)
+    classes, between = exchange_words(blocks, start, between)
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        (row,) = left.to_pylist()
-        classes = np.frombuffer(row["classes"], np.uint8).copy() if row["classes"] else np.full(
-            len(row["slots"]) // 2, 255, np.uint8)
-        for numbers, moved in zip(right.column("numbers").to_pylist(), right.column("moved").to_pylist()):
-            classes[np.frombuffer(unpack(numbers), "<u4")] = np.frombuffer(moved, np.uint8)
-        return pa.table({"block": pa.array([row["block"]], pa.int64()), "classes": pa.array([classes.tobytes()], pa.binary())})
-
-    kept = ["block", "held_out", "sizes", "index", "slots"]
-    fields = T.StructType([*[_BLOCK[c] for c in kept], T.StructField("hashes", T.BinaryType(), False)])
-    base = blocks.select(*kept, "words").mapInArrow(add_hashes, fields)
-    ranges = 64 + blocks.count() // 8
-    none = blocks.select("block", F.lit(None).cast("binary").alias("classes"))
-    classes, between = none, class_bigrams(base.withColumn("classes", F.lit(None).cast("binary")), slot_classes, total)
-    for part in range(parts):
-        rows = base.withColumn("classes", F.lit(None).cast("binary")) if classes is none else base.join(classes, "block")
-        moves = move_words(rows, slot_classes, between, part, parts, ranges)
-        small = blocks.select("block", "slots").join(classes, "block")
-        tried = scratch.stored(small.groupBy("block").cogroup(moves.groupBy("block")).applyInArrow(
-            put, "block long, classes binary"), "word-classes")
-        now = class_bigrams(base.join(tried, "block"), slot_classes, total)
-        if likelihood(now) >= likelihood(between):
-            classes, between = tried, now
-    return classes, between
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, total), dtype=np.int64)      # tokens, words, seen once, seen twice
+        for batch in batches:
+            kind = shared.value.of(word_hashes(batch.column("word").to_pylist()), batch.column("slot").to_numpy())[0]
+            n = batch.column("count").to_numpy()
+            for row, weights in zip(sums, (n, n > 0, n == 1, n == 2)):
+                row += np.bincount(kind, weights, total).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total), pa.int32()), *map(pa.array, sums)],
+                                         names=["cls", "tokens", "words", "once", "twice"])
+
+    counted = np.zeros((4, total), dtype=np.int64)
+    for r in totals.where(F.col("count") > 0).mapInArrow(sizes, "cls int, tokens long, words long, once long, twice long").groupBy(
+            "cls").agg(*[F.sum(c).alias(c) for c in ("tokens", "words", "once", "twice")]).collect():
+        counted[:, r.cls] = r.tokens, r.words, r.once, r.twice
+    tokens, words, once, twice = counted
+    discount = min(0.95, max(0.05, once.sum() / (once.sum() + 2 * twice.sum()))) if once.sum() else 0.5
+    unseen = 1 + once.astype(float) ** 2 / (2 * (twice + 1))
+    transition = (between + 1) / (between.sum(1, keepdims=True) + total)
+    return Model(slot_classes, classes.vocabulary, classes.words, np.log10(transition), tokens, words, unseen, discount,
+                 int(tokens.sum()), int(words.sum()), int((classes.words != start.words).sum()))
 
 
 def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray) -> pa.Table:
@@ -524,9 +608,10 @@ def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray
     index = unpack_index(row["index"])
     count = np.zeros(slot.size)
     count[numbers] = found
-    kind = block_classes(row, model.classes)
+    kind = Classes(model.classes, model.vocabulary, model.word_classes).of(word_hashes(row["words"]), slot)[0]
     in_class = np.maximum(model.class_tokens[kind], 1)
     unknown = np.where(model.class_words[kind] > 0, model.discount * model.class_words[kind] / in_class, 1.0)
+    unknown = unknown / model.class_unseen[kind]
     emission = np.log10(np.where(count > 0, (count - model.discount) / in_class, unknown))
     base = np.log10((count + 1) / (model.tokens + model.words + 1))
     kinds = kind[index]
@@ -541,34 +626,13 @@ def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray
         "score": add(emission[index] + model.log_transition[before, kinds])})
 
 
-def with_words(blocks: DataFrame, counts: DataFrame, model: Model, classes: DataFrame, between: np.ndarray) -> Model:
-    """The model with transitions and class sizes of the single words' classes."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens, words = np.zeros((2, total), dtype=np.int64)
-        for row in left.to_pylist():
-            kind = block_classes(row, model.classes)[right.column("number").to_numpy()]
-            n = right.column("count").to_numpy()
-            tokens += np.bincount(kind, n, total).astype(np.int64)
-            words += np.bincount(kind, n > 0, total).astype(np.int64)
-        at = np.flatnonzero(words)
-        return pa.table({"cls": pa.array(at, pa.int32()), "tokens": tokens[at], "words": words[at]})
-
-    total = len(model.class_tokens)
-    tokens, words = np.zeros((2, total), dtype=np.int64)
-    known = counts.where("first AND count > 0").select("block", "number", "count")
-    sums = blocks.select("block", "slots").join(classes, "block").groupBy("block").cogroup(
-        known.groupBy("block")).applyInArrow(run, "cls int, tokens long, words long")
-    for r in sums.groupBy("cls").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect():
-        tokens[r.cls], words[r.cls] = r.tokens, r.words
-    transition = (between + 1) / (between.sum(1, keepdims=True) + total)
-    return replace(model, log_transition=np.log10(transition), class_tokens=tokens, class_words=words)
-
-
 def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """Base and model scores of every text of the blocks."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         number, count = right.column("number").to_numpy(), right.column("count").to_numpy()
-        tables = [_score_block(model, row, number, count) for row in left.to_pylist()]
+        tables = [_score_block(shared.value, row, number, count) for row in left.to_pylist()]
         return pa.concat_tables(tables) if tables else schema_table
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -577,8 +641,7 @@ def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         "doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()),
         **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")},
         **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
-    texts = blocks.select("block", "doc_ids", "held_out", "sizes", "index", "slots",
-                          *[c for c in blocks.columns if c == "classes"])
+    texts = blocks.select("block", "doc_ids", "held_out", "sizes", "index", "slots", "words")
     return texts.groupBy("block").cogroup(counts.select("block", "number", "count").groupBy("block")).applyInArrow(
         run, schema)
 
@@ -597,7 +660,6 @@ def brown_scores(docs: DataFrame, held_out=None, slots: int = SLOTS, n_classes:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        held.alias("held_out"))
     blocks = scratch.stored(make_blocks(rows, slots), "word-blocks")
-    counts = scratch.stored(word_counts(blocks, slots), "word-counts")
-    model = fit(blocks, counts, slots, n_classes, rounds)
-    classes, between = word_classes(blocks, model)
-    return score(blocks.join(classes, "block"), counts, with_words(blocks, counts, model, classes, between))
+    words = block_words(blocks)
+    totals = scratch.stored(word_totals(words), "word-totals")
+    return score(blocks, counts_of_blocks(words, totals), fit(blocks, totals, slots, n_classes, rounds))

@@ -248,22 +248,74 @@ def test_base_scores_equal_brute_force_and_the_model_beats_them(spark):
         assert part.score.sum() > part.base_score.sum()
 
 
-def test_model_probabilities_sum_to_one(spark):
-    docs = _docs(spark, ["a b a c", "b a c c d", "the cat sat", "a cat b"]).coalesce(1).withColumn("held_out", F.lit(False))
-    blocks = scratch.stored(brown_lm.make_blocks(docs, 64), "b")
-    counts = scratch.stored(brown_lm.word_counts(blocks, 64), "c")
-    model = brown_lm.fit(blocks, counts, slots=64, n_classes=3)
-    assert np.allclose((10 ** model.log_transition).sum(axis=1), 1)
-    got = {r.number: r["count"] for r in counts.collect()}
-    words = blocks.select(F.posexplode("words").alias("i", "w")).collect()
-    slot = brown_lm.word_slots([bytes(r.w) for r in words], 64)
-    mass = Counter()
-    for r in words:
-        mass[int(model.classes[slot[r.i]])] += (got[r.i] - model.discount) / model.class_tokens[model.classes[slot[r.i]]]
+def _fitted(spark, docs, slots, n_classes, **kw):
+    blocks = scratch.stored(brown_lm.make_blocks(docs.select("doc_id", "text", "held_out"), slots), "b")
+    totals = scratch.stored(brown_lm.word_totals(brown_lm.block_words(blocks)), "t")
+    return blocks, totals, brown_lm.fit(blocks, totals, slots=slots, n_classes=n_classes, **kw)
+
+
+def _class_of(model, word):
+    kind = brown_lm.Classes(model.classes, model.vocabulary, model.word_classes)
+    return int(kind.of(brown_lm.word_hashes([word]), brown_lm.word_slots([word], len(model.classes) - 1))[0][0])
+
+
+@pytest.mark.parametrize("limit", [0, 4, 1 << 18])
+def test_model_probabilities_sum_to_one(spark, limit):
+    docs = _docs(spark, ["a b a c", "b a c c d", "the cat sat", "a cat b"]).withColumn("held_out", F.lit(False))
+    _, totals, model = _fitted(spark, docs, 64, 3, limit=limit)
+    assert len(model.vocabulary) <= limit and np.allclose((10 ** model.log_transition).sum(axis=1), 1)
+    mass, words = Counter(), Counter()
+    for r in totals.collect():
+        c = _class_of(model, bytes(r.word))
+        mass[c] += (r["count"] - model.discount) / model.class_tokens[c]
+        words[c] += 1
     for c, known in mass.items():
+        assert model.class_words[c] == words[c]
         assert known + model.discount * model.class_words[c] / model.class_tokens[c] == pytest.approx(1)
 
 
+def test_counts_return_to_every_block(spark):
+    docs = _docs(spark, ["a b a", "b a c", None, "d d"]).repartition(3).withColumn("held_out", F.col("doc_id") == 4)
+    blocks, totals, _ = _fitted(spark, docs, 64, 2)
+    words = {(r.block, r.i): bytes(r.w) for r in blocks.select("block", F.posexplode("words").alias("i", "w")).collect()}
+    got = {(r.block, r.number): r["count"] for r in brown_lm.counts_of_blocks(brown_lm.block_words(blocks), totals).collect()}
+    assert got == {k: {b"a": 3, b"b": 2, b"c": 1, b"d": 0, b"": 3}[w] for k, w in words.items()}
+
+
+def test_gain_of_a_word_equals_the_likelihood_computed_anew():
+    rng = np.random.default_rng(5)
+    text, n_words, total = rng.integers(0, 12, 400), 12, 5
+    classes = rng.integers(0, total - 1, n_words)
+    seen = np.concatenate(([n_words], text, [n_words]))          # the end before and after
+
+    def bigrams(kinds):
+        k = np.append(kinds, total - 1)[seen]
+        out = np.zeros((total, total))
+        np.add.at(out, (k[:-1], k[1:]), 1)
+        return out
+
+    n, kinds = bigrams(classes), np.append(classes, total - 1)
+    before, after, twin = np.zeros((n_words, total)), np.zeros((n_words, total)), np.zeros(n_words)
+    for x, y in zip(seen[:-1], seen[1:]):
+        if x == y and x < n_words:
+            twin[x] += 1
+        else:
+            if y < n_words:
+                before[y, kinds[x]] += 1
+            if x < n_words:
+                after[x, kinds[y]] += 1
+    gains = brown_lm.class_gains(n, classes, before, after, twin)
+    for w in range(n_words):
+        here = []
+        for c in range(total - 1):
+            moved = classes.copy()
+            moved[w] = c
+            here.append(brown_lm.likelihood(bigrams(moved)) - brown_lm.likelihood(n))
+        assert np.allclose(gains[w, :-1] - gains[w, classes[w]], here) and gains[w, -1] == -np.inf
+        assert brown_lm.best_classes(n, classes, before, after, twin)[w] == (
+            int(np.argmax(here)) if max(here) > 1e-9 else classes[w])
+
+
 def test_slot_bigrams_equal_brute_force_and_exchange_raises_the_likelihood(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(4).withColumn("held_out", F.col("doc_id") % 5 == 0)
     blocks = scratch.stored(brown_lm.make_blocks(docs.select("doc_id", "text", "held_out"), 256), "b")
@@ -282,34 +334,44 @@ def test_slot_bigrams_equal_brute_force_and_exchange_raises_the_likelihood(spark
     assert brown_lm.likelihood(between) > before and classes[-1] == 8 and (classes[:-1] < 8).all()
 
 
-def test_words_of_one_slot_move_by_themselves(spark):
+@pytest.mark.parametrize("ranges", [8, 8192])
+def test_words_of_one_slot_move_by_themselves(spark, monkeypatch, ranges):
+    monkeypatch.setattr(brown_lm, "_WORD_RANGE", ranges)
+    monkeypatch.setattr(brown_lm, "_HELD_COUNTS", 100 * ranges)
+    monkeypatch.setattr(brown_lm, "BLOCK_TEXT", 20_000)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(4).withColumn("held_out", F.col("doc_id") % 5 == 0)
-    blocks = scratch.stored(brown_lm.make_blocks(docs.select("doc_id", "text", "held_out"), 64), "b")
-    counts = scratch.stored(brown_lm.word_counts(blocks, 64), "c")
-    model = brown_lm.fit(blocks, counts, slots=64, n_classes=8)
-    classes, between = brown_lm.word_classes(blocks, model)
-    by_word, by_slot, trained = {}, {}, Counter()
-    for r in blocks.join(classes, "block").collect():
-        kinds = brown_lm.block_classes(r.asDict(), model.classes)
-        for w, s, k, n in zip(r["words"], np.frombuffer(r.slots, "<u2"), kinds, r.n_train):
-            if n:
-                trained[bytes(w)] += n
-                assert by_word.setdefault(bytes(w), int(k)) == int(k)    # the same in all blocks
-                by_slot.setdefault(int(s), set()).add(int(k))
-    assert sum(len(k) > 1 for k in by_slot.values()) > 32
+    blocks, totals, model = _fitted(spark, docs, 64, 8, limit=3000)
+    count = {bytes(r.word): r["count"] for r in totals.collect() if r["count"] and r.word}
+    own = {w: int(k) for w, k in zip(model.vocabulary.tolist(), model.word_classes)}
+    ranked = sorted(count.values(), reverse=True)
+    least = min(c for c in set(ranked) if sum(x >= c for x in ranked) <= 3000)
+    assert set(own) == {int(brown_lm.word_hashes([w])[0]) for w, c in count.items() if c >= least}
+    kinds = {w: _class_of(model, w) for w in count}
+    by_slot = {}
+    for w in count:
+        by_slot.setdefault(int(brown_lm.word_slots([w], 64)[0]), set()).add(kinds[w])
+    assert model.moved > 100 and sum(len(k) > 1 for k in by_slot.values()) > 32
     want = np.zeros((9, 9))
     for r in docs.where("doc_id % 5 <> 0").collect():
-        k = [8, *(by_word[w.encode()] for w in _words(r.text)), 8]
+        k = [8, *(kinds[w.encode()] for w in _words(r.text)), 8]
         np.add.at(want, (k[:-1], k[1:]), 1)
-    assert (between == want).all()
+    classes = brown_lm.Classes(model.classes, model.vocabulary, model.word_classes)
+    assert (brown_lm.class_bigrams(blocks, classes, 9) == want).all()
+    assert np.allclose(10 ** model.log_transition, (want + 1) / (want.sum(1, keepdims=True) + 9))
     one = np.eye(9)[model.classes]
-    start = one.T @ brown_lm.slot_bigrams(blocks, 64) @ one
-    assert brown_lm.likelihood(between) > brown_lm.likelihood(start)
-    full = brown_lm.with_words(blocks, counts, model, classes, between)
+    assert brown_lm.likelihood(want) > brown_lm.likelihood(one.T @ brown_lm.slot_bigrams(blocks, 64) @ one)
     sizes = np.zeros(9)
-    for w, n in trained.items():
-        sizes[by_word[w]] += n
-    assert (full.class_tokens == sizes).all() and full.class_words.sum() == len(trained)
+    for w, n in count.items():
+        sizes[kinds[w]] += n
+    assert (model.class_tokens[:-1] == sizes[:-1]).all() and model.class_words[:-1].sum() == len(count)
+
+
+def test_moves_that_lower_the_likelihood_are_halved(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("held_out", F.lit(False))
+    monkeypatch.setattr(brown_lm, "word_moves", lambda contexts, classes, between: np.where(
+        np.arange(classes.words.size) % 2 == 0, (classes.words + 1) % 7, classes.words).astype(np.uint8))
+    _, _, model = _fitted(spark, docs, 64, 8, limit=500)         # bad moves: few or none stay
+    assert model.moved < 60
 
 
 def test_scores_of_odd_rows(spark):
