@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,7 +176,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str
     (space, tab to carriage return) at both ends, A-Z lower-cased; keys with
     fewer than ``min_chars`` code points (and empty ones) always stay.
     ``keep="none"`` drops every such line, ``keep="first"`` keeps the first:
-    least ``doc_id`` (null first), then text hash, then line number.
+    least ``doc_id`` (null first), then text hash, then line number; of rows
+    equal in both, one (by a hash of the row). With ``keep="first"`` the rows of
+    equal id and text that hold first occurrences are numbered by one task.
 
     Returns all columns, the text rebuilt from its other lines, and
     ``n_lines`` (before dropping) and ``n_dropped``; input columns of these
@@ -200,16 +202,25 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str
     # the frequent keys are broadcast if small, and else a hot key is split
     frequent = scratch.stored(counted.where(F.col("n_docs") >= min_docs).select("key", "first"), "frequent-lines")
     drops = suspects.join(frequent, "key")
+    sums = [F.array_distinct(F.flatten(F.collect_list("lines"))).alias("_ld_lines")]
     if keep == "first":
         is_first = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("content") == F.col("first.content"))
-        drops = drops.withColumn("lines", F.when(is_first, F.slice("lines", 2, 1 << 30)).otherwise(F.col("lines")))
-    dropped = drops.groupBy("doc", "content").agg(
-        F.array_distinct(F.flatten(F.collect_list("lines"))).alias("_ld_lines"))
+        drops = drops.withColumn("head", F.when(is_first, F.col("lines")[0])).withColumn(
+            "lines", F.when(is_first, F.slice("lines", 2, 1 << 30)).otherwise(F.col("lines")))
+        sums.append(F.collect_set("head").alias("_ld_heads"))        # at most the lines of a text
+    dropped = drops.groupBy("doc", "content").agg(*sums)
 
     kept = docs.drop("n_lines", "n_dropped")
     joined = kept.withColumns({"_ld_doc": F.col(id_col).cast("long"), "_ld_content": content}).join(
         dropped.withColumnsRenamed({"doc": "_ld_doc2", "content": "_ld_content2"}),
         F.col("_ld_doc").eqNullSafe(F.col("_ld_doc2")) & (F.col("_ld_content") == F.col("_ld_content2")), "left")
+    if keep == "first":
+        # of equal rows (id and text) that hold first occurrences one keeps them
+        holds = F.coalesce(F.size("_ld_heads") > 0, F.lit(False))
+        alone = joined.withColumn("_ld_alone", F.when(~holds, F.monotonically_increasing_id()))
+        copies = Window.partitionBy("_ld_alone", "_ld_doc", "_ld_content").orderBy(F.xxhash64(*kept.columns))
+        joined = alone.withColumn("_ld_copy", F.row_number().over(copies)).withColumn("_ld_lines", F.when(
+            holds & (F.col("_ld_copy") > 1), F.array_union("_ld_lines", "_ld_heads")).otherwise(F.col("_ld_lines")))
     all_lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     staying = F.array_except(F.sequence(F.lit(0), F.size("_ld_all") - 1), F.col("_ld_lines"))
     rebuilt = F.array_join(F.transform(staying, lambda i: F.get(F.col("_ld_all"), i)), "\n")

@@ -78,6 +78,18 @@ def test_line_dedup_with_a_saturated_filter_is_still_exact(spark, monkeypatch):
     assert rows(got.select("doc_id", "text")) == sorted([(i, f"own {i}") for i in range(12)], key=repr)
 
 
+def test_one_copy_of_a_repeated_row_keeps_the_first_occurrence(spark):
+    data = [(1, "same line", "x")] * 3 + [(2, "same line\nown", "y"), (None, "null line", "z"), (None, "null line", "w"),
+            (None, "null line", "z"), (5, "", "e"), (5, "", "e"), (6, "twice\ntwice\nSAME line", "t")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, other string").repartition(3)
+    got = sorted((str(r.doc_id), r.text, r.n_dropped) for r in ld.line_dedup(
+        docs, min_docs=2, keep="first", filter_bits=SMALL_FILTER).collect())
+    assert got == sorted([("1", "same line", 0), ("1", "", 1), ("1", "", 1), ("2", "own", 1), ("None", "null line", 0),
+                          ("None", "", 1), ("None", "", 1), ("5", "", 0), ("5", "", 0), ("6", "twice\ntwice", 1)])
+    every = ld.line_dedup(docs.where("doc_id = 1"), min_docs=1, keep="first", filter_bits=SMALL_FILTER).collect()
+    assert sorted(r.n_dropped for r in every) == [0, 1, 1]
+
+
 def test_second_filter_has_every_repeated_key_and_few_others(spark):
     texts = [f"common {i % 50}\nunique {i}" for i in range(2000)]
     bits = ld.seen_twice(_docs(spark, texts).repartition(7).select("text").withColumn(
