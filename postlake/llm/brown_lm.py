@@ -39,7 +39,7 @@ never tokens, and every word is counted, however rare.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -603,12 +603,11 @@ def fit(blocks: DataFrame, totals: DataFrame, slots: int = SLOTS, n_classes: int
 
 
 def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray) -> pa.Table:
-    slot = np.frombuffer(row["slots"], "<u2")
+    kind = np.frombuffer(row["kinds"], np.uint8).astype(np.int64)
     sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
     index = unpack_index(row["index"])
-    count = np.zeros(slot.size)
+    count = np.zeros(kind.size)
     count[numbers] = found
-    kind = Classes(model.classes, model.vocabulary, model.word_classes).of(word_hashes(row["words"]), slot)[0]
     in_class = np.maximum(model.class_tokens[kind], 1)
     unknown = np.where(model.class_words[kind] > 0, model.discount * model.class_words[kind] / in_class, 1.0)
     unknown = unknown / model.class_unseen[kind]
@@ -626,13 +625,31 @@ def _score_block(model: Model, row: dict, numbers: np.ndarray, found: np.ndarray
         "score": add(emission[index] + model.log_transition[before, kinds])})
 
 
+def with_kinds(blocks: DataFrame, model: Model) -> DataFrame:
+    """Blocks with a class byte for each word instead of the words."""
+    shared = blocks.sparkSession.sparkContext.broadcast(Classes(model.classes, model.vocabulary, model.word_classes))
+    kept = ["block", "doc_ids", "held_out", "sizes", "index"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                hashes = word_hashes(row.column("words").flatten().to_pylist())
+                kinds = shared.value.of(hashes, np.frombuffer(row.column("slots")[0].as_py(), "<u2"))[0]
+                yield pa.RecordBatch.from_arrays([*row.select(kept).columns, pa.array([kinds.astype(np.uint8).tobytes()], pa.binary())],
+                                                 names=[*kept, "kinds"])
+
+    schema = T.StructType([*[_BLOCK[c] for c in kept], T.StructField("kinds", T.BinaryType(), False)])
+    return blocks.select(*kept, "slots", "words").mapInArrow(run, schema)
+
+
 def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """Base and model scores of every text of the blocks."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
+    model_only = replace(model, vocabulary=np.zeros(0, np.uint64), word_classes=np.zeros(0, np.uint8))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         number, count = right.column("number").to_numpy(), right.column("count").to_numpy()
-        tables = [_score_block(shared.value, row, number, count) for row in left.to_pylist()]
+        tables = [_score_block(model_only, row, number, count) for row in left.to_pylist()]
         return pa.concat_tables(tables) if tables else schema_table
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -641,7 +658,7 @@ def score(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         "doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()),
         **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")},
         **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
-    texts = blocks.select("block", "doc_ids", "held_out", "sizes", "index", "slots", "words")
+    texts = with_kinds(blocks, model)
     return texts.groupBy("block").cogroup(counts.select("block", "number", "count").groupBy("block")).applyInArrow(
         run, schema)
 
