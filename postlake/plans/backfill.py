@@ -71,9 +71,9 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
     check_table(spark, raw_path, raw_schema)
     days = sorted(days)
 
-    def put(df: DataFrame, name: str, to: list[_dt.date]) -> None:
+    def put(df: DataFrame, name: str, to: list[_dt.date], gather: bool = True) -> None:
         schema = TABLES[name][0]
-        replace_partitions(guard_not_null(conform(df, schema), schema), paths[name], to)
+        replace_partitions(guard_not_null(conform(df, schema), schema), paths[name], to, gather)
 
     def layer(name: str, of: list[_dt.date]) -> DataFrame:
         return scan_days(spark, paths[name], of, TABLES[name][0])
@@ -87,7 +87,8 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
         raw = scan_days(spark, raw_path, days, raw_schema)
     counts = BronzeCounts()
     put(bronze_submissions(raw, scope, counts, winners=change and change.winners), "bronze_submissions", days)
-    put(silver_submissions(layer("bronze_submissions", days)), "silver_submissions", days)
+    # narrow over files of one day each: whole texts need no shuffle to be written by day
+    put(silver_submissions(layer("bronze_submissions", days)), "silver_submissions", days, gather=False)
     silver = layer("silver_submissions", days)
 
     def profiles() -> None:
@@ -118,7 +119,7 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
     if change:
         change.commit()
     if database:
-        register_tables(spark, database, paths)
+        register_tables(spark, database, {**paths, "raw_submissions": raw_path})
     return RunResult(days=days, paths=paths, bronze_counts=counts.as_dict())
 
 
@@ -138,12 +139,14 @@ def run_day(spark: SparkSession, raw_path: str, out_root: str, ds: str | _dt.dat
 
 def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -> list[str]:
     """Register the written tables under their names (if missing) and pick up
-    their new partitions; returns the qualified names."""
+    their new partitions; returns the qualified names. A raw table is
+    registered where it has day folders (not below batch ids, as streaming
+    writes it)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for name, path in paths.items():
         schema, parts = TABLES[name]
-        if name.startswith("raw_"):
+        if name.startswith("raw_") and not partition_days(spark, path):
             continue
         qualified = f"{database}.{name}"
         create_table(spark, qualified, schema, parts, location=path)

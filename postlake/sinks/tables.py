@@ -101,8 +101,12 @@ def clustered(df: DataFrame, cols: tuple[str, ...] = (PARTITION_COL,)) -> DataFr
     return df.hint("rebalance", *cols)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...] = (PARTITION_COL,)) -> None:
-    (clustered(df, partition_cols).write.mode("overwrite")
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...] = (PARTITION_COL,),
+                         gather: bool = True) -> None:
+    """Replace the partitions present in ``df``. Without ``gather`` rows are
+    written where they are: right for rows that were just read from files of
+    one partition each, which shuffling would move for nothing."""
+    ((clustered(df, partition_cols) if gather else df).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
        .parquet(path))
@@ -145,7 +149,8 @@ def replace_values(df: DataFrame, path: str, col: str, values: Iterable) -> None
     _clear_partitions(df.sparkSession, path, [v for v in wanted if v not in present], col)
 
 
-def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date]) -> list[_dt.date]:
+def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date],
+                       gather: bool = True) -> list[_dt.date]:
     """Replace exactly the given days of a ``ds``-partitioned table.
 
     One write job: rows are checked against ``days`` in the job itself and
@@ -160,7 +165,7 @@ def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date])
     spark = df.sparkSession
     seen = Observation("replaced_days")
     guarded = _guard_days(df, wanted).observe(seen, F.collect_set(PARTITION_COL).alias("days"))
-    overwrite_partitions(guarded, path)
+    overwrite_partitions(guarded, path, gather=gather)
     present = set((observed(seen) or {}).get("days") or [])
     cleared = [d for d in wanted if d not in present]
     _clear_partitions(spark, path, [d.isoformat() for d in cleared])

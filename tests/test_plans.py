@@ -138,6 +138,7 @@ def test_tables_are_registered_by_name(spark, tmp_path):
     n = spark.table("postlake_t.gold_topic_trends").count()
     assert n > 0
     run_range(spark, raw_path, out, DAYS[2], DAYS[2], database="postlake_t")
+    assert spark.table("postlake_t.raw_submissions").count() == spark.read.parquet(raw_path).count() > 0
     assert spark.table("postlake_t.gold_topic_trends").count() > n
     spark.sql("DROP DATABASE postlake_t CASCADE")
 
@@ -163,3 +164,16 @@ def test_model_is_loaded_once_per_worker(spark):
     df = spark.range(0, 64, 1, 16).withColumn("t", F.lit("x"))
     pids = AI.ai_custom_model(df, "t", loader, "pid", model_key="counting-model").select("pid").distinct().count()
     assert loads.value <= pids
+
+
+def test_silver_is_written_without_a_shuffle(spark, tmp_path):
+    """Few files, each of one day, from a write that gathers nothing."""
+    from postlake.plans.backfill import run_range
+    from postlake.plans.chain import raw_fx
+    from postlake.sinks import tables as ST
+    from tests.conftest import SF_SMALL
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "lake")
+    ST.overwrite_partitions(raw_fx(spark, SF_SMALL), raw)
+    run_range(spark, raw, out, "2025-06-29", "2025-07-05")
+    count = lambda name: len(list((tmp_path / "lake" / name).glob("ds=*/*.parquet")))
+    assert 7 <= count("silver_submissions") <= count("bronze_submissions")
