@@ -42,14 +42,15 @@ SELECT ds, game_topic, upvote_ratio_bin, COUNT(*) AS submission_count,
   AVG(CASE WHEN over_18 THEN 1 ELSE 0 END) AS over_18_ratio
 FROM silver GROUP BY ds, game_topic, upvote_ratio_bin""")
 
-oracle("gold_author_profiles", ["silver"], """
+GOLD_AUTHOR_PROFILES_BODY = """
 SELECT author_name, COUNT(*) AS total_submissions, AVG(score) AS avg_score,
   AVG(num_comments) AS avg_num_comments,
   CAST(SUM(CASE WHEN is_trending THEN 1 ELSE 0 END) AS BIGINT) AS trending_post_count,
   SUM(CASE WHEN ai_sentiment = 'positive' THEN 1 ELSE 0 END) / COUNT(*) AS positive_sentiment_ratio,
   COUNT(DISTINCT game_topic) AS topic_diversity,
   MIN(created_at_timestamp) AS first_seen, MAX(created_at_timestamp) AS last_seen
-FROM silver WHERE author_name IS NOT NULL GROUP BY author_name""")
+FROM silver WHERE author_name IS NOT NULL GROUP BY author_name"""
+oracle("gold_author_profiles", ["silver"], GOLD_AUTHOR_PROFILES_BODY)
 
 TOP_DAILY_BODY = """
 SELECT ds, content_id, author_name, game_topic, score, num_comments, text_title, text_content,
@@ -295,6 +296,14 @@ WHERE ds <> DATE '2025-07-03'
 oracle("bronze_days_landed_again", ["raw_submissions_all_fx"], f"SELECT {BRONZE_OUT} FROM again_dedup WHERE {S.QC_WHERE}",
        [("raw_again", _AGAIN.format(step=S.FX.FETCH_STEP)), ("again_dedup", S.bronze_dedup_sql("raw_again", "all"))])
 
+_AGAIN_DAY = [("raw_again", _AGAIN.format(step=S.FX.FETCH_STEP).replace("raw_submissions_all_fx", "raw_submissions_fx")),
+              ("again_dedup", S.bronze_dedup_sql("raw_again")),
+              ("again_bronze", f"SELECT * FROM again_dedup WHERE {S.QC_WHERE}"),
+              ("again_enriched", S.enriched_sql("again_bronze")), ("again_silver", S.silver_sql("again_enriched"))]
+oracle("profiles_days_replaced", ["raw_submissions_fx"], GOLD_AUTHOR_PROFILES_BODY.replace("FROM silver", "FROM again_silver"), _AGAIN_DAY)
+oracle("publish_by_location", ["raw_submissions_fx"], "SELECT * FROM again_silver", _AGAIN_DAY)
+ORACLE["version_changes"] = ORACLE["partition_changes"]
+
 _TOKENS = "list_filter(string_split_regex(lower(concat_ws(' ', title, selftext)), '[^a-z]+'), lambda x: x <> '')"
 oracle("ai_sentiment_lexicon", ["bronze_dedup"], f"""
 SELECT b.ds, b.submission_id,

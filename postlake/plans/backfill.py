@@ -24,10 +24,13 @@ from postlake.operators import gold as G
 from postlake.operators.bronze import BronzeCounts, bronze_submissions
 from postlake.operators.silver import silver_submissions
 from postlake.operators.topk import gold_top_daily
+from postlake.plans import profiles as profile_state
 from postlake.plans import versions
 from postlake.schemas import TABLES, conform
+from postlake.sinks.publish import KEYS as PUBLISHED_KEYS
+from postlake.sinks.publish import PublishedTable
 from postlake.sinks.tables import (check_table, create_table, full_overwrite, guard_not_null, partition_days,
-                                   read_table, replace_partitions, scan_days)
+                                   replace_partitions, scan_days)
 
 PARTITIONED_GOLD = {
     "gold_sentiment_topic": G.gold_sentiment_topic,
@@ -51,7 +54,7 @@ def table_paths(root: str) -> dict[str, str]:
 
 def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.date], scope: str = "day",
              incremental_profiles: bool = True, parallel_gold: bool = True,
-             database: str | None = None) -> RunResult:
+             database: str | None = None, publish: bool = False) -> RunResult:
     """Build bronze, silver and all gold tables for ``days``.
 
     ``scope="day"`` keeps the latest version of a submission per day,
@@ -62,27 +65,42 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
     a run reads the raw rows of its own days only.
 
     Author profiles cover all history: per-day partial sums are written with
-    every run, days of silver that lack them are filled in, and the profile
-    is rolled up from all of them (or, without ``incremental_profiles``, from
-    the whole silver table). ``database`` registers the tables there by name.
+    every run, days of silver that lack them are filled in, and both are merged
+    into a state by author (``author_profile_state``) that the profiles are read
+    from (or, without ``incremental_profiles``, from the whole silver table). ``database`` registers the tables there by name.
+    With ``publish`` the tables live in ``database`` only: each is written once,
+    audited and then pointed at (``sinks.publish``), and read by its name.
     """
+    if publish and not database:
+        raise ValueError("publishing needs a database")
     paths = table_paths(out_root)
     raw_schema = TABLES["raw_submissions"][0]
     check_table(spark, raw_path, raw_schema)
     days = sorted(days)
 
+    if publish:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    tables = {n: PublishedTable.of(spark, database, n, paths[n]) for n in PUBLISHED_KEYS} if publish else {}
+
     def put(df: DataFrame, name: str, to: list[_dt.date], gather: bool = True) -> None:
         schema = TABLES[name][0]
-        replace_partitions(guard_not_null(conform(df, schema), schema), paths[name], to, gather)
+        rows = guard_not_null(conform(df, schema), schema)
+        if name in tables:
+            tables[name].publish(rows, to, gather=gather)
+        else:
+            replace_partitions(rows, paths[name], to, gather)
 
     def layer(name: str, of: list[_dt.date]) -> DataFrame:
-        return scan_days(spark, paths[name], of, TABLES[name][0])
+        return tables[name].read(of) if name in tables else scan_days(spark, paths[name], of, TABLES[name][0])
+
+    def built_days(name: str) -> list[_dt.date]:
+        return tables[name].days() if name in tables else partition_days(spark, paths[name])
 
     raw = scan_days(spark, raw_path, days, raw_schema)
     change = None
     if scope == "all":
         change = versions.change(spark, raw_path, f"{out_root.rstrip('/')}/latest_versions", days,
-                                 partition_days(spark, paths["bronze_submissions"]))
+                                 built_days("bronze_submissions"))
         days = change.days
         raw = scan_days(spark, raw_path, days, raw_schema)
     counts = BronzeCounts()
@@ -92,19 +110,21 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
     silver = layer("silver_submissions", days)
 
     def profiles() -> None:
-        put(G.author_daily_partials(silver), "author_daily_partials", days)
+        state = f"{out_root.rstrip('/')}/author_profile_state"
         if incremental_profiles:
-            behind = sorted(set(partition_days(spark, paths["silver_submissions"]))
-                            - set(partition_days(spark, paths["author_daily_partials"])))
-            if behind:
-                put(G.author_daily_partials(layer("silver_submissions", behind)), "author_daily_partials", behind)
-            built = G.author_profiles_from_partials(
-                read_table(spark, paths["author_daily_partials"], TABLES["author_daily_partials"][0]))
+            profile_state.update(spark, lambda of: layer("silver_submissions", of), built_days("silver_submissions"),
+                                 paths["author_daily_partials"], state, days)
+            built = profile_state.profiles(spark, state)
         else:
-            built = G.gold_author_profiles(read_table(spark, paths["silver_submissions"],
-                                                      TABLES["silver_submissions"][0]))
+            profile_state.forget(spark, state)
+            put(G.author_daily_partials(silver), "author_daily_partials", days)
+            built = G.gold_author_profiles(layer("silver_submissions", built_days("silver_submissions")))
         schema = TABLES["gold_author_profiles"][0]
-        full_overwrite(guard_not_null(conform(built, schema), schema), paths["gold_author_profiles"])
+        rows = guard_not_null(conform(built, schema), schema)
+        if publish:
+            tables["gold_author_profiles"].publish(rows)
+        else:
+            full_overwrite(rows, paths["gold_author_profiles"])
 
     # The gold tables only depend on silver: submit them as concurrent jobs
     # (Spark schedules jobs from separate threads side by side).
@@ -118,7 +138,7 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
             j()
     if change:
         change.commit()
-    if database:
+    if database and not publish:
         register_tables(spark, database, {**paths, "raw_submissions": raw_path})
     return RunResult(days=days, paths=paths, bronze_counts=counts.as_dict())
 
@@ -126,10 +146,10 @@ def run_days(spark: SparkSession, raw_path: str, out_root: str, days: list[_dt.d
 def run_range(spark: SparkSession, raw_path: str, out_root: str,
               ds_from: str | _dt.date, ds_to: str | _dt.date, scope: str = "day",
               incremental_profiles: bool = True, parallel_gold: bool = True,
-              database: str | None = None) -> RunResult:
+              database: str | None = None, publish: bool = False) -> RunResult:
     """:func:`run_days` for every day of ``[ds_from, ds_to]``."""
     return run_days(spark, raw_path, out_root, ds_range(ds_from, ds_to), scope, incremental_profiles,
-                    parallel_gold, database)
+                    parallel_gold, database, publish)
 
 
 def run_day(spark: SparkSession, raw_path: str, out_root: str, ds: str | _dt.date,

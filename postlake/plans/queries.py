@@ -426,7 +426,7 @@ from postlake.schemas import (GOLD_AUTHOR_PROFILES, RAW_COMMENTS, RAW_SUBMISSION
                               TABLES)
 from postlake.session import scratch_path  # noqa: E402
 from postlake.sinks import tables as ST  # noqa: E402
-from postlake.sinks.changes import partition_changes  # noqa: E402
+from postlake.sinks.changes import partition_changes, version_changes, write_version  # noqa: E402
 
 FX_DAYS = [_dt.date.fromisoformat(FXS.BASE_DS) + _dt.timedelta(days=i) for i in range(FXS.N_DAYS)]
 
@@ -496,6 +496,15 @@ def _q_changes(spark, d):
     return partition_changes(silver_v1_fx(spark, d), silver_fx(spark, d), ["ds", "content_id"])
 
 
+@register("version_changes")
+def _q_version_changes(spark, d):
+    """The same change rows from two stored versions: unequal buckets only."""
+    before, after = scratch_path(spark, "version"), scratch_path(spark, "version")
+    for df, path in ((silver_v1_fx(spark, d), before), (silver_fx(spark, d), after)):
+        write_version(df, path, ["ds", "content_id"])
+    return version_changes(spark, before, after, ["ds", "content_id"], SILVER_SUBMISSIONS)
+
+
 def _backfill(spark, d) -> dict:
     raw_path = _land_raw(spark, d)
     out = scratch_path(spark, "lake")
@@ -530,6 +539,37 @@ def _q_profiles_mixed(spark, d):
     return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
 
 
+def _days_landed_again(spark, d, **run):
+    """The week's days one by one; then day 3 is landed again with its first
+    fetches only, day 5 with no rows, and each is run once more."""
+    raw = raw_fx(spark, d)
+    raw_path, out = scratch_path(spark, "raw_submissions"), scratch_path(spark, "lake")
+    ST.overwrite_partitions(raw, raw_path)
+    for day in FX_DAYS:
+        run_range(spark, raw_path, out, day, day, **run)
+    for day, again in ((FX_DAYS[2], FXS.first_fetch(raw)), (FX_DAYS[4], raw.filter(F.lit(False)))):
+        ST.replace_partition(again.filter(F.col("ds") == F.lit(day)), raw_path, day)
+        paths = run_range(spark, raw_path, out, day, day, **run).paths
+    return paths
+
+
+@register("profiles_days_replaced")
+def _q_profiles_replaced(spark, d):
+    """Profiles from the merged state after days were added, replaced and emptied."""
+    paths = _days_landed_again(spark, d)
+    return ST.scan_full(spark, paths["gold_author_profiles"], GOLD_AUTHOR_PROFILES)
+
+
+@register("publish_by_location")
+def _q_publish_location(spark, d):
+    """The same runs with every layer published in the catalog; silver by name."""
+    place = scratch_path(spark, "catalog")
+    database = place.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
+    _days_landed_again(spark, d, database=database, publish=True)
+    return spark.table(f"{database}.silver_submissions")
+
+
 def _daily_runs(scope: str) -> Query:
     """Bronze of the week after seven runs of one day each, where every run
     sees the raw days landed so far."""

@@ -116,7 +116,7 @@ def full_overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def _guard_days(df: DataFrame, days: list[_dt.date]) -> DataFrame:
+def guard_days(df: DataFrame, days: list[_dt.date]) -> DataFrame:
     """Fail the write job on a row whose ``ds`` is not one of ``days``."""
     ok = F.coalesce(F.col(PARTITION_COL).isin(*[F.lit(d) for d in days]), F.lit(False))
     msg = F.concat(F.lit("row outside replaced days: ds="),
@@ -135,6 +135,11 @@ def _clear_partitions(spark: SparkSession, path: str, values: Iterable[str], col
         fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{col}={value}"), True)
 
 
+def clear_days(spark: SparkSession, path: str, days: Iterable[_dt.date]) -> None:
+    """Empty the given days of a ``ds``-partitioned table."""
+    _clear_partitions(spark, path, [d.isoformat() for d in days])
+
+
 def replace_values(df: DataFrame, path: str, col: str, values: Iterable) -> None:
     """Replace exactly the given values of a table partitioned by ``col``
     (values without special characters); rows must have one of them, and a
@@ -164,7 +169,7 @@ def replace_partitions(df: DataFrame, path: str, days: Iterable[str | _dt.date],
         raise ValueError("no days to replace")
     spark = df.sparkSession
     seen = Observation("replaced_days")
-    guarded = _guard_days(df, wanted).observe(seen, F.collect_set(PARTITION_COL).alias("days"))
+    guarded = guard_days(df, wanted).observe(seen, F.collect_set(PARTITION_COL).alias("days"))
     overwrite_partitions(guarded, path, gather=gather)
     present = set((observed(seen) or {}).get("days") or [])
     cleared = [d for d in wanted if d not in present]
@@ -208,16 +213,16 @@ class AuditResult:
         return not any(self.null_counts.values()) and self.outside_days == 0 and self.duplicate_keys == 0
 
 
-def audit(staged: DataFrame, days: list[_dt.date], not_null: Iterable[str],
+def audit(staged: DataFrame, days: list[_dt.date] | None, not_null: Iterable[str],
           key: tuple[str, ...] | None) -> AuditResult:
-    """All checks in one aggregate job (plus one distinct count for keys)."""
+    """All checks in one aggregate job (plus one distinct count for keys, in
+    which NULL equals NULL); ``days=None``: a table without days."""
     not_null = list(not_null)
-    aggs = [F.count(F.lit(1)).alias("_rows"),
-            F.count_if(~F.coalesce(F.col(PARTITION_COL).isin(*[F.lit(d) for d in days]), F.lit(False)))
-            .alias("_outside")]
+    outside = F.lit(False) if days is None else ~F.coalesce(F.col(PARTITION_COL).isin(*[F.lit(d) for d in days]), F.lit(False))
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.count_if(outside).alias("_outside")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]
     if key:
-        aggs.append(F.count_distinct(*[F.col(k) for k in key]).alias("_keys"))
+        aggs.append(F.count_distinct(F.struct(*key)).alias("_keys"))
     r = staged.agg(*aggs).first()
     dup = (r["_rows"] - r["_keys"]) if key else 0
     return AuditResult(rows=r["_rows"], outside_days=r["_outside"], duplicate_keys=dup,

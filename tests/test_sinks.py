@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.sinks import tables as ST
 from postlake.sinks.changes import partition_changes
@@ -165,3 +166,81 @@ def test_scratch_copies_are_dropped(spark):
     assert df.count() == 1 and [d for d in os.listdir(root) if d.startswith("drop-test")]
     session.clear_scratch()
     assert not [d for d in os.listdir(root) if d.startswith("drop-test")]
+
+
+def _published(spark, tmp_path, key=("ds", "id")):
+    from postlake.sinks.publish import PublishedTable
+    place = tmp_path / "catalog"
+    database = f"pub_{tmp_path.name}".replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
+    schema = T.StructType([T.StructField("id", T.StringType(), False), T.StructField("v", T.LongType()),
+                           T.StructField("ds", T.DateType())])
+    return PublishedTable(spark, f"{database}.t", str(tmp_path / "t"), schema, key=key).create()
+
+
+def test_publish_by_location_replaces_empties_and_keeps_readers(spark, tmp_path):
+    table = _published(spark, tmp_path)
+    table.publish(_df(spark, [("a", 1, D0), ("b", 2, D0), ("c", 3, D1)]), [D0, D1])
+    reader = spark.table(table.name).where(F.col("ds") == F.lit(D0))
+    files = reader.inputFiles()
+    table.publish(_df(spark, [("a", 9, D0)]), [D0])
+    assert rows(spark.table(table.name).select("id", "v")) == [("a", 9), ("c", 3)]
+    assert sorted(r.id for r in spark.read.parquet(*files).collect()) == ["a", "b"]     # the old version is whole
+    assert table.drop_old_versions() == 0                                               # day 2 is in the first version
+    table.publish(_df(spark, []), [D1])
+    assert table.days() == [D0] and table.drop_old_versions() >= 1
+    assert rows(table.read().select("id", "v")) == [("a", 9)]
+    assert len(list((tmp_path / "t" / "_versions").iterdir())) == 1                     # written once, no staged copy
+
+
+def test_publish_by_location_audits_before_it_points(spark, tmp_path):
+    from postlake.sinks.publish import PublishedTable
+    table = _published(spark, tmp_path)
+    table.publish(_df(spark, [("a", 1, D0)]), [D0])
+    for bad, kind in (([("a", 1, D0), ("a", 2, D0)], ST.AuditError), ([(None, 1, D0)], ST.AuditError),
+                      ([("a", 1, D1)], Exception)):
+        with pytest.raises(kind):
+            table.publish(_df(spark, bad), [D0])
+    with pytest.raises(ST.AuditError):
+        table.publish(_df(spark, []), [D0], min_rows=1)
+    assert rows(table.read().select("id", "v")) == [("a", 1)]
+    whole = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    flat = PublishedTable(spark, table.name.replace(".t", ".flat"), str(tmp_path / "flat"), whole, False, ("k",)).create()
+    for v in (1, 2):                                                                    # a NULL key is a key
+        flat.publish(spark.createDataFrame([(None, v), ("x", v)], "k string, v bigint"))
+        assert rows(flat.read()) == [("x", v), (None, v)] or rows(flat.read()) == [(None, v), ("x", v)]
+    with pytest.raises(ST.AuditError):
+        flat.publish(spark.createDataFrame([(None, 1), (None, 1)], "k string, v bigint"))
+    assert flat.drop_old_versions() == 1
+
+
+def test_versions_read_unequal_buckets_only(spark, tmp_path):
+    from postlake.sinks import changes as C
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.LongType()), T.StructField("ds", T.DateType())])
+    data = [(f"k{i}", i, D0) for i in range(60)] + [(None, 1, D0)]
+    after = [r for r in data if r[0] != "k7"] + [("new", None, D1)]
+    after[3] = ("k3", 99, D0)
+    for r, path in ((data, old), (after, new)):
+        C.write_version(spark.createDataFrame(r, schema), path, ["id"])
+    changed = C.changed_buckets(spark, old, new)
+    assert 1 <= len(changed) <= 3
+    for path in tmp_path.glob("*/rows/_bucket=*/*.parquet"):
+        if path.parent.name not in {f"_bucket={b}" for b in changed}:
+            path.write_bytes(b"unreadable")
+    got = rows(C.version_changes(spark, old, new, ["id"], schema).select("_change_type", "id", "v"))
+    assert got == sorted([("update_preimage", "k3", 3), ("update_postimage", "k3", 99), ("delete", "k7", 7),
+                          ("insert", "new", None)], key=repr)
+
+
+def test_versions_empty_equal_and_of_other_bucket_numbers(spark, tmp_path):
+    from postlake.sinks import changes as C
+    a, b, none = (str(tmp_path / n) for n in ("a", "b", "none"))
+    df = spark.createDataFrame([("x", 1), ("y", None)], "id string, v bigint")
+    C.write_version(df, a, ["id"])
+    C.write_version(df, b, ["id"], buckets=3)
+    C.write_version(df.limit(0), none, ["id"])
+    assert C.changed_buckets(spark, a, b) is None and C.version_changes(spark, a, b, ["id"], df.schema).count() == 0
+    assert C.changed_buckets(spark, a, a) == [] and C.version_changes(spark, a, a, ["id"], df.schema).count() == 0
+    assert rows(C.version_changes(spark, none, a, ["id"], df.schema)) == [("insert", "x", 1), ("insert", "y", None)]
+    assert C.version_changes(spark, a, none, ["id"], df.schema).count() == 2
