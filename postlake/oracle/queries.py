@@ -332,3 +332,15 @@ SELECT ds, submission_id, score, created_utc_unix,
        WHEN score IS NULL THEN 'no score' ELSE 'negative score' END AS qc_reason
 FROM bronze_dedup
 WHERE submission_id IS NULL OR created_at_timestamp IS NULL OR score IS NULL OR score < 0""")
+
+# --- keyword rules as a table ------------------------------------------------
+oracle("categorize_text_rules", ["bronze_dedup"],
+       f"SELECT ds, submission_id, {S.category_sql()} AS text_category FROM bronze_dedup")
+oracle("match_keyword_rules", ["bronze_dedup"], """
+SELECT ds, submission_id, COUNT(*) AS keywords, min(struct_pack(rank, label)).label AS label
+FROM bronze_dedup b JOIN (
+  SELECT keyword, ascii(md5(keyword)) % 7 AS rank, substr(md5(keyword), 2, 1) AS label
+  FROM (SELECT DISTINCT unnest(string_split_regex(lower(selftext), '[^a-z]+')) AS keyword FROM bronze_dedup) w
+  WHERE length(keyword) = 4) r
+  ON contains(lower(b.title), r.keyword) OR contains(lower(b.selftext), r.keyword)
+GROUP BY ds, submission_id""")

@@ -48,6 +48,7 @@ register("gold_top_daily")(lambda spark, d: K.gold_top_daily(stored(silver_fx(sp
 # --- bronze / silver steps ------------------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
 
+from postlake.functions import rule_table as RT  # noqa: E402
 from postlake.functions import rules as R  # noqa: E402
 from postlake.functions import text_ai as AI  # noqa: E402
 from postlake.functions import timefmt as TF  # noqa: E402
@@ -167,6 +168,25 @@ def _q_lexicon_default(spark, d):
         "ds", "submission_id", "ai_sentiment")
 
 
+@register("categorize_text_rules")
+def _q_rules(spark, d):
+    """Categories from the built-in keywords as a rule table."""
+    return RT.categorize_by_rules(bronze_dedup_fx(spark, d), ["ds", "submission_id"], "title", "selftext",
+                                  "raw_subreddit_name", RT.compile_rules(RT.default_rules(spark)))
+
+
+@register("match_keyword_rules")
+def _q_many_rules(spark, d):
+    """Every rule that a text meets, by a rule table of the texts' own words of
+    four letters (over 1,000), dealt over labels and ranks by their digest."""
+    b = bronze_dedup_fx(spark, d)
+    digest = F.md5(F.col("keyword").cast("binary"))
+    words = b.select(F.explode(AI.tokens("selftext")).alias("keyword")).where("length(keyword) = 4").distinct()
+    rules = words.select((F.ascii(digest) % 7).alias("rank"), F.substring(digest, 2, 1).alias("label"), "keyword")
+    return RT.match_keywords(b, ["ds", "submission_id"], ["title", "selftext"], RT.compile_rules(rules)).groupBy(
+        "ds", "submission_id").agg(F.count(F.lit(1)).alias("keywords"), F.min(F.struct("rank", "label"))["label"].alias("label"))
+
+
 @register("ai_custom_model")
 def _q_custom(spark, d):
     """User model hook (Arrow-batched pandas UDF) on candidates' full text."""
