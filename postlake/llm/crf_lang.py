@@ -32,6 +32,14 @@ from postlake.llm.pretokens import LETTER, char_classes, code_points, row_blocks
 
 UNDETERMINED = "und"
 DOCS_PER_LABEL = 150
+#: Groups in which a language's sample is cut before it is cut as a whole.
+SAMPLE_GROUPS = 32
+#: One sampled document of a language in so many is held out to learn how
+#: familiar clean texts are.
+HELD_OUT = 5
+#: Words of full familiarity that every text is credited with, so that a word
+#: or two decide nothing.
+PRIOR_WORDS = 2
 HASH_BITS = 16
 STEPS, RUNS, RUN_WORDS = 260, 48, 40
 #: Text bytes predicted at once, with up to so many labels; fewer with more.
@@ -137,6 +145,29 @@ def emissions(words: pa.Array, model: Crf) -> np.ndarray:
     return out
 
 
+def familiarity(found: Words, texts: int, model: Crf) -> np.ndarray:
+    """How much of each text's letter n-grams training met: the mean over its
+    words (and ``PRIOR_WORDS`` known ones) of the share of features with a
+    weight. Junk and languages that were not learnt are low, mixtures are not."""
+    met = (model.weights != 0).any(axis=1)
+    feature, owner = features(found.words, {})
+    words = len(found.words)
+    share = np.bincount(owner, weights=met[feature], minlength=words) / np.maximum(np.bincount(owner, minlength=words), 1)
+    sums = np.bincount(found.doc, weights=share[found.index], minlength=texts)
+    return (sums + PRIOR_WORDS) / (np.bincount(found.doc, minlength=texts) + PRIOR_WORDS)
+
+
+def usual_familiarity(texts: list[str], langs: list[str], model: Crf) -> float:
+    """The familiarity that nine in ten of the given (not trained on) documents of
+    every language reach; 0 without documents."""
+    found = find_words(pa.array(texts, pa.string()))
+    each = familiarity(found, len(texts), model)
+    by_lang: dict[str, list[float]] = {}
+    for value, lang in zip(each, langs):
+        by_lang.setdefault(lang, []).append(float(value))
+    return min((float(np.quantile(v, 0.1)) for v in by_lang.values()), default=0.0)
+
+
 def marginals(scores: np.ndarray, chain: np.ndarray, start: np.ndarray, transition: np.ndarray) -> np.ndarray:
     """Label probabilities of each word by forward-backward over its chain.
 
@@ -292,15 +323,17 @@ def sample(docs: DataFrame, docs_per_label: int = DOCS_PER_LABEL, id_col: str =
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         F.xxhash64(F.col(id_col).cast("long")).alias("h")).withColumn("t", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("h", "t")
-    least = rows.select("lang", "h", "t").distinct().withColumn("n", F.row_number().over(order)).where(
-        F.col("n") <= docs_per_label).drop("n")
+    least = rows.select("lang", "h", "t").distinct().withColumn("group", F.spark_partition_id() % SAMPLE_GROUPS)
+    for keys in (["lang", "group"], ["lang"]):       # cut twice: no task gets a language's rows of all tasks
+        order = Window.partitionBy(*keys).orderBy("h", "t")
+        least = least.withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_label).drop("n")
+    least = least.drop("group")
     chosen = rows.join(F.broadcast(least), ["lang", "h", "t"])     # docs_per_label rows a language broadcast
     return sorted(chosen.distinct().collect(), key=lambda r: (r.h, r.lang, r.t))
 
 
 def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABEL, id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+             text_col: str = "text", lang_col: str = "lang", least_familiar: float | None = None) -> DataFrame:
     """All input columns, with ``lang_pred`` and ``score`` (replaced if present).
 
     Learns from rows where ``train_on`` is true (default: all) and text and
@@ -309,10 +342,27 @@ def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABE
     ``und`` with score 0 if the text is null or has no letter, or if there was
     nothing to learn from. Whole texts are read; repeated rows are labelled
     each; an empty table gives an empty table.
+
+    With ``least_familiar`` a text in no learnt language is ``und`` with score 0
+    too: one whose :func:`familiarity` is below that part of what held-out
+    documents usually have. A fifth of a larger sample is held out for it;
+    languages with fewer than five sampled documents hold out none, and without
+    held-out documents nothing is rejected so.
     """
     learn = docs if train_on is None else docs.where(F.coalesce(train_on, F.lit(False)))
-    rows = sample(learn, docs_per_label, id_col, text_col, lang_col)
-    model = docs.sparkSession.sparkContext.broadcast(train([r.text for r in rows], [r.lang for r in rows]))
+    if least_familiar is None:
+        rows = sample(learn, docs_per_label, id_col, text_col, lang_col)
+        crf, bound = train([r.text for r in rows], [r.lang for r in rows]), 0.0
+    else:
+        rows = sample(learn, docs_per_label * HELD_OUT // (HELD_OUT - 1), id_col, text_col, lang_col)
+        met: Counter = Counter()
+        parts: tuple[list, list] = ([], [])
+        for r in rows:
+            met[r.lang] += 1
+            parts[met[r.lang] % HELD_OUT == 0].append(r)
+        crf = train([r.text for r in parts[0]], [r.lang for r in parts[0]])
+        bound = least_familiar * usual_familiarity([r.text for r in parts[1]], [r.lang for r in parts[1]], crf)
+    model = docs.sparkSession.sparkContext.broadcast(crf)
     kept = docs.drop("lang_pred", "score")
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
@@ -333,6 +383,9 @@ def identify(docs: DataFrame, train_on=None, docs_per_label: int = DOCS_PER_LABE
                     mean = np.add.reduceat(p, first, axis=0) / np.diff(np.append(first, len(p)))[:, None]
                     best[docs_with] = mean.argmax(axis=1)
                     score[docs_with] = np.minimum(mean.max(axis=1), 1.0)
+                    if bound:
+                        strange = familiarity(found, n, crf) < bound
+                        best[strange], score[strange] = k, 0.0
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array([names[b] for b in best]), pa.array(score)], names=schema.names)
 

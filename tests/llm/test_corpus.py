@@ -495,6 +495,28 @@ def test_stages_keep_the_columns_and_decide_as_the_operators_do(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
 
 
+def test_language_stage_rejects_junk_and_unlearnt_languages_and_keeps_mixtures(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    clean = [r.text for r in docs.where("length(text) > 200").orderBy("doc_id").limit(40).collect()]
+    half = [a[:len(a) // 2] + "\n" + b[len(b) // 2:] for a, b in zip(clean[::2], clean[1::2])]
+    junk = ["xqzt kjw vvbz qqpl zzxw kqj wvx", "Это русское предложение о погоде и природе", "zxcvb qwrtp lkjhg mnbvc " * 50,
+            "中文 句子 测试 文本 语言", "qqq", "Ωμέγα άλφα βήτα γάμμα"]
+    odd = [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(half + junk)]
+    kept = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), SF_SMALL)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert ids >= {r.doc_id for r in docs.select("doc_id").collect()}
+    assert ids >= {10**6 + i for i in range(len(half))}
+    short = 10**6 + len(half) + junk.index("qqq")           # one word decides nothing
+    assert {i for i in ids if i >= 10**6 + len(half)} <= {short}
+
+
+def test_language_without_held_out_documents_rejects_letterless_texts_only(spark):
+    docs = _docs(spark, ["one two", "xq zz", "...", None]).withColumn("lang", F.when(F.col("doc_id") == 1, "en"))
+    got = {r.doc_id: r.lang_pred for r in crf_lang.identify(docs, least_familiar=0.7).collect()}
+    assert got == {1: "en", 2: "en", 3: "und", 4: "und"}
+    assert crf_lang.identify(docs.limit(0), least_familiar=0.7).count() == 0
+
+
 def test_run_gives_the_rows_of_its_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
