@@ -1,6 +1,6 @@
 """Corpus pipeline: from ``documents`` to packed token sequences.
 
-    language    documents whose language cannot be told go (CRF language ID)
+    language    documents in no language that was learnt go (CRF language ID)
     line_dedup  lines that at least 10 documents hold go (Bloom filters, exact counts)
     near_dedup  one document of each near-copy group stays (SimHash, 3 bits)
     pack        whole texts into sequences of 1024 tokens (reduction, best fit)
@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 
 from postlake.llm import crf_lang, line_dedup, packing, scratch, simhash
 
-#: A document goes if no language has so large a mean word probability.
-MIN_LANGUAGE_SCORE = 0.3
+#: A document goes if its letter n-grams are less familiar than this part of
+#: what held-out documents usually are (junk, or a language not learnt).
+LEAST_FAMILIAR = 0.7
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a language; a missing ``lang`` is filled in."""
-    found = crf_lang.identify(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}))
-    kept = found.where((F.col("lang_pred") != crf_lang.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    """Keep documents in a learnt language, mixtures too; a missing ``lang`` is filled in."""
+    found = crf_lang.identify(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}),
+                              least_familiar=LEAST_FAMILIAR)
+    kept = found.where(F.col("lang_pred") != crf_lang.UNDETERMINED)
     return (kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
             .withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns))
 
