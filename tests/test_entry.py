@@ -27,6 +27,7 @@ def test_every_query_of_the_library_has_an_oracle():
     "land_record_files", "land_record_files_rejects", "land_record_files_edited", "land_record_files_comments",
     "land_comments_two_days", "bronze_daily_runs_all_days", "profiles_full_then_incremental", "topk_either_5000",
     "partition_changes", "sink_replace_where", "match_keyword", "union_sources", "backfill_author_profiles", "doc_trending_summary",
+    "version_changes", "publish_by_location", "categorize_text_rules", "match_keyword_rules",
 ])
 def test_query_matches_oracle_sf0001(spark, name):
     from postlake.oracle.compare import duck_connection, duck_rows, spark_rows
