@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from postlake.functions.rules import CATEGORY_KEYWORD_RULES
 from postlake.functions.sqltext import quote as _q
+from postlake.session import local_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of our scorers.
@@ -118,7 +119,24 @@ def tokens(text: Column | str) -> Column:
 def default_lexicon(spark) -> DataFrame:
     """The built-in words as a lexicon table."""
     words = [(w, 1) for w in SENTIMENT_POSITIVE_WORDS] + [(w, -1) for w in SENTIMENT_NEGATIVE_WORDS]
-    return spark.createDataFrame(words, "word string, weight int")
+    return local_table(spark, words, "word string, weight int")
+
+
+#: A lexicon held by the driver is compiled up to so many words.
+MAX_COMPILED_WORDS = 10_000
+
+
+def found_words(text: Column | str, words: list[str]) -> Column:
+    """The distinct tokens of a text that are in ``words``, by one search for
+    all of them (NULL text: NULL)."""
+    from postlake.functions.rule_table import tree_pattern
+
+    text = F.col(text) if isinstance(text, str) else text
+    known = sorted({w for w in words if w and all("a" <= ch <= "z" for ch in w)})
+    if not known:
+        return F.when(text.isNotNull(), F.array().cast("array<string>"))
+    pattern = f"(?<![a-z])({tree_pattern(known)})(?![a-z])"
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
 
 
 def lexicon_sentiment(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
@@ -128,7 +146,9 @@ def lexicon_sentiment(df: DataFrame, keys: list[str], text_col: str, lexicon: Da
     A text's distinct tokens meet the lexicon in one join and return summed by
     key: one plan for a lexicon of any size, which adaptive execution
     broadcasts when it is small, and whose frequent words it splits. Texts are
-    tokenised where they are and never shuffled. ``positive`` and ``negative``
+    tokenised where they are and never shuffled. Of a lexicon that the driver
+    holds (``default_lexicon``) the words are compiled: a text then gives the
+    tokens that are in it, not all of its tokens. ``positive`` and ``negative``
     are the weights of the distinct tokens on either side; the label says
     which sides there are (NULL text: NULL). ``keys`` identify a text (rows of
     equal keys are one); a word listed more than once counts once with the sum
@@ -137,8 +157,13 @@ def lexicon_sentiment(df: DataFrame, keys: list[str], text_col: str, lexicon: Da
     words = lexicon.select(F.lower(F.col(word_col)).alias("_word"), F.col(weight_col).alias("_weight")).where(
         F.col("_word").isNotNull()).groupBy("_word").agg(F.sum("_weight").alias("_weight")).where("_weight != 0")
     # an empty token keeps a row for texts without words; NULL marks a NULL text
+    held = [r["_word"] for r in words.limit(MAX_COMPILED_WORDS + 1).collect()] if lexicon.isLocal() else None
+    if held is not None and len(held) <= MAX_COMPILED_WORDS:
+        words, theirs = F.broadcast(words), found_words(text_col, held)
+    else:
+        theirs = F.array_distinct(tokens(text_col))
     own = F.when(F.col(text_col).isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        F.concat(F.array(F.lit("")), F.array_distinct(tokens(text_col))))
+        F.concat(F.array(F.lit("")), theirs))
     found = df.select(*keys, F.explode(own).alias("_word")).join(words, "_word", "left").groupBy(*keys).agg(
         F.count("_word").alias("_n"),
         F.coalesce(F.sum(F.when(F.col("_weight") > 0, F.col("_weight"))), F.lit(0)).alias("positive"),

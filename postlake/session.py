@@ -12,7 +12,10 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SESSION_TIME_ZONE = "UTC"
 
@@ -96,6 +99,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of values the driver holds. Spark knows its size, so that a
+    join with it is planned as a broadcast, and no Python worker makes its rows."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields))
+
+
 def observed(seen) -> dict | None:
     """The metrics of a finished write; None if adaptive execution found the
     written plan empty and dropped the observing node with it."""

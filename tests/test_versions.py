@@ -94,3 +94,17 @@ def test_sketches_merge_and_stay_within_their_error(spark):
     at_once = G.distinct_estimates(G.distinct_sketches(df, [], names), [], names).first()
     assert merged == at_once and merged.topics == 9
     assert abs(merged.authors - 25_000) <= G.SKETCH_ERROR * 25_000
+
+
+def test_built_in_lexicon_is_local_and_finds_whole_words_only(spark):
+    lexicon = AI.default_lexicon(spark)
+    assert lexicon.isLocal()                      # its size is known: a join with it is planned as a broadcast
+    texts = ["love, LOVE lovely", "good-bad", "goodbad", "xgood good", "éfun", None, "", "bad"]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "k int, t string")
+    words = [r.word for r in lexicon.collect()]
+    want = df.select("t", F.array_sort(F.array_intersect(F.array_distinct(AI.tokens("t")), F.lit(words))).alias("w"))
+    got = df.select("t", F.array_sort(AI.found_words("t", words)).alias("w"))
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    shuffled = AI.lexicon_sentiment(df, ["k"], "t", spark.createDataFrame(lexicon.collect(), lexicon.schema))
+    scored = AI.lexicon_sentiment(df, ["k"], "t", lexicon)
+    assert sorted(map(tuple, scored.collect()), key=repr) == sorted(map(tuple, shuffled.collect()), key=repr)
