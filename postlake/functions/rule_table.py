@@ -11,12 +11,13 @@ tree, not the number of passes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions.rules import CATEGORY_DEFAULT, CATEGORY_KEYWORD_RULES, CATEGORY_SUBREDDIT_RULES, in_list
+from postlake.session import local_table
 
 #: A rule table is configuration: it is compiled on the driver. More keywords
 #: than this are an error.
@@ -26,8 +27,8 @@ RULE_SCHEMA = "rank int, label string, keyword string"
 
 def default_rules(spark: SparkSession) -> DataFrame:
     """The built-in category keywords as a rule table."""
-    return spark.createDataFrame([(i, label, k) for i, (label, kws) in enumerate(CATEGORY_KEYWORD_RULES) for k in kws],
-                                 RULE_SCHEMA)
+    return local_table(spark, [(i, label, k) for i, (label, kws) in enumerate(CATEGORY_KEYWORD_RULES) for k in kws],
+                       RULE_SCHEMA)
 
 
 def _escaped(ch: str) -> str:
@@ -63,8 +64,10 @@ def tree_pattern(words: list[str]) -> str:
 @dataclass
 class CompiledRules:
     pattern: str            # finds the longest keyword at every place
-    found: DataFrame        # (_hit, rank, label, keyword): what a longest keyword implies
+    rules: DataFrame        # (keyword, rank, label, place): place numbers ranks and labels in order
+    places: DataFrame       # (place, label)
     keywords: int
+    lengths: list[int] = field(default_factory=list)      # of the keywords
 
 
 def compile_rules(rules: DataFrame) -> CompiledRules:
@@ -76,12 +79,13 @@ def compile_rules(rules: DataFrame) -> CompiledRules:
     if len(kept) > MAX_KEYWORDS:
         raise ValueError(f"more than {MAX_KEYWORDS} rules")
     words = sorted({r.keyword for r in kept})
-    known = set(words)
-    inside = [(w, w[:n]) for w in words for n in range(1, len(w) + 1) if w[:n] in known]
-    implied = spark.createDataFrame(inside, "_hit string, keyword string")
-    of = spark.createDataFrame([(r.rank, r.label, r.keyword) for r in kept], RULE_SCHEMA)
-    return CompiledRules(f"(?=({tree_pattern(words)}))" if words else "", implied.join(of, "keyword").select(
-        "_hit", "rank", "label", "keyword"), len(words))
+    order = sorted({(r.rank, r.label) for r in kept}, key=lambda x: (x[0], x[1] is not None, x[1] or ""))   # as structs
+    place = {x: i for i, x in enumerate(order)}
+    of = local_table(spark, [(r.keyword, r.rank, r.label, place[r.rank, r.label]) for r in kept],
+                     "keyword string, rank int, label string, place int")
+    places = local_table(spark, [(i, label) for i, (_, label) in enumerate(order)], "place int, label string")
+    return CompiledRules(f"(?=({tree_pattern(words)}))" if words else "", of, places, len(words),
+                         sorted({len(w) for w in words}))
 
 
 def longest_hits(text: Column | str, rules: CompiledRules) -> Column:
@@ -98,11 +102,32 @@ def _hits(texts: list[str], rules: CompiledRules) -> Column:
     return F.array_distinct(F.concat(*[longest_hits(t, rules) for t in texts]))
 
 
+def _with_prefixes(hits: Column, rules: CompiledRules) -> Column:
+    """Distinct hits and those of their beginnings that are as long as some
+    keyword: all keywords that the hits imply are among them."""
+    if len(rules.lengths) < 2:
+        return F.array_distinct(hits)
+    lengths = F.array(*[F.lit(n) for n in rules.lengths])
+    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(
+        F.filter(lengths, lambda n: n <= F.length(h)), lambda n: F.substring(h, F.lit(1), n)))))
+
+
 def match_keywords(df: DataFrame, keys: list[str], texts: list[str], rules: CompiledRules) -> DataFrame:
     """``(*keys, rank, label, keyword)`` of every keyword that one of ``texts``
-    contains, once a row of ``df``. Texts stay where they are: hits meet the
-    rules in one join, which adaptive execution broadcasts by its size."""
-    return df.select(*keys, F.explode(_hits(texts, rules)).alias("_hit")).join(rules.found, "_hit").drop("_hit").distinct()
+    contains, once for rows of equal keys, with the rule's ``place`` in the
+    order of ranks and labels. Texts stay where they are. Hits are made distinct
+    as one list a text (rows of equal keys: one list), and only then become rows
+    that meet the broadcast rules: nothing holds or moves a row per hit."""
+    lists = df.select(*keys, _hits(texts, rules).alias("_hits"))
+    every = lists.groupBy(*keys).agg(F.flatten(F.collect_list("_hits")).alias("_hits"))
+    hits = every.select(*keys, F.explode(_with_prefixes(F.col("_hits"), rules)).alias("keyword"))
+    return hits.join(F.broadcast(rules.rules), "keyword").select(*keys, "rank", "label", "keyword", "place")
+
+
+def with_label(places: DataFrame, rules: CompiledRules, label_col: str = "label") -> DataFrame:
+    """The label of column ``place`` (NULL: none) instead of it."""
+    named = rules.places.withColumnsRenamed({"label": label_col})
+    return places.join(F.broadcast(named), "place", "left").drop("place")
 
 
 def rule_labels(df: DataFrame, keys: list[str], texts: list[str], rules: CompiledRules,
@@ -110,10 +135,11 @@ def rule_labels(df: DataFrame, keys: list[str], texts: list[str], rules: Compile
     """``(*keys, *keep, label_col)``: the label of least rank (then the least
     label), NULL where no keyword is found. ``keys`` identify a row (NULL keys
     are equal); ``keep`` are columns that go with it."""
-    hits = df.select(*keys, *keep, F.explode_outer(_hits(texts, rules)).alias("_hit"))
-    best = F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "label")))
-    return (hits.join(rules.found, "_hit", "left").groupBy(*keys)
-            .agg(*[F.min(c).alias(c) for c in keep], best["label"].alias(label_col)))
+    words = _with_prefixes(_hits(texts, rules), rules)
+    hits = df.select(*keys, *keep, F.explode_outer(words).alias("keyword"))
+    best = (hits.join(F.broadcast(rules.rules), "keyword", "left").groupBy(*keys)
+            .agg(*[F.min(c).alias(c) for c in keep], F.min("place").alias("place")))
+    return with_label(best, rules, label_col).select(*keys, *keep, label_col)
 
 
 def categorize_by_rules(df: DataFrame, keys: list[str], title: str, selftext: str, subreddit: str,

@@ -183,8 +183,10 @@ def _q_many_rules(spark, d):
     digest = F.md5(F.col("keyword").cast("binary"))
     words = b.select(F.explode(AI.tokens("selftext")).alias("keyword")).where("length(keyword) = 4").distinct()
     rules = words.select((F.ascii(digest) % 7).alias("rank"), F.substring(digest, 2, 1).alias("label"), "keyword")
-    return RT.match_keywords(b, ["ds", "submission_id"], ["title", "selftext"], RT.compile_rules(rules)).groupBy(
-        "ds", "submission_id").agg(F.count(F.lit(1)).alias("keywords"), F.min(F.struct("rank", "label"))["label"].alias("label"))
+    compiled = RT.compile_rules(rules)
+    found = RT.match_keywords(b, ["ds", "submission_id"], ["title", "selftext"], compiled)
+    return RT.with_label(found.groupBy("ds", "submission_id").agg(
+        F.count(F.lit(1)).alias("keywords"), F.min("place").alias("place")), compiled)
 
 
 @register("ai_custom_model")

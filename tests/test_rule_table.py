@@ -78,3 +78,17 @@ def test_time_does_not_grow_with_the_keywords(spark):
 
     assert len(words) == 2500
     assert seconds(words) < 6 * seconds(words[:25]) + 1       # a hundred times as many
+
+
+def test_hits_are_no_rows_before_they_meet_the_rules(spark):
+    compiled = _rules(spark, [(1, "a", "ab"), (0, None, "abc"), (0, "b", "abc"), (1, "c", "cd")])
+    df = spark.createDataFrame([(1, "abc ab abd"), (1, "cd"), (None, "ab"), (None, "abc"), (2, None)], "k int, t string")
+    found = RT.match_keywords(df, ["k"], ["t"], compiled)
+    want = {(1, 1, "a", "ab"), (1, 0, None, "abc"), (1, 0, "b", "abc"), (1, 1, "c", "cd"),
+            (None, 1, "a", "ab"), (None, 0, None, "abc"), (None, 0, "b", "abc")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    rows = [(r.k, r["rank"], r.label, r.keyword) for r in found.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    best = found.groupBy("k").agg(F.min("place").alias("place"), F.min(F.struct("rank", "label"))["label"].alias("want"))
+    assert [(r.label, r.want) for r in RT.with_label(best, compiled).collect()] == [(None, None)] * 2
