@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from postlake.functions.timefmt import parse_ds
 from postlake.operators.topk import top_n_per_key
 from postlake.session import drop_scratch, observed, scratch_path
-from postlake.sinks.tables import overwrite_partitions, replace_partition, replace_values
+from postlake.sinks.tables import COMPRESSION, overwrite_partitions, replace_partition, replace_values
 from postlake.sources.landing import (flatten_comments, land_comments, land_submissions, next_replies, read_records,
                                       reject_bad_rows, rejects_of)
 
@@ -79,7 +79,7 @@ class StoredRecords:
     def _put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         self.paths.append(path)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=COMPRESSION)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

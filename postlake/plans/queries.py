@@ -364,10 +364,10 @@ def _q_reject(spark, d):
 
 
 def _record_files(spark, d) -> str:
-    """JSON record files of all documents, with broken lines, wrong types,
-    boolean ``edited`` and nested comments."""
+    """JSON record files of all documents (gzip, as saved by an API client),
+    with broken lines, wrong types, boolean ``edited`` and nested comments."""
     path = scratch_path(spark, "records")
-    FXS.record_lines_fx(spark, d).write.text(path)
+    FXS.record_lines_fx(spark, d).write.text(path, compression="gzip")
     return path
 
 

@@ -136,10 +136,13 @@ def _submission_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def submission_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API-shaped submission records (SUBMISSION_RECORD), with missing values."""
     from postlake.sources.landing import SUBMISSION_RECORD
-    d = _submission_docs(spark, sf_dir)
+    return conform(_submission_records(_submission_docs(spark, sf_dir)), SUBMISSION_RECORD)
+
+
+def _submission_records(d: DataFrame, *more: str) -> DataFrame:
     doc, f = F.col("doc_id"), F.col("f")
     created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
-    out = d.select(
+    return d.select(
         _cycle("doc_id % 12", SUBREDDIT_CYCLE).alias("subreddit"),
         doc.cast("string").alias("id"),
         _cycle("doc_id % 17", TITLE_CYCLE, TITLE_DEFAULT).alias("title"),
@@ -163,8 +166,8 @@ def submission_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("/r/"), F.col("source"), F.lit("/"), doc.cast("string")))
         .alias("permalink"),
         (created + f * FETCH_STEP).alias("retrieved_utc"),
+        *more,
     )
-    return conform(out, SUBMISSION_RECORD)
 
 
 def comment_records_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,10 +200,17 @@ def nested_submissions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submissions whose ``comments`` is a nested list: one comment per line
     of the document's text (blank lines are 'more' stubs); comment i
     replies to comment (i-1)/2, so the lists form trees."""
-    from postlake.sources.landing import NESTED_COMMENT
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     doc = F.col("doc_id")
     created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
+    return d.select(doc.cast("string").alias("id"), (created + FETCH_STEP).alias("retrieved_utc"),
+                    _comments_of("text").alias("comments"))
+
+
+def _comments_of(text: str) -> Column:
+    from postlake.sources.landing import NESTED_COMMENT
+    doc = F.col("doc_id")
+    created = F.lit(EPOCH_BASE) + doc * SUBMISSION_STEP
     sid = doc.cast("string")
 
     def to_comment(line: Column, i: Column) -> Column:
@@ -218,11 +228,7 @@ def nested_submissions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("/r/c/"), cid).alias("permalink"),
         ).cast(NESTED_COMMENT)
 
-    return d.select(
-        sid.alias("id"),
-        (created + FETCH_STEP).alias("retrieved_utc"),
-        F.transform(F.split(F.col("text"), "\n"), to_comment).alias("comments"),
-    )
+    return F.transform(F.split(F.col(text), "\n"), to_comment)
 
 
 def submission_json_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,10 +252,17 @@ def record_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     and fetch, with the nested comments of :func:`nested_submissions_fx`:
     ``edited`` is a JSON boolean or number, doc_id % 53 == 0 loses its closing
     brace, % 59 == 0 has no id, % 41 == 0 carries a non-numeric score and
-    % 47 == 0 a comment without an id."""
-    comments = nested_submissions_fx(spark, sf_dir).select(
-        F.col("id").alias("_id"), F.col("comments").alias("_comments"))
-    r = submission_records_fx(spark, sf_dir).join(comments, F.col("id") == F.col("_id"))
+    % 47 == 0 a comment without an id. Documents of one id (mostly one) come
+    together with one shuffle of the texts; each has the comments of each."""
+    from postlake.sources.landing import SUBMISSION_RECORD
+    docs = read_table(spark, sf_dir, "documents").where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.collect_list(F.struct("text", "lang", "source")).alias("_all"))
+    own = docs.select("doc_id", F.col("_all.text").alias("_texts"), F.explode("_all").alias("d"))
+    pairs = own.select("doc_id", "d.*", F.explode("_texts").alias("_other"))
+    fetched = pairs.withColumn("_comments", _comments_of("_other")).withColumn("f", _fetches(3)).filter(
+        (F.col("f") == 0) | (F.col("doc_id") % (F.col("f") + 1) == 0))
+    r = _submission_records(fetched, "_comments").select(
+        *[F.col(x.name).cast(x.dataType).alias(x.name) for x in SUBMISSION_RECORD.fields], "_comments")
     doc = F.col("id").cast("bigint")
     nested = F.when(doc % 47 == 0, F.transform("_comments", lambda c, i: F.when(
         i == 0, c.withField("id", F.lit(None).cast("string"))).otherwise(c))).otherwise(F.col("_comments"))

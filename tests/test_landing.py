@@ -199,3 +199,35 @@ def test_text_is_scanned_once(spark, tmp_path):
     good, _ = L.reject_bad_rows(records.rows)
     assert L.land_submissions(good).count() == 1 and L.land_comments(L.flatten_comments(good)).count() == 1
     assert L.rejects_of(records.rows).count() == 0
+
+
+def _documents(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_record_lines_have_the_comments_of_every_document_of_their_id(spark, tmp_path):
+    from postlake.sources import fixtures as FX
+    d = _documents(spark, tmp_path, [(1, "a\n\nb", "en", "s"), (6, "x", "en", None), (6, None, "de", "s"), (6, "x", "en", None),
+                                     (None, "none", "en", "s"), (8, None, None, "s")])
+    lines = FX.record_lines_fx(spark, d)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1        # the texts are shuffled once
+    # 6 has three rows and three fetches, each with the comments of each of the three; 8 has two fetches; 1 has one
+    got = L.parse_submission_json(lines).groupBy("id").count().collect()
+    assert {r.id: r["count"] for r in got} == {"1": 1, "6": 27, "8": 2}
+
+
+def test_landed_tables_and_records_are_compressed(spark, tmp_path):
+    import glob
+    from postlake.plans.landing import land_files
+    from postlake.plans.queries import _record_files
+    d = _documents(spark, tmp_path, [(i, f"text {i}\nline", "en", "s") for i in range(1, 20)])
+    files = _record_files(spark, d)
+    assert spark.read.text(files).count() > 19
+    assert {f.rsplit(".", 1)[1] for f in glob.glob(files.removeprefix("file:") + "/part-*")} == {"gz"}
+    land_files(spark, files, str(tmp_path / "raw"), str(tmp_path / "comments"))
+    for table in ("raw", "comments"):
+        names = glob.glob(str(tmp_path / table / "ds=*" / "*.parquet"))
+        assert names and all(".zstd." in n for n in names)
