@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from postlake.functions.timefmt import parse_ds
 from postlake.schemas import TABLES
-from postlake.sinks.tables import (PARTITION_COL, AuditError, AuditResult, audit, create_table, guard_days,
-                                   not_null_columns, overwrite_partitions, partition_days)
+from postlake.sinks.tables import (COMPRESSION, FEW_DAYS, PARTITION_COL, AuditError, AuditResult, audit, create_table,
+                                   guard_days, not_null_columns, overwrite_partitions, partition_days)
 
 VERSIONS = "_versions"
 #: What identifies a row of each table (checked before it is published).
@@ -85,9 +85,9 @@ class PublishedTable:
             raise ValueError("no days to publish")
         version = f"{self.path}/{VERSIONS}/{uuid.uuid4().hex}"
         if self.partitioned:
-            overwrite_partitions(guard_days(df, wanted), version, gather=gather)
+            overwrite_partitions(guard_days(df, wanted), version, gather=gather and len(wanted) > FEW_DAYS)
         else:
-            df.write.parquet(version)
+            df.write.parquet(version, compression=COMPRESSION)
         staged = self.spark.read.schema(self.schema).parquet(version)
         result = audit(staged, wanted if self.partitioned else None, not_null_columns(self.schema), self.key)
         if not result.ok or result.rows < min_rows:

@@ -244,3 +244,20 @@ def test_versions_empty_equal_and_of_other_bucket_numbers(spark, tmp_path):
     assert C.changed_buckets(spark, a, a) == [] and C.version_changes(spark, a, a, ["id"], df.schema).count() == 0
     assert rows(C.version_changes(spark, none, a, ["id"], df.schema)) == [("insert", "x", 1), ("insert", "y", None)]
     assert C.version_changes(spark, a, none, ["id"], df.schema).count() == 2
+
+
+def test_few_days_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    import datetime
+    from postlake.sinks import tables as ST
+    gathered = []
+    plain = ST.clustered
+    monkeypatch.setattr(ST, "clustered", lambda df, cols=("ds",): gathered.append(cols) or plain(df, cols))
+    days = [datetime.date(2025, 6, 1) + datetime.timedelta(days=i) for i in range(ST.FEW_DAYS + 1)]
+    df = spark.createDataFrame([(i, d) for d in days for i in range(3)], "k int, ds date")
+    path = str(tmp_path / "t")
+    ST.replace_partitions(df, path, days)
+    assert len(gathered) == 1
+    ST.replace_partitions(df.where(f"ds < '{days[-1]}' AND k > 0"), path, days[:-1])
+    assert len(gathered) == 1
+    got = sorted((r.k, r.ds) for r in spark.read.schema(df.schema).parquet(path).collect())
+    assert got == sorted([(k, d) for d in days[:-1] for k in (1, 2)] + [(k, days[-1]) for k in range(3)])
