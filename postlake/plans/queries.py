@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlake.operators import gold as G
 from postlake.operators import topk as K
 from postlake.plans.chain import bronze_fx, silver_fx
-from postlake.session import stored
+from postlake.session import free_shuffles, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -368,6 +368,7 @@ def _record_files(spark, d) -> str:
     with broken lines, wrong types, boolean ``edited`` and nested comments."""
     path = scratch_path(spark, "records")
     FXS.record_lines_fx(spark, d).write.text(path, compression="gzip")
+    free_shuffles(spark)
     return path
 
 

@@ -135,6 +135,13 @@ def drop_scratch(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of ended jobs now. Its cleaner does so
+    once the driver has collected the plans that name them, which an idle
+    driver's heap puts off (by default for up to half an hour)."""
+    spark.sparkContext._jvm.System.gc()  # noqa: SLF001 - the cleaner has no other trigger
+
+
 def clear_scratch() -> int:
     """Delete the scratch folders of this process that are still there (once
     their results are read); returns how many were deleted."""

@@ -105,13 +105,18 @@ def clustered(df: DataFrame, cols: tuple[str, ...] = (PARTITION_COL,)) -> DataFr
     return df.hint("rebalance", *cols)
 
 
+def codec(level: int | None = None) -> dict[str, str]:
+    """Options of a Parquet write: the codec, at a level of its own."""
+    return {"compression": COMPRESSION} | ({"parquet.compression.codec.zstd.level": str(level)} if level else {})
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...] = (PARTITION_COL,),
-                         gather: bool = True) -> None:
+                         gather: bool = True, level: int | None = None) -> None:
     """Replace the partitions present in ``df``. Without ``gather`` rows are
     written where they are: right for rows that were just read from files of
     one partition each, which shuffling would move for nothing."""
     ((clustered(df, partition_cols) if gather else df).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+       .option("partitionOverwriteMode", "dynamic").options(**codec(level))
        .partitionBy(*partition_cols)
        .parquet(path))
 
@@ -144,16 +149,17 @@ def clear_days(spark: SparkSession, path: str, days: Iterable[_dt.date]) -> None
     _clear_partitions(spark, path, [d.isoformat() for d in days])
 
 
-def replace_values(df: DataFrame, path: str, col: str, values: Iterable) -> None:
+def replace_values(df: DataFrame, path: str, col: str, values: Iterable, gather: bool = True) -> None:
     """Replace exactly the given values of a table partitioned by ``col``
     (values without special characters); rows must have one of them, and a
-    value that received no rows is cleared."""
+    value that received no rows is cleared. Without ``gather`` rows are
+    written where they are (right for one value)."""
     wanted = sorted(set(values))
     seen = Observation("replaced_values")
     ok = F.coalesce(F.col(col).isin(*wanted), F.lit(False))
     msg = F.concat(F.lit(f"row outside replaced values of {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
     guarded = df.withColumn(col, F.when(ok, F.col(col)).otherwise(F.raise_error(msg).cast(df.schema[col].dataType)))
-    overwrite_partitions(guarded.observe(seen, F.collect_set(col).alias("values")), path, (col,))
+    overwrite_partitions(guarded.observe(seen, F.collect_set(col).alias("values")), path, (col,), gather)
     present = set((observed(seen) or {}).get("values") or [])
     _clear_partitions(df.sparkSession, path, [v for v in wanted if v not in present], col)
 

@@ -247,18 +247,37 @@ def submission_json_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(js.alias("value"))
 
 
+#: Up to so many ids that repeat are looked up one by one.
+FEW_IDS = 1000
+
+
+def _pairs_of_id(docs: DataFrame) -> DataFrame:
+    """Each document with the text of each document of its id (``_other``), from
+    one shuffle of the texts."""
+    own = docs.groupBy("doc_id").agg(F.collect_list(F.struct("text", "lang", "source")).alias("_all")).select(
+        "doc_id", F.col("_all.text").alias("_texts"), F.explode("_all").alias("d"))
+    return own.select("doc_id", "d.*", F.explode("_texts").alias("_other"))
+
+
 def record_lines_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text lines as an API client would save them, one per submission
     and fetch, with the nested comments of :func:`nested_submissions_fx`:
     ``edited`` is a JSON boolean or number, doc_id % 53 == 0 loses its closing
     brace, % 59 == 0 has no id, % 41 == 0 carries a non-numeric score and
-    % 47 == 0 a comment without an id. Documents of one id (mostly one) come
-    together with one shuffle of the texts; each has the comments of each."""
+    % 47 == 0 a comment without an id. Each document of an id has the comments
+    of each: documents whose id repeats are shuffled by it, the others (found by
+    their ids alone) are not, if the table is read by enough tasks."""
     from postlake.sources.landing import SUBMISSION_RECORD
-    docs = read_table(spark, sf_dir, "documents").where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.collect_list(F.struct("text", "lang", "source")).alias("_all"))
-    own = docs.select("doc_id", F.col("_all.text").alias("_texts"), F.explode("_all").alias("d"))
-    pairs = own.select("doc_id", "d.*", F.explode("_texts").alias("_other"))
+    docs = read_table(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select("doc_id", "text", "lang", "source")
+    repeated = [r.doc_id for r in docs.groupBy("doc_id").count().where("count > 1").limit(FEW_IDS + 1).collect()]
+    tasks = docs.select(F.spark_partition_id().alias("task")).distinct().count()
+    if len(repeated) > FEW_IDS or tasks < spark.sparkContext.defaultParallelism:
+        pairs = _pairs_of_id(docs)
+    elif repeated:
+        again = F.col("doc_id").isin(*repeated)
+        pairs = docs.where(~again).withColumn("_other", F.col("text")).unionByName(_pairs_of_id(docs.where(again)))
+    else:
+        pairs = docs.withColumn("_other", F.col("text"))
     fetched = pairs.withColumn("_comments", _comments_of("_other")).withColumn("f", _fetches(3)).filter(
         (F.col("f") == 0) | (F.col("doc_id") % (F.col("f") + 1) == 0))
     r = _submission_records(fetched, "_comments").select(

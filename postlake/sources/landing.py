@@ -9,6 +9,7 @@ comments, and count (instead of crash on) malformed records.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from postlake.functions.timefmt import iso_from_unix, parse_ds, ts_from_unix, utc_date_from_unix
 from postlake.operators.bronze import WIDE_COLUMNS
 from postlake.schemas import RAW_COMMENTS, RAW_SUBMISSIONS, _struct, conform
+from postlake.sinks.tables import FEW_DAYS
 
 # ---------------------------------------------------------------------------
 # Landing defaults for missing attributes.
@@ -139,12 +141,36 @@ def distinct_by_key(df: DataFrame, key: str | list[str], newest: str = "retrieve
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None) -> DataFrame:
+def _comments_by_day(records: DataFrame, day: Column, pieces: dict[int, list[_dt.date]]) -> DataFrame:
+    """Comment records shuffled by their day ``_ds``, and by one of ``n`` parts
+    of their ids (``_piece``) if it is one of the large days ``pieces[n]``. In a
+    task the fetches of a comment are sorted side by side, and texts go last:
+    the shuffle's codec then finds in a row what it has of the row before."""
+    names = sorted([f.name for f in COMMENT_RECORD.fields], key=lambda n: n in WIDE_COLUMNS)
+    records = records.select(day.alias("_ds"), *names).sortWithinPartitions("_ds", "id")
+    if not pieces:                       # a constant would not count as a key of the shuffle
+        return records.repartition("_ds")
+    piece = F.lit(0)
+    for n, days in pieces.items():
+        piece = F.when(F.col("_ds").isin(*[F.lit(d) for d in days]), F.pmod(F.xxhash64("id"), F.lit(n))).otherwise(piece)
+    return records.withColumn("_piece", piece).repartition("_ds", "_piece")
+
+
+def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None,
+                  pieces: dict[int, list[_dt.date]] | None = None) -> DataFrame:
     """Normalise comment records into the 15-column raw layout, one row per
     run date and ``comment_id`` (latest fetch wins), so landing several days
-    together gives the rows of landing them one by one."""
+    together gives the rows of landing them one by one.
+
+    With ``pieces`` (may be empty) the same rows come out gathered by day, from
+    the one shuffle that finds the duplicates: a day is in one task, or in ``n``
+    tasks if it is one of the large days ``pieces[n]``."""
     created = F.col("created_utc").cast("bigint")
     retrieved = _fetch_seconds()
+    day, keys = _ds_column(ds, retrieved), ["ds", "comment_id"]
+    if pieces is not None:
+        records = _comments_by_day(records, day, pieces)
+        day, keys = F.col("_ds"), ["ds", *(["_piece"] if pieces else []), "comment_id"]
     out = records.select(
         F.coalesce(F.col("author"), F.lit(DELETED_AUTHOR)).alias("author_name"),
         F.col("body"),
@@ -159,10 +185,11 @@ def land_comments(records: DataFrame, ds: str | _dt.date | Column | None = None)
         F.coalesce(F.col("score"), F.lit(0)).alias("score"),
         _flag("stickied").alias("stickied"),
         F.col("submission_id"),
-        _ds_column(ds, retrieved).alias("ds"),
+        day.alias("ds"),
         ts_from_unix(retrieved).alias("_loaded_at_timestamp_utc"),
+        *[k for k in keys if k == "_piece"],
     )
-    return conform(distinct_by_key(out, ["ds", "comment_id"]), RAW_COMMENTS)
+    return conform(distinct_by_key(out, keys), RAW_COMMENTS)
 
 
 def flatten_comments(submissions: DataFrame, comments_col: str = "comments",
@@ -191,6 +218,40 @@ def flatten_comments(submissions: DataFrame, comments_col: str = "comments",
     )
 
 
+@dataclass
+class DaySpread:
+    """How stored records lie by fetch date: ``days``, the ``files`` read, the
+    (file, day) ``pairs``, and the large days of comments, by the number of
+    tasks that such a day is shared out to (a power of two)."""
+    days: int
+    files: int
+    pairs: int
+    pieces: dict[int, list[_dt.date]]
+
+    def day_by_day(self) -> bool:
+        """Files hold few days each: written where the rows are, a day gets
+        about as many files as if it were gathered first."""
+        return self.days <= FEW_DAYS or self.pairs <= 2 * max(self.days, self.files)
+
+
+def day_spread(records: DataFrame, limit: int | None = None) -> DaySpread:
+    """Count the days of ``records`` (read from files) by file: narrow columns,
+    and no more days than there are shuffle partitions reach the driver."""
+    n = F.coalesce(F.greatest(F.size("comments.id"), F.lit(0)), F.lit(0))
+    rows = records.select(_ds_column(None, _fetch_seconds()).alias("ds"), F.xxhash64(F.input_file_name()).alias("file"),
+                          (F.least(n, F.lit(int(limit))) if limit else n).cast("bigint").alias("n"))
+    by_day = rows.groupBy("ds", "file").agg(F.sum("n").alias("n")).groupBy("ds").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"))
+    total = by_day.agg(F.count(F.lit(1)).alias("days"), F.coalesce(F.sum("files"), F.lit(0)).alias("pairs"),
+                       F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    pieces: dict[int, list[_dt.date]] = {}
+    if total["days"] > FEW_DAYS and total["n"]:
+        tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        for r in by_day.where(F.col("n") * tasks > total["n"]).collect():     # fewer days than tasks
+            pieces.setdefault(1 << (-(-r["n"] * tasks // total["n"]) - 1).bit_length(), []).append(r["ds"])
+    return DaySpread(total["days"], len(records.inputFiles()), total["pairs"], pieces)
+
+
 def read_records(spark, paths: str | list[str], fmt: str = "json") -> DataFrame:
     """Submission records of one or many folders (e.g. one per subreddit) in
     one multi-path scan, with ``comments``, ``_reject_reason`` (NULL = good

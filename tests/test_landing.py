@@ -231,3 +231,107 @@ def test_landed_tables_and_records_are_compressed(spark, tmp_path):
     for table in ("raw", "comments"):
         names = glob.glob(str(tmp_path / table / "ds=*" / "*.parquet"))
         assert names and all(".zstd." in n for n in names)
+
+
+def _exchanges(df):
+    import re
+    return re.findall(r"Exchange (\w+)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def _comment_rows(spark):
+    """Days 0 to 5 of comments; day 0 is large; ids repeat in a day in other fetches and submissions."""
+    base = {f.name: None for f in L.COMMENT_RECORD.fields}
+    return spark.createDataFrame([
+        dict(base, id=f"c{i}", submission_id=f"s{k}", body=f"{i} {k}", author=None, score=k, created_utc=1.0, retrieved_utc=day * 86400 + k)
+        for day in range(6) for i in range(40 if day == 0 else 2) for k in range(3)], L.COMMENT_RECORD).repartition(3)
+
+
+def test_comments_are_gathered_by_day_by_the_shuffle_that_finds_duplicates(spark, tmp_path):
+    import datetime as dt
+    recs = _comment_rows(spark).localCheckpoint()
+    want = sorted(L.land_comments(recs).collect())
+    assert len(want) == 50 and {r.submission_id for r in want} == {"s2"}
+    for pieces, most in (({}, 1), ({4: [dt.date(1970, 1, 1)]}, 4)):
+        landed = L.land_comments(recs, pieces=pieces)
+        assert _exchanges(landed) == ["hashpartitioning"]
+        assert landed.schema == L.land_comments(recs).schema and sorted(landed.collect()) == want
+        places = landed.select("ds", F.spark_partition_id().alias("task")).distinct()
+        tasks = {str(r.ds): r["count"] for r in places.groupBy("ds").count().collect()}
+        assert max(n for day, n in tasks.items() if day != "1970-01-01") == 1 and tasks["1970-01-01"] <= most
+
+
+def _records(folder, days_of_file):
+    """A file of records for each list of days: two fetches of a submission a day, with its comments."""
+    folder.mkdir()
+    for k, days in enumerate(days_of_file):
+        (folder / f"{k}.json").write_text("".join(
+            '{"id":"p%d","subreddit":"valorant","created_utc":1.0,"retrieved_utc":%d,"score":%d,"comments":[{"id":"%d-a","body":"x"},'
+            '{"id":"%d-b","body":"y %d"}]}\n' % (d, d * 86400 + f, f, d, d, f) for d in days for f in (1, 2)))
+    return str(folder)
+
+
+def test_days_of_records_are_counted_by_file_and_large_days_found(spark, tmp_path):
+    import datetime as dt
+    stored = spark.read.schema(L.parse_submission_json(spark.createDataFrame([], "value string")).schema).parquet
+
+    def spread(name, days_of_file):
+        parsed = L.read_records(spark, _records(tmp_path / name, days_of_file))
+        parsed.withColumn("_f", F.input_file_name()).repartition(len(days_of_file), "_f").sortWithinPartitions("_f").drop("_f").write.partitionBy(
+            "subreddit").parquet(str(tmp_path / (name + "-p")))
+        return L.day_spread(stored(str(tmp_path / (name + "-p"))))
+    one = spread("one", [list(range(20))])
+    assert (one.days, one.pairs, one.pieces, one.day_by_day()) == (20, 20, {}, True)
+    large = spread("large", [[0] * 30 + [1, 2, 3, 4]])            # 8 tasks, 30 of 34 parts in a day
+    assert (large.days, large.pieces) == (5, {8: [dt.date(1970, 1, 1)]})
+    every = L.DaySpread(days=20, files=5, pairs=100, pieces={})
+    assert not every.day_by_day() and L.DaySpread(days=2, files=5, pairs=10, pieces={}).day_by_day()
+
+
+def test_landing_many_days_shuffles_comments_once_and_other_rows_not_at_all(spark, tmp_path, monkeypatch):
+    from postlake.plans import landing as P
+    from postlake.sinks import tables as ST
+    src = _records(tmp_path / "in", [list(range(k * 10, k * 10 + 10)) for k in range(3)])
+    (tmp_path / "in" / "0.json").write_text((tmp_path / "in" / "0.json").read_text() + '{"broken\n')
+    moved, write = [], ST.overwrite_partitions
+
+    def seen(df, path, cols=("ds",), gather=True, level=None):
+        moved.append((path.rsplit("/", 1)[1], len(_exchanges(ST.clustered(df, cols) if gather else df))))
+        write(df, path, cols, gather, level)
+    monkeypatch.setattr(ST, "overwrite_partitions", seen)
+    monkeypatch.setattr(P, "overwrite_partitions", seen)
+    freed = []
+    monkeypatch.setattr(P, "free_shuffles", lambda s: freed.append(s))
+    raw, comments, rejects = (str(tmp_path / n) for n in ("raw", "comments", "rejects"))
+    for _ in range(2):
+        done = P.land_files(spark, src, raw, comments, rejects)
+        assert (done.read, done.landed, done.rejected) == (61, 60, 1)
+    assert moved == [("raw", 0), ("comments", 1), ("rejects", 0)] * 2 and len(freed) >= 6
+    assert spark.read.parquet(raw).groupBy("ds").count().collect() and spark.read.parquet(raw).count() == 60
+    got = sorted((str(r.ds), r.comment_id, r.body) for r in spark.read.parquet(comments).collect())
+    assert len(got) == 60 and {b for _, c, b in got if c.endswith("-b")} == {"y 2"}     # the newer fetch of a day
+    assert all(len(list(d.glob("*.parquet"))) == 1 for d in (tmp_path / "comments").glob("ds=*"))
+    moved.clear()
+    P.land_files(spark, src, raw, newest=100)                      # a limit has moved rows out of their files
+    assert moved[0][1] > 1 and spark.read.parquet(raw).count() == 60
+
+
+def test_record_lines_of_unique_ids_are_not_shuffled(spark, tmp_path, monkeypatch):
+    from postlake.sources import fixtures as FX
+
+    def lines(name, ids):
+        spark.createDataFrame([(i, f"a {i} {n}\nb", "en", "s") for n, i in enumerate(ids)],
+                              "doc_id bigint, text string, lang string, source string").repartition(16).write.parquet(
+            str(tmp_path / name / "documents.parquet"))
+        out = FX.record_lines_fx(spark, str(tmp_path / name))
+        with monkeypatch.context() as m:
+            m.setattr(FX, "FEW_IDS", -1)
+            grouped = FX.record_lines_fx(spark, str(tmp_path / name))
+        moves = _exchanges(out)
+        assert len(_exchanges(grouped)) == 1
+        assert sorted(out.collect()) == sorted(grouped.collect())
+        return moves, out.count()
+    ids = [None, *range(1, 65)]
+    once = lines("unique", ids)
+    assert once[0] == []
+    twice = lines("twice", [*ids, 5, 7])                           # each of two documents, with the comments of both
+    assert len(twice[0]) == 1 and twice[1] == once[1] + 3 * 2
